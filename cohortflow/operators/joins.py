@@ -1,0 +1,22 @@
+"""Join helpers: broadcast only behind a size check."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Rows of a lookup side we accept to ship to every executor.  A vocabulary or
+# cohort row is a short string/long plus a long: ~2M rows stay well under the
+# broadcast limits.  Above it the join falls back to a shuffle join (and AQE
+# may still pick a broadcast from runtime statistics).
+DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS, rows: int | None = None) -> DataFrame:
+    """Hint a broadcast when ``df`` has at most ``max_rows`` rows.
+
+    Pass ``rows`` when the count is already known; otherwise ``df`` is
+    counted (materialise it first so the count is cheap).
+    """
+    n = df.count() if rows is None else rows
+    return F.broadcast(df) if n <= max_rows else df

@@ -1,0 +1,152 @@
+"""Composite operators C1-C6: the user-facing pipeline.
+
+One DataFrame per table carries a ``split`` column instead of one table per
+split, so every stage runs once for all splits.  Small derived tables that
+several stages read (cohort, vocabulary) are checkpointed in the shared
+checkpoint folder, counted, and broadcast only under a row bound.
+"""
+
+from __future__ import annotations
+
+from dataclasses import dataclass, field
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from cohortflow.operators import clean, cohort as C, features as FT, sequences as S, vocab as V
+from cohortflow.operators import model as ML
+from cohortflow.operators.joins import DEFAULT_MAX_BROADCAST_ROWS
+from cohortflow.schemas import DEFAULT_SEED, DEFAULT_WEIGHTS, PREPARED_COLUMNS, SPLITS
+from cohortflow.session import materialize
+
+TABLES = ("admissions", "diagnoses", "icustays", "labevents", "patients", "prescriptions")
+
+
+@dataclass
+class Prepared:
+    tables: dict[str, DataFrame]
+    cohort: DataFrame
+    cohort_rows: int
+    lab_rejects: DataFrame
+
+
+def prepare(
+    raw: dict[str, DataFrame],
+    weights=DEFAULT_WEIGHTS,
+    seed: int = DEFAULT_SEED,
+    names=SPLITS,
+    method: str = "hash",
+    max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+) -> Prepared:
+    """Clean -> ICU cohort -> split by patient -> restrict -> normalise labs.
+
+    Output tables hold the prepared columns plus ``split``.
+    """
+    icustays = clean.fill_los(raw["icustays"])
+    labs = clean.parse_lab_values(raw["labevents"])
+    patients = clean.with_label(raw["patients"]).select("SUBJECT_ID", "IS_DEAD")
+
+    cohort = materialize(C.split_cohort(C.icu_cohort(icustays), weights, seed, names, method))
+    n = cohort.count()
+
+    def restrict(df: DataFrame) -> DataFrame:
+        return C.restrict_to_cohort(df, cohort, n, max_broadcast_rows)
+
+    labs_c = restrict(labs)
+    tables = {
+        "admissions": restrict(raw["admissions"]),
+        "diagnoses": restrict(raw["diagnoses"]),
+        "icustays": restrict(icustays),
+        "labevents": C.max_normalize(clean.drop_null_values(labs_c)),
+        "patients": restrict(patients),
+        "prescriptions": restrict(raw["prescriptions"]),
+    }
+    tables = {t: df.select(*PREPARED_COLUMNS[t], "split") for t, df in tables.items()}
+    raw_labs = restrict(raw["labevents"])
+    lab_rejects = raw_labs.filter(F.col("VALUENUM").isNull() | F.col("VALUENUM").try_cast("double").isNull()).select(
+        F.lit("labevents").alias("table_name"),
+        F.lit("prepare").alias("stage"),
+        "split",
+        F.col("SUBJECT_ID").alias("subject_id"),
+        F.col("HADM_ID").alias("hadm_id"),
+        F.when(F.col("VALUENUM").isNull(), F.lit("missing VALUENUM")).otherwise(F.lit("bad VALUENUM")).alias("reason"),
+    )
+    return Prepared(tables, cohort, n, lab_rejects)
+
+
+def records(prepared: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """P5 + P7 for every prepared table: typed records, rejects left out."""
+    return {t: clean.to_records(df, t) for t, df in prepared.items()}
+
+
+def rejects_report(prep: Prepared) -> DataFrame:
+    """Every row the pipeline rejects, with table, stage, split and reason."""
+    out = prep.lab_rejects
+    for t, df in prep.tables.items():
+        out = out.unionByName(clean.rejects(df, t))
+    return out
+
+
+@dataclass
+class Vocabulary:
+    table: DataFrame
+    rows: int
+
+
+def build_vocabulary(recs: dict[str, DataFrame], split: str = "train", namespaced: bool = False) -> Vocabulary:
+    """Vocabulary from one split's records (the training split)."""
+
+    def one(t: str) -> DataFrame:
+        return recs[t].filter(F.col("split") == split)
+
+    vocab = materialize(V.build_vocab(one("diagnoses"), one("prescriptions"), one("labevents"), namespaced))
+    return Vocabulary(vocab, vocab.count())
+
+
+@dataclass
+class Dataset:
+    events: DataFrame  # visit-attached, before the vocabulary
+    features: DataFrame
+    labels: DataFrame
+
+
+def build_dataset(recs: dict[str, DataFrame], vocab: Vocabulary, max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> Dataset:
+    """Long features (split, patient_id, admit_ms, feature_id, value) and labels."""
+    events = FT.all_events(recs["diagnoses"], recs["prescriptions"], recs["labevents"], recs["icustays"])
+    attached = FT.attach_visit(events, recs["admissions"])
+    feats = FT.index_features(attached, vocab.table, vocab.rows, max_broadcast_rows)
+    labels = FT.patients_with_features(recs["patients"].select("split", "patient_id", "is_dead"), feats)
+    return Dataset(attached, feats, labels)
+
+
+def build_sequences(ds: Dataset, visits_per_row: int | None = None, check: bool = True) -> DataFrame:
+    """C4: labelled sequences (split, patient_id, chunk, first_visit, seq, label)."""
+    feats = FT.features_of_labelled(ds.features, ds.labels)
+    return S.label_sequences(S.sequences(feats, visits_per_row), ds.labels, check=check)
+
+
+@dataclass
+class ModelRun:
+    model: object
+    width: int
+    vectors: DataFrame
+    report: dict[str, DataFrame] = field(default_factory=dict)
+    validation: DataFrame | None = None
+
+
+def patient_vector_table(ds: Dataset, width: int, how: str = "sum") -> DataFrame:
+    """X3 vectors joined with labels: (split, patient_id, label, features)."""
+    cells = S.visit_cells(FT.features_of_labelled(ds.features, ds.labels))
+    vecs = S.patient_vectors(S.pool_sequences(cells, how), width)
+    labels = ds.labels.select("split", "patient_id", F.col("is_dead").cast("int").alias("label"))
+    return vecs.join(labels, ["split", "patient_id"], "inner")
+
+
+def run_model(ds: Dataset, kind: str = "logistic", how: str = "sum", max_iter: int = 100) -> ModelRun:
+    """Width from the training features, fit on train, report on test."""
+    width = int(S.num_features(ds.features.filter(F.col("split") == "train")).first()["num_features"] or 0)
+    vectors = patient_vector_table(ds, max(width, 1), how)
+    model = ML.train_classifier(vectors.filter(F.col("split") == "train"), width=max(width, 1), kind=kind, max_iter=max_iter)
+    test = vectors.filter(F.col("split") == "test")
+    valid = ML.evaluate(model, vectors.filter(F.col("split") == "valid"))
+    return ModelRun(model, width, vectors, ML.report(model, test), valid)

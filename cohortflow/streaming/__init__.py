@@ -1,0 +1 @@
+"""Streaming: the original pipeline is batch only (no stream, watermark or state)."""
