@@ -213,7 +213,7 @@ scores AS (
   SELECT split, patient_id, label, score, CASE WHEN score > 1.0::DOUBLE - score THEN 1 ELSE 0 END AS prediction
   FROM (
     SELECT p.split, p.patient_id, l.is_dead AS label,
-           round(1.0::DOUBLE / (1.0::DOUBLE + exp(-(0.375::DOUBLE * p.n_visits + 0.03125::DOUBLE * p.n_distinct - 2.0::DOUBLE))), 6) AS score
+           (floor((1.0::DOUBLE / (1.0::DOUBLE + exp(-(0.375::DOUBLE * p.n_visits + 0.03125::DOUBLE * p.n_distinct - 2.0::DOUBLE)))) * 1e6 + 0.5) / 1e6) AS score
     FROM (SELECT split, patient_id, count(DISTINCT admit_ms) AS n_visits, count(DISTINCT feature_id) AS n_distinct
           FROM lf GROUP BY split, patient_id) p
     JOIN labels l ON p.split = l.split AND p.patient_id = l.patient_id)),
@@ -306,7 +306,7 @@ WHERE NOT EXISTS (SELECT 1 FROM vocab v WHERE v.token = a.token) GROUP BY split,
     "dataset_labels": _q(_DS, "SELECT * FROM labels"),
     "num_features": _q(_DS, "SELECT CAST(w AS BIGINT) AS num_features FROM width"),
     "visit_cells": _q(
-        _DS, "SELECT split, patient_id, visit_index, admit_ms, feature_id, round(value, 9) AS value FROM cells"
+        _DS, "SELECT split, patient_id, visit_index, admit_ms, feature_id, (floor((value) * 1e9 + 0.5) / 1e9) AS value FROM cells"
     ),
     "sequence_entries": _q(_DS, "SELECT * FROM seq_entries"),
     "sequence_summary": _q(_DS, "SELECT * FROM seq_summary"),
@@ -326,39 +326,39 @@ FROM labels""",
     ),
     "pooled_sum": _q(
         _DS,
-        "SELECT split, patient_id, feature_id, round(sum(value), 9) AS value FROM cells GROUP BY split, patient_id, feature_id",
+        "SELECT split, patient_id, feature_id, (floor((sum(value)) * 1e9 + 0.5) / 1e9) AS value FROM cells GROUP BY split, patient_id, feature_id",
     ),
     "pooled_mean": _q(
         _DS,
-        """SELECT c.split, c.patient_id, c.feature_id, round(sum(c.value) / max(n.n), 9) AS value
+        """SELECT c.split, c.patient_id, c.feature_id, (floor((sum(c.value) / max(n.n)) * 1e9 + 0.5) / 1e9) AS value
 FROM cells c JOIN (SELECT split, patient_id, count(DISTINCT visit_index) AS n FROM cells GROUP BY split, patient_id) n
   ON c.split = n.split AND c.patient_id = n.patient_id
 GROUP BY c.split, c.patient_id, c.feature_id""",
     ),
     "pooled_last": _q(
         _DS,
-        """SELECT split, patient_id, feature_id, round(value, 9) AS value FROM (
+        """SELECT split, patient_id, feature_id, (floor((value) * 1e9 + 0.5) / 1e9) AS value FROM (
   SELECT *, max(visit_index) OVER (PARTITION BY split, patient_id) AS last_visit FROM cells)
 WHERE visit_index = last_visit""",
     ),
     "visit_vectors": _q(
         _DS,
         """SELECT split, patient_id, visit_index, CAST((SELECT w FROM width) AS BIGINT) AS width,
-       CAST(count(*) FILTER (WHERE value <> 0) AS BIGINT) AS nnz, round(sum(value), 9) AS total
+       CAST(count(*) FILTER (WHERE value <> 0) AS BIGINT) AS nnz, (floor((sum(value)) * 1e9 + 0.5) / 1e9) AS total
 FROM cells WHERE feature_id < (SELECT w FROM width) GROUP BY split, patient_id, visit_index""",
     ),
     "rule_scores": _q(_DS, "SELECT * FROM scores"),
     "metric_summary": _q(
         _DS,
         """SELECT split, CAST(count(*) AS BIGINT) AS n,
-       round(avg(CASE WHEN label = prediction THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END) * 100.0::DOUBLE, 9) AS accuracy,
-       round(avg(-(label * ln(p) + (1 - label) * ln(1.0::DOUBLE - p))), 9) AS log_loss
+       (floor((avg(CASE WHEN label = prediction THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END) * 100.0::DOUBLE) * 1e9 + 0.5) / 1e9) AS accuracy,
+       (floor((avg(-(label * ln(p) + (1 - label) * ln(1.0::DOUBLE - p)))) * 1e9 + 0.5) / 1e9) AS log_loss
 FROM (SELECT *, least(greatest(score, 1e-15), 1.0::DOUBLE - 1e-15) AS p FROM scores) GROUP BY split""",
     ),
     "confusion_matrix": _q(
         _DS,
         """SELECT split, label, prediction, n,
-       round(n / NULLIF(sum(n) OVER (PARTITION BY split, label), 0), 9) AS rate
+       (floor((n / NULLIF(sum(n) OVER (PARTITION BY split, label), 0)) * 1e9 + 0.5) / 1e9) AS rate
 FROM (
   SELECT split, 0 AS label, 0 AS prediction, c00 AS n FROM cm
   UNION ALL SELECT split, 0, 1, c01 FROM cm
@@ -369,19 +369,19 @@ FROM (
         _DS,
         """SELECT split, 'inf'::DOUBLE AS threshold, 0.0::DOUBLE AS fpr, 0.0::DOUBLE AS tpr FROM score_tot
 UNION ALL
-SELECT c.split, c.score AS threshold, round(c.neg_cum / NULLIF(t.N, 0), 9) AS fpr, round(c.pos_cum / NULLIF(t.P, 0), 9) AS tpr
+SELECT c.split, c.score AS threshold, (floor((c.neg_cum / NULLIF(t.N, 0)) * 1e9 + 0.5) / 1e9) AS fpr, (floor((c.pos_cum / NULLIF(t.P, 0)) * 1e9 + 0.5) / 1e9) AS tpr
 FROM score_cum c JOIN score_tot t ON c.split = t.split""",
     ),
     "roc_auc": _q(
         _DS,
         """SELECT split,
-       round(sum(neg * ((pos_cum - pos) + pos / 2.0::DOUBLE)) / NULLIF(sum(pos) * sum(neg), 0), 9) AS auc,
+       (floor((sum(neg * ((pos_cum - pos) + pos / 2.0::DOUBLE)) / NULLIF(sum(pos) * sum(neg), 0)) * 1e9 + 0.5) / 1e9) AS auc,
        CAST(sum(pos) AS BIGINT) AS n_pos, CAST(sum(neg) AS BIGINT) AS n_neg
 FROM score_cum GROUP BY split""",
     ),
     "batch_weighted_accuracy": _q(
         _DS,
-        f"""SELECT split, round(sum(accuracy * n) / sum(n), 9) AS mean, CAST(sum(n) AS BIGINT) AS count
+        f"""SELECT split, (floor((sum(accuracy * n) / sum(n)) * 1e9 + 0.5) / 1e9) AS mean, CAST(sum(n) AS BIGINT) AS count
 FROM (SELECT split, batch_id, count(*) AS n,
              avg(CASE WHEN label = prediction THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END) * 100.0::DOUBLE AS accuracy
       FROM {_batches('scores', 'split, patient_id, label, prediction')} GROUP BY split, batch_id)
@@ -389,7 +389,7 @@ GROUP BY split""",
     ),
     "event_visit_cells": _q(
         (EVENTS,),
-        """SELECT c.patient_id, v.visit_index, c.admit_ms, c.feature_id, round(c.value, 9) AS value
+        """SELECT c.patient_id, v.visit_index, c.admit_ms, c.feature_id, (floor((c.value) * 1e9 + 0.5) / 1e9) AS value
 FROM (SELECT patient_id, admit_ms, feature_id, sum(value) AS value FROM ef GROUP BY patient_id, admit_ms, feature_id) c
 JOIN e_visit v ON c.patient_id = v.patient_id AND c.admit_ms = v.admit_ms""",
     ),

@@ -25,7 +25,11 @@ SHUFFLE_SEED = 0
 
 
 def _r(c, n: int = 9) -> Column:
-    return F.round(F.col(c) if isinstance(c, str) else c, n)
+    """Round half up at ``n`` decimals with plain double arithmetic, the same
+    formula the oracle SQL uses, so both engines round a tie the same way."""
+    x = F.col(c) if isinstance(c, str) else c
+    scale = float(10**n)
+    return F.floor(x * F.lit(scale) + F.lit(0.5)) / F.lit(scale)
 
 
 class Stages:
@@ -78,7 +82,7 @@ class Stages:
             F.countDistinct("admit_ms").alias("n_visits"), F.countDistinct("feature_id").alias("n_distinct")
         )
         logit = F.lit(0.375) * F.col("n_visits") + F.lit(0.03125) * F.col("n_distinct") - F.lit(2.0)
-        score = F.round(sigmoid(logit), 6)
+        score = _r(sigmoid(logit), 6)
         lab = self.ds.labels.select("split", "patient_id", F.col("is_dead").cast("int").alias("label"))
         return (
             per.join(lab, ["split", "patient_id"])
