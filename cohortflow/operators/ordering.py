@@ -10,6 +10,7 @@ partition.  The result is exact.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -37,7 +38,13 @@ def prefix_sums(
     between the totals pass and the running pass, also after an executor loss.
     """
     n = _range_parts(df, num_partitions)
-    tagged = materialize(df.repartitionByRange(n, *order_cols).withColumn("_pid", F.spark_partition_id()))
+    # The range partitioner samples its input first: hold the input so the
+    # sample and the shuffle read it once.
+    held = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        tagged = materialize(held.repartitionByRange(n, *order_cols).withColumn("_pid", F.spark_partition_id()))
+    finally:
+        held.unpersist()
     totals = tagged.groupBy("_pid").agg(*[F.sum(v).alias(f"_t_{v}") for v in value_cols])
     # Bounded by the number of partitions: safe to order in one task and broadcast.
     w_off = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)

@@ -135,12 +135,16 @@ def sequence_summary(seqs: DataFrame) -> DataFrame:
     )
 
 
-def label_sequences(seqs: DataFrame, labels: DataFrame, check: bool = True) -> DataFrame:
-    """Attach labels by key; with ``check`` a patient on one side only raises."""
+def label_sequences(seqs: DataFrame, labels: DataFrame, check: bool = True, ids: DataFrame | None = None) -> DataFrame:
+    """Attach labels by key; with ``check`` a patient on one side only raises.
+
+    ``ids`` (distinct patient keys the sequences were built from) makes the
+    check a join of two key sets instead of a second grouping of the events.
+    """
     k = _keep(seqs) + ["patient_id"]
     lab = labels.select(*k, F.col("is_dead").cast("int").alias("label"))
     if check:
-        ids = seqs.select(*k).distinct().withColumn("_s", F.lit(1))
+        ids = (ids if ids is not None else seqs.select(*k).distinct()).withColumn("_s", F.lit(1))
         both = ids.join(lab.withColumn("_l", F.lit(1)), k, "full_outer")
         bad = both.agg(
             F.sum(F.when(F.col("_l").isNull(), 1).otherwise(0)).alias("no_label"),

@@ -45,9 +45,9 @@ def indexed_tokens(tokens: DataFrame) -> DataFrame:
     return idx.select("domain", "domain_rank", "token", feature_id.cast("bigint").alias("feature_id"))
 
 
-def icu_entry(tokens: DataFrame) -> DataFrame:
+def icu_entry(indexed: DataFrame) -> DataFrame:
     """The constant ICU-stay entry: id = number of coded tokens + 1."""
-    return tokens.agg(F.count(F.lit(1)).alias("n")).select(
+    return indexed.agg(F.count(F.lit(1)).alias("n")).select(
         F.lit("icu").alias("domain"),
         F.lit(DOMAIN_RANK["icu"]).cast("int").alias("domain_rank"),
         F.lit(ICU_TOKEN).alias("token"),
@@ -57,8 +57,8 @@ def icu_entry(tokens: DataFrame) -> DataFrame:
 
 def vocabulary_entries(diagnoses: DataFrame, medications: DataFrame, labs: DataFrame) -> DataFrame:
     """Every (domain, token, feature_id) before the overwrite merge."""
-    tokens = domain_tokens(diagnoses, medications, labs)
-    return indexed_tokens(tokens).unionByName(icu_entry(tokens))
+    indexed = indexed_tokens(domain_tokens(diagnoses, medications, labs))
+    return indexed.unionByName(icu_entry(indexed))
 
 
 def build_vocab(diagnoses: DataFrame, medications: DataFrame, labs: DataFrame, namespaced: bool = False) -> DataFrame:

@@ -114,7 +114,10 @@ def build_dataset(recs: dict[str, DataFrame], vocab: Vocabulary, max_broadcast_r
     """Long features (split, patient_id, admit_ms, feature_id, value) and labels."""
     events = FT.all_events(recs["diagnoses"], recs["prescriptions"], recs["labevents"], recs["icustays"])
     attached = FT.attach_visit(events, recs["admissions"])
-    feats = FT.index_features(attached, vocab.table, vocab.rows, max_broadcast_rows)
+    # Labels, sequences, cells and vectors all read the features: write them
+    # once (the stage output the original also writes) instead of re-running
+    # the union, visit join and lookup for every consumer.
+    feats = materialize(FT.index_features(attached, vocab.table, vocab.rows, max_broadcast_rows))
     labels = FT.patients_with_features(recs["patients"].select("split", "patient_id", "is_dead"), feats)
     return Dataset(attached, feats, labels)
 
@@ -122,7 +125,8 @@ def build_dataset(recs: dict[str, DataFrame], vocab: Vocabulary, max_broadcast_r
 def build_sequences(ds: Dataset, visits_per_row: int | None = None, check: bool = True) -> DataFrame:
     """C4: labelled sequences (split, patient_id, chunk, first_visit, seq, label)."""
     feats = FT.features_of_labelled(ds.features, ds.labels)
-    return S.label_sequences(S.sequences(feats, visits_per_row), ds.labels, check=check)
+    ids = feats.select("split", "patient_id").distinct()
+    return S.label_sequences(S.sequences(feats, visits_per_row), ds.labels, check=check, ids=ids)
 
 
 @dataclass
@@ -145,7 +149,8 @@ def patient_vector_table(ds: Dataset, width: int, how: str = "sum") -> DataFrame
 def run_model(ds: Dataset, kind: str = "logistic", how: str = "sum", max_iter: int = 100) -> ModelRun:
     """Width from the training features, fit on train, report on test."""
     width = int(S.num_features(ds.features.filter(F.col("split") == "train")).first()["num_features"] or 0)
-    vectors = patient_vector_table(ds, max(width, 1), how)
+    # Read by the fit (many passes), scoring and every report table.
+    vectors = materialize(patient_vector_table(ds, max(width, 1), how))
     model = ML.train_classifier(vectors.filter(F.col("split") == "train"), width=max(width, 1), kind=kind, max_iter=max_iter)
     test = vectors.filter(F.col("split") == "test")
     valid = ML.evaluate(model, vectors.filter(F.col("split") == "valid"))

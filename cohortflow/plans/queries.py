@@ -18,6 +18,7 @@ from cohortflow.functions.text import norm_token
 from cohortflow.operators import clean, cohort as C, features as FT, metrics as M, sequences as S, vocab as V
 from cohortflow.plans import pipeline as P
 from cohortflow.plans import roles as R
+from cohortflow.session import materialize
 
 VISITS_PER_ROW = 256  # sequence rows hold at most this many visits
 BATCH_SIZE = 64
@@ -41,7 +42,10 @@ class Stages:
 
     @cached_property
     def raw(self) -> dict[str, DataFrame]:
-        return R.role_tables(self.spark, self.sf_dir)
+        # The role views stand in for the raw files: write them once to the
+        # checkpoint folder so later stages scan them like files, instead of
+        # re-running (and inlining) the view joins in every job.
+        return {t: materialize(df) for t, df in R.role_tables(self.spark, self.sf_dir).items()}
 
     @cached_property
     def prep(self) -> P.Prepared:

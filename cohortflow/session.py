@@ -8,6 +8,7 @@ pick a scratch folder of our own.
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -49,10 +50,16 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Cut lineage with a reliable checkpoint in the shared checkpoint folder.
+    """Cut lineage by writing ``df`` as a parquet table in the shared
+    checkpoint folder and scanning it back.
 
-    Used for small derived tables that several later stages read (vocabulary,
-    cohort) so a lost executor does not recompute them from the raw scans.
+    Used for derived tables that several later stages read (role tables,
+    cohort, vocabulary, indexed features): a lost executor then re-reads the
+    table instead of recomputing it from the raw scans, and the re-read is a
+    normal parquet scan with column pruning and filter pushdown (an RDD
+    checkpoint would serialise rows and hide them from the optimiser).
     """
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/cohortflow-tables/{uuid.uuid4().hex}"
+    df.write.mode("error").parquet(path)
+    return spark.read.parquet(path)

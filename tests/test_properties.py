@@ -97,7 +97,9 @@ def test_visit_vectors_width(st):
 
 
 def test_plan_vocabulary_broadcast_no_python(st):
-    plan = _plan(st.ds.features)
+    from cohortflow.operators import features as FT
+
+    plan = _plan(FT.index_features(st.ds.events, st.vocab.table, st.vocab.rows))
     assert "BroadcastHashJoin" in plan
     assert "ArrowEvalPython" not in plan and "BatchEvalPython" not in plan
 
@@ -107,9 +109,15 @@ def test_plan_sequences_no_single_partition(st):
     assert "SinglePartition" not in plan
 
 
-def test_plan_pushdown_and_pruning(st):
-    plan = st.raw["patients"]._jdf.queryExecution().executedPlan().toString()
+def test_plan_pushdown_and_pruning(spark, st):
+    from cohortflow.plans import roles as R
+
+    plan = _plan(R.role_tables(spark, SF)["patients"])
     assert "ReadSchema: struct<c_custkey:bigint,c_acctbal:double>" in plan
+    # Materialised stage tables are parquet scans: filters and pruning reach them.
+    plan = _plan(st.ds.features.filter(F.col("split") == "train").select("patient_id", "feature_id"))
+    assert "EqualTo(split,train)" in plan
+    assert "ReadSchema: struct<split:string,patient_id:bigint,feature_id:bigint>" in plan
 
 
 def test_model_runs_and_reports(st):
