@@ -190,11 +190,13 @@ def visit_vectors(cells: DataFrame, width: int) -> DataFrame:
     return _assemble(cells, _keep(cells) + ["patient_id", "visit_index"], width, "features")
 
 
-def pool_sequences(cells: DataFrame, how: str = "sum") -> DataFrame:
+def pool_sequences(cells: DataFrame, how: str = "sum", sum_digits: int | None = None) -> DataFrame:
     """Patient-level pooled cells (split?, patient_id, feature_id, value).
 
     ``sum`` adds a feature over all visits, ``mean`` divides by the patient's
-    number of visits, ``last`` keeps the cells of the latest visit.
+    number of visits, ``last`` keeps the cells of the latest visit.  With
+    ``sum_digits`` the mean divides the sum rounded (half up) to that many
+    decimals, which makes it independent of the order the sum was taken in.
     """
     k = _keep(cells) + ["patient_id"]
     if how == "sum":
@@ -202,6 +204,9 @@ def pool_sequences(cells: DataFrame, how: str = "sum") -> DataFrame:
     if how == "mean":
         n = cells.groupBy(*k).agg(F.countDistinct("visit_index").alias("_n"))
         s = cells.groupBy(*k, "feature_id").agg(F.sum("value").alias("_s"))
+        if sum_digits is not None:
+            scale = float(10**sum_digits)
+            s = s.withColumn("_s", F.floor(F.col("_s") * F.lit(scale) + F.lit(0.5)) / F.lit(scale))
         return s.join(n, k).select(*k, "feature_id", (F.col("_s") / F.col("_n")).alias("value"))
     if how == "last":
         last = cells.groupBy(*k).agg(F.max("visit_index").alias("visit_index"))

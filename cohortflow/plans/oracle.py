@@ -330,7 +330,7 @@ FROM labels""",
     ),
     "pooled_mean": _q(
         _DS,
-        """SELECT c.split, c.patient_id, c.feature_id, (floor((sum(c.value) / max(n.n)) * 1e9 + 0.5) / 1e9) AS value
+        """SELECT c.split, c.patient_id, c.feature_id, (floor(sum(c.value) * 1e9 + 0.5) / 1e9) / max(n.n) AS value
 FROM cells c JOIN (SELECT split, patient_id, count(DISTINCT visit_index) AS n FROM cells GROUP BY split, patient_id) n
   ON c.split = n.split AND c.patient_id = n.patient_id
 GROUP BY c.split, c.patient_id, c.feature_id""",
