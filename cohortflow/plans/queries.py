@@ -42,10 +42,11 @@ class Stages:
 
     @cached_property
     def raw(self) -> dict[str, DataFrame]:
-        # The role views stand in for the raw files: write them once to the
-        # checkpoint folder so later stages scan them like files, instead of
-        # re-running (and inlining) the view joins in every job.
-        return {t: materialize(df) for t, df in R.role_tables(self.spark, self.sf_dir).items()}
+        # The role views stand in for the raw files: the line-item join they
+        # share is written once to the checkpoint folder, so later stages scan
+        # it like a file instead of re-running (and inlining) the join and
+        # the dirty-value expressions in every job.
+        return R.role_tables(self.spark, self.sf_dir, hold=materialize)
 
     @cached_property
     def prep(self) -> P.Prepared:

@@ -29,8 +29,13 @@ def _lpad_num(c, width: int, pad: str):
     return F.lpad(c.cast("string"), width, pad)
 
 
-def role_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """The six raw tables (all columns string) derived from ``sf_dir``."""
+def role_tables(spark: SparkSession, sf_dir: str, hold=None) -> dict[str, DataFrame]:
+    """The six raw tables (all columns string) derived from ``sf_dir``.
+
+    The three line-item roles share one join of line items with their order
+    and part; ``hold`` (e.g. ``session.materialize``) is applied to that one
+    wide table, so callers that read the roles many times pay the join once.
+    """
     customer = _read(spark, sf_dir, "customer", ["c_custkey", "c_acctbal"])
     orders = _read(spark, sf_dir, "orders", ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate"])
     lineitem = _read(spark, sf_dir, "lineitem", ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity"])
@@ -59,8 +64,10 @@ def role_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         .alias("LOS"),
     )
 
-    # Line items of an order; every line item has its order and its part.
+    # Line items of an order, with their part (left join: a line item without
+    # a part still is a diagnosis row; medication and lab rows need the part).
     li = lineitem.join(orders.select("o_orderkey", "o_custkey"), F.col("l_orderkey") == F.col("o_orderkey"))
+    lip = li.join(part, F.col("l_partkey") == F.col("p_partkey"), "left")
     pk = F.col("l_partkey")
     code = (
         F.when(pk % 61 == 0, F.lit(None).cast("string"))
@@ -69,24 +76,27 @@ def role_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         .when(pk % 10 == 0, F.concat(F.lit("E"), _lpad_num(pk % 1000, 4, "8")))
         .otherwise(_lpad_num(pk % 10000, 5, "0"))
     )
-    diagnoses = li.select(_s("o_custkey").alias("SUBJECT_ID"), _s("l_orderkey").alias("HADM_ID"), code.alias("ICD9_CODE"))
-
-    lip = li.join(part, F.col("l_partkey") == F.col("p_partkey"))
     drug = F.when(
         F.col("l_linenumber") % 2 == 0, F.concat(F.lit("  "), F.upper("p_name"), F.lit(" "))
     ).otherwise(F.col("p_name"))
-    prescriptions = lip.select(_s("o_custkey").alias("SUBJECT_ID"), _s("l_orderkey").alias("HADM_ID"), drug.alias("DRUG"))
-
     sk = F.col("l_suppkey")
-    value = (
-        F.when(sk % 13 == 0, F.lit("n/a")).when(sk % 17 == 0, F.lit("")).otherwise(_s("l_quantity"))
-    )
-    labevents = lip.select(
+    value = F.when(sk % 13 == 0, F.lit("n/a")).when(sk % 17 == 0, F.lit("")).otherwise(_s("l_quantity"))
+    wide = lip.select(
         _s("o_custkey").alias("SUBJECT_ID"),
-        F.when(sk % 19 == 0, F.lit(None).cast("string")).otherwise(_s("l_orderkey")).alias("HADM_ID"),
+        _s("l_orderkey").alias("HADM_ID"),
+        code.alias("ICD9_CODE"),
+        F.col("p_partkey").isNotNull().alias("HAS_PART"),
+        drug.alias("DRUG"),
+        F.when(sk % 19 == 0, F.lit(None).cast("string")).otherwise(_s("l_orderkey")).alias("LAB_HADM_ID"),
         F.col("p_brand").alias("ITEMID"),
         value.alias("VALUENUM"),
     )
+    if hold is not None:
+        wide = hold(wide)
+    with_part = wide.filter(F.col("HAS_PART"))
+    diagnoses = wide.select("SUBJECT_ID", "HADM_ID", "ICD9_CODE")
+    prescriptions = with_part.select("SUBJECT_ID", "HADM_ID", "DRUG")
+    labevents = with_part.select("SUBJECT_ID", F.col("LAB_HADM_ID").alias("HADM_ID"), "ITEMID", "VALUENUM")
     return {
         "admissions": admissions,
         "diagnoses": diagnoses,

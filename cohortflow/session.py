@@ -49,6 +49,17 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or conf_dir
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin a scan that yields fewer partitions than the cluster's
+    parallelism (e.g. one big unsplittable file), so the stages before the
+    first shuffle do not run in a single task.  Scans of large inputs already
+    have enough splits and are returned unchanged (no extra shuffle)."""
+    target = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Cut lineage by writing ``df`` as a parquet table in the shared
     checkpoint folder and scanning it back.
