@@ -7,6 +7,7 @@ pick a scratch folder of our own.
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 
@@ -73,4 +74,26 @@ def materialize(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/cohortflow-tables/{uuid.uuid4().hex}"
     df.write.mode("error").parquet(path)
+    _track(spark, path)
     return spark.read.parquet(path)
+
+
+_WRITTEN: list[tuple[SparkSession, str]] = []
+
+
+def _track(spark: SparkSession, path: str) -> None:
+    if not _WRITTEN:
+        atexit.register(release_tables)
+    _WRITTEN.append((spark, path))
+
+
+def release_tables() -> None:
+    """Delete the stage tables this process wrote (best effort; also run at exit)."""
+    while _WRITTEN:
+        spark, path = _WRITTEN.pop()
+        try:
+            jvm = spark.sparkContext._jvm
+            p = jvm.org.apache.hadoop.fs.Path(path)
+            p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+        except Exception:  # noqa: BLE001 - session already gone: leave it to the folder's lifecycle
+            pass
