@@ -13,6 +13,8 @@ from collections import Counter
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
+EXACT = os.environ.get("ORACLE_EXACT", "1") == "1"  # compare doubles bit for bit
+
 TABLES = [
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
     "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
@@ -36,7 +38,7 @@ def _norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return None
-        return round(v, 9)
+        return v if EXACT else round(v, 9)
     if hasattr(v, "item"):
         return _norm(v.item())
     return v
