@@ -16,6 +16,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cohortflow.session import spread
+
 
 def _read(spark: SparkSession, sf_dir: str, name: str, cols: list[str]) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet").select(*cols)
@@ -38,7 +40,8 @@ def role_tables(spark: SparkSession, sf_dir: str, hold=None) -> dict[str, DataFr
     """
     customer = _read(spark, sf_dir, "customer", ["c_custkey", "c_acctbal"])
     orders = _read(spark, sf_dir, "orders", ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate"])
-    lineitem = _read(spark, sf_dir, "lineitem", ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity"])
+    # The largest input: spread a scan with too few splits over the cluster.
+    lineitem = spread(_read(spark, sf_dir, "lineitem", ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity"]))
     part = _read(spark, sf_dir, "part", ["p_partkey", "p_name", "p_brand"])
 
     patients = customer.select(
