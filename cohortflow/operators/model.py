@@ -8,6 +8,8 @@ metrics and scoring interface are the equivalents, the model itself is not.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -78,14 +80,36 @@ def learning_curve(model, spark) -> DataFrame:
     return spark.createDataFrame([(i, float(v)) for i, v in enumerate(history)], "epoch int, loss double")
 
 
-def report(model, vectors: DataFrame, by: list[str] | None = None) -> dict[str, DataFrame]:
+class Report(Mapping):
+    """Report tables built on first access (ROC and AUC run their own jobs,
+    so a caller that only reads predictions does not pay for them)."""
+
+    def __init__(self, builders: dict):
+        self._builders = builders
+        self._built: dict[str, DataFrame] = {}
+
+    def __getitem__(self, key: str) -> DataFrame:
+        if key not in self._built:
+            self._built[key] = self._builders[key]()
+        return self._built[key]
+
+    def __iter__(self):
+        return iter(self._builders)
+
+    def __len__(self) -> int:
+        return len(self._builders)
+
+
+def report(model, vectors: DataFrame, by: list[str] | None = None) -> Report:
     """L4: hold-out report tables: ROC points, AUC, confusion matrices, accuracy."""
     pred = predict(model, vectors)
-    return {
-        "predictions": pred,
-        "roc": M.roc_curve(pred, by=by),
-        "auc": M.roc_auc(pred, by=by),
-        "confusion": M.confusion_matrix(pred, by=by, normalize=True),
-        "accuracy": M.accuracy(pred, by=by),
-        "log_loss": M.log_loss(pred, by=by),
-    }
+    return Report(
+        {
+            "predictions": lambda: pred,
+            "roc": lambda: M.roc_curve(pred, by=by),
+            "auc": lambda: M.roc_auc(pred, by=by),
+            "confusion": lambda: M.confusion_matrix(pred, by=by, normalize=True),
+            "accuracy": lambda: M.accuracy(pred, by=by),
+            "log_loss": lambda: M.log_loss(pred, by=by),
+        }
+    )

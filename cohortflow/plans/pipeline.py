@@ -134,7 +134,7 @@ class ModelRun:
     model: object
     width: int
     vectors: DataFrame
-    report: dict[str, DataFrame] = field(default_factory=dict)
+    report: ML.Report | dict = field(default_factory=dict)
     validation: DataFrame | None = None
 
 
