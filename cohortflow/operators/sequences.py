@@ -238,25 +238,31 @@ def shuffle_rows(df: DataFrame, seed: int = 0, key: str = "patient_id") -> DataF
 def assign_batches(df: DataFrame, size: int = 64, seed: int | None = None, key: str = "patient_id") -> DataFrame:
     """``batch_id`` and ``position`` for consecutive runs of ``size`` rows.
 
-    Rows are taken in key order, or in a seeded shuffled order when ``seed``
-    is given; numbering is a distributed global index (no single task).  Per
-    split when the data carries one.
+    Rows (one per ``key``, per split when the data carries one) are taken in
+    key order, or in a seeded shuffled order when ``seed`` is given.  The
+    numbering is a distributed global index over the narrow key table only;
+    the batch ids are then joined back, so wide rows (sequences) are never
+    range-partitioned or written just to be numbered.
     """
     k = _keep(df)
+    keys = df.select(*k, key)
     if seed is None:
         order = [F.col(c) for c in k] + [F.col(key)]
-        src = df
     else:
-        src = df.withColumn("_sk", shuffle_key(key, seed))
+        keys = keys.withColumn("_sk", shuffle_key(key, seed))
         order = [F.col(c) for c in k] + [F.col("_sk"), F.col(key)]
-    idx = global_index(src, order, "_gidx")
+    idx = global_index(keys, order, "_gidx")
     if k:
+        # One row per split: a bounded side.
         start = idx.groupBy(*k).agg(F.min("_gidx").alias("_start"))
         idx = idx.join(F.broadcast(start), k).withColumn("_gidx", F.col("_gidx") - F.col("_start")).drop("_start")
-    out = idx.withColumn("batch_id", F.floor(F.col("_gidx") / F.lit(size)).cast("bigint")).withColumn(
-        "position", (F.col("_gidx") % F.lit(size)).cast("bigint")
+    ids = idx.select(
+        *k,
+        key,
+        F.floor(F.col("_gidx") / F.lit(size)).cast("bigint").alias("batch_id"),
+        (F.col("_gidx") % F.lit(size)).cast("bigint").alias("position"),
     )
-    return out.drop("_gidx", *(["_sk"] if seed is not None else []))
+    return df.join(ids, k + [key], "inner")
 
 
 def pad_batches(batched: DataFrame) -> DataFrame:
