@@ -11,7 +11,6 @@ import os
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from cohortflow.functions.text import infer_table_name
 from cohortflow.schemas import RAW_COLUMNS, RAW_FILES
@@ -76,5 +75,4 @@ __all__ = [
     "load_records_sql",
     "infer_table_name",
     "union_all",
-    "F",
 ]
