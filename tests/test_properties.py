@@ -127,3 +127,30 @@ def test_model_runs_and_reports(st):
     assert pred.filter((F.col("score") < 0) | (F.col("score") > 1)).count() == 0
     auc = run.report["auc"].first()
     assert auc is None or auc.auc is None or 0.0 <= auc.auc <= 1.0
+
+
+def test_vocabulary_independent_of_row_order(st):
+    from cohortflow.operators import vocab as V
+
+    def shuffled(t):
+        return st.train(t).repartition(5, F.rand(11))
+
+    a = {(r.token, r.feature_id) for r in st.vocab.table.collect()}
+    b = {(r.token, r.feature_id) for r in V.build_vocab(shuffled("diagnoses"), shuffled("prescriptions"), shuffled("labevents")).collect()}
+    assert a == b
+
+
+def test_prefix_sums_random(spark):
+    import random
+
+    from cohortflow.operators.ordering import prefix_sums
+
+    rnd = random.Random(5)
+    rows = [(i, rnd.randint(-5, 20)) for i in rnd.sample(range(10000), 600)]
+    df = spark.createDataFrame(rows, "o long, v long").repartition(3)
+    got = {r.o: r.v_cum for r in prefix_sums(df, [F.col("o")], ["v"], num_partitions=7).collect()}
+    acc, want = 0, {}
+    for o, v in sorted(rows):
+        acc += v
+        want[o] = acc
+    assert got == want
