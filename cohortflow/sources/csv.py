@@ -7,7 +7,6 @@ so later runs get column pruning and predicate pushdown.
 
 from __future__ import annotations
 
-import os
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,12 +18,13 @@ from cohortflow.schemas import RAW_COLUMNS, RAW_FILES
 def read_raw(spark: SparkSession, path: str, table: str) -> DataFrame:
     """Headered CSV, every column string, projected to the needed columns.
 
-    ``path`` is either the file itself or a folder holding the default file
-    name of ``table`` (e.g. ``ADMISSIONS.csv``).
+    ``path`` is either the file itself (``.csv``, optionally compressed) or a
+    folder holding the default file name of ``table`` (e.g. ``ADMISSIONS.csv``).
+    Decided from the path alone, so it works on any Hadoop file system.
     """
     cols = RAW_COLUMNS[table]
-    if os.path.isdir(path) and table in RAW_FILES:
-        path = os.path.join(path, RAW_FILES[table])
+    if not path.lower().rstrip("/").endswith((".csv", ".csv.gz", ".csv.bz2")) and table in RAW_FILES:
+        path = f"{path.rstrip('/')}/{RAW_FILES[table]}"
     df = spark.read.option("header", True).option("inferSchema", False).csv(path)
     return df.select(*cols)
 

@@ -2,23 +2,29 @@
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortflow.schemas import FEATURES_SCHEMA, LABELS_SCHEMA
 
 
-def _fmt(path: str, fmt: str | None) -> str:
+def _names(spark: SparkSession, path: str) -> list[str]:
+    """File names in a folder, through the Hadoop file system of the path."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return [st.getPath().getName() for st in fs.listStatus(p)]
+
+
+def _fmt(spark: SparkSession, path: str, fmt: str | None) -> str:
     if fmt:
         return fmt
-    return "csv" if any(n.endswith(".csv") for n in os.listdir(path)) else "parquet"
+    return "csv" if any(n.endswith(".csv") for n in _names(spark, path)) else "parquet"
 
 
 def read_features(spark: SparkSession, path: str, fmt: str | None = None) -> DataFrame:
     """Every part file of a features folder -> (patient_id, admit_ms, feature_id, value)."""
-    if _fmt(path, fmt) == "csv":
+    if _fmt(spark, path, fmt) == "csv":
         df = spark.read.schema(FEATURES_SCHEMA).option("header", False).csv(path)
     else:
         df = spark.read.parquet(path)
@@ -32,7 +38,7 @@ def read_features(spark: SparkSession, path: str, fmt: str | None = None) -> Dat
 
 def read_labels(spark: SparkSession, path: str, fmt: str | None = None) -> DataFrame:
     """Labels folder -> (patient_id, is_dead); headerless, so no row is lost."""
-    if _fmt(path, fmt) == "csv":
+    if _fmt(spark, path, fmt) == "csv":
         df = spark.read.schema(LABELS_SCHEMA).option("header", False).csv(path)
     else:
         df = spark.read.parquet(path)
