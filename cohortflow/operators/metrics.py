@@ -102,18 +102,36 @@ def _score_groups(scores: DataFrame, label: str, score: str, by: list[str]) -> D
     )
 
 
-def roc_curve(scores: DataFrame, label: str = "label", score: str = "score", by: list[str] | None = None) -> DataFrame:
+def roc_curve(
+    scores: DataFrame,
+    label: str = "label",
+    score: str = "score",
+    by: list[str] | None = None,
+    drop_intermediate: bool = False,
+) -> DataFrame:
     """(threshold, fpr, tpr) at every distinct score, plus the (0, 0) start.
 
-    Thresholds are all distinct scores, descending (no intermediate point is
-    dropped).  The start point has threshold +infinity.
+    Thresholds are the distinct scores, descending; the start point has
+    threshold +infinity.  With ``drop_intermediate`` a point is kept only
+    where the curve turns (second difference of the false or true positive
+    counts is not zero), and at both ends, as plotted ROC curves usually are.
+    Neighbours are found by equi-joins on a distributed point index.
     """
     scores, by, extra = _grouping(scores, by)
-    g = _score_groups(scores, label, score, by)
-    c = grouped_prefix_sums(g, by, [F.col(score).desc()], ["pos", "neg"])
+    g = _score_groups(scores, label, score, by).withColumn("_one", F.lit(1).cast("bigint"))
+    c = grouped_prefix_sums(g, by, [F.col(score).desc()], ["pos", "neg", "_one"])
     # One row per group (split): a bounded side.
-    totals = g.groupBy(*by).agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
-    pts = c.join(F.broadcast(totals), by).select(
+    totals = g.groupBy(*by).agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"), F.count(F.lit(1)).alias("K"))
+    pts = c.join(F.broadcast(totals), by)
+    if drop_intermediate:
+        nb = c.select(*by, "_one_cum", "pos_cum", "neg_cum")
+        prev = nb.select(*by, (F.col("_one_cum") + 1).alias("_one_cum"), F.col("pos_cum").alias("_pp"), F.col("neg_cum").alias("_pn"))
+        nxt = nb.select(*by, (F.col("_one_cum") - 1).alias("_one_cum"), F.col("pos_cum").alias("_np"), F.col("neg_cum").alias("_nn"))
+        pts = pts.join(prev, by + ["_one_cum"], "left").join(nxt, by + ["_one_cum"], "left")
+        turn = ((F.col("_nn") - 2 * F.col("neg_cum") + F.col("_pn")) != 0) | ((F.col("_np") - 2 * F.col("pos_cum") + F.col("_pp")) != 0)
+        ends = (F.col("_one_cum") == 1) | (F.col("_one_cum") == F.col("K"))
+        pts = pts.filter(ends | turn)
+    pts = pts.select(
         *by,
         F.col(score).cast("double").alias("threshold"),
         F.try_divide(F.col("neg_cum").cast("double"), F.col("N").cast("double")).alias("fpr"),

@@ -371,6 +371,22 @@ FROM (
 UNION ALL
 SELECT c.split, c.score AS threshold, (floor((c.neg_cum / NULLIF(t.N, 0)) * 1e9 + 0.5) / 1e9) AS fpr, (floor((c.pos_cum / NULLIF(t.P, 0)) * 1e9 + 0.5) / 1e9) AS tpr
 FROM score_cum c JOIN score_tot t ON c.split = t.split""",
+    ),
+    "roc_curve_turns": _q(
+        _DS,
+        """SELECT split, 'inf'::DOUBLE AS threshold, 0.0::DOUBLE AS fpr, 0.0::DOUBLE AS tpr FROM score_tot
+UNION ALL
+SELECT split, score AS threshold,
+       (floor((neg_cum / NULLIF(N, 0)) * 1e9 + 0.5) / 1e9) AS fpr,
+       (floor((pos_cum / NULLIF(P, 0)) * 1e9 + 0.5) / 1e9) AS tpr
+FROM (
+  SELECT c.split, c.score, c.pos_cum, c.neg_cum, t.P, t.N,
+         row_number() OVER w AS i, count(*) OVER (PARTITION BY c.split) AS k,
+         lag(c.neg_cum) OVER w AS pn, lead(c.neg_cum) OVER w AS nn,
+         lag(c.pos_cum) OVER w AS pp, lead(c.pos_cum) OVER w AS np
+  FROM score_cum c JOIN score_tot t ON c.split = t.split
+  WINDOW w AS (PARTITION BY c.split ORDER BY c.score DESC))
+WHERE i = 1 OR i = k OR nn - 2 * neg_cum + pn <> 0 OR np - 2 * pos_cum + pp <> 0""",
     ),
     "roc_auc": _q(
         _DS,

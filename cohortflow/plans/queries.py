@@ -246,6 +246,11 @@ def roc_curve(spark, sf_dir):
     return roc.withColumn("fpr", _r("fpr")).withColumn("tpr", _r("tpr"))
 
 
+def roc_curve_turns(spark, sf_dir):
+    roc = M.roc_curve(Stages(spark, sf_dir).scores, by=["split"], drop_intermediate=True)
+    return roc.withColumn("fpr", _r("fpr")).withColumn("tpr", _r("tpr"))
+
+
 def roc_auc(spark, sf_dir):
     return M.roc_auc(Stages(spark, sf_dir).scores, by=["split"]).withColumn("auc", _r("auc"))
 
@@ -323,6 +328,7 @@ QUERIES = {
     "metric_summary": metric_summary,
     "confusion_matrix": confusion_matrix,
     "roc_curve": roc_curve,
+    "roc_curve_turns": roc_curve_turns,
     "roc_auc": roc_auc,
     "batch_weighted_accuracy": batch_weighted_accuracy,
     "event_visit_cells": event_visit_cells,

@@ -91,3 +91,30 @@ def test_argmax_and_finite(spark):
     bad = spark.createDataFrame([(float("nan"),)], "loss double")
     with pytest.raises(Exception):
         assert_finite(bad, "loss").collect()
+
+
+def test_roc_drop_intermediate(scored):
+    pts = sorted((r.fpr, r.tpr) for r in M.roc_curve(scored, drop_intermediate=True).collect())
+    want = [(0, 0), (0, 1 / 3), (2 / 3, 1), (1, 1)]
+    assert len(pts) == len(want)
+    for (a, b), (c, d) in zip(pts, want):
+        assert abs(a - c) < 1e-12 and abs(b - d) < 1e-12
+
+
+def test_roc_drop_intermediate_matches_rule(spark):
+    import random
+
+    rnd = random.Random(3)
+    rows = [(rnd.randint(0, 1), rnd.randint(0, 15) / 16.0) for _ in range(400)]
+    df = spark.createDataFrame(rows, "label int, score double")
+    # Reference rule on the distinct-score points, in plain Python.
+    scores = sorted({s for _, s in rows}, reverse=True)
+    fps, tps = [], []
+    for t in scores:
+        tps.append(sum(1 for l, s in rows if s >= t and l == 1))
+        fps.append(sum(1 for l, s in rows if s >= t and l == 0))
+    keep = [0] + [i for i in range(1, len(scores) - 1)
+                  if (fps[i + 1] - 2 * fps[i] + fps[i - 1]) or (tps[i + 1] - 2 * tps[i] + tps[i - 1])] + [len(scores) - 1]
+    want = sorted(scores[i] for i in keep)
+    got = sorted(r.threshold for r in M.roc_curve(df, drop_intermediate=True).collect() if r.threshold != float("inf"))
+    assert got == want
