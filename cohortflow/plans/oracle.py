@@ -290,6 +290,12 @@ FROM labs_c WHERE VALUENUM IS NULL
         ),
     ),
     "admission_records": _q(_REC, "SELECT * FROM r_admissions"),
+    "csv_front_door": _q(
+        (ROLES,),
+        """SELECT SUBJECT_ID, HADM_ID, ICD9_CODE FROM raw_diagnoses
+WHERE SUBJECT_ID IS NOT NULL AND SUBJECT_ID <> '' AND HADM_ID IS NOT NULL AND HADM_ID <> ''
+  AND ICD9_CODE IS NOT NULL AND ICD9_CODE <> ''""",
+    ),
     "vocabulary": _q(_REC + (VOCAB,), "SELECT token, feature_id, domain FROM vocab"),
     "vocabulary_sizes": _q(
         _REC + (VOCAB,),

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortflow.functions.scores import argmax, sigmoid
-from cohortflow.functions.text import norm_token
+from cohortflow.functions.text import infer_table_name, norm_token
 from cohortflow.operators import clean, cohort as C, features as FT, metrics as M, sequences as S, vocab as V
 from cohortflow.plans import pipeline as P
 from cohortflow.plans import roles as R
@@ -126,6 +126,29 @@ def admission_records(spark, sf_dir):
     return Stages(spark, sf_dir).recs["admissions"]
 
 
+def csv_front_door(spark, sf_dir):
+    """S1-S4 end to end: the raw diagnoses written as headered CSV in the
+    shared folder, registered as a view named from its path (ragged rows
+    dropped), and selected with the present-field statement."""
+    import uuid
+
+    from cohortflow.session import checkpoint_dir, track_table
+    from cohortflow.sources.csv import load_csv_as_table, load_records_sql
+
+    raw = Stages(spark, sf_dir).raw["diagnoses"]
+    path = f"{checkpoint_dir(spark).rstrip('/')}/cohortflow-tables/raw_diagnoses_{uuid.uuid4().hex}.csv"
+    (
+        raw.write.option("header", True)
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
+        .csv(path)
+    )
+    track_table(spark, path)
+    load_csv_as_table(spark, path)
+    view = infer_table_name(path)
+    return load_records_sql(spark, view, ["SUBJECT_ID", "HADM_ID", "ICD9_CODE"])
+
+
 # ------------------------------------------------------------------ C2
 
 
@@ -309,6 +332,7 @@ QUERIES = {
     "split_summary": split_summary,
     "rejects": rejects,
     "admission_records": admission_records,
+    "csv_front_door": csv_front_door,
     "vocabulary": vocabulary,
     "vocabulary_sizes": vocabulary_sizes,
     "indexed_features": indexed_features,

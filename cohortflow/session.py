@@ -74,14 +74,15 @@ def materialize(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/cohortflow-tables/{uuid.uuid4().hex}"
     df.write.mode("error").parquet(path)
-    _track(spark, path)
+    track_table(spark, path)
     return spark.read.parquet(path)
 
 
 _WRITTEN: list[tuple[SparkSession, str]] = []
 
 
-def _track(spark: SparkSession, path: str) -> None:
+def track_table(spark: SparkSession, path: str) -> None:
+    """Register a folder this process wrote for deletion at exit."""
     if not _WRITTEN:
         atexit.register(release_tables)
     _WRITTEN.append((spark, path))
