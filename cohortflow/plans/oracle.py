@@ -310,6 +310,7 @@ FROM entries GROUP BY domain, domain_rank""",
 WHERE NOT EXISTS (SELECT 1 FROM vocab v WHERE v.token = a.token) GROUP BY split, domain, token""",
     ),
     "dataset_labels": _q(_DS, "SELECT * FROM labels"),
+    "features_round_trip": _q(_DS, "SELECT patient_id, admit_ms, feature_id, value FROM feats WHERE split = 'train'"),
     "num_features": _q(_DS, "SELECT CAST(w AS BIGINT) AS num_features FROM width"),
     "visit_cells": _q(
         _DS, "SELECT split, patient_id, visit_index, admit_ms, feature_id, (floor((value) * 1e9 + 0.5) / 1e9) AS value FROM cells"

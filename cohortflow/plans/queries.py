@@ -177,6 +177,22 @@ def dataset_labels(spark, sf_dir):
     return Stages(spark, sf_dir).ds.labels
 
 
+def features_round_trip(spark, sf_dir):
+    """K2 + S5: training features written as headerless CSV part files in the
+    shared folder and scanned back as a whole folder."""
+    import uuid
+
+    from cohortflow.session import checkpoint_dir, track_table
+    from cohortflow.sources import read_features, write_features
+
+    ds = Stages(spark, sf_dir).ds
+    out = f"{checkpoint_dir(spark).rstrip('/')}/cohortflow-tables/features_{uuid.uuid4().hex}"
+    train = F.col("split") == "train"
+    write_features(ds.features.filter(train), ds.labels.filter(train), out, "train", fmt="csv")
+    track_table(spark, out)
+    return read_features(spark, f"{out}/featureDF_train")
+
+
 def num_features(spark, sf_dir):
     st = Stages(spark, sf_dir)
     return S.num_features(st.ds.features.filter(F.col("split") == "train"))
@@ -338,6 +354,7 @@ QUERIES = {
     "indexed_features": indexed_features,
     "unknown_tokens": unknown_tokens,
     "dataset_labels": dataset_labels,
+    "features_round_trip": features_round_trip,
     "num_features": num_features,
     "visit_cells": visit_cells,
     "sequence_entries": sequence_entries,
