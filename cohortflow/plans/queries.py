@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from cohortflow.functions.scores import argmax, sigmoid
 from cohortflow.functions.text import infer_table_name, norm_token
 from cohortflow.operators import clean, cohort as C, features as FT, metrics as M, sequences as S, vocab as V
-from cohortflow.plans import pipeline as P
+from cohortflow.plans import composite as P
 from cohortflow.plans import roles as R
 from cohortflow.session import materialize
 

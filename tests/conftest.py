@@ -80,7 +80,7 @@ def fixture_dir(tmp_path_factory):
 @pytest.fixture(scope="session")
 def golden(spark, fixture_dir):
     """The fixture run through the pipeline with everything in one split."""
-    from cohortflow.plans import pipeline as P
+    from cohortflow.plans import composite as P
     from cohortflow.sources import read_raw_tables
 
     raw = read_raw_tables(spark, fixture_dir)

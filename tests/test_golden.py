@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from cohortflow.functions.text import infer_table_name
 from cohortflow.operators import sequences as S
-from cohortflow.plans import pipeline as P
+from cohortflow.plans import composite as P
 
 DAY1 = 4159209600000  # 2101-10-20
 DAY2 = 4159641600000  # 2101-10-25

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from cohortflow.operators import cohort as C
 from cohortflow.operators import model as ML
 from cohortflow.operators import sequences as S
-from cohortflow.plans import pipeline as P
+from cohortflow.plans import composite as P
 from cohortflow.sources import (
     load_model,
     read_sequences,

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from cohortflow.operators import cohort as C
 from cohortflow.operators import sequences as S
 from cohortflow.operators.ordering import global_index, grouped_prefix_sums
-from cohortflow.plans import pipeline as P
+from cohortflow.plans import composite as P
 from cohortflow.plans.queries import Stages
 
 SF = "/root/testdata/sf0.001"
