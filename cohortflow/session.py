@@ -88,10 +88,13 @@ def track_table(spark: SparkSession, path: str) -> None:
     _WRITTEN.append((spark, path))
 
 
-def release_tables() -> None:
-    """Delete the stage tables this process wrote (best effort; also run at exit)."""
-    while _WRITTEN:
-        spark, path = _WRITTEN.pop()
+def release_tables(paths: list[str] | None = None) -> None:
+    """Delete stage tables this process wrote: the given ones, or all of them
+    (best effort; all of them also at exit)."""
+    chosen = [w for w in _WRITTEN if paths is None or w[1] in paths]
+    for w in chosen:
+        _WRITTEN.remove(w)
+    for spark, path in chosen:
         try:
             jvm = spark.sparkContext._jvm
             p = jvm.org.apache.hadoop.fs.Path(path)

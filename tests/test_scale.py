@@ -65,3 +65,21 @@ def test_spread_only_narrow_scans(spark):
     assert spread(one).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
     wide = spark.range(1000).repartition(spark.sparkContext.defaultParallelism * 2)
     assert spread(wide) is wide
+
+
+def test_stage_tables_live_in_checkpoint_folder(spark):
+    import os
+
+    from cohortflow.session import _WRITTEN, checkpoint_dir, materialize, release_tables
+
+    base = checkpoint_dir(spark)
+    assert base == spark.sparkContext.getCheckpointDir()
+    df = materialize(spark.range(100).withColumn("x", F.col("id") * 2))
+    path = _WRITTEN[-1][1]
+    assert path.startswith(base.rstrip("/") + "/cohortflow-tables/")
+    assert df.agg(F.sum("x")).first()[0] == 9900
+    local = path.replace("file:", "")
+    assert os.path.isdir(local)
+    release_tables([path])
+    assert not os.path.exists(local)
+    assert all(w[1] != path for w in _WRITTEN)
