@@ -1,8 +1,9 @@
 """Session helpers: the caller owns the SparkSession; we only read settings.
 
 ``checkpoint_dir`` follows the cluster: the shared folder named by
-``spark.checkpoint.dir``.  Only when that is unset (unit tests, a laptop) do we
-pick a scratch folder of our own.
+``spark.checkpoint.dir``.  Only when that is unset and the master is local
+(unit tests, a laptop) do we pick a scratch folder of our own; on a cluster an
+unset folder is an error.
 """
 
 from __future__ import annotations
@@ -44,7 +45,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     conf_dir = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not conf_dir:
-        # Unset only outside a cluster (tests): a fresh scratch folder.
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        # One machine only (tests, a laptop): a fresh scratch folder.
         conf_dir = tempfile.mkdtemp(prefix="cohortflow-ckpt-")
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir
