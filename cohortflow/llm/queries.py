@@ -7,20 +7,34 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cohortflow.llm import minhash
+from cohortflow.llm import minhash, mixing, packing
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Length buckets and token-budget batches of all documents."""
+    return packing.pack_documents(_table(spark, sf_dir, "documents"))
+
+
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words the mix takes of every document."""
+    return mixing.mix_table(_table(spark, sf_dir, "documents"))
+
+
 def op9_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate documents on two-word shingles."""
     return minhash.near_duplicates(_table(spark, sf_dir, "documents"), width=2)
 
 
 QUERIES = {
+    "op3_packing": op3_packing,
+    "op7_mixing": op7_mixing,
     "op9_minhash": op9_minhash,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op3_packing": packing.oracle_sql(),
+}
