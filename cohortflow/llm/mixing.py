@@ -111,38 +111,61 @@ def plan(sized: DataFrame, levels: int = 4, share: float = 1.5, limit: float = 2
     return sources, materialize(draws)
 
 
+def block_key(id_col: str, text_col: str) -> Column:
+    """Hash that places a row in a block; the same on every run."""
+    return F.xxhash64(id_col, text_col)
+
+
 def size_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """(doc_id, source, size, block_key), written once: the only pass over texts."""
-    key = F.xxhash64(id_col, text_col)
     return materialize(
-        docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), word_count(text_col).alias("size"), key.alias("block_key"))
+        docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), word_count(text_col).alias("size"), block_key(id_col, text_col).alias("block_key"))
     )
 
 
+def _with_draws(d: DataFrame, sources: DataFrame, draws: DataFrame, seed: int) -> DataFrame:
+    """Rows (source, size, block_key, ...) with source_size, target and ``draws``."""
+    info = sources.select(F.col("source").alias("_s"), "source_size", "target", F.col("rest").alias("_rest"), F.col("n_blocks").alias("_n"))
+    d = d.join(info, d["source"].eqNullSafe(info["_s"])).drop("_s").withColumn("_block", F.pmod("block_key", "_n").cast("int"))
+    packed = draws.groupBy(F.col("source").alias("_s"), F.col("block").alias("_b")).agg(F.sort_array(F.collect_list(F.struct("copy", "shard", "whole", "start"))).alias("_drawn"))
+    d = d.join(packed, d["source"].eqNullSafe(F.col("_s")) & (d["_block"] == F.col("_b")), "left").drop("_s", "_b")
+    # One block per source is cut: its documents are taken in a permuted order.
+    part = F.coalesce(F.exists("_drawn", lambda x: ~x["whole"]), F.lit(False))
+    cut = Window.partitionBy("source", "_block").orderBy(F.xxhash64(F.lit(seed), "block_key"), "block_key", "size")
+    cut_rows = d.filter(part).withColumn("_before", F.sum("size").over(cut.rowsBetween(Window.unboundedPreceding, 0)) - F.col("size"))
+    rows = d.filter(~part).withColumn("_before", F.lit(0).cast("bigint")).unionByName(cut_rows)
+
+    def words(x):
+        left = F.col("_rest") - x["start"] - F.col("_before")
+        return F.when(x["whole"], F.col("size")).otherwise(F.greatest(F.lit(0), F.least(F.col("size"), left))).cast("bigint")
+
+    none = F.array().cast("array<struct<copy:int,shard:int,whole:boolean,start:bigint>>")
+    taken = F.transform(F.coalesce("_drawn", none), lambda x: F.struct(x["copy"].alias("copy"), x["shard"].alias("shard"), words(x).alias("words")))
+    return rows.withColumn("draws", F.filter(taken, lambda x: x["words"] > 0)).drop("_drawn", "_before", "_rest", "_n", "_block")
+
+
 def mixture(sized: DataFrame, levels: int = 4, share: float = 1.5, limit: float = 2.0, seed: int = 7) -> DataFrame:
-    """Documents with their draws: (doc_id, source, size, source_size, target, draws).
+    """Documents with their draws: (doc_id, source, size, block_key, source_size, target, draws).
 
     ``draws``: one struct (copy, shard, words) per time the mix takes the
     document; only a document where a source's target ends has fewer words
     than its size.
     """
     sources, draws = plan(sized, levels, share, limit, seed)
-    info = sources.select(F.col("source").alias("s"), "source_size", "target", "rest", "n_blocks")
-    d = sized.join(info, sized["source"].eqNullSafe(info["s"])).drop("s").withColumn("block", F.pmod("block_key", "n_blocks").cast("int"))
-    packed = draws.groupBy(F.col("source").alias("s"), F.col("block").alias("b")).agg(F.sort_array(F.collect_list(F.struct("copy", "shard", "whole", "start"))).alias("drawn"))
-    d = d.join(packed, d["source"].eqNullSafe(F.col("s")) & (d["block"] == F.col("b")), "left").drop("s", "b")
-    # One block per source is cut: its documents are taken in a permuted order.
-    part = F.exists("drawn", lambda x: ~x["whole"])
-    cut = Window.partitionBy("source", "block").orderBy(F.xxhash64(F.lit(seed), "block_key"), "block_key", F.col("doc_id").asc_nulls_last(), "size")
-    cut_rows = d.filter(part).withColumn("before", F.sum("size").over(cut.rowsBetween(Window.unboundedPreceding, 0)) - F.col("size"))
-    rows = d.filter(~F.coalesce(part, F.lit(False))).withColumn("before", F.lit(0).cast("bigint")).unionByName(cut_rows)
+    return _with_draws(sized, sources, draws, seed)
 
-    def words(x):
-        left = F.col("rest") - x["start"] - F.col("before")
-        return F.when(x["whole"], F.col("size")).otherwise(F.greatest(F.lit(0), F.least(F.col("size"), left))).cast("bigint")
 
-    taken = F.transform(F.coalesce("drawn", F.array().cast("array<struct<copy:int,shard:int,whole:boolean,start:bigint>>")), lambda x: F.struct(x["copy"].alias("copy"), x["shard"].alias("shard"), words(x).alias("words")))
-    return rows.select("doc_id", "source", "size", "block_key", "source_size", "target", F.filter(taken, lambda x: x["words"] > 0).alias("draws"))
+def mixed_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", levels: int = 4, share: float = 1.5, limit: float = 2.0, seed: int = 7) -> DataFrame:
+    """The mix itself: one whole row of ``docs`` per draw, its columns unchanged,
+    dealt to its shard and shuffled inside it."""
+    sources, draws = plan(size_documents(docs, id_col, text_col, source_col), levels, share, limit, seed)
+    rows = docs.select(
+        F.struct(*[F.col(c) for c in docs.columns]).alias("row"), F.col(source_col).alias("source"),
+        word_count(text_col).alias("size"), block_key(id_col, text_col).alias("block_key"),
+    )
+    drawn = _with_draws(rows, sources, draws, seed).select("row", "block_key", F.explode("draws").alias("x"))
+    keyed = drawn.select("row", F.col("x.shard").alias("shard"), F.xxhash64(F.lit(seed), "block_key", "x.copy").alias("order_key"))
+    return keyed.repartition("shard", F.pmod("order_key", F.lit(64))).sortWithinPartitions("shard", "order_key").select("row.*")
 
 
 def shuffled_shards(mixed: DataFrame, seed: int = 7) -> DataFrame:

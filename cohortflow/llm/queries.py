@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cohortflow.llm import minhash, mixing, packing
+from cohortflow.llm import langid, minhash, mixing, packing, quality, secrets, tokens, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,20 +19,52 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_table(spark, sf_dir, "documents"))
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document."""
+    found = toxicity.score(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+    return found.select("doc_id", "held_out", "score", "predicted")
+
+
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality posterior of every document."""
+    return quality.classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op6_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token counts of all documents."""
+    return tokens.count_tokens(_table(spark, sf_dir, "documents"))
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words the mix takes of every document."""
     return mixing.mix_table(_table(spark, sf_dir, "documents"))
 
 
+def op8_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document."""
+    return langid.predict_languages(_table(spark, sf_dir, "documents"))
+
+
 def op9_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate documents on two-word shingles."""
     return minhash.near_duplicates(_table(spark, sf_dir, "documents"), width=2)
 
 
+def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every secret candidate of all documents with the forest's decision."""
+    found = secrets.scan(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n", "start", "candidate", "score", "is_secret")
+
+
 QUERIES = {
     "op3_packing": op3_packing,
+    "op4_toxicity": op4_toxicity,
+    "op5_quality": op5_quality,
+    "op6_tokens": op6_tokens,
     "op7_mixing": op7_mixing,
+    "op8_langid": op8_langid,
     "op9_minhash": op9_minhash,
+    "op10_secrets": op10_secrets,
 }
 
 ORACLE: dict[str, str] = {
