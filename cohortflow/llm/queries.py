@@ -6,14 +6,25 @@ Each applies its operator with production parameters to the whole table.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from cohortflow.llm import langid, minhash, mixing, packing, quality, secrets, tokens, toxicity
+from cohortflow.llm import forest, langid, minhash, mixing, packing, pq, quality, secrets, tokens, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ten nearest vectors of every hundredth vector."""
+    return forest.nearest(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+def op2_pq(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of all vectors at cosine 0.95."""
+    return pq.near_duplicates(_table(spark, sf_dir, "embeddings"), 0.95)
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Length buckets and token-budget batches of all documents."""
     return packing.pack_documents(_table(spark, sf_dir, "documents"))
@@ -57,6 +68,8 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_forest": op1_forest,
+    "op2_pq": op2_pq,
     "op3_packing": op3_packing,
     "op4_toxicity": op4_toxicity,
     "op5_quality": op5_quality,
