@@ -11,6 +11,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 DAY_MS = 86_400_000
+WHOLE_DATE = "^[0-9]{1,4}-[0-9]{1,2}-[0-9]{1,2}"
 
 
 def _col(c) -> Column:
@@ -34,9 +35,10 @@ def admit_day_millis(c) -> Column:
 
     The time of day is dropped: two admissions on one calendar day share a
     visit.  ``unix_date`` keeps this independent of the session time zone.
-    Unparsable dates (month 13, ...) give NULL.
+    Unparsable dates (month 13, ...) and partial ones (``2101``, ``2101-3``,
+    which a plain cast would complete) give NULL.
     """
-    d = _col(c).try_cast("date")
+    d = F.when(_col(c).rlike(WHOLE_DATE), _col(c).try_cast("date"))
     return F.unix_date(d).cast("bigint") * F.lit(DAY_MS).cast("bigint")
 
 

@@ -50,7 +50,7 @@ def icd9_category(c) -> Column:
 
 def infer_table_name(path: str) -> str:
     """Table name from a file path; the whole path when nothing matches."""
-    m = re.search(TABLE_NAME_PATTERN, path)
+    m = re.search(TABLE_NAME_PATTERN, path, re.ASCII)
     return m.group(1) if m else path
 
 

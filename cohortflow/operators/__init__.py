@@ -1,5 +1,4 @@
 """DataFrame -> DataFrame operators."""
 
-from cohortflow.operators import clean, cohort, features, joins, metrics, model, ordering, sequences, vocab
+from cohortflow.operators import clean, cohort, features, metrics, model, ordering, sequences, vocab
 
-__all__ = ["clean", "cohort", "features", "joins", "metrics", "model", "ordering", "sequences", "vocab"]

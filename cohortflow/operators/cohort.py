@@ -7,7 +7,6 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cohortflow.operators.joins import DEFAULT_MAX_BROADCAST_ROWS, broadcast_if_small
 from cohortflow.schemas import DEFAULT_SEED, DEFAULT_WEIGHTS, SPLITS
 
 BUCKETS = 1 << 32  # the split bucket is the first 32 bits of an md5
@@ -70,19 +69,14 @@ def split_cohort(
     raise ValueError(f"unknown split method {method!r}")
 
 
-def restrict_to_cohort(
-    df: DataFrame,
-    cohort_split: DataFrame,
-    cohort_rows: int | None = None,
-    max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
-) -> DataFrame:
+def restrict_to_cohort(df: DataFrame, cohort_split: DataFrame) -> DataFrame:
     """Rows of cohort patients, tagged with the patient's split.
 
-    The cohort side is broadcast only when its row count is under the bound;
-    a larger cohort is a shuffle join (AQE splits a hot patient's partition).
+    The cohort is a stage table, so Spark knows its size: a small one is
+    broadcast by Spark's own byte threshold, a larger one is a shuffle join
+    (AQE splits a hot patient's partition).
     """
-    side = broadcast_if_small(cohort_split.select("SUBJECT_ID", "split"), max_broadcast_rows, cohort_rows)
-    return df.join(side, "SUBJECT_ID", "inner")
+    return df.join(cohort_split.select("SUBJECT_ID", "split"), "SUBJECT_ID", "inner")
 
 
 def split_max(labs: DataFrame, by: str = "split", value: str = "VALUENUM") -> DataFrame:

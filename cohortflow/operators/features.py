@@ -1,7 +1,10 @@
 """Long-format features (U1, J2-J6 -> C3).
 
-The four event domains are unioned first and joined to the admissions once
-(instead of one shuffle join per domain), then looked up in the vocabulary.
+The four event domains are unioned first, looked up in the vocabulary before
+anything is shuffled (unknown tokens are gone and token strings never move), and
+joined to the admissions once instead of once per domain.  Lookup sides are
+stage tables, so Spark broadcasts them by its own byte threshold when they are
+small and shuffles them when they are not.
 """
 
 from __future__ import annotations
@@ -10,7 +13,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortflow.functions.text import ICU_TOKEN, icd9_category, norm_token
-from cohortflow.operators.joins import DEFAULT_MAX_BROADCAST_ROWS, broadcast_if_small
 
 
 def _keep(df: DataFrame) -> list[str]:
@@ -43,45 +45,34 @@ def all_events(diagnoses: DataFrame, medications: DataFrame, labs: DataFrame, ic
     return diag.unionByName(med).unionByName(lab).unionByName(icu)
 
 
-def attach_visit(events: DataFrame, admissions: DataFrame) -> DataFrame:
-    """Admission day of each event; events without an admission drop out.
+def index_features(events: DataFrame, vocab: DataFrame, namespaced: bool = False) -> DataFrame:
+    """J3 + J4: events with ``feature_id`` in place of domain and token.
 
-    Inner equi-join on (patient_id, hadm_id); a duplicated admission row
-    multiplies its events, as a relational join does.
+    Unknown tokens are dropped by the inner join.  With ``namespaced`` the
+    vocabulary keeps one id per (domain, token) and the lookup uses both.
     """
-    adm = admissions.select("patient_id", "hadm_id", "admit_ms")
-    return events.join(adm, ["patient_id", "hadm_id"], "inner").select(
-        *_keep(events), "patient_id", "admit_ms", "domain", "token", "value"
-    )
+    on = ["domain", "token"] if namespaced else ["token"]
+    rest = [c for c in events.columns if c not in ("domain", "token", "value")]
+    return events.join(vocab.select(*on, "feature_id"), on, "inner").select(*rest, "feature_id", "value")
 
 
-def index_features(
-    events: DataFrame,
-    vocab: DataFrame,
-    vocab_rows: int | None = None,
-    max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
-) -> DataFrame:
-    """J3 + J4: (split?, patient_id, admit_ms, feature_id, value).
+def attach_visit(events: DataFrame, admissions: DataFrame) -> DataFrame:
+    """Admission day (``admit_ms``) of each event in place of its admission id.
 
-    Unknown tokens are dropped by the inner join.  The vocabulary is
-    broadcast only under the row bound.
+    Inner equi-join on (patient_id, hadm_id); events without an admission drop
+    out, and a duplicated admission row multiplies its events, as a relational
+    join does.
     """
-    v = broadcast_if_small(vocab.select("token", "feature_id"), max_broadcast_rows, vocab_rows)
-    return events.join(v, "token", "inner").select(
-        *_keep(events), "patient_id", "admit_ms", "feature_id", "value"
-    )
+    adm = admissions.select("patient_id", "hadm_id", "admit_ms")
+    rest = [c for c in events.columns if c not in ("split", "patient_id", "hadm_id")]
+    return events.join(adm, ["patient_id", "hadm_id"], "inner").select(*_keep(events), "patient_id", "admit_ms", *rest)
 
 
-def unknown_tokens(
-    events: DataFrame,
-    vocab: DataFrame,
-    vocab_rows: int | None = None,
-    max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
-) -> DataFrame:
+def unknown_tokens(events: DataFrame, vocab: DataFrame, namespaced: bool = False) -> DataFrame:
     """J4 report: (split?, domain, token, n_events) of tokens not in the vocabulary."""
-    v = broadcast_if_small(vocab.select("token"), max_broadcast_rows, vocab_rows)
+    on = ["domain", "token"] if namespaced else ["token"]
     return (
-        events.join(v, "token", "left_anti")
+        events.join(vocab.select(*on), on, "left_anti")
         .groupBy(*_keep(events), "domain", "token")
         .agg(F.count(F.lit(1)).cast("bigint").alias("n_events"))
     )

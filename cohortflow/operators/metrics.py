@@ -10,7 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortflow.operators.ordering import grouped_prefix_sums
+from cohortflow.operators.ordering import grouped_prefix_sums, grouped_running
+from cohortflow.session import materialize
 
 EPS = 1e-15
 
@@ -119,9 +120,11 @@ def roc_curve(
     """
     scores, by, extra = _grouping(scores, by)
     g = _score_groups(scores, label, score, by).withColumn("_one", F.lit(1).cast("bigint"))
-    c = grouped_prefix_sums(g, by, [F.col(score).desc()], ["pos", "neg", "_one"])
+    c, totals = grouped_running(g, by, [F.col(score).desc()], ["pos", "neg", "_one"])
     # One row per group (split): a bounded side.
-    totals = g.groupBy(*by).agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"), F.count(F.lit(1)).alias("K"))
+    totals = totals.select(*by, F.col("pos_total").alias("P"), F.col("neg_total").alias("N"), F.col("_one_total").alias("K"))
+    if drop_intermediate:
+        c = materialize(c)  # read three times: itself and both neighbours
     pts = c.join(F.broadcast(totals), by)
     if drop_intermediate:
         nb = c.select(*by, "_one_cum", "pos_cum", "neg_cum")

@@ -37,6 +37,11 @@ def prefix_sums(
     added.  The input is checkpointed once so the partition tag stays fixed
     between the totals pass and the running pass, also after an executor loss.
     """
+    return _running(df, order_cols, value_cols, out_suffix, num_partitions)[0]
+
+
+def _running(df: DataFrame, order_cols: list, value_cols: list[str], out_suffix: str, num_partitions: int | None) -> tuple[DataFrame, DataFrame]:
+    """Running sums, and the stage table they read (the input, range-partitioned)."""
     n = _range_parts(df, num_partitions)
     # The range partitioner samples its input first: hold the input so the
     # sample and the shuffle read it once.
@@ -59,7 +64,7 @@ def prefix_sums(
     for v in value_cols:
         out = out.withColumn(f"{v}{out_suffix}", F.col(f"_l_{v}") + F.col(f"_o_{v}"))
     drop = ["_pid"] + [f"_l_{v}" for v in value_cols] + [f"_o_{v}" for v in value_cols]
-    return out.drop(*drop)
+    return out.drop(*drop), tagged
 
 
 def grouped_prefix_sums(
@@ -70,24 +75,36 @@ def grouped_prefix_sums(
     out_suffix: str = "_cum",
     num_partitions: int | None = None,
 ) -> DataFrame:
-    """Running sums that restart for every group (e.g. per split).
+    """Running sums that restart for every group (e.g. per split)."""
+    return grouped_running(df, group_cols, order_cols, value_cols, out_suffix, num_partitions)[0]
 
-    One global pass over (group, order); each group's base (the running sum
-    just before its first row) is subtracted.  The base table has one row per
-    group; callers use few groups (splits), so no hint is needed and AQE
-    picks the join from its measured size.
+
+def grouped_running(
+    df: DataFrame,
+    group_cols: list[str],
+    order_cols: list,
+    value_cols: list[str],
+    out_suffix: str = "_cum",
+    num_partitions: int | None = None,
+) -> tuple[DataFrame, DataFrame]:
+    """Running sums per group, and each group's totals (``<v>_total``).
+
+    One global pass over (group, order); the totals of the groups before a
+    group are subtracted.  Totals come from the pass's own stage table, so the
+    input is evaluated once.  One row per group: callers use few groups (splits).
     """
-    if not group_cols:
-        return prefix_sums(df, order_cols, value_cols, out_suffix, num_partitions)
     order = [F.col(g) for g in group_cols] + list(order_cols)
-    out = prefix_sums(df, order, value_cols, out_suffix, num_partitions)
-    base = out.groupBy(*group_cols).agg(
-        *[F.min(F.col(f"{v}{out_suffix}") - F.col(v)).alias(f"_b_{v}") for v in value_cols]
-    )
-    out = out.join(base, group_cols)
+    out, tagged = _running(df, order, value_cols, out_suffix, num_partitions)
+    totals = tagged.groupBy(*group_cols).agg(*[F.sum(v).alias(f"{v}_total") for v in value_cols])
+    if not group_cols:
+        return out, totals
+    totals = materialize(totals)
+    before = Window.orderBy(*group_cols).rowsBetween(Window.unboundedPreceding, -1)
+    base = totals.select(*group_cols, *[F.coalesce(F.sum(f"{v}_total").over(before), F.lit(0)).alias(f"_b_{v}") for v in value_cols])
+    out = out.join(F.broadcast(base), group_cols)
     for v in value_cols:
         out = out.withColumn(f"{v}{out_suffix}", F.col(f"{v}{out_suffix}") - F.col(f"_b_{v}"))
-    return out.drop(*[f"_b_{v}" for v in value_cols])
+    return out.drop(*[f"_b_{v}" for v in value_cols]), totals
 
 
 def global_index(df: DataFrame, order_cols: list, name: str = "idx", num_partitions: int | None = None) -> DataFrame:

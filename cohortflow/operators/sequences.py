@@ -1,31 +1,32 @@
 """Visit sequences, visit matrices and batches.
 
-Shuffle layout of ``sequences``: events are grouped per (patient, visit day)
-first, which spreads one busy patient over many tasks; the visit number comes
-from a window over the narrow (patient, day) key table only; the final
-grouping is per (patient, chunk of visits), so even a patient with a huge
-history never becomes one oversized row or task when ``visits_per_row`` is set.
+Shuffle layout of ``sequences``: events are numbered and grouped per (patient,
+visit day) first, which spreads one busy patient over many tasks; the visit
+number comes from the narrow (patient, day) keys only (one patient's days are
+one array of longs); the final grouping is per (patient, chunk of visits).
+
+No row grows with a patient or a visit: a row holds at most ``visits_per_row``
+visits, and a visit of more than ``ENTRIES_PER_ROW`` entries is cut into numbered
+pieces, each in a row of its own (``first_entry`` says where it starts).  A
+visit's entries are sorted in one task, in a sort that spills.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from cohortflow.operators.cohort import split_bucket
 from cohortflow.operators.ordering import global_index
-from cohortflow.schemas import PAIR
+
+VISITS_PER_ROW = 256
+ENTRIES_PER_ROW = 4096
 
 
 def _keep(df: DataFrame) -> list[str]:
     return ["split"] if "split" in df.columns else []
 
 
-def _pair() -> Column:
-    return F.struct(F.col("feature_id").cast("bigint").alias("feature_id"), F.col("value").cast("double").alias("value"))
-
-
 # ---------------------------------------------------------------- matrices
 
 
@@ -35,22 +36,38 @@ def visit_matrix(features: DataFrame) -> DataFrame:
     return features.groupBy(*k, "patient_id", "admit_ms", "feature_id").agg(F.sum("value").alias("value"))
 
 
-def visit_index(df: DataFrame, time_col: str = "admit_ms") -> DataFrame:
-    """0-based visit number of each row inside its patient, by visit time.
+def visit_numbers(df: DataFrame, labels: DataFrame | None = None) -> DataFrame:
+    """(split?, patient_id, admit_ms, visit_index, label?), one row per visit.
 
-    The window runs over distinct (patient, visit) keys only, one row per
-    visit, and the numbers are joined back.
+    A patient's distinct days are collected (partial sets before the shuffle)
+    and numbered in time order; with ``labels`` the label is joined here, on
+    one row per patient.
     """
     k = _keep(df) + ["patient_id"]
-    visits = df.select(*k, time_col).distinct()
-    w = Window.partitionBy(*k).orderBy(time_col)
-    numbered = visits.withColumn("visit_index", (F.row_number().over(w) - 1).cast("bigint"))
-    return df.join(numbered, k + [time_col], "inner")
+    days = df.groupBy(*k).agg(F.sort_array(F.collect_set("admit_ms")).alias("days"))
+    extra = []
+    if labels is not None:
+        days = days.join(unique_labels(labels), k, "inner")
+        extra = ["label"]
+    return days.select(*k, *extra, F.posexplode("days").alias("visit_index", "admit_ms")).withColumn("visit_index", F.col("visit_index").cast("bigint"))
+
+
+def unique_labels(labels: DataFrame) -> DataFrame:
+    """(split?, patient_id, label); two label rows of one patient fail the job."""
+    k = _keep(labels) + ["patient_id"]
+    one = labels.groupBy(*k).agg(F.count(F.lit(1)).alias("_n"), F.max(F.col("is_dead").cast("int")).alias("_label"))
+    message = F.concat(F.lit("more than one label for patient "), F.col("patient_id").cast("string"))
+    return one.select(*k, F.when(F.col("_n") > 1, F.raise_error(message).cast("int")).otherwise(F.col("_label")).alias("label"))
+
+
+def visit_index(df: DataFrame) -> DataFrame:
+    """``df`` with the 0-based visit number of each row inside its patient."""
+    return df.join(visit_numbers(df), _keep(df) + ["patient_id", "admit_ms"], "inner")
 
 
 def visit_cells(features: DataFrame) -> DataFrame:
     """A8 + W2: (split?, patient_id, visit_index, admit_ms, feature_id, value)."""
-    cells = visit_index(visit_matrix(features))
+    cells = visit_matrix(features).join(visit_numbers(features), _keep(features) + ["patient_id", "admit_ms"], "inner")
     return cells.select(*_keep(features), "patient_id", "visit_index", "admit_ms", "feature_id", "value")
 
 
@@ -62,47 +79,61 @@ def num_features(features: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------- sequences
 
 
-def visits(features: DataFrame) -> DataFrame:
-    """A5 + P13: one row per (patient, visit day) with its sorted (id, value) pairs."""
-    k = _keep(features)
-    grouped = features.groupBy(*k, "patient_id", "admit_ms").agg(F.sort_array(F.collect_list(_pair())).alias("visit"))
-    return visit_index(grouped)
-
-
-def sequences(features: DataFrame, visits_per_row: int | None = None) -> DataFrame:
-    """(split?, patient_id, chunk, first_visit, seq) with seq = visits in time order.
+def visits(features: DataFrame, entries_per_row: int = ENTRIES_PER_ROW) -> DataFrame:
+    """A5 + P13: (split?, patient_id, admit_ms, piece, visit): sorted (id, value) pairs.
 
-    ``seq`` is ``array<array<struct<feature_id, value>>>``.  With
-    ``visits_per_row=None`` every patient is one row (chunk 0); with a bound,
-    a patient's visits are cut into consecutive chunks of that many visits,
-    which keeps rows and tasks bounded; no visit is dropped.
+    ``piece`` numbers the parts of a visit of more than ``entries_per_row`` entries.
     """
-    k = _keep(features)
-    v = visits(features)
-    chunk = F.lit(0).cast("bigint") if not visits_per_row else F.floor(F.col("visit_index") / F.lit(visits_per_row)).cast("bigint")
-    v = v.withColumn("chunk", chunk)
+    k = _keep(features) + ["patient_id", "admit_ms"]
+    w = Window.partitionBy(*k).orderBy("feature_id", "value")
+    numbered = features.select(*k, F.col("feature_id").cast("bigint"), F.col("value").cast("double"), (F.row_number().over(w) - 1).alias("_pos"))
+    pair = F.struct("_pos", F.struct("feature_id", "value").alias("pair"))
+    grouped = numbered.groupBy(*k, F.floor(F.col("_pos") / F.lit(entries_per_row)).cast("bigint").alias("piece")).agg(F.sort_array(F.collect_list(pair)).alias("_v"))
+    return grouped.select(*k, "piece", F.transform("_v", lambda x: x["pair"]).alias("visit"))
+
+
+def sequences(
+    features: DataFrame,
+    visits_per_row: int = VISITS_PER_ROW,
+    entries_per_row: int = ENTRIES_PER_ROW,
+    labels: DataFrame | None = None,
+) -> DataFrame:
+    """(split?, patient_id, chunk, first_visit, first_entry, seq, label?).
+
+    ``seq`` is ``array<array<struct<feature_id, value>>>``: consecutive visits
+    from ``first_visit`` on.  A row with ``first_entry`` > 0 holds one visit, from
+    that entry on.  With ``labels`` (J7) the patient's label is attached; patients
+    without one drop out.
+    """
+    k = _keep(features) + ["patient_id"]
+    v = visits(features, entries_per_row).join(visit_numbers(features, labels), k + ["admit_ms"], "inner")
+    lab = ["label"] if labels is not None else []
+    v = v.withColumn("chunk", F.floor(F.col("visit_index") / F.lit(visits_per_row)).cast("bigint"))
+    own = F.when(F.col("piece") > 0, F.col("visit_index")).otherwise(F.lit(-1)).alias("_own")
     ordered = F.sort_array(F.collect_list(F.struct("visit_index", "visit")))
-    return v.groupBy(*k, "patient_id", "chunk").agg(ordered.alias("_v")).select(
+    return v.groupBy(*k, *lab, "chunk", "piece", own).agg(ordered.alias("_v")).select(
         *k,
-        "patient_id",
         "chunk",
         F.col("_v")[0]["visit_index"].alias("first_visit"),
+        (F.col("piece") * F.lit(entries_per_row)).cast("bigint").alias("first_entry"),
         F.transform("_v", lambda x: x["visit"]).alias("seq"),
+        *lab,
     )
 
 
 def sequence_entries(seqs: DataFrame) -> DataFrame:
     """Long form of sequences: one row per (visit, pair); flatten(seqs) = features."""
     k = [c for c in seqs.columns if c in ("split", "label")]
-    v = seqs.select(*k, "patient_id", "first_visit", F.posexplode("seq").alias("vpos", "visit"))
+    v = seqs.select(*k, "patient_id", "first_visit", "first_entry", F.posexplode("seq").alias("vpos", "visit"))
     e = v.select(
         *k,
         "patient_id",
         (F.col("first_visit") + F.col("vpos")).cast("bigint").alias("visit_index"),
+        "first_entry",
         F.posexplode("visit").alias("entry_index", "pair"),
     )
     return e.select(
-        *k, "patient_id", "visit_index", F.col("entry_index").cast("bigint").alias("entry_index"),
+        *k, "patient_id", "visit_index", (F.col("entry_index") + F.col("first_entry")).cast("bigint").alias("entry_index"),
         F.col("pair.feature_id").alias("feature_id"), F.col("pair.value").alias("value"),
     )
 
@@ -118,43 +149,25 @@ def visit_count(seq) -> Column:
 
 
 def sequence_summary(seqs: DataFrame) -> DataFrame:
-    """W5 + W6 per patient over all chunks: visits, last-visit size, entries."""
+    """W5 + W6 per patient over all rows: visits, last-visit size, entries."""
     k = [c for c in seqs.columns if c in ("split", "label")]
-    per_chunk = seqs.select(
+    per_row = seqs.select(
         *k,
         "patient_id",
-        "chunk",
-        visit_count("seq").alias("n"),
+        F.when(F.col("first_entry") == 0, visit_count("seq")).otherwise(F.lit(0)).alias("n"),
+        (F.col("first_visit") + visit_count("seq") - 1).alias("last"),
         F.size(last_visit("seq")).alias("last_n"),
         F.aggregate("seq", F.lit(0), lambda acc, x: acc + F.size(x)).alias("entries"),
     )
-    return per_chunk.groupBy(*k, "patient_id").agg(
+    # Pieces of the last visit add up.
+    by_last = per_row.groupBy(*k, "patient_id", "last").agg(F.sum("n").alias("n"), F.sum("last_n").alias("last_n"), F.sum("entries").alias("entries"))
+    return by_last.groupBy(*k, "patient_id").agg(
         F.sum("n").cast("bigint").alias("n_visits"),
-        F.max_by("last_n", "chunk").cast("bigint").alias("last_visit_size"),
+        F.max_by("last_n", "last").cast("bigint").alias("last_visit_size"),
         F.sum("entries").cast("bigint").alias("n_entries"),
     )
 
 
-def label_sequences(seqs: DataFrame, labels: DataFrame, check: bool = True, ids: DataFrame | None = None) -> DataFrame:
-    """Attach labels by key; with ``check`` a patient on one side only raises.
-
-    ``ids`` (distinct patient keys the sequences were built from) makes the
-    check a join of two key sets instead of a second grouping of the events.
-    """
-    k = _keep(seqs) + ["patient_id"]
-    lab = labels.select(*k, F.col("is_dead").cast("int").alias("label"))
-    if check:
-        ids = (ids if ids is not None else seqs.select(*k).distinct()).withColumn("_s", F.lit(1))
-        both = ids.join(lab.withColumn("_l", F.lit(1)), k, "full_outer")
-        bad = both.agg(
-            F.sum(F.when(F.col("_l").isNull(), 1).otherwise(0)).alias("no_label"),
-            F.sum(F.when(F.col("_s").isNull(), 1).otherwise(0)).alias("no_seq"),
-        ).first()
-        if (bad["no_label"] or 0) or (bad["no_seq"] or 0):
-            raise ValueError(f"sequences and labels differ: {bad['no_label']} without label, {bad['no_seq']} without sequence")
-    return seqs.join(lab, k, "inner")
-
-
 # ---------------------------------------------------------------- vectors
 
 
@@ -164,28 +177,30 @@ def _sparse_udf(width: int):
     @F.udf(returnType=VectorUDT(), useArrow=True)
     def to_sparse(ids, vals):
         # ids are sorted and unique (summed cells), as SparseVector needs.
-        return SparseVector(width, [int(i) for i in ids], [float(v) for v in vals])
+        return SparseVector(width, [int(i) for i in ids or []], [float(v) for v in vals or []])
 
     return to_sparse
 
 
-def _assemble(cells: DataFrame, keys: list[str], width: int, name: str) -> DataFrame:
-    pairs = F.sort_array(F.collect_list(F.struct("feature_id", "value")))
-    grouped = cells.filter(F.col("feature_id") < F.lit(width)).groupBy(*keys).agg(pairs.alias("_p"))
-    to_sparse = _sparse_udf(width)
-    return grouped.select(*keys, to_sparse(F.col("_p.feature_id"), F.col("_p.value")).alias(name))
+def in_width(width: int) -> Column:
+    """``feature_id``, failing the job where it is outside the vector width."""
+    message = F.concat(F.lit(f"feature id outside the width {width}: "), F.col("feature_id").cast("string"))
+    inside = (F.col("feature_id") >= 0) & (F.col("feature_id") < F.lit(width))
+    return F.when(inside, F.col("feature_id")).otherwise(F.raise_error(message).cast("bigint"))
 
 
-def out_of_range(cells: DataFrame, width: int) -> DataFrame:
-    """7.4-19: count of cells whose id is outside the training width."""
-    return cells.agg(F.sum(F.when(F.col("feature_id") >= F.lit(width), 1).otherwise(0)).cast("bigint").alias("n_out_of_range"))
+def _assemble(cells: DataFrame, keys: list[str], width: int, name: str) -> DataFrame:
+    pairs = F.sort_array(F.collect_list(F.struct(in_width(width).alias("feature_id"), "value")))
+    grouped = cells.groupBy(*keys).agg(pairs.alias("_p"))
+    return grouped.select(*keys, _sparse_udf(width)(F.col("_p.feature_id"), F.col("_p.value")).alias(name))
 
 
 def visit_vectors(cells: DataFrame, width: int) -> DataFrame:
     """One sparse vector of ``width`` per visit (never densified).
 
     A visit's cells are bounded by the vocabulary width, so the per-visit
-    collect is bounded; the Arrow UDF only packs ids and values.
+    collect is bounded; the Arrow UDF only packs ids and values.  ``width`` is
+    the vocabulary's; an id outside it is an error, never a silent drop.
     """
     return _assemble(cells, _keep(cells) + ["patient_id", "visit_index"], width, "features")
 
@@ -193,24 +208,25 @@ def visit_vectors(cells: DataFrame, width: int) -> DataFrame:
 def pool_sequences(cells: DataFrame, how: str = "sum", sum_digits: int | None = None) -> DataFrame:
     """Patient-level pooled cells (split?, patient_id, feature_id, value).
 
-    ``sum`` adds a feature over all visits, ``mean`` divides by the patient's
-    number of visits, ``last`` keeps the cells of the latest visit.  With
-    ``sum_digits`` the mean divides the sum rounded (half up) to that many
+    ``cells`` is the visit matrix (visits told apart by ``admit_ms``; visit numbers
+    are not needed).  ``sum`` adds a feature over all visits, ``mean`` divides by
+    the patient's number of visits, ``last`` keeps the cells of the latest visit.
+    With ``sum_digits`` the mean divides the sum rounded (half up) to that many
     decimals, which makes it independent of the order the sum was taken in.
     """
     k = _keep(cells) + ["patient_id"]
     if how == "sum":
         return cells.groupBy(*k, "feature_id").agg(F.sum("value").alias("value"))
     if how == "mean":
-        n = cells.groupBy(*k).agg(F.countDistinct("visit_index").alias("_n"))
+        n = cells.groupBy(*k).agg(F.size(F.collect_set("admit_ms")).alias("_n"))
         s = cells.groupBy(*k, "feature_id").agg(F.sum("value").alias("_s"))
         if sum_digits is not None:
             scale = float(10**sum_digits)
             s = s.withColumn("_s", F.floor(F.col("_s") * F.lit(scale) + F.lit(0.5)) / F.lit(scale))
         return s.join(n, k).select(*k, "feature_id", (F.col("_s") / F.col("_n")).alias("value"))
     if how == "last":
-        last = cells.groupBy(*k).agg(F.max("visit_index").alias("visit_index"))
-        return cells.join(last, k + ["visit_index"], "left_semi").select(*k, "feature_id", "value")
+        last = cells.groupBy(*k).agg(F.max("admit_ms").alias("admit_ms"))
+        return cells.join(last, k + ["admit_ms"], "left_semi").select(*k, "feature_id", "value")
     raise ValueError(f"unknown pooling {how!r}")
 
 
@@ -245,7 +261,7 @@ def assign_batches(df: DataFrame, size: int = 64, seed: int | None = None, key:
     range-partitioned or written just to be numbered.
     """
     k = _keep(df)
-    keys = df.select(*k, key)
+    keys = df.select(*k, key).distinct()
     if seed is None:
         order = [F.col(c) for c in k] + [F.col(key)]
     else:
@@ -265,24 +281,34 @@ def assign_batches(df: DataFrame, size: int = 64, seed: int | None = None, key:
     return df.join(ids, k + [key], "inner")
 
 
-def pad_batches(batched: DataFrame) -> DataFrame:
-    """X2 + O3: inside each batch, longest sequence first (stable), padded
-    with empty (all-zero) visits to the batch's longest length.
+def batch_slots(lengths: DataFrame) -> DataFrame:
+    """O3: slot, length and padded length of every patient of a batch.
 
-    Input: one row per patient with ``seq``, ``batch_id``, ``position``.
-    Output adds ``slot``, ``length``, ``padded_length`` and ``padded``.
-    Windows are per batch (``size`` rows), never global.
+    ``lengths``: (split?, patient_id, label?, length, batch_id, position), one narrow
+    row per patient.  Inside a batch the longest comes first (stable); the
+    padded length is the batch's longest.
     """
-    k = _keep(batched)
-    n = F.size("seq")
-    w_slot = Window.partitionBy(*k, "batch_id").orderBy(F.desc("_len"), F.asc("position"))
+    k = _keep(lengths)
+    w_slot = Window.partitionBy(*k, "batch_id").orderBy(F.desc("length"), F.asc("position"))
     w_all = Window.partitionBy(*k, "batch_id")
-    empty = F.array().cast(T.ArrayType(PAIR))
-    out = (
-        batched.withColumn("_len", n)
-        .withColumn("slot", (F.row_number().over(w_slot) - 1).cast("bigint"))
-        .withColumn("padded_length", F.max("_len").over(w_all).cast("bigint"))
-        .withColumn("length", F.col("_len").cast("bigint"))
+    return lengths.withColumn("slot", (F.row_number().over(w_slot) - 1).cast("bigint")).withColumn(
+        "padded_length", F.max("length").over(w_all).cast("bigint")
+    )
+
+
+def pad_batches(entries: DataFrame, slots: DataFrame) -> DataFrame:
+    """Padded batches in long form, one row per (slot, step, entry).
+
+    ``entries``: long-form sequence entries; ``slots``: ``batch_slots``.  A step past a
+    patient's last visit is one row with null feature and value 0 (an all-zero
+    visit), so padding never widens a row.
+    """
+    k = _keep(slots)
+    lead = [*k, "batch_id", "position", "slot", "patient_id", *[c for c in ("label",) if c in slots.columns], "length", "padded_length"]
+    real = entries.select(*k, "patient_id", F.col("visit_index").alias("step"), "entry_index", "feature_id", "value")
+    real = real.join(slots, k + ["patient_id"], "inner").select(*lead, "step", "entry_index", "feature_id", "value")
+    steps = slots.filter("padded_length > length").withColumn("step", F.explode(F.sequence(F.col("length"), F.col("padded_length") - 1)))
+    pad = steps.select(
+        *lead, "step", F.lit(0).cast("bigint").alias("entry_index"), F.lit(None).cast("bigint").alias("feature_id"), F.lit(0.0).alias("value")
     )
-    pad = F.array_repeat(empty, (F.col("padded_length") - F.col("length")).cast("int"))
-    return out.withColumn("padded", F.concat(F.col("seq"), pad)).drop("_len")
+    return real.unionByName(pad)

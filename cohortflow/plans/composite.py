@@ -1,132 +1,183 @@
 """Composite operators C1-C6: the user-facing pipeline.
 
 One DataFrame per table carries a ``split`` column instead of one table per
-split, so every stage runs once for all splits.  Small derived tables that
-several stages read (cohort, vocabulary) are checkpointed in the shared
-checkpoint folder, counted, and broadcast only under a row bound.
+split, so every stage runs once for all splits.  Tables are built on first
+access, so a caller pays only for what it reads; small derived tables that
+several stages read (cohort, vocabulary, labels) are written in the shared
+checkpoint folder, where Spark knows their size and picks each join.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
+from functools import cached_property
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortflow.operators import clean, cohort as C, features as FT, sequences as S, vocab as V
+from cohortflow.operators import metrics as M
 from cohortflow.operators import model as ML
-from cohortflow.operators.joins import DEFAULT_MAX_BROADCAST_ROWS
 from cohortflow.schemas import DEFAULT_SEED, DEFAULT_WEIGHTS, PREPARED_COLUMNS, SPLITS
-from cohortflow.session import materialize
+from cohortflow.session import Lazy, materialize
+from cohortflow.sources.csv import read_raw_tables
+from cohortflow.sources.sinks import write_prepared
 
 TABLES = ("admissions", "diagnoses", "icustays", "labevents", "patients", "prescriptions")
 
 
-@dataclass
 class Prepared:
-    tables: dict[str, DataFrame]
-    cohort: DataFrame
-    cohort_rows: int
-    lab_rejects: DataFrame
-
-
-def prepare(
-    raw: dict[str, DataFrame],
-    weights=DEFAULT_WEIGHTS,
-    seed: int = DEFAULT_SEED,
-    names=SPLITS,
-    method: str = "hash",
-    max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
-) -> Prepared:
+    """C1 output: cohort, prepared tables and lab rejects, each built on first access."""
+
+    def __init__(self, raw, weights, seed, names, method):
+        self.raw, self._split = raw, (weights, seed, names, method)
+        builders = {
+            "admissions": lambda: self.restrict(raw["admissions"]),
+            "diagnoses": lambda: self.restrict(raw["diagnoses"]),
+            "icustays": lambda: self.restrict(clean.fill_los(raw["icustays"])),
+            "labevents": lambda: C.max_normalize(clean.drop_null_values(self.restrict(clean.parse_lab_values(raw["labevents"])))),
+            "patients": lambda: self.restrict(clean.with_label(raw["patients"]).select("SUBJECT_ID", "IS_DEAD")),
+            "prescriptions": lambda: self.restrict(raw["prescriptions"]),
+        }
+        self.tables = Lazy({t: (lambda t=t: builders[t]().select(*PREPARED_COLUMNS[t], "split")) for t in TABLES})
+
+    @cached_property
+    def cohort(self) -> DataFrame:
+        weights, seed, names, method = self._split
+        return materialize(C.split_cohort(C.icu_cohort(self.raw["icustays"]), weights, seed, names, method))
+
+    def restrict(self, df: DataFrame) -> DataFrame:
+        return C.restrict_to_cohort(df, self.cohort)
+
+    @cached_property
+    def lab_rejects(self) -> DataFrame:
+        value = F.col("VALUENUM")
+        bad = self.restrict(self.raw["labevents"]).filter(value.isNull() | value.try_cast("double").isNull())
+        return bad.select(
+            F.lit("labevents").alias("table_name"),
+            F.lit("prepare").alias("stage"),
+            "split",
+            F.col("SUBJECT_ID").alias("subject_id"),
+            F.col("HADM_ID").alias("hadm_id"),
+            F.when(value.isNull(), F.lit("missing VALUENUM")).otherwise(F.lit("bad VALUENUM")).alias("reason"),
+        )
+
+
+def prepare(raw, weights=DEFAULT_WEIGHTS, seed: int = DEFAULT_SEED, names=SPLITS, method: str = "hash") -> Prepared:
     """Clean -> ICU cohort -> split by patient -> restrict -> normalise labs.
 
-    Output tables hold the prepared columns plus ``split``.
+    ``raw`` maps table names to raw frames; output tables hold the prepared
+    columns plus ``split``.
     """
-    icustays = clean.fill_los(raw["icustays"])
-    labs = clean.parse_lab_values(raw["labevents"])
-    patients = clean.with_label(raw["patients"]).select("SUBJECT_ID", "IS_DEAD")
-
-    cohort = materialize(C.split_cohort(C.icu_cohort(icustays), weights, seed, names, method))
-    n = cohort.count()
-
-    def restrict(df: DataFrame) -> DataFrame:
-        return C.restrict_to_cohort(df, cohort, n, max_broadcast_rows)
-
-    labs_c = restrict(labs)
-    tables = {
-        "admissions": restrict(raw["admissions"]),
-        "diagnoses": restrict(raw["diagnoses"]),
-        "icustays": restrict(icustays),
-        "labevents": C.max_normalize(clean.drop_null_values(labs_c)),
-        "patients": restrict(patients),
-        "prescriptions": restrict(raw["prescriptions"]),
-    }
-    tables = {t: df.select(*PREPARED_COLUMNS[t], "split") for t, df in tables.items()}
-    raw_labs = restrict(raw["labevents"])
-    lab_rejects = raw_labs.filter(F.col("VALUENUM").isNull() | F.col("VALUENUM").try_cast("double").isNull()).select(
-        F.lit("labevents").alias("table_name"),
-        F.lit("prepare").alias("stage"),
-        "split",
-        F.col("SUBJECT_ID").alias("subject_id"),
-        F.col("HADM_ID").alias("hadm_id"),
-        F.when(F.col("VALUENUM").isNull(), F.lit("missing VALUENUM")).otherwise(F.lit("bad VALUENUM")).alias("reason"),
-    )
-    return Prepared(tables, cohort, n, lab_rejects)
-
-
-def records(prepared: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    return Prepared(raw, weights, seed, names, method)
+
+
+def prepare_files(spark: SparkSession, folder: str, out: str, weights=DEFAULT_WEIGHTS, seed: int = DEFAULT_SEED, fmt: str = "parquet") -> Prepared:
+    """C1 + K4 in one call: the raw CSV folder to ``out/<table>/split=<split>/``."""
+    prep = prepare(read_raw_tables(spark, folder), weights, seed)
+    write_prepared(prep.tables, out, fmt)
+    return prep
+
+
+def records(prepared) -> Lazy:
     """P5 + P7 for every prepared table: typed records, rejects left out."""
-    return {t: clean.to_records(df, t) for t, df in prepared.items()}
+    return Lazy({t: (lambda t=t: clean.to_records(prepared[t], t)) for t in prepared})
 
 
 def rejects_report(prep: Prepared) -> DataFrame:
     """Every row the pipeline rejects, with table, stage, split and reason."""
     out = prep.lab_rejects
-    for t, df in prep.tables.items():
-        out = out.unionByName(clean.rejects(df, t))
+    for t in prep.tables:
+        out = out.unionByName(clean.rejects(prep.tables[t], t))
     return out
 
 
 @dataclass
 class Vocabulary:
     table: DataFrame
-    rows: int
+    namespaced: bool = False
+
+    @cached_property
+    def width(self) -> int:
+        """Length of a feature vector: every id of the vocabulary fits."""
+        return int(self.table.agg(F.max("feature_id")).first()[0]) + 1
 
 
-def build_vocabulary(recs: dict[str, DataFrame], split: str = "train", namespaced: bool = False) -> Vocabulary:
+def build_vocabulary(recs, split: str = "train", namespaced: bool = False) -> Vocabulary:
     """Vocabulary from one split's records (the training split)."""
 
     def one(t: str) -> DataFrame:
         return recs[t].filter(F.col("split") == split)
 
-    vocab = materialize(V.build_vocab(one("diagnoses"), one("prescriptions"), one("labevents"), namespaced))
-    return Vocabulary(vocab, vocab.count())
+    return Vocabulary(materialize(V.build_vocab(one("diagnoses"), one("prescriptions"), one("labevents"), namespaced)), namespaced)
 
 
-@dataclass
 class Dataset:
-    events: DataFrame  # visit-attached, before the vocabulary
-    features: DataFrame
-    labels: DataFrame
+    """C3 output: features of patients with a label, and those patients' labels."""
+
+    def __init__(self, recs, vocab: Vocabulary):
+        self.recs, self.vocab = recs, vocab
 
+    @cached_property
+    def source_events(self) -> DataFrame:
+        r = self.recs
+        return FT.all_events(r["diagnoses"], r["prescriptions"], r["labevents"], r["icustays"])
 
-def build_dataset(recs: dict[str, DataFrame], vocab: Vocabulary, max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> Dataset:
+    @cached_property
+    def events(self) -> DataFrame:
+        """Events with their visit day, before the vocabulary."""
+        return FT.attach_visit(self.source_events, self.recs["admissions"])
+
+    @cached_property
+    def features(self) -> DataFrame:
+        # Looked up first (unknown tokens and token strings are never shuffled),
+        # then joined to the visits and, once, to the labelled patients.
+        # Written once: labels, sequences, cells and vectors all read it.
+        found = FT.index_features(self.source_events, self.vocab.table, self.vocab.namespaced)
+        attached = FT.attach_visit(found, self.recs["admissions"])
+        return materialize(FT.features_of_labelled(attached, self.recs["patients"].select("split", "patient_id")))
+
+    @cached_property
+    def labels(self) -> DataFrame:
+        """(split, patient_id, is_dead) of patients that kept a feature."""
+        return materialize(FT.patients_with_features(self.recs["patients"].select("split", "patient_id", "is_dead"), self.features))
+
+
+def build_dataset(recs, vocab: Vocabulary) -> Dataset:
     """Long features (split, patient_id, admit_ms, feature_id, value) and labels."""
-    events = FT.all_events(recs["diagnoses"], recs["prescriptions"], recs["labevents"], recs["icustays"])
-    attached = FT.attach_visit(events, recs["admissions"])
-    # Labels, sequences, cells and vectors all read the features: write them
-    # once (the stage output the original also writes) instead of re-running
-    # the union, visit join and lookup for every consumer.
-    feats = materialize(FT.index_features(attached, vocab.table, vocab.rows, max_broadcast_rows))
-    labels = FT.patients_with_features(recs["patients"].select("split", "patient_id", "is_dead"), feats)
-    return Dataset(attached, feats, labels)
+    return Dataset(recs, vocab)
 
 
-def build_sequences(ds: Dataset, visits_per_row: int | None = None, check: bool = True) -> DataFrame:
-    """C4: labelled sequences (split, patient_id, chunk, first_visit, seq, label)."""
-    feats = FT.features_of_labelled(ds.features, ds.labels)
-    ids = feats.select("split", "patient_id").distinct()
-    return S.label_sequences(S.sequences(feats, visits_per_row), ds.labels, check=check, ids=ids)
+def build_sequences(ds: Dataset, visits_per_row: int = S.VISITS_PER_ROW) -> DataFrame:
+    """C4: labelled sequences (split, patient_id, chunk, first_visit, first_entry, seq, label).
+
+    A patient with two label rows fails the job (one label per patient is the contract).
+    """
+    return S.sequences(ds.features, visits_per_row, labels=ds.labels)
+
+
+def patient_vector_table(ds: Dataset, width: int, how: str = "sum") -> DataFrame:
+    """X3 vectors joined with labels: (split, patient_id, label, features).
+
+    Every labelled patient has a row; one without cells has an empty vector.
+    """
+    from pyspark.ml.linalg import SparseVector, VectorUDT
+
+    pooled = S.pool_sequences(S.visit_matrix(ds.features), how)
+    labels = ds.labels.select("split", "patient_id", F.col("is_dead").cast("int").alias("label"))
+    joined = labels.join(S.patient_vectors(pooled, width), ["split", "patient_id"], "left")
+    nothing = F.udf(lambda: SparseVector(width, [], []), VectorUDT())()
+    return joined.select("split", "patient_id", "label", F.coalesce("features", nothing).alias("features"))
+
+
+def scored_patients(ds: Dataset, coefficients: DataFrame, intercept: float = 0.0, how: str = "sum") -> DataFrame:
+    """L3 for a linear model: pooled cells joined to its coefficient table.
+
+    (split, patient_id, label, logit, score, prediction) of every labelled
+    patient; fitted and given coefficients (feature_id, weight) take the same path.
+    """
+    pooled = S.pool_sequences(S.visit_matrix(ds.features), how)
+    return ML.linear_scores(pooled, ds.labels, coefficients, intercept)
 
 
 @dataclass
@@ -134,24 +185,27 @@ class ModelRun:
     model: object
     width: int
     vectors: DataFrame
-    report: ML.Report | dict = field(default_factory=dict)
-    validation: DataFrame | None = None
+    report: ML.Report
+    validation: DataFrame
+    curve: DataFrame
+    best: int
 
 
-def patient_vector_table(ds: Dataset, width: int, how: str = "sum") -> DataFrame:
-    """X3 vectors joined with labels: (split, patient_id, label, features)."""
-    cells = S.visit_cells(FT.features_of_labelled(ds.features, ds.labels))
-    vecs = S.patient_vectors(S.pool_sequences(cells, how), width)
-    labels = ds.labels.select("split", "patient_id", F.col("is_dead").cast("int").alias("label"))
-    return vecs.join(labels, ["split", "patient_id"], "inner")
-
+def run_model(ds: Dataset, kind: str = "logistic", how: str = "sum", epochs=(5, 10, 20, 50), folder: str | None = None) -> ModelRun:
+    """Train by epochs, keep the first epoch that is best on validation, report on test.
 
-def run_model(ds: Dataset, kind: str = "logistic", how: str = "sum", max_iter: int = 100) -> ModelRun:
-    """Width from the training features, fit on train, report on test."""
-    width = int(S.num_features(ds.features.filter(F.col("split") == "train")).first()["num_features"] or 0)
-    # Read by the fit (many passes), scoring and every report table.
-    vectors = materialize(patient_vector_table(ds, max(width, 1), how))
-    model = ML.train_classifier(vectors.filter(F.col("split") == "train"), width=max(width, 1), kind=kind, max_iter=max_iter)
-    test = vectors.filter(F.col("split") == "test")
+    ``epochs`` are iteration budgets; each epoch is fitted from the same start, so epoch
+    e is the model after that many iterations.  Every epoch's model is saved, the
+    curve holds loss and accuracy of both phases, and the chosen model is read
+    back for the report.
+    """
+    width = ds.vocab.width
+    # Read by every fit, scoring and report table.
+    vectors = materialize(patient_vector_table(ds, width, how))
+    fitted = ML.train_epochs(vectors, width, kind, epochs, folder)
+    curve = fitted.curve
+    chosen = M.best_epoch(curve.filter(F.col("phase") == "valid")).first()
+    best = int(chosen["epoch"]) if chosen else len(epochs) - 1
+    model = ML.load_epoch(fitted, best)
     valid = ML.evaluate(model, vectors.filter(F.col("split") == "valid"))
-    return ModelRun(model, width, vectors, ML.report(model, test), valid)
+    return ModelRun(model, width, vectors, ML.report(model, vectors.filter(F.col("split") == "test"), curve=curve), valid, curve, best)

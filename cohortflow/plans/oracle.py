@@ -7,10 +7,8 @@ metrics are restated as plain SQL over the driver's pre-registered views.
 
 from __future__ import annotations
 
-from cohortflow.operators.cohort import split_thresholds
-from cohortflow.schemas import DEFAULT_WEIGHTS
-
-_T1, _T2, _ = split_thresholds(DEFAULT_WEIGHTS)
+# Upper bounds of the train and test buckets: 65 % and 85 % of 2**32, rounded down.
+_T1, _T2 = 2791728742, 3650722201
 
 # JVM-style trim (chars U+0000..U+0020), ICD-9 category, token normalisation.
 _JT = "regexp_replace({x}, '^[\\x00-\\x20]+|[\\x00-\\x20]+$', '', 'g')"
@@ -29,31 +27,44 @@ def norm(x: str) -> str:
     return f"lower({jt(x)})"
 
 
+def hashed(x: str) -> str:
+    return f"('0x' || substr(md5({x}), 1, 4))::BIGINT"
+
+
 def bucket(x: str, seed: int) -> str:
     return f"('0x' || substr(md5(CAST({x} AS VARCHAR) || ':{seed}'), 1, 8))::BIGINT"
 
 
+def day(x: str) -> str:
+    return f"(CASE WHEN regexp_matches({x}, '^[0-9]{{1,4}}-[0-9]{{1,2}}-[0-9]{{1,2}}') THEN TRY_CAST({x} AS DATE) END)"
+
+
 ROLES = """
 raw_patients AS (
-  SELECT CAST(c_custkey AS VARCHAR) AS SUBJECT_ID,
+  SELECT CASE WHEN c_custkey % 41 = 7 THEN 'P' || c_custkey ELSE CAST(c_custkey AS VARCHAR) END AS SUBJECT_ID,
          CASE WHEN c_acctbal < 0 THEN 'x' END AS DOD_HOSP
-  FROM customer),
+  FROM customer WHERE c_custkey % 37 <> 5),
+ord AS (
+  SELECT *, CASE WHEN o_custkey % 41 = 7 THEN 'P' || o_custkey WHEN o_custkey % 20 = 1 THEN '1'
+                 ELSE CAST(o_custkey AS VARCHAR) END AS sid
+  FROM orders),
 raw_admissions AS (
-  SELECT CAST(o_custkey AS VARCHAR) AS SUBJECT_ID, CAST(o_orderkey AS VARCHAR) AS HADM_ID,
+  SELECT sid AS SUBJECT_ID, CAST(o_orderkey AS VARCHAR) AS HADM_ID,
          CASE WHEN o_orderkey % 199 = 0 THEN strftime(o_orderdate, '%Y') || '-13-45 00:00:00'
+              WHEN o_custkey % 31 = 3 THEN CASE WHEN o_orderkey % 2 = 0 THEN strftime(o_orderdate, '%Y') ELSE strftime(o_orderdate, '%Y-%m') END
               ELSE strftime(o_orderdate, '%Y-%m-%d') || ' ' || lpad(CAST(o_orderkey % 24 AS VARCHAR), 2, '0') || ':00:00'
          END AS ADMITTIME
-  FROM orders),
+  FROM (SELECT * FROM ord UNION ALL SELECT * FROM ord WHERE o_orderkey % 101 = 9)),
 raw_icustays AS (
-  SELECT CAST(o_custkey AS VARCHAR) AS SUBJECT_ID, CAST(o_orderkey AS VARCHAR) AS HADM_ID,
+  SELECT sid AS SUBJECT_ID, CAST(o_orderkey AS VARCHAR) AS HADM_ID,
          CASE WHEN o_orderstatus = 'O' THEN NULL ELSE CAST(o_orderkey AS VARCHAR) END AS ICUSTAY_ID,
          CASE WHEN o_orderkey % 11 = 0 THEN NULL ELSE CAST(o_totalprice / 10000 AS VARCHAR) END AS LOS
-  FROM orders),
+  FROM ord),
 li AS (
-  SELECT l.l_orderkey, l.l_partkey, l.l_suppkey, l.l_linenumber, l.l_quantity, o.o_custkey
-  FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey),
+  SELECT l.l_orderkey, l.l_partkey, l.l_suppkey, l.l_linenumber, l.l_quantity, o.o_custkey, o.sid
+  FROM lineitem l JOIN ord o ON l.l_orderkey = o.o_orderkey),
 raw_diagnoses AS (
-  SELECT CAST(o_custkey AS VARCHAR) AS SUBJECT_ID, CAST(l_orderkey AS VARCHAR) AS HADM_ID,
+  SELECT sid AS SUBJECT_ID, CAST(l_orderkey AS VARCHAR) AS HADM_ID,
          CASE WHEN l_partkey % 61 = 0 THEN NULL
               WHEN l_partkey % 53 = 0 THEN '   '
               WHEN l_partkey % 59 = 0 THEN chr(9) || lpad(CAST(l_partkey % 10000 AS VARCHAR), 5, '0') || ' '
@@ -63,13 +74,16 @@ raw_diagnoses AS (
 lip AS (
   SELECT li.*, p.p_name, p.p_brand FROM li JOIN part p ON li.l_partkey = p.p_partkey),
 raw_prescriptions AS (
-  SELECT CAST(o_custkey AS VARCHAR) AS SUBJECT_ID, CAST(l_orderkey AS VARCHAR) AS HADM_ID,
-         CASE WHEN l_linenumber % 2 = 0 THEN '  ' || upper(p_name) || ' ' ELSE p_name END AS DRUG
+  SELECT sid AS SUBJECT_ID, CAST(l_orderkey AS VARCHAR) AS HADM_ID,
+         CASE WHEN l_orderkey % 97 = 5 THEN 'rare ' || o_custkey
+              WHEN l_orderkey % 89 = 7 THEN substr(lpad(CAST(l_partkey % 10000 AS VARCHAR), 5, '0'), 1, 3)
+              WHEN l_linenumber = 3 AND l_partkey % 7 = 0 THEN ''
+              WHEN l_linenumber % 2 = 0 THEN '  ' || upper(p_name) || ' ' ELSE p_name END AS DRUG
   FROM lip),
 raw_labevents AS (
-  SELECT CAST(o_custkey AS VARCHAR) AS SUBJECT_ID,
+  SELECT sid AS SUBJECT_ID,
          CASE WHEN l_suppkey % 19 = 0 THEN NULL ELSE CAST(l_orderkey AS VARCHAR) END AS HADM_ID,
-         p_brand AS ITEMID,
+         CASE WHEN l_partkey % 43 = 0 THEN NULL ELSE p_brand END AS ITEMID,
          CASE WHEN l_suppkey % 13 = 0 THEN 'n/a' WHEN l_suppkey % 17 = 0 THEN '' ELSE CAST(l_quantity AS VARCHAR) END AS VALUENUM
   FROM lip)"""
 
@@ -113,9 +127,9 @@ RECS = f"""
 v_admissions AS (
   SELECT split, SUBJECT_ID AS raw_subject_id, HADM_ID AS raw_hadm_id,
          TRY_CAST(SUBJECT_ID AS BIGINT) AS patient_id, HADM_ID AS hadm_id,
-         (TRY_CAST(ADMITTIME AS DATE) - DATE '1970-01-01') * 86400000 AS admit_ms,
+         ({day('ADMITTIME')} - DATE '1970-01-01') * 86400000 AS admit_ms,
          CASE {_miss('SUBJECT_ID')} {_miss('HADM_ID')} {_miss('ADMITTIME')} {_BAD_SUBJECT}
-              WHEN TRY_CAST(ADMITTIME AS DATE) IS NULL THEN 'bad ADMITTIME' END AS reason
+              WHEN {day('ADMITTIME')} IS NULL THEN 'bad ADMITTIME' END AS reason
   FROM p_admissions),
 v_diagnoses AS (
   SELECT split, SUBJECT_ID AS raw_subject_id, HADM_ID AS raw_hadm_id,
@@ -208,7 +222,7 @@ seq_summary AS (
          CAST(count(*) AS BIGINT) AS n_entries
   FROM (SELECT *, max(visit_index) OVER (PARTITION BY split, patient_id) AS last_visit FROM seq_entries)
   GROUP BY split, label, patient_id),
-width AS (SELECT max(feature_id) + 1 AS w FROM feats WHERE split = 'train'),
+width AS (SELECT max(feature_id) + 1 AS w FROM vocab),
 scores AS (
   SELECT split, patient_id, label, score, CASE WHEN score > 1.0::DOUBLE - score THEN 1 ELSE 0 END AS prediction
   FROM (
@@ -233,6 +247,40 @@ cm AS (
          CAST(sum(CASE WHEN label = 1 AND prediction = 1 THEN 1 ELSE 0 END) AS BIGINT) AS c11
   FROM scores GROUP BY split)"""
 
+LINEAR = """
+linear AS (
+  SELECT *, 1.0::DOUBLE / (1.0::DOUBLE + exp(-logit)) AS score FROM (
+    SELECT l.split, l.patient_id, l.is_dead AS label, e.epoch,
+           floor((coalesce(s.total, 0.0::DOUBLE) * e.scale - 0.25::DOUBLE) * 1e6 + 0.5) / 1e6 AS logit
+    FROM labels l
+    CROSS JOIN (VALUES (0, 0.5::DOUBLE), (1, 1.0::DOUBLE), (2, 2.0::DOUBLE)) e(epoch, scale)
+    LEFT JOIN (
+      SELECT split, patient_id, sum(value * (((feature_id * 37) % 101 - 50) / 1000.0::DOUBLE)) AS total FROM cells GROUP BY split, patient_id) s
+      ON l.split = s.split AND l.patient_id = s.patient_id))"""
+
+LINEAR_ONE = """
+one AS (
+  SELECT *, CASE WHEN score > 1.0::DOUBLE - score THEN 1 ELSE 0 END AS prediction, least(greatest(score, 1e-15), 1.0::DOUBLE - 1e-15) AS p
+  FROM linear WHERE epoch = 1)"""
+
+CURVE = """
+curve AS (
+  SELECT CAST(epoch AS INTEGER) AS epoch, split AS phase, count(*) AS n,
+         floor(avg(-(label * ln(p) + (1 - label) * ln(1.0::DOUBLE - p))) * 1e9 + 0.5) / 1e9 AS loss,
+         floor(avg(CASE WHEN label = (CASE WHEN score > 1.0::DOUBLE - score THEN 1 ELSE 0 END) THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END) * 100.0::DOUBLE * 1e9 + 0.5) / 1e9 AS accuracy
+  FROM (SELECT *, least(greatest(score, 1e-15), 1.0::DOUBLE - 1e-15) AS p FROM linear WHERE split IN ('train', 'valid'))
+  GROUP BY epoch, split)"""
+
+# Columns of the raw tables.
+RAW = {
+    "admissions": ["SUBJECT_ID", "HADM_ID", "ADMITTIME"],
+    "diagnoses": ["SUBJECT_ID", "HADM_ID", "ICD9_CODE"],
+    "icustays": ["SUBJECT_ID", "HADM_ID", "ICUSTAY_ID", "LOS"],
+    "labevents": ["SUBJECT_ID", "HADM_ID", "ITEMID", "VALUENUM"],
+    "patients": ["SUBJECT_ID", "DOD_HOSP"],
+    "prescriptions": ["SUBJECT_ID", "HADM_ID", "DRUG"],
+}
+
 EVENTS = f"""
 ev AS (
   SELECT user_id AS patient_id, (CAST(ts AS DATE) - DATE '1970-01-01') * 86400000 AS admit_ms,
@@ -292,9 +340,65 @@ FROM labs_c WHERE VALUENUM IS NULL
     "admission_records": _q(_REC, "SELECT * FROM r_admissions"),
     "csv_front_door": _q(
         (ROLES,),
-        """SELECT SUBJECT_ID, HADM_ID, ICD9_CODE FROM raw_diagnoses
-WHERE SUBJECT_ID IS NOT NULL AND SUBJECT_ID <> '' AND HADM_ID IS NOT NULL AND HADM_ID <> ''
-  AND ICD9_CODE IS NOT NULL AND ICD9_CODE <> ''""",
+        "\nUNION ALL ".join(
+            f"SELECT '{t}' AS table_name, SUBJECT_ID AS subject_id, concat_ws('|', {', '.join(cs[1:])}) AS fields FROM raw_{t} "
+            f"WHERE {hashed('SUBJECT_ID')} % 53 <> 0 AND " + " AND ".join(f"{c} IS NOT NULL AND {c} <> ''" for c in cs)
+            for t, cs in RAW.items()
+        ),
+    ),
+    "record_tables": _q(
+        _REC,
+        """SELECT 'admissions' AS table_name, split, patient_id, concat_ws('|', hadm_id, CAST(admit_ms AS VARCHAR)) AS fields, NULL::DOUBLE AS number FROM r_admissions
+UNION ALL SELECT 'diagnoses', split, patient_id, concat_ws('|', hadm_id, code), NULL FROM r_diagnoses
+UNION ALL SELECT 'icustays', split, patient_id, concat_ws('|', hadm_id, icustay_id), floor(los * 1e9 + 0.5) / 1e9 FROM r_icustays
+UNION ALL SELECT 'labevents', split, patient_id, concat_ws('|', hadm_id, item), floor(value * 1e9 + 0.5) / 1e9 FROM r_labevents
+UNION ALL SELECT 'patients', split, patient_id, CAST(is_dead AS VARCHAR), NULL FROM r_patients
+UNION ALL SELECT 'prescriptions', split, patient_id, concat_ws('|', hadm_id, drug), NULL FROM r_prescriptions""",
+    ),
+    "prepared_round_trip": _q(
+        _REC,
+        "\nUNION ALL ".join(
+            f"SELECT '{t}' AS table_name, split, count(*) AS n, count(DISTINCT patient_id) AS n_patients FROM r_{t} GROUP BY split" for t in RAW
+        ),
+    ),
+    "sorted_sink": _q(
+        _DS,
+        """SELECT 'featureDF_train' AS data_set, count(*) AS n_rows, 0::BIGINT AS rows_out_of_order, 0::BIGINT AS parts_out_of_order FROM lf WHERE split = 'train'
+UNION ALL SELECT 'patientIDLabels_train', count(*), 0, 0 FROM labels WHERE split = 'train'""",
+    ),
+    "sequences_round_trip": _q(
+        _DS,
+        """SELECT 'all' AS written, split, patient_id, label, n_visits, n_entries FROM seq_summary
+UNION ALL SELECT 'one', split, patient_id, label, n_visits, n_entries FROM seq_summary WHERE split = 'test'""",
+    ),
+    "patient_vector_cells": _q(
+        _DS,
+        """SELECT l.split, l.patient_id, l.is_dead AS label, p.feature_id, floor(p.value * 1e9 + 0.5) / 1e9 AS value
+FROM labels l LEFT JOIN (SELECT split, patient_id, feature_id, sum(value) AS value FROM cells GROUP BY split, patient_id, feature_id HAVING sum(value) <> 0) p
+  ON l.split = p.split AND l.patient_id = p.patient_id""",
+    ),
+    "linear_predictions": _q(
+        _DS + (LINEAR,),
+        "SELECT split, patient_id, label, logit, floor(score * 1e9 + 0.5) / 1e9 AS score, CASE WHEN score > 1.0::DOUBLE - score THEN 1 ELSE 0 END AS prediction FROM linear WHERE epoch = 1",
+    ),
+    "linear_report": _q(
+        _DS + (LINEAR, LINEAR_ONE),
+        """SELECT split, 'accuracy' AS metric, floor(avg(CASE WHEN label = prediction THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END) * 100.0::DOUBLE * 1e9 + 0.5) / 1e9 AS value FROM one GROUP BY split
+UNION ALL SELECT split, 'log_loss', floor(avg(-(label * ln(p) + (1 - label) * ln(1.0::DOUBLE - p))) * 1e9 + 0.5) / 1e9 FROM one GROUP BY split
+UNION ALL SELECT a.split, 'auc', floor((sum(CASE WHEN a.score > b.score THEN 1.0::DOUBLE WHEN a.score = b.score THEN 0.5::DOUBLE ELSE 0.0::DOUBLE END) / count(*)) * 1e9 + 0.5) / 1e9
+  FROM one a JOIN one b ON a.split = b.split AND a.label = 1 AND b.label = 0 GROUP BY a.split
+UNION ALL SELECT s.split, 'cell_' || t.l || q.p, CAST(count(o.label) AS DOUBLE)
+  FROM (SELECT DISTINCT split FROM one) s CROSS JOIN (VALUES (0), (1)) t(l) CROSS JOIN (VALUES (0), (1)) q(p)
+  LEFT JOIN one o ON o.split = s.split AND o.label = t.l AND o.prediction = q.p GROUP BY s.split, t.l, q.p""",
+    ),
+    "learning_curve": _q(_DS + (LINEAR, CURVE), "SELECT epoch, phase, n, loss, accuracy FROM curve"),
+    "best_epoch": _q(
+        _DS + (LINEAR, CURVE), "SELECT epoch, accuracy FROM curve WHERE phase = 'valid' AND accuracy > 0 ORDER BY accuracy DESC, epoch LIMIT 1"
+    ),
+    "model_fit_check": _q(
+        _DS,
+        """SELECT (SELECT count(*) FROM labels WHERE split = 'train') AS n_train, (SELECT count(*) FROM labels) AS n_scored,
+       (SELECT CAST(w AS BIGINT) FROM width) AS width, TRUE AS at_optimum, TRUE AS same_scores""",
     ),
     "vocabulary": _q(_REC + (VOCAB,), "SELECT token, feature_id, domain FROM vocab"),
     "vocabulary_sizes": _q(
@@ -303,27 +407,33 @@ WHERE SUBJECT_ID IS NOT NULL AND SUBJECT_ID <> '' AND HADM_ID IS NOT NULL AND HA
        CAST(min(feature_id) AS BIGINT) AS first_id, CAST(max(feature_id) AS BIGINT) AS last_id
 FROM entries GROUP BY domain, domain_rank""",
     ),
-    "indexed_features": _q(_DS, "SELECT * FROM feats"),
+    "indexed_features": _q(_DS, "SELECT * FROM lf"),
     "unknown_tokens": _q(
         _DS,
         """SELECT split, domain, token, CAST(count(*) AS BIGINT) AS n_events FROM attached a
 WHERE NOT EXISTS (SELECT 1 FROM vocab v WHERE v.token = a.token) GROUP BY split, domain, token""",
     ),
     "dataset_labels": _q(_DS, "SELECT * FROM labels"),
-    "features_round_trip": _q(_DS, "SELECT patient_id, admit_ms, feature_id, value FROM feats WHERE split = 'train'"),
-    "num_features": _q(_DS, "SELECT CAST(w AS BIGINT) AS num_features FROM width"),
+    "features_round_trip": _q(_DS, "SELECT split, patient_id, admit_ms, feature_id, value, CAST(is_dead AS INTEGER) AS is_dead FROM lf JOIN labels USING (split, patient_id)"),
+    "num_features": _q(_DS, "SELECT CAST(max(feature_id) + 1 AS BIGINT) AS num_features FROM lf WHERE split = 'train'"),
     "visit_cells": _q(
         _DS, "SELECT split, patient_id, visit_index, admit_ms, feature_id, (floor((value) * 1e9 + 0.5) / 1e9) AS value FROM cells"
     ),
     "sequence_entries": _q(_DS, "SELECT * FROM seq_entries"),
     "sequence_summary": _q(_DS, "SELECT * FROM seq_summary"),
     "padded_batches": _q(
-        _DS,
-        f"""SELECT split, batch_id, position,
-       row_number() OVER (PARTITION BY split, batch_id ORDER BY length DESC, position) - 1 AS slot,
-       patient_id, label, length, max(length) OVER (PARTITION BY split, batch_id) AS padded_length,
-       max(length) OVER (PARTITION BY split, batch_id) - length AS n_padding
-FROM {_batches('(SELECT split, patient_id, label, n_visits AS length FROM seq_summary)', 'split, patient_id, label, length')}""",
+        _DS
+        + (
+            f"""
+slots AS (
+  SELECT split, batch_id, position, row_number() OVER (PARTITION BY split, batch_id ORDER BY length DESC, position) - 1 AS slot,
+         patient_id, label, length, max(length) OVER (PARTITION BY split, batch_id) AS padded_length
+  FROM {_batches('(SELECT split, patient_id, label, n_visits AS length FROM seq_summary)', 'split, patient_id, label, length')})""",
+        ),
+        """SELECT s.*, e.visit_index AS step, e.entry_index, e.feature_id, e.value
+FROM slots s JOIN seq_entries e ON s.split = e.split AND s.patient_id = e.patient_id
+UNION ALL
+SELECT *, unnest(generate_series(length, padded_length - 1)) AS step, 0, NULL, 0.0::DOUBLE FROM slots WHERE padded_length > length""",
     ),
     "shuffled_rows": _q(
         _DS,
@@ -352,7 +462,7 @@ WHERE visit_index = last_visit""",
         _DS,
         """SELECT split, patient_id, visit_index, CAST((SELECT w FROM width) AS BIGINT) AS width,
        CAST(count(*) FILTER (WHERE value <> 0) AS BIGINT) AS nnz, (floor((sum(value)) * 1e9 + 0.5) / 1e9) AS total
-FROM cells WHERE feature_id < (SELECT w FROM width) GROUP BY split, patient_id, visit_index""",
+FROM cells GROUP BY split, patient_id, visit_index""",
     ),
     "rule_scores": _q(_DS, "SELECT * FROM scores"),
     "metric_summary": _q(

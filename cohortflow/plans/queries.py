@@ -8,21 +8,24 @@ with another engine is stable; scores are rounded to 6 decimals before use.
 
 from __future__ import annotations
 
+import uuid
 from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortflow.functions.scores import argmax, sigmoid
-from cohortflow.functions.text import infer_table_name, norm_token
-from cohortflow.operators import clean, cohort as C, features as FT, metrics as M, sequences as S, vocab as V
+from cohortflow.functions.text import norm_token
+from cohortflow.operators import clean, cohort as C, features as FT, metrics as M, model as ML, sequences as S, vocab as V
 from cohortflow.plans import composite as P
 from cohortflow.plans import roles as R
-from cohortflow.session import materialize
+from cohortflow.schemas import RAW_COLUMNS
+from cohortflow.session import Lazy, checkpoint_dir, materialize, track_table
+from cohortflow.sources import load_records_sql, read_features, read_labels, read_prepared, read_sequences, write_features, write_prepared, write_sequences
 
-VISITS_PER_ROW = 256  # sequence rows hold at most this many visits
 BATCH_SIZE = 64
 SHUFFLE_SEED = 0
+INTERCEPT = -0.25  # of the fixed linear model
 
 
 def _r(c, n: int = 9) -> Column:
@@ -33,6 +36,13 @@ def _r(c, n: int = 9) -> Column:
     return F.floor(x * F.lit(scale) + F.lit(0.5)) / F.lit(scale)
 
 
+def _folder(spark: SparkSession, name: str) -> str:
+    """A new folder in the shared checkpoint folder, freed with the stage tables."""
+    path = f"{checkpoint_dir(spark).rstrip('/')}/cohortflow-tables/{name}_{uuid.uuid4().hex}"
+    track_table(spark, path)
+    return path
+
+
 class Stages:
     """Lazily built pipeline stages over one test-data folder."""
 
@@ -41,11 +51,9 @@ class Stages:
         self.sf_dir = sf_dir
 
     @cached_property
-    def raw(self) -> dict[str, DataFrame]:
-        # The role views stand in for the raw files: the line-item join they
-        # share is written once to the checkpoint folder, so later stages scan
-        # it like a file instead of re-running (and inlining) the join and
-        # the dirty-value expressions in every job.
+    def raw(self) -> Lazy:
+        # The role views stand in for the raw files: the line-item join that
+        # three of them share is written once, when the first is read.
         return R.role_tables(self.spark, self.sf_dir, hold=materialize)
 
     @cached_property
@@ -53,7 +61,7 @@ class Stages:
         return P.prepare(self.raw)
 
     @cached_property
-    def recs(self) -> dict[str, DataFrame]:
+    def recs(self) -> Lazy:
         return P.records(self.prep.tables)
 
     def train(self, table: str) -> DataFrame:
@@ -68,22 +76,13 @@ class Stages:
         return P.build_dataset(self.recs, self.vocab)
 
     @cached_property
-    def labelled(self) -> DataFrame:
-        return FT.features_of_labelled(self.ds.features, self.ds.labels)
-
-    @cached_property
-    def cells(self) -> DataFrame:
-        return S.visit_cells(self.labelled)
-
-    @cached_property
-    def width(self) -> int:
-        row = S.num_features(self.ds.features.filter(F.col("split") == "train")).first()
-        return int(row["num_features"] or 0)
+    def matrix(self) -> DataFrame:
+        return S.visit_matrix(self.ds.features)
 
     @cached_property
     def scores(self) -> DataFrame:
         """Deterministic rule score per labelled patient (stands in for a model)."""
-        per = self.labelled.groupBy("split", "patient_id").agg(
+        per = self.ds.features.groupBy("split", "patient_id").agg(
             F.countDistinct("admit_ms").alias("n_visits"), F.countDistinct("feature_id").alias("n_distinct")
         )
         logit = F.lit(0.375) * F.col("n_visits") + F.lit(0.03125) * F.col("n_distinct") - F.lit(2.0)
@@ -95,6 +94,16 @@ class Stages:
             .withColumn("prediction", argmax(F.array(F.lit(1.0) - F.col("score"), F.col("score"))))
         )
 
+    def coefficients(self, scale: float = 1.0) -> DataFrame:
+        """A fixed coefficient table over the vocabulary."""
+        weight = ((F.col("feature_id") * 37) % 101 - 50) / F.lit(1000.0) * F.lit(scale)
+        return self.vocab.table.select("feature_id", weight.alias("weight"))
+
+    def linear(self, scale: float = 1.0) -> DataFrame:
+        """Every labelled patient scored with the fixed coefficients."""
+        pooled = S.pool_sequences(self.matrix, "sum")
+        return ML.linear_scores(pooled, self.ds.labels, self.coefficients(scale), INTERCEPT, digits=6)
+
 
 # ------------------------------------------------------------------ C1
 
@@ -113,7 +122,7 @@ def cohort_split(spark, sf_dir):
 def split_summary(spark, sf_dir):
     st = Stages(spark, sf_dir)
     counts = st.prep.cohort.groupBy("split").agg(F.count(F.lit(1)).cast("bigint").alias("n_patients"))
-    labs = C.restrict_to_cohort(clean.parse_lab_values(st.raw["labevents"]), st.prep.cohort, st.prep.cohort_rows)
+    labs = C.restrict_to_cohort(clean.parse_lab_values(st.raw["labevents"]), st.prep.cohort)
     maxima = C.split_max(clean.drop_null_values(labs)).withColumnRenamed("max_value", "lab_max")
     return counts.join(maxima, "split", "left")
 
@@ -127,26 +136,63 @@ def admission_records(spark, sf_dir):
 
 
 def csv_front_door(spark, sf_dir):
-    """S1-S4 end to end: the raw diagnoses written as headered CSV in the
-    shared folder, registered as a view named from its path (ragged rows
-    dropped), and selected with the present-field statement."""
-    import uuid
-
-    from cohortflow.session import checkpoint_dir, track_table
-    from cohortflow.sources.csv import load_csv_as_table, load_records_sql
-
-    raw = Stages(spark, sf_dir).raw["diagnoses"]
-    path = f"{checkpoint_dir(spark).rstrip('/')}/cohortflow-tables/raw_diagnoses_{uuid.uuid4().hex}.csv"
-    (
-        raw.write.option("header", True)
-        .option("ignoreLeadingWhiteSpace", False)
-        .option("ignoreTrailingWhiteSpace", False)
-        .csv(path)
-    )
-    track_table(spark, path)
-    load_csv_as_table(spark, path)
-    view = infer_table_name(path)
-    return load_records_sql(spark, view, ["SUBJECT_ID", "HADM_ID", "ICD9_CODE"])
+    """S1-S4 end to end: all six raw tables written as headered CSV in the
+    shared folder with ragged rows among them, read as raw tables (S1), registered as views named
+    from their paths (S2, S3; ragged rows dropped), and selected with the
+    present-field statement (S4)."""
+    from cohortflow.sources.csv import load_csv_as_table, read_raw
+
+    raw = Stages(spark, sf_dir).raw
+    folder = _folder(spark, "raw")
+    out = None
+    for table, columns in RAW_COLUMNS.items():
+        last = columns[-1]
+        rows = raw[table]
+        # A value with a bare comma makes its row one column too long.
+        ragged = F.when(F.conv(F.substring(F.md5("SUBJECT_ID"), 1, 4), 16, 10).cast("int") % 53 == 0, F.concat(F.coalesce(last, F.lit("")), F.lit(",extra"))).otherwise(F.col(last))
+        path = f"{folder}/{table}_raw.csv"
+        (
+            rows.withColumn(last, ragged).write.option("header", True).option("quote", "\u0000").option("emptyValue", "")
+            .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
+        )
+        assert read_raw(spark, path, table).columns == columns
+        load_csv_as_table(spark, path)
+        kept = load_records_sql(spark, f"{table}_raw", columns)
+        spark.catalog.dropTempView(f"{table}_raw")  # the plan no longer needs the name
+        rest = [F.col(c) for c in columns[1:]]
+        part = kept.select(F.lit(table).alias("table_name"), F.col("SUBJECT_ID").alias("subject_id"), F.concat_ws("|", *rest).alias("fields"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def record_tables(spark, sf_dir):
+    """S4 + P7: the records of all six contracts, one row each."""
+    recs = Stages(spark, sf_dir).recs
+    out = None
+    for table in P.TABLES:
+        names = [n for n, _, _ in clean.CONTRACTS[table].fields if not n.startswith("_") and n != "patient_id"]
+        text = [n for n in names if n not in ("value", "los")]
+        numbers = [n for n in names if n in ("value", "los")]
+        part = recs[table].select(
+            F.lit(table).alias("table_name"), "split", "patient_id", F.concat_ws("|", *[F.col(n).cast("string") for n in text]).alias("fields"),
+            (_r(numbers[0]) if numbers else F.lit(None).cast("double")).alias("number"),
+        )
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def prepared_round_trip(spark, sf_dir):
+    """K4 + reader: all prepared tables written by split and read back into records."""
+    folder = _folder(spark, "prepared")
+    write_prepared(Stages(spark, sf_dir).prep.tables, folder)
+    recs = P.records(read_prepared(spark, folder))
+    out = None
+    for table in P.TABLES:
+        part = recs[table].groupBy("split").agg(
+            F.count(F.lit(1)).cast("bigint").alias("n"), F.countDistinct("patient_id").cast("bigint").alias("n_patients")
+        ).select(F.lit(table).alias("table_name"), "split", "n", "n_patients")
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 # ------------------------------------------------------------------ C2
@@ -170,7 +216,7 @@ def indexed_features(spark, sf_dir):
 
 def unknown_tokens(spark, sf_dir):
     st = Stages(spark, sf_dir)
-    return FT.unknown_tokens(st.ds.events, st.vocab.table, st.vocab.rows)
+    return FT.unknown_tokens(st.ds.events, st.vocab.table)
 
 
 def dataset_labels(spark, sf_dir):
@@ -178,19 +224,42 @@ def dataset_labels(spark, sf_dir):
 
 
 def features_round_trip(spark, sf_dir):
-    """K2 + S5: training features written as headerless CSV part files in the
-    shared folder and scanned back as a whole folder."""
-    import uuid
+    """K2 + S5: features and labels of every split written as headerless CSV part
+    files in the shared folder, scanned back as whole folders and joined."""
+    ds = Stages(spark, sf_dir).ds
+    out = _folder(spark, "features")
+    found = None
+    for split in ("train", "test", "valid"):
+        write_features(ds.features, ds.labels, out, split, fmt="csv")
+        part = read_features(spark, f"{out}/featureDF_{split}").join(read_labels(spark, f"{out}/patientIDLabels_{split}"), "patient_id")
+        part = part.select(F.lit(split).alias("split"), "patient_id", "admit_ms", "feature_id", "value", "is_dead")
+        found = part if found is None else found.unionByName(part)
+    return found
+
 
-    from cohortflow.session import checkpoint_dir, track_table
-    from cohortflow.sources import read_features, write_features
+def sorted_sink(spark, sf_dir):
+    """O1 + O2: order of the written features and labels: rows out of order inside
+    a part file, and part files whose range overlaps the one before."""
+    from pyspark.sql import Window
 
     ds = Stages(spark, sf_dir).ds
-    out = f"{checkpoint_dir(spark).rstrip('/')}/cohortflow-tables/features_{uuid.uuid4().hex}"
-    train = F.col("split") == "train"
-    write_features(ds.features.filter(train), ds.labels.filter(train), out, "train", fmt="csv")
-    track_table(spark, out)
-    return read_features(spark, f"{out}/featureDF_train")
+    out = _folder(spark, "sorted")
+    write_features(ds.features, ds.labels, out, "train")
+    result = None
+    for name, key in (("featureDF_train", F.struct("patientID", "admitTime")), ("patientIDLabels_train", F.struct("patientID"))):
+        rows = spark.read.parquet(f"{out}/{name}").select(key.alias("k"), F.col("_metadata.file_name").alias("part"), F.col("_metadata.row_index").alias("i"))
+        inside = rows.withColumn("before", F.lag("k").over(Window.partitionBy("part").orderBy("i")))
+        parts = inside.groupBy("part").agg(
+            F.count(F.lit(1)).alias("n"), F.min("k").alias("lo"), F.max("k").alias("hi"), F.sum(F.when(F.col("before") > F.col("k"), 1).otherwise(0)).alias("bad")
+        )
+        # One row per part file.
+        parts = parts.withColumn("last", F.lag("hi").over(Window.orderBy("part")))
+        row = parts.agg(
+            F.sum("n").cast("bigint").alias("n_rows"), F.sum("bad").cast("bigint").alias("rows_out_of_order"),
+            F.sum(F.when(F.col("last") > F.col("lo"), 1).otherwise(0)).cast("bigint").alias("parts_out_of_order"),
+        ).select(F.lit(name).alias("data_set"), "n_rows", "rows_out_of_order", "parts_out_of_order")
+        result = row if result is None else result.unionByName(row)
+    return result
 
 
 def num_features(spark, sf_dir):
@@ -202,30 +271,41 @@ def num_features(spark, sf_dir):
 
 
 def visit_cells(spark, sf_dir):
-    return Stages(spark, sf_dir).cells.withColumn("value", _r("value"))
+    return S.visit_cells(Stages(spark, sf_dir).ds.features).withColumn("value", _r("value"))
 
 
 def sequence_entries(spark, sf_dir):
-    seqs = P.build_sequences(Stages(spark, sf_dir).ds, visits_per_row=VISITS_PER_ROW)
-    return S.sequence_entries(seqs)
+    return S.sequence_entries(P.build_sequences(Stages(spark, sf_dir).ds))
 
 
 def sequence_summary(spark, sf_dir):
-    seqs = P.build_sequences(Stages(spark, sf_dir).ds, visits_per_row=VISITS_PER_ROW)
-    return S.sequence_summary(seqs)
+    return S.sequence_summary(P.build_sequences(Stages(spark, sf_dir).ds))
+
+
+def sequences_round_trip(spark, sf_dir):
+    """K3 + S6: all splits' sequences written at once and one split on its own, read back by split."""
+    out, again = _folder(spark, "sequences"), _folder(spark, "sequences")
+    seqs = materialize(P.build_sequences(Stages(spark, sf_dir).ds))
+    write_sequences(seqs, out)
+    write_sequences(seqs, again, "test")
+    found = None
+    for how, folder, splits in (("all", out, ("train", "test", "valid")), ("one", again, ("train", "test"))):
+        for split in splits:
+            back = read_sequences(spark, f"{folder}/sequences", split)
+            part = S.sequence_summary(back).select(F.lit(how).alias("written"), "split", "patient_id", "label", "n_visits", "n_entries")
+            found = part if found is None else found.unionByName(part)
+    return found
 
 
 # ------------------------------------------------------------------ batches / vectors
 
 
 def padded_batches(spark, sf_dir):
-    seqs = P.build_sequences(Stages(spark, sf_dir).ds)
-    batched = S.assign_batches(seqs, BATCH_SIZE, seed=SHUFFLE_SEED)
-    padded = S.pad_batches(batched)
-    return padded.select(
-        "split", "batch_id", "position", "slot", "patient_id", "label", "length", "padded_length",
-        (F.size("padded") - F.col("length")).cast("bigint").alias("n_padding"),
-    )
+    ds = Stages(spark, sf_dir).ds
+    seqs = materialize(P.build_sequences(ds))
+    lengths = S.sequence_summary(seqs).select("split", "patient_id", "label", F.col("n_visits").alias("length"))
+    slots = materialize(S.batch_slots(S.assign_batches(materialize(lengths), BATCH_SIZE, seed=SHUFFLE_SEED)))
+    return S.pad_batches(S.sequence_entries(seqs).drop("label"), slots)
 
 
 def shuffled_rows(spark, sf_dir):
@@ -235,21 +315,22 @@ def shuffled_rows(spark, sf_dir):
 
 def pooled(how: str):
     def q(spark: SparkSession, sf_dir: str) -> DataFrame:
-        cells = Stages(spark, sf_dir).cells
+        matrix = Stages(spark, sf_dir).matrix
         if how == "mean":
             # Mean of the 9-decimal sum: exact ties of a rounded mean would
             # depend on summation order, this does not.
-            return S.pool_sequences(cells, how, sum_digits=9)
-        return S.pool_sequences(cells, how).withColumn("value", _r("value"))
+            return S.pool_sequences(matrix, how, sum_digits=9)
+        return S.pool_sequences(matrix, how).withColumn("value", _r("value"))
 
     return q
 
 
 def visit_vectors(spark, sf_dir):
+    """Entries of every visit vector, read out of the sparse vectors."""
     from pyspark.ml.functions import vector_to_array
 
     st = Stages(spark, sf_dir)
-    vecs = S.visit_vectors(st.cells, max(st.width, 1))
+    vecs = S.visit_vectors(S.visit_cells(st.ds.features), st.vocab.width)
     arr = vector_to_array("features")
     return vecs.select(
         "split", "patient_id", "visit_index",
@@ -259,6 +340,19 @@ def visit_vectors(spark, sf_dir):
     )
 
 
+def patient_vector_cells(spark, sf_dir):
+    """X3 + J5: the non-zero entries of every labelled patient's vector (one null entry
+    for an empty one)."""
+    from pyspark.ml.functions import vector_to_array
+
+    st = Stages(spark, sf_dir)
+    vecs = P.patient_vector_table(st.ds, st.vocab.width)
+    cells = F.transform(vector_to_array("features"), lambda x, i: F.struct(i.cast("bigint").alias("feature_id"), x.alias("value")))
+    full = vecs.select("split", "patient_id", "label", F.filter(cells, lambda c: c["value"] != 0).alias("cells"))
+    e = full.select("split", "patient_id", "label", F.explode_outer("cells").alias("c"))
+    return e.select("split", "patient_id", "label", F.col("c.feature_id").alias("feature_id"), _r("c.value").alias("value"))
+
+
 # ------------------------------------------------------------------ metrics
 
 
@@ -317,26 +411,83 @@ def event_visit_cells(spark, sf_dir):
 
 
 def event_sequence_entries(spark, sf_dir):
-    return S.sequence_entries(S.sequences(_event_features(spark, sf_dir), VISITS_PER_ROW))
+    return S.sequence_entries(S.sequences(_event_features(spark, sf_dir)))
 
 
 # ------------------------------------------------------------------ model (no SQL oracle)
 
 
 def model_predictions(spark, sf_dir):
-    run = P.run_model(Stages(spark, sf_dir).ds, max_iter=50)
+    run = P.run_model(Stages(spark, sf_dir).ds)
     return run.report["predictions"].drop("logits")
 
 
 def model_evaluation(spark, sf_dir):
-    st = Stages(spark, sf_dir)
-    run = P.run_model(st.ds, max_iter=50)
+    run = P.run_model(Stages(spark, sf_dir).ds)
     pred = run.report["predictions"]
     return pred.groupBy("split").agg(
         F.count(F.lit(1)).cast("bigint").alias("n"), M.accuracy_expr(), M.log_loss_expr()
     ).join(M.roc_auc(pred, by=["split"]), "split")
 
 
+def model_fit_check(spark, sf_dir):
+    """L1: the fitted logistic model is an optimum (its gradient vanishes) and scores the
+    same as its coefficient table joined to the pooled cells."""
+    st = Stages(spark, sf_dir)
+    vectors = materialize(P.patient_vector_table(st.ds, st.vocab.width))
+    train = vectors.filter("split = 'train'")
+    model = ML.train_classifier(train, max_iter=300)
+    table, intercept = ML.coefficient_table(model, spark)
+    pooled = materialize(S.pool_sequences(st.matrix, "sum"))
+    scored = materialize(ML.linear_scores(pooled, st.ds.labels, table, intercept))
+    norm = ML.gradient_norm(pooled.filter("split = 'train'"), scored.filter("split = 'train'"), table)
+    other = ML.predict(model, vectors).select("split", "patient_id", F.col("score").alias("fitted"))
+    gap = scored.join(other, ["split", "patient_id"]).agg(F.max(F.abs(F.col("score") - F.col("fitted"))).alias("gap"), F.count(F.lit(1)).alias("n")).first()
+    return train.agg(F.count(F.lit(1)).cast("bigint").alias("n_train")).select(
+        "n_train", F.lit(int(gap["n"])).cast("bigint").alias("n_scored"), F.lit(st.vocab.width).cast("bigint").alias("width"),
+        F.lit(norm < 1e-3).alias("at_optimum"), F.lit(float(gap["gap"]) < 1e-6).alias("same_scores"),
+    )
+
+
+# ------------------------------------------------------------------ linear model with fixed coefficients
+
+
+def linear_predictions(spark, sf_dir):
+    """L3 + P15 + P16: every labelled patient scored with the fixed coefficients."""
+    s = Stages(spark, sf_dir).linear()
+    return s.select("split", "patient_id", "label", "logit", _r("score").alias("score"), "prediction")
+
+
+def linear_report(spark, sf_dir):
+    """L2 + L4: accuracy, loss, AUC and confusion cells per split, as (metric, value)."""
+    scored = materialize(Stages(spark, sf_dir).linear())
+    tables = ML.report_tables(scored, by=["split"])
+    one = lambda df, c: df.select("split", F.lit(c).alias("metric"), _r(F.col(c).cast("double")).alias("value"))
+    cm = tables["confusion"].select("split", F.concat(F.lit("cell_"), F.col("label"), F.col("prediction")).alias("metric"), F.col("n").cast("double").alias("value"))
+    out = one(tables["accuracy"], "accuracy").unionByName(one(tables["log_loss"], "log_loss"))
+    return out.unionByName(one(tables["auc"], "auc")).unionByName(cm)
+
+
+def _fixed_curve(spark, sf_dir) -> DataFrame:
+    st = Stages(spark, sf_dir)
+    curve = None
+    for epoch, scale in enumerate((0.5, 1.0, 2.0)):
+        phases = st.linear(scale).filter(F.col("split").isin("train", "valid")).withColumnRenamed("split", "phase")
+        rows = ML.phase_metrics(phases, epoch)
+        curve = rows if curve is None else curve.unionByName(rows)
+    return curve.withColumn("loss", _r("loss")).withColumn("accuracy", _r("accuracy"))
+
+
+def learning_curve(spark, sf_dir):
+    """Loss and accuracy per epoch and phase (fixed coefficients, growing)."""
+    return _fixed_curve(spark, sf_dir)
+
+
+def best_epoch(spark, sf_dir):
+    """The first epoch with the best validation accuracy."""
+    return M.best_epoch(_fixed_curve(spark, sf_dir).filter("phase = 'valid'")).select("epoch", "accuracy")
+
+
 QUERIES = {
     "prepared_admissions": prepared("admissions"),
     "prepared_diagnoses": prepared("diagnoses"),
@@ -349,12 +500,22 @@ QUERIES = {
     "rejects": rejects,
     "admission_records": admission_records,
     "csv_front_door": csv_front_door,
+    "record_tables": record_tables,
+    "prepared_round_trip": prepared_round_trip,
     "vocabulary": vocabulary,
     "vocabulary_sizes": vocabulary_sizes,
     "indexed_features": indexed_features,
     "unknown_tokens": unknown_tokens,
     "dataset_labels": dataset_labels,
     "features_round_trip": features_round_trip,
+    "sorted_sink": sorted_sink,
+    "sequences_round_trip": sequences_round_trip,
+    "patient_vector_cells": patient_vector_cells,
+    "linear_predictions": linear_predictions,
+    "linear_report": linear_report,
+    "learning_curve": learning_curve,
+    "best_epoch": best_epoch,
+    "model_fit_check": model_fit_check,
     "num_features": num_features,
     "visit_cells": visit_cells,
     "sequence_entries": sequence_entries,

@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortflow.session import spread
+from cohortflow.session import Lazy
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str, cols: list[str]) -> DataFrame:
@@ -31,83 +31,107 @@ def _lpad_num(c, width: int, pad: str):
     return F.lpad(c.cast("string"), width, pad)
 
 
-def role_tables(spark: SparkSession, sf_dir: str, hold=None) -> dict[str, DataFrame]:
-    """The six raw tables (all columns string) derived from ``sf_dir``.
+def subject(key: str):
+    """Patient id text of a customer key: some ids are not numbers, and every
+    twentieth customer's orders belong to patient 1, whose history is long."""
+    c = F.col(key)
+    return F.when(c % 41 == 7, F.concat(F.lit("P"), c.cast("string"))).when(c % 20 == 1, F.lit("1")).otherwise(c.cast("string"))
 
-    The three line-item roles share one join of line items with their order
-    and part; ``hold`` (e.g. ``session.materialize``) is applied to that one
-    wide table, so callers that read the roles many times pay the join once.
-    """
-    customer = _read(spark, sf_dir, "customer", ["c_custkey", "c_acctbal"])
-    orders = _read(spark, sf_dir, "orders", ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate"])
-    # The largest input: spread a scan with too few splits over the cluster.
-    lineitem = spread(_read(spark, sf_dir, "lineitem", ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity"]))
-    part = _read(spark, sf_dir, "part", ["p_partkey", "p_name", "p_brand"])
-
-    patients = customer.select(
-        _s("c_custkey").alias("SUBJECT_ID"),
-        F.when(F.col("c_acctbal") < 0, F.lit("x")).alias("DOD_HOSP"),
-    )
-
-    hour = _lpad_num(F.col("o_orderkey") % 24, 2, "0")
-    admit = F.when(
-        F.col("o_orderkey") % 199 == 0,
-        F.concat(F.date_format("o_orderdate", "yyyy"), F.lit("-13-45 00:00:00")),
-    ).otherwise(F.concat(F.date_format("o_orderdate", "yyyy-MM-dd"), F.lit(" "), hour, F.lit(":00:00")))
-    admissions = orders.select(
-        _s("o_custkey").alias("SUBJECT_ID"), _s("o_orderkey").alias("HADM_ID"), admit.alias("ADMITTIME")
-    )
 
-    icustays = orders.select(
-        _s("o_custkey").alias("SUBJECT_ID"),
-        _s("o_orderkey").alias("HADM_ID"),
-        F.when(F.col("o_orderstatus") == "O", F.lit(None).cast("string")).otherwise(_s("o_orderkey")).alias("ICUSTAY_ID"),
-        F.when(F.col("o_orderkey") % 11 == 0, F.lit(None).cast("string"))
-        .otherwise((F.col("o_totalprice") / F.lit(10000)).cast("string"))
-        .alias("LOS"),
-    )
+def role_tables(spark: SparkSession, sf_dir: str, hold=None) -> Lazy:
+    """The six raw tables (all columns string) derived from ``sf_dir``.
 
-    # Line items of an order, with their part (left join: a line item without
-    # a part still is a diagnosis row; medication and lab rows need the part).
-    li = lineitem.join(orders.select("o_orderkey", "o_custkey"), F.col("l_orderkey") == F.col("o_orderkey"))
-    lip = li.join(part, F.col("l_partkey") == F.col("p_partkey"), "left")
-    pk = F.col("l_partkey")
-    code = (
-        F.when(pk % 61 == 0, F.lit(None).cast("string"))
-        .when(pk % 53 == 0, F.lit("   "))
-        .when(pk % 59 == 0, F.concat(F.lit("\t"), _lpad_num(pk % 10000, 5, "0"), F.lit(" ")))
-        .when(pk % 10 == 0, F.concat(F.lit("E"), _lpad_num(pk % 1000, 4, "8")))
-        .otherwise(_lpad_num(pk % 10000, 5, "0"))
-    )
-    drug = F.when(
-        F.col("l_linenumber") % 2 == 0, F.concat(F.lit("  "), F.upper("p_name"), F.lit(" "))
-    ).otherwise(F.col("p_name"))
-    sk = F.col("l_suppkey")
-    value = F.when(sk % 13 == 0, F.lit("n/a")).when(sk % 17 == 0, F.lit("")).otherwise(_s("l_quantity"))
-    wide = lip.select(
-        _s("o_custkey").alias("SUBJECT_ID"),
-        _s("l_orderkey").alias("HADM_ID"),
-        code.alias("ICD9_CODE"),
-        F.col("p_partkey").isNotNull().alias("HAS_PART"),
-        drug.alias("DRUG"),
-        F.when(sk % 19 == 0, F.lit(None).cast("string")).otherwise(_s("l_orderkey")).alias("LAB_HADM_ID"),
-        F.col("p_brand").alias("ITEMID"),
-        value.alias("VALUENUM"),
+    Tables are built on first access.  The three line-item roles share one join
+    of line items with their order and part; ``hold`` (e.g. ``session.materialize``)
+    is applied to that one wide table when the first of them is read.
+    """
+    null = F.lit(None).cast("string")
+
+    def orders():
+        return _read(spark, sf_dir, "orders", ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate"])
+
+    def patients():
+        # Some cohort patients have no patient row (events without a label).
+        customer = _read(spark, sf_dir, "customer", ["c_custkey", "c_acctbal"]).filter(F.col("c_custkey") % 37 != 5)
+        sid = F.when(F.col("c_custkey") % 41 == 7, F.concat(F.lit("P"), _s("c_custkey"))).otherwise(_s("c_custkey"))
+        return customer.select(sid.alias("SUBJECT_ID"), F.when(F.col("c_acctbal") < 0, F.lit("x")).alias("DOD_HOSP"))
+
+    def admissions():
+        key = F.col("o_orderkey")
+        # Impossible dates, and patients all of whose dates are partial.
+        partial = F.when(key % 2 == 0, F.date_format("o_orderdate", "yyyy")).otherwise(F.date_format("o_orderdate", "yyyy-MM"))
+        whole = F.concat(F.date_format("o_orderdate", "yyyy-MM-dd"), F.lit(" "), _lpad_num(key % 24, 2, "0"), F.lit(":00:00"))
+        admit = (
+            F.when(key % 199 == 0, F.concat(F.date_format("o_orderdate", "yyyy"), F.lit("-13-45 00:00:00")))
+            .when(F.col("o_custkey") % 31 == 3, partial)
+            .otherwise(whole)
+        )
+        # Every 101st admission is listed twice.
+        times = F.explode(F.when(key % 101 == 9, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))).alias("times")
+        rows = orders().select(subject("o_custkey").alias("SUBJECT_ID"), _s("o_orderkey").alias("HADM_ID"), admit.alias("ADMITTIME"), times)
+        return rows.drop("times")
+
+    def icustays():
+        return orders().select(
+            subject("o_custkey").alias("SUBJECT_ID"),
+            _s("o_orderkey").alias("HADM_ID"),
+            F.when(F.col("o_orderstatus") == "O", null).otherwise(_s("o_orderkey")).alias("ICUSTAY_ID"),
+            F.when(F.col("o_orderkey") % 11 == 0, null).otherwise((F.col("o_totalprice") / F.lit(10000)).cast("string")).alias("LOS"),
+        )
+
+    def wide():
+        # Line items of an order, with their part (left join: a line item without
+        # a part still is a diagnosis row; medication and lab rows need the part).
+        lineitem = _read(spark, sf_dir, "lineitem", ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity"])
+        part = _read(spark, sf_dir, "part", ["p_partkey", "p_name", "p_brand"])
+        li = lineitem.join(orders().select("o_orderkey", "o_custkey"), F.col("l_orderkey") == F.col("o_orderkey"))
+        lip = li.join(part, F.col("l_partkey") == F.col("p_partkey"), "left")
+        pk, ok, sk = F.col("l_partkey"), F.col("l_orderkey"), F.col("l_suppkey")
+        plain = _lpad_num(pk % 10000, 5, "0")
+        code = (
+            F.when(pk % 61 == 0, null)
+            .when(pk % 53 == 0, F.lit("   "))
+            .when(pk % 59 == 0, F.concat(F.lit("\t"), plain, F.lit(" ")))
+            .when(pk % 10 == 0, F.concat(F.lit("E"), _lpad_num(pk % 1000, 4, "8")))
+            .otherwise(plain)
+        )
+        # A drug of one patient only (unknown outside its split), a drug named
+        # like a diagnosis category, and an empty name.
+        drug = (
+            F.when(ok % 97 == 5, F.concat(F.lit("rare "), _s("o_custkey")))
+            .when(ok % 89 == 7, F.substring(plain, 1, 3))
+            .when((F.col("l_linenumber") == 3) & (pk % 7 == 0), F.lit(""))
+            .when(F.col("l_linenumber") % 2 == 0, F.concat(F.lit("  "), F.upper("p_name"), F.lit(" ")))
+            .otherwise(F.col("p_name"))
+        )
+        value = F.when(sk % 13 == 0, F.lit("n/a")).when(sk % 17 == 0, F.lit("")).otherwise(_s("l_quantity"))
+        out = lip.select(
+            subject("o_custkey").alias("SUBJECT_ID"),
+            _s("l_orderkey").alias("HADM_ID"),
+            code.alias("ICD9_CODE"),
+            F.col("p_partkey").isNotNull().alias("HAS_PART"),
+            drug.alias("DRUG"),
+            F.when(sk % 19 == 0, null).otherwise(_s("l_orderkey")).alias("LAB_HADM_ID"),
+            F.when(pk % 43 == 0, null).otherwise(F.col("p_brand")).alias("ITEMID"),
+            value.alias("VALUENUM"),
+        )
+        return hold(out) if hold is not None else out
+
+    shared = Lazy({"wide": wide})
+
+    def with_part():
+        return shared["wide"].filter(F.col("HAS_PART"))
+
+    return Lazy(
+        {
+            "admissions": admissions,
+            "diagnoses": lambda: shared["wide"].select("SUBJECT_ID", "HADM_ID", "ICD9_CODE"),
+            "icustays": icustays,
+            "labevents": lambda: with_part().select("SUBJECT_ID", F.col("LAB_HADM_ID").alias("HADM_ID"), "ITEMID", "VALUENUM"),
+            "patients": patients,
+            "prescriptions": lambda: with_part().select("SUBJECT_ID", "HADM_ID", "DRUG"),
+        }
     )
-    if hold is not None:
-        wide = hold(wide)
-    with_part = wide.filter(F.col("HAS_PART"))
-    diagnoses = wide.select("SUBJECT_ID", "HADM_ID", "ICD9_CODE")
-    prescriptions = with_part.select("SUBJECT_ID", "HADM_ID", "DRUG")
-    labevents = with_part.select("SUBJECT_ID", F.col("LAB_HADM_ID").alias("HADM_ID"), "ITEMID", "VALUENUM")
-    return {
-        "admissions": admissions,
-        "diagnoses": diagnoses,
-        "icustays": icustays,
-        "labevents": labevents,
-        "patients": patients,
-        "prescriptions": prescriptions,
-    }
 
 
 def event_table(spark: SparkSession, sf_dir: str) -> DataFrame:

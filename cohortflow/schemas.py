@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
+# --- fixed values of the data contract (must equal the original's) ---------
 # Raw input tables and the columns the engine reads from each.
 RAW_COLUMNS: dict[str, list[str]] = {
     "admissions": ["SUBJECT_ID", "HADM_ID", "ADMITTIME"],
@@ -44,10 +45,7 @@ DEFAULT_SEED = 1
 
 # Domains of the vocabulary, in overwrite order (a later domain wins a token).
 DOMAINS = ("diagnosis", "medication", "lab", "icu")
-
-
-def all_string(columns: list[str]) -> T.StructType:
-    return T.StructType([T.StructField(c, T.StringType(), True) for c in columns])
+# ---------------------------------------------------------------------------
 
 
 FEATURES_SCHEMA = T.StructType(
@@ -69,4 +67,3 @@ LABELS_SCHEMA = T.StructType(
 PAIR = T.StructType(
     [T.StructField("feature_id", T.LongType(), True), T.StructField("value", T.DoubleType(), True)]
 )
-SEQUENCE_TYPE = T.ArrayType(T.ArrayType(PAIR))

@@ -11,7 +11,10 @@ from __future__ import annotations
 import atexit
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator, Mapping
+from contextlib import contextmanager
 
+from py4j.protocol import Py4JError
 from pyspark.sql import DataFrame, SparkSession
 
 # Confs the engine is written for (all are public Spark settings).
@@ -31,6 +34,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     for k, v in RECOMMENDED_CONF.items():
         b = b.config(k, v)
     b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    # Scans of the small test files split finely enough to use every core.
+    b = b.config("spark.sql.files.maxPartitionBytes", "2m").config("spark.sql.files.openCostInBytes", "256k")
     b = b.config("spark.driver.memory", "8g")
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
@@ -53,15 +58,23 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or conf_dir
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin a scan that yields fewer partitions than the cluster's
-    parallelism (e.g. one big unsplittable file), so the stages before the
-    first shuffle do not run in a single task.  Scans of large inputs already
-    have enough splits and are returned unchanged (no extra shuffle)."""
-    target = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
-    return df
+class Lazy(Mapping):
+    """A mapping whose values are built on first access."""
+
+    def __init__(self, builders: dict[str, Callable]):
+        self._builders = builders
+        self._built: dict = {}
+
+    def __getitem__(self, key: str):
+        if key not in self._built:
+            self._built[key] = self._builders[key]()
+        return self._built[key]
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(self._builders)
+
+    def __len__(self) -> int:
+        return len(self._builders)
 
 
 def materialize(df: DataFrame) -> DataFrame:
@@ -76,31 +89,47 @@ def materialize(df: DataFrame) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/cohortflow-tables/{uuid.uuid4().hex}"
-    df.write.mode("error").parquet(path)
     track_table(spark, path)
-    return spark.read.parquet(path)
+    df.write.mode("error").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
-_WRITTEN: list[tuple[SparkSession, str]] = []
+# (path, Hadoop path, its file system): the Java objects outlive the session.
+_WRITTEN: list[tuple] = []
 
 
 def track_table(spark: SparkSession, path: str) -> None:
-    """Register a folder this process wrote for deletion at exit."""
+    """Register a folder this process writes, for deletion by ``release_tables``."""
     if not _WRITTEN:
         atexit.register(release_tables)
-    _WRITTEN.append((spark, path))
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    _WRITTEN.append((path, p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())))
 
 
 def release_tables(paths: list[str] | None = None) -> None:
-    """Delete stage tables this process wrote: the given ones, or all of them
-    (best effort; all of them also at exit)."""
-    chosen = [w for w in _WRITTEN if paths is None or w[1] in paths]
+    """Delete stage tables this process wrote: the given ones, or all of them.
+
+    Also works after ``spark.stop()`` (the file system objects are kept), so the
+    call at exit leaves an empty folder behind.
+    """
+    wanted = None if paths is None else {p.split(":", 1)[-1].lstrip("/") for p in paths}
+    chosen = [w for w in _WRITTEN if wanted is None or w[0].split(":", 1)[-1].lstrip("/") in wanted]
     for w in chosen:
         _WRITTEN.remove(w)
-    for spark, path in chosen:
         try:
-            jvm = spark.sparkContext._jvm
-            p = jvm.org.apache.hadoop.fs.Path(path)
-            p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
-        except Exception:  # noqa: BLE001 - session already gone: leave it to the folder's lifecycle
-            pass
+            w[2].delete(w[1], True)
+        except (Py4JError, OSError):  # the JVM is gone: nothing can be deleted from here
+            return
+
+
+@contextmanager
+def stage_scope(spark: SparkSession):
+    """Free every stage table written inside the block when it ends.
+
+    Results must be written or collected inside the block.
+    """
+    before = {w[0] for w in _WRITTEN}
+    try:
+        yield spark
+    finally:
+        release_tables([w[0] for w in _WRITTEN if w[0] not in before])

@@ -2,34 +2,33 @@
 
 from cohortflow.sources.csv import (
     load_csv_as_table,
+    load_records,
     load_records_sql,
     read_raw,
     read_raw_tables,
-    union_all,
 )
-from cohortflow.sources.features_io import read_features, read_labels, read_sequences
+from cohortflow.sources.features_io import read_features, read_labels, read_prepared, read_sequences
 from cohortflow.sources.sinks import (
     load_model,
     save_model,
     write_features,
     write_prepared,
     write_sequences,
-    write_single_csv,
 )
 
 __all__ = [
     "load_csv_as_table",
+    "load_records",
     "load_records_sql",
     "read_raw",
     "read_raw_tables",
-    "union_all",
     "read_features",
     "read_labels",
+    "read_prepared",
     "read_sequences",
     "load_model",
     "save_model",
     "write_features",
     "write_prepared",
     "write_sequences",
-    "write_single_csv",
 ]

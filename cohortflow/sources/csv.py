@@ -7,12 +7,12 @@ so later runs get column pruning and predicate pushdown.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from cohortflow.functions.text import infer_table_name
-from cohortflow.schemas import RAW_COLUMNS, RAW_FILES
+from cohortflow.operators.clean import to_records
+from cohortflow.schemas import PREPARED_COLUMNS, RAW_COLUMNS, RAW_FILES
 
 
 def read_raw(spark: SparkSession, path: str, table: str) -> DataFrame:
@@ -54,18 +54,29 @@ def load_records_sql(spark: SparkSession, view: str, columns: list[str]) -> Data
     """SELECT the columns of a view where every one is present.
 
     One parametrised statement replaces the per-table, per-split copies:
-    the view name is bound through ``IDENTIFIER``.
+    the view name is bound through ``IDENTIFIER``, column names are quoted.
     """
-    present = " AND ".join(f"{c} IS NOT NULL AND {c} <> ''" for c in columns)
-    cols = ", ".join(columns)
-    return spark.sql(
-        f"SELECT {cols} FROM IDENTIFIER(:view) WHERE {present}",
-        args={"view": view},
-    )
+    names = ["`" + c.replace("`", "``") + "`" for c in columns]
+    present = " AND ".join(f"{c} IS NOT NULL AND {c} <> ''" for c in names)
+    return spark.sql(f"SELECT {', '.join(names)} FROM IDENTIFIER(:view) WHERE {present}", args={"view": view})
 
 
-def union_all(dfs: list[DataFrame]) -> DataFrame:
-    return reduce(lambda a, b: a.unionByName(b), dfs)
+def load_records(spark: SparkSession, folder: str, table: str, split: str | None = None) -> DataFrame:
+    """S4 for one table of a folder of CSV files, as typed records.
+
+    ``folder/<table>_<split>`` (``.csv`` file or folder of part files) with a
+    split, ``folder/<table>`` without; ragged rows are dropped and the
+    table's record contract applied.  The temporary view lives only here.
+    """
+    name = f"{table}_{split}" if split else table
+    df = load_csv_as_table(spark, f"{folder.rstrip('/')}/{name}.csv", name)
+    try:
+        kept = load_records_sql(spark, name, PREPARED_COLUMNS[table])
+    finally:
+        spark.catalog.dropTempView(name)
+    if "split" in df.columns or split is None:
+        return to_records(kept, table)
+    return to_records(kept.withColumn("split", F.lit(split)), table)
 
 
 __all__ = [
@@ -73,6 +84,6 @@ __all__ = [
     "read_raw_tables",
     "load_csv_as_table",
     "load_records_sql",
+    "load_records",
     "infer_table_name",
-    "union_all",
 ]

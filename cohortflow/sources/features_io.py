@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortflow.schemas import FEATURES_SCHEMA, LABELS_SCHEMA
+from cohortflow.schemas import FEATURES_SCHEMA, LABELS_SCHEMA, PREPARED_COLUMNS
 
 
 def _names(spark: SparkSession, path: str) -> list[str]:
@@ -54,3 +54,17 @@ def read_sequences(spark: SparkSession, path: str, split: str | None = None) ->
     if split is not None and "split" in df.columns:
         df = df.filter(F.col("split") == split)
     return df
+
+
+def read_prepared(spark: SparkSession, folder: str, fmt: str = "parquet") -> dict[str, DataFrame]:
+    """The prepared tables written by ``write_prepared``: prepared columns plus ``split``.
+
+    The split comes back from the folder names; numbers of a CSV layout are
+    cast to the types ``prepare`` yields.
+    """
+    out = {}
+    for table, columns in PREPARED_COLUMNS.items():
+        df = spark.read.option("header", True).option("inferSchema", False).format(fmt).load(f"{folder.rstrip('/')}/{table}")
+        kinds = {"LOS": "double", "VALUENUM": "double", "IS_DEAD": "int"}
+        out[table] = df.select(*[F.col(c).cast(kinds.get(c, "string")).alias(c) for c in columns], F.col("split").cast("string").alias("split"))
+    return out

@@ -1,8 +1,8 @@
 """Sinks (K1-K5).
 
 The default layout is one parquet data set per table, partitioned by split,
-written by one job per table.  The single-file CSV of the original layout is
-opt-in and refuses outputs over a row bound, since it funnels through one task.
+written by one job per table.  (The original's one CSV file per table would pull
+every row through one task and is not offered.)
 """
 
 from __future__ import annotations
@@ -19,37 +19,28 @@ def write_prepared(tables: dict[str, DataFrame], out: str, fmt: str = "parquet",
         df.write.mode(mode).partitionBy("split").format(fmt).option("header", True).save(f"{out}/{name}")
 
 
-def write_single_csv(df: DataFrame, out_dir: str, file_name: str, max_rows: int = 5_000_000) -> str:
-    """K1: one headered CSV file with a fixed name (small outputs only)."""
-    n = df.count()
-    if n > max_rows:
-        raise ValueError(f"{n} rows is too many for one file; use write_prepared")
-    spark = df.sparkSession
-    tmp = f"{out_dir}/_{file_name}.parts"
-    df.coalesce(1).write.mode("overwrite").option("header", True).csv(tmp)
-    jvm = spark._jvm
-    conf = spark._jsc.hadoopConfiguration()
-    src_dir = jvm.org.apache.hadoop.fs.Path(tmp)
-    fs = src_dir.getFileSystem(conf)
-    part = [s.getPath() for s in fs.listStatus(src_dir) if s.getPath().getName().startswith("part-")][0]
-    dst = jvm.org.apache.hadoop.fs.Path(f"{out_dir}/{file_name}")
-    if fs.exists(dst):
-        fs.delete(dst, False)
-    fs.rename(part, dst)
-    fs.delete(src_dir, True)
-    return f"{out_dir}/{file_name}"
-
-
 def _split_dir(split: str) -> str:
     if split not in SPLIT_DIRS:
         raise ValueError(f"unknown split {split!r}; expected one of {sorted(SPLIT_DIRS)}")
     return SPLIT_DIRS[split]
 
 
+def _of_split(df: DataFrame, split: str) -> DataFrame:
+    """The rows of one split: filtered by the ``split`` column where there is one."""
+    if "split" not in df.columns:
+        return df
+    names = sorted(k for k, v in SPLIT_DIRS.items() if v == _split_dir(split))
+    return df.filter(F.col("split").isin(*names)).drop("split")
+
+
 def write_features(features: DataFrame, labels: DataFrame, out: str, split: str, fmt: str = "parquet") -> None:
-    """K2: features and labels of one split, sorted by (patient, visit time)."""
+    """K2: features and labels of one split, sorted by (patient, visit time) and by patient.
+
+    Frames that hold all splits are filtered to ``split``; frames without a
+    split column are taken to hold that split alone.
+    """
     d = _split_dir(split)
-    feats = features.select(
+    feats = _of_split(features, split).select(
         F.col("patient_id").alias("patientID"),
         F.col("admit_ms").alias("admitTime"),
         F.col("feature_id").alias("featureID"),
@@ -57,19 +48,24 @@ def write_features(features: DataFrame, labels: DataFrame, out: str, split: str,
     )
     # Range partitioning + local sort: a global order without a single task.
     feats = feats.repartitionByRange("patientID", "admitTime").sortWithinPartitions("patientID", "admitTime")
-    labs = labels.select(F.col("patient_id").alias("patientID"), F.col("is_dead").alias("IS_DEAD"))
+    labs = _of_split(labels, split).select(F.col("patient_id").alias("patientID"), F.col("is_dead").alias("IS_DEAD"))
+    labs = labs.repartitionByRange("patientID").sortWithinPartitions("patientID")
     feats.write.mode("overwrite").format(fmt).save(f"{out}/featureDF_{d}")
     labs.write.mode("overwrite").format(fmt).save(f"{out}/patientIDLabels_{d}")
 
 
 def write_sequences(seqs: DataFrame, out: str, split: str | None = None) -> None:
-    """K3: sequences, patient ids and labels in one keyed parquet data set."""
-    w = seqs.write.mode("overwrite")
-    if split is None and "split" in seqs.columns:
-        w = w.partitionBy("split")
-        w.parquet(f"{out}/sequences")
+    """K3: sequences, patient ids and labels in one keyed parquet data set.
+
+    Without ``split`` the frame must have a ``split`` column and every split is
+    written to its own folder; with it, only that split's rows are written.
+    """
+    if split is None:
+        if "split" not in seqs.columns:
+            raise ValueError("sequences without a split column need the split to write")
+        seqs.write.mode("overwrite").partitionBy("split").parquet(f"{out}/sequences")
     else:
-        w.parquet(f"{out}/sequences/split={_split_dir(split or 'train')}")
+        _of_split(seqs, split).write.mode("overwrite").parquet(f"{out}/sequences/split={_split_dir(split)}")
 
 
 def save_model(model, path: str) -> None:

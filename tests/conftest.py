@@ -13,6 +13,9 @@ def spark():
     s = local_session(4, shuffle_partitions=4, app="cohortflow-tests")
     checkpoint_dir(s)
     yield s
+    from cohortflow.session import release_tables
+
+    release_tables()
     s.stop()
 
 

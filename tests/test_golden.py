@@ -59,12 +59,13 @@ def test_sequences_and_padding(golden):
     assert lengths == {1: 2, 2: 1, 5: 1}
     first = [r for r in seqs.collect() if r.patient_id == 1][0].seq[0]
     assert [(p.feature_id, p.value) for p in first] == [(0, 1.0), (0, 1.0), (7, 1.0), (7, 1.0), (9, 0.125), (9, 0.25), (11, 1.5)]
-    batched = S.pad_batches(S.assign_batches(seqs, 64))
-    rows = sorted(batched.collect(), key=lambda r: r.position)
-    assert [r.patient_id for r in rows] == [1, 2, 5]
-    assert [r.slot for r in rows] == [0, 1, 2]
-    assert [len(r.padded) for r in rows] == [2, 2, 2]
-    assert rows[1].padded[1] == [] and rows[2].padded[1] == []
+    summary = S.sequence_summary(seqs).select("split", "patient_id", "label", F.col("n_visits").alias("length"))
+    slots = S.batch_slots(S.assign_batches(summary, 64))
+    rows = sorted(slots.collect(), key=lambda r: r.position)
+    assert [(r.patient_id, r.slot, r.length, r.padded_length) for r in rows] == [(1, 0, 2, 2), (2, 1, 1, 2), (5, 2, 1, 2)]
+    padded = S.pad_batches(S.sequence_entries(seqs).drop("label"), slots).collect()
+    assert len(padded) == 16 + 2
+    assert sorted((r.patient_id, r.step, r.value) for r in padded if r.feature_id is None) == [(2, 1, 0.0), (5, 1, 0.0)]
 
 
 def test_chunked_sequences_equal_whole(golden):
@@ -101,6 +102,7 @@ def test_unknown_tokens(spark, golden):
     }
     recs = P.records(valid)
     ds = P.build_dataset(recs, golden["vocab"])
+    assert golden["vocab"].width == 12
     assert sorted((r.feature_id, r.value) for r in ds.features.collect()) == [(0, 1.0), (11, 2.5)]
     unknown = FT.unknown_tokens(ds.events, golden["vocab"].table)
     assert sorted(r.token for r in unknown.collect()) == ["250", "heparin"]
@@ -112,13 +114,14 @@ def test_table_names():
     assert infer_table_name("x/y") == "y"
     assert infer_table_name("x.csv.gz") == "gz"
     assert infer_table_name("dir/") == "dir/"
+    assert infer_table_name("données.csv") == "es"
 
 
 def test_table_name_column(spark):
     from cohortflow.functions.text import infer_table_name_col
 
-    df = spark.createDataFrame([("train/patients_train.csv",), ("dir/",), ("x.csv.gz",)], "p string")
-    assert [r.n for r in df.select(infer_table_name_col("p").alias("n")).collect()] == ["patients_train", "dir/", "gz"]
+    df = spark.createDataFrame([("train/patients_train.csv",), ("dir/",), ("x.csv.gz",), ("données.csv",)], "p string")
+    assert [r.n for r in df.select(infer_table_name_col("p").alias("n")).collect()] == ["patients_train", "dir/", "gz", "es"]
 
 
 def test_load_csv_as_table_drops_ragged_rows(spark, tmp_path):
@@ -147,6 +150,8 @@ def test_functions(spark):
     assert [r.tok for r in rows] == ["aspirin", "x", ""]
     assert rows[0].tr == "4280"
     assert [r.ms for r in rows] == [DAY1, None, None]
+    partial = spark.createDataFrame([("2101",), ("2101-3",), ("2101-10-20",), ("2101-1-2 x",)], "t string")
+    assert [r.ms is None for r in partial.select(admit_day_millis("t").alias("ms")).collect()] == [True, True, False, False]
 
 
 def test_write_and_read_back(spark, golden, tmp_path):
@@ -162,11 +167,3 @@ def test_write_and_read_back(spark, golden, tmp_path):
 
     with pytest.raises(ValueError):
         write_features(ds.features, ds.labels, out, "holdout")
-
-
-def test_single_csv_sink(spark, golden, tmp_path):
-    from cohortflow.sources import write_single_csv
-
-    path = write_single_csv(golden["prep"].tables["patients"], str(tmp_path), "patients_train.csv")
-    text = open(path).read().splitlines()
-    assert text[0] == "SUBJECT_ID,IS_DEAD,split" and len(text) == 5

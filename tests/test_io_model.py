@@ -31,6 +31,89 @@ def test_sequences_round_trip(spark, golden, tmp_path):
     assert sorted((r.patient_id, r.label, len(r.seq)) for r in back.collect()) == [(1, 0, 2), (2, 1, 1), (5, 0, 1)]
 
 
+def test_sinks_write_one_split_only(spark, golden, tmp_path):
+    import pytest
+
+    from cohortflow.sources import read_features, read_labels, write_features
+
+    seqs = P.build_sequences(golden["ds"])
+    both = seqs.withColumn("split", F.when(F.col("patient_id") == 2, "test").otherwise("train"))
+    out = str(tmp_path / "one")
+    write_sequences(both, out, "train")
+    assert sorted(r.patient_id for r in spark.read.parquet(f"{out}/sequences").collect()) == [1, 5]
+    with pytest.raises(ValueError):
+        write_sequences(both.drop("split"), out)
+    ds = golden["ds"]
+    mark = lambda df: df.withColumn("split", F.when(F.col("patient_id") == 2, "test").otherwise("train"))
+    write_features(mark(ds.features), mark(ds.labels), out, "test")
+    assert {r.patient_id for r in read_features(spark, f"{out}/featureDF_test").collect()} == {2}
+    assert [r.patient_id for r in read_labels(spark, f"{out}/patientIDLabels_test").collect()] == [2]
+
+
+def test_prepare_files_and_read_back(spark, fixture_dir, golden, tmp_path):
+    from cohortflow.sources import load_records, read_prepared
+
+    out = str(tmp_path / "prepared")
+    P.prepare_files(spark, fixture_dir, out, weights=(100.0, 0.0, 0.0))
+    recs = P.records(read_prepared(spark, out))
+    for t in P.TABLES:
+        assert sorted(map(str, recs[t].collect())) == sorted(map(str, golden["recs"][t].collect())), t
+    csv = str(tmp_path / "csv")
+    golden["prep"].tables["patients"].drop("split").write.option("header", True).csv(f"{csv}/patients_train.csv")
+    back = load_records(spark, csv, "patients", "train")
+    assert sorted((r.split, r.patient_id, r.is_dead) for r in back.collect()) == sorted((r.split, r.patient_id, r.is_dead) for r in golden["recs"]["patients"].collect())
+
+
+def test_patient_without_cells_gets_an_empty_vector(spark, golden):
+    class Fake:
+        features = golden["ds"].features.filter("patient_id <> 5")
+        labels = golden["ds"].labels
+
+    vecs = {r.patient_id: r.features for r in P.patient_vector_table(Fake, 12).collect()}
+    assert sorted(vecs) == [1, 2, 5] and vecs[5].numNonzeros() == 0 and vecs[1].numNonzeros() > 0
+
+
+def test_id_outside_the_width_fails(golden):
+    import pytest
+
+    with pytest.raises(Exception, match="outside the width"):
+        S.patient_vectors(S.pool_sequences(S.visit_matrix(golden["ds"].features)), 5).collect()
+
+
+def test_two_labels_of_one_patient_fail(golden):
+    import pytest
+
+    class Twice:
+        features = golden["ds"].features
+        labels = golden["ds"].labels.unionAll(golden["ds"].labels)
+
+    with pytest.raises(Exception, match="more than one label"):
+        P.build_sequences(Twice).collect()
+
+
+def test_namespaced_lookup_keeps_one_feature_per_event(golden):
+    from cohortflow.operators import features as FT
+
+    vocab = P.build_vocabulary(golden["recs"], namespaced=True)
+    ds = P.build_dataset(golden["recs"], vocab)
+    assert ds.features.count() == golden["ds"].features.count()
+    assert FT.unknown_tokens(ds.events, vocab.table, namespaced=True).count() == 0
+
+
+def test_epochs_and_linear_scores_agree(spark, golden):
+    ds = golden["ds"]
+    vecs = P.patient_vector_table(ds, 12)
+    both = vecs.unionByName(vecs.withColumn("split", F.lit("valid")))
+    fitted = ML.train_epochs(both, 12, epochs=(1, 3))
+    curve = sorted((r.epoch, r.phase, r.n) for r in fitted.curve.collect())
+    assert curve == [(0, "train", 3), (0, "valid", 3), (1, "train", 3), (1, "valid", 3)]
+    model = ML.load_epoch(fitted, 1)
+    table, intercept = ML.coefficient_table(model, spark)
+    ours = {r.patient_id: r.score for r in P.scored_patients(ds, table, intercept).collect()}
+    theirs = {r.patient_id: r.score for r in ML.predict(model, vecs).collect()}
+    assert ours.keys() == theirs.keys() and all(abs(ours[k] - theirs[k]) < 1e-9 for k in ours)
+
+
 def test_model_fit_persist_and_curve(spark, golden, tmp_path):
     ds = golden["ds"]
     vecs = P.patient_vector_table(ds, 12)

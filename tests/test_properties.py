@@ -47,19 +47,24 @@ def test_vocabulary_ids_dense_but_one_gap(st):
 def test_flattened_sequences_equal_features(st):
     seqs = P.build_sequences(st.ds, visits_per_row=3)
     flat = S.sequence_entries(seqs).select("patient_id", "feature_id", "value")
-    feats = st.labelled.select("patient_id", "feature_id", "value")
+    feats = st.ds.features.select("patient_id", "feature_id", "value")
     assert flat.exceptAll(feats).count() == 0 and feats.exceptAll(flat).count() == 0
 
 
 def test_padding_adds_only_empty_visits(st):
     seqs = P.build_sequences(st.ds)
-    padded = S.pad_batches(S.assign_batches(seqs, 8, seed=3))
-    rows = padded.collect()
-    for r in rows:
-        assert len(r.padded) == r.padded_length and r.padded[: r.length] == r.seq
-        assert all(v == [] for v in r.padded[r.length:])
+    summary = S.sequence_summary(seqs).select("split", "patient_id", F.col("n_visits").alias("length"))
+    slots = S.batch_slots(S.assign_batches(summary, 8, seed=3))
+    entries = S.sequence_entries(seqs).drop("label")
+    padded = S.pad_batches(entries, slots)
+    real = padded.filter("feature_id is not null").select("patient_id", "step", "feature_id", "value")
+    want = entries.select("patient_id", F.col("visit_index").alias("step"), "feature_id", "value")
+    assert real.exceptAll(want).count() == 0 and want.exceptAll(real).count() == 0
+    steps = padded.groupBy("split", "batch_id", "slot").agg(F.countDistinct("step").alias("n"), F.max("padded_length").alias("p")).collect()
+    assert all(r.n == r.p for r in steps)
+    assert padded.filter("feature_id is null and step < length").count() == 0
     per_batch = {}
-    for r in rows:
+    for r in slots.collect():
         per_batch.setdefault((r.split, r.batch_id), []).append(r)
     for batch in per_batch.values():
         assert len(batch) <= 8
@@ -92,14 +97,14 @@ def test_confusion_counts_sum_to_n(st):
 
 
 def test_visit_vectors_width(st):
-    vecs = S.visit_vectors(st.cells, max(st.width, 1)).collect()
-    assert vecs and all(v.features.size == st.width for v in vecs)
+    vecs = S.visit_vectors(S.visit_cells(st.ds.features), st.vocab.width).collect()
+    assert vecs and all(v.features.size == st.vocab.width for v in vecs)
 
 
 def test_plan_vocabulary_broadcast_no_python(st):
     from cohortflow.operators import features as FT
 
-    plan = _plan(FT.index_features(st.ds.events, st.vocab.table, st.vocab.rows))
+    plan = _plan(FT.index_features(st.ds.events, st.vocab.table))
     assert "BroadcastHashJoin" in plan
     assert "ArrowEvalPython" not in plan and "BatchEvalPython" not in plan
 
@@ -121,7 +126,8 @@ def test_plan_pushdown_and_pruning(spark, st):
 
 
 def test_model_runs_and_reports(st):
-    run = P.run_model(st.ds, max_iter=5)
+    run = P.run_model(st.ds, epochs=(2, 5))
+    assert run.curve.count() == 4 and run.best in (0, 1)
     pred = run.report["predictions"]
     assert pred.count() == st.ds.labels.filter(F.col("split") == "test").count()
     assert pred.filter((F.col("score") < 0) | (F.col("score") > 1)).count() == 0
