@@ -22,11 +22,11 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates (five-word shingles, 0.8).
 
-    Rows without an id stay; of repeated rows with one id, one stays.
+    Rows without an id stay; of rows that share an id, one stays.
     """
-    found = minhash.near_duplicates(docs, width=5)
+    found = minhash.near_duplicates(docs, width=5).filter("doc_id is not null")
     # One row per id: an id stands for its group only where it is the smallest.
-    kept = found.filter("kept and doc_id is not null").groupBy(F.col("doc_id").alias("_kept_id")).agg(F.count(F.lit(1)).alias("_n"))
+    kept = found.groupBy(F.col("doc_id").alias("_kept_id")).agg(F.count(F.lit(1)).alias("_n"), F.max("kept").alias("_kept")).filter("_kept").drop("_kept")
     joined = docs.join(kept, docs["doc_id"] == kept["_kept_id"])
     once = joined.filter("_n = 1").select(*docs.columns)
     repeated = joined.filter("_n > 1").select(*docs.columns).dropDuplicates(["doc_id"])
