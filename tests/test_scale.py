@@ -143,5 +143,5 @@ def test_plans_without_broadcast(spark):
         for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"):
             spark.conf.unset(k)
     assert counts["pooled_sum"] <= 3, counts
-    assert counts["sequence_entries"] <= 7, counts
+    assert counts["sequence_entries"] <= 5, counts
     assert counts["roc_curve"] <= counts["roc_auc"] + 2, counts
