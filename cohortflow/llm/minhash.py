@@ -36,12 +36,17 @@ from cohortflow.session import materialize
 #: probability (1 - 0.8**5) ** 48 = 5e-9.
 BANDS, ROWS = 48, 5
 BINS = BANDS * ROWS
-#: Sets of at least this many shingles are compared by signature first; the
-#: estimate must reach SIGNATURE_MIN (over 5 standard errors below 0.8).
-SIGNATURE_FROM, SIGNATURE_MIN = 200, 0.64
+#: Candidates are compared by signature before their sets: equal bins among the
+#: bins that either fills.  Its standard error is at most 0.026 at any set size (small sets
+#: are nearly whole in it), so a pair at 0.8 falls below this with probability 2e-6.
+SIGNATURE_MIN = 0.68
+#: Bins of the wider signature used between components, and its least value: its
+#: standard error is at most 0.011, so 0.755 is over four errors below 0.8.
+WIDE, WIDE_MIN = 1024, 0.755
 _BLOCK = 512  # members of a bucket that are compared with one another in one task
 
-_SKETCH = "doc_id bigint, n_shingles bigint, h1 bigint, h2 bigint, sig binary, bands array<bigint>, shingles binary"
+_SKETCH = "doc_id bigint, n_shingles bigint, h1 bigint, h2 bigint, sig binary, bands array<bigint>"
+_SETS = "h1 bigint, h2 bigint, n_shingles bigint, shingles binary"
 
 
 def _borrow_order() -> np.ndarray:
@@ -54,66 +59,94 @@ _ORDER = _borrow_order()
 _WEIGHTS = mix(np.arange(1, ROWS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
 
 
-def signature(values: np.ndarray) -> np.ndarray:
-    """Densified one-permutation minima of a sorted set of hashes (uint64)."""
-    sig = np.zeros(BINS, dtype=np.uint64)
-    bins = (((values >> np.uint64(32)) * np.uint64(BINS)) >> np.uint64(32)).astype(np.int64)
+def minima(values: np.ndarray, n_bins: int = BINS) -> tuple[np.ndarray, np.ndarray]:
+    """One-permutation minima of a sorted set of hashes, and which bins have one."""
+    sig = np.zeros(n_bins, dtype=np.uint64)
+    bins = (((values >> np.uint64(32)) * np.uint64(n_bins)) >> np.uint64(32)).astype(np.int64)
     first = np.flatnonzero(np.concatenate(([True], bins[1:] != bins[:-1])))
-    full = np.zeros(BINS, dtype=bool)
+    full = np.zeros(n_bins, dtype=bool)
     full[bins[first]] = True
     sig[bins[first]] = values[first]
+    return sig, full
+
+
+def densified(sig: np.ndarray, full: np.ndarray) -> np.ndarray:
+    """``sig`` with each empty bin filled from the first full bin of its order."""
     empty = np.flatnonzero(~full)
     if len(empty):
         order = _ORDER[empty]
-        donor = order[np.arange(len(empty)), np.argmax(full[order], axis=1)]
-        sig[empty] = sig[donor]
+        sig = sig.copy()
+        sig[empty] = sig[order[np.arange(len(empty)), np.argmax(full[order], axis=1)]]
     return sig
 
 
+def _bytes(sig: np.ndarray, full: np.ndarray) -> np.ndarray:
+    """One byte per bin; 0 marks an empty bin."""
+    return np.where(full, mix(sig) % np.uint64(255) + np.uint64(1), 0).astype(np.uint8)
+
+
+def _set_keys(s: np.ndarray) -> tuple[int, int]:
+    """128-bit fingerprint of a set."""
+    with np.errstate(over="ignore"):
+        other = np.bitwise_xor.reduce(mix(s * np.uint64(0x5851F42D4C957F2D)))
+        return int(np.add.reduce(s, dtype=np.uint64).view(np.int64)), int(other.view(np.int64))
+
+
 def _sketch_batch(ids: list, texts: list, width: int) -> pd.DataFrame:
-    sets = shingle_sets([t.encode("utf-8", "surrogatepass") if t else b"" for t in texts], width)
+    sets = shingle_sets(texts, width)
     n = len(sets)
-    sigs = np.zeros((n, BINS), dtype=np.uint64)
-    h1, h2 = np.zeros(n, dtype=np.int64), np.zeros(n, dtype=np.int64)
-    salted = np.uint64(0x5851F42D4C957F2D)
+    dense = np.zeros((n, BINS), dtype=np.uint64)
+    small = np.zeros((n, BINS), dtype=np.uint8)
+    keys = [(0, 0)] * n
+    for i, s in enumerate(sets):
+        if len(s):
+            sig, full = minima(s)
+            dense[i] = densified(sig, full)
+            small[i] = _bytes(sig, full)
+            keys[i] = _set_keys(s)
     with np.errstate(over="ignore"):
-        for i, s in enumerate(sets):
-            if len(s):
-                sigs[i] = signature(s)
-                h1[i] = np.add.reduce(s, dtype=np.uint64).view(np.int64)
-                h2[i] = np.bitwise_xor.reduce(mix(s * salted)).view(np.int64)
-        bands = mix((sigs.reshape(n, BANDS, ROWS) * _WEIGHTS).sum(axis=2, dtype=np.uint64) + np.arange(BANDS, dtype=np.uint64) * np.uint64(0xA24BAED4963EE407))
-    bands = bands.view(np.int64)
-    small = (mix(sigs) & np.uint64(255)).astype(np.uint8)
+        salt = np.arange(BANDS, dtype=np.uint64) * np.uint64(0xA24BAED4963EE407)
+        bands = mix((dense.reshape(n, BANDS, ROWS) * _WEIGHTS).sum(axis=2, dtype=np.uint64) + salt).view(np.int64)
     return pd.DataFrame(
         {
             "doc_id": pd.array(ids, dtype="Int64"),
             "n_shingles": [len(s) for s in sets],
-            "h1": h1,
-            "h2": h2,
+            "h1": [k[0] for k in keys],
+            "h2": [k[1] for k in keys],
             "sig": [x.tobytes() for x in small],
             "bands": [bands[i] if len(sets[i]) else [] for i in range(n)],
-            "shingles": [s.tobytes() for s in sets],
         }
     )
 
 
-def sketches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5) -> DataFrame:
-    """Shingle set, signature and band hashes of every document."""
+def _set_batch(ids: list, texts: list, width: int) -> pd.DataFrame:
+    sets = [s for s in shingle_sets(texts, width) if len(s)]
+    keys = [_set_keys(s) for s in sets]
+    return pd.DataFrame({"h1": [k[0] for k in keys], "h2": [k[1] for k in keys], "n_shingles": [len(s) for s in sets], "shingles": [s.tobytes() for s in sets]})
+
+
+def _over_texts(docs: DataFrame, id_col: str, text_col: str, batch, schema: str, width: int) -> DataFrame:
+    """``batch`` over the rows of ``docs``; a batch of long texts is taken in parts."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            ids, texts = pdf["i"].tolist(), pdf["t"].tolist()
+            ids = [None if pd.isna(i) else int(i) for i in pdf["i"]]
+            texts = [t.encode("utf-8", "surrogatepass") if t else b"" for t in pdf["t"]]
             at = 0
-            while at < len(texts):  # a batch of long texts is taken in parts
+            while at < len(texts):
                 end, load = at, 0
                 while end < len(texts) and (end == at or load < 8_000_000):
-                    load += len(texts[end] or "")
+                    load += len(texts[end])
                     end += 1
-                yield _sketch_batch([None if pd.isna(i) else int(i) for i in ids[at:end]], texts[at:end], width)
+                yield batch(ids[at:end], texts[at:end], width)
                 at = end
 
-    return docs.select(F.col(id_col).cast("bigint").alias("i"), F.col(text_col).cast("string").alias("t")).mapInPandas(run, _SKETCH)
+    return docs.select(F.col(id_col).cast("bigint").alias("i"), F.col(text_col).cast("string").alias("t")).mapInPandas(run, schema)
+
+
+def sketches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5) -> DataFrame:
+    """Set fingerprint, signature and band hashes of every document."""
+    return _over_texts(docs, id_col, text_col, _sketch_batch, _SKETCH, width)
 
 
 def _similar(min_percent: int):
@@ -131,36 +164,47 @@ def _similar(min_percent: int):
     return similar
 
 
-def _agreement():
-    """Share of equal signature bins, an estimate of the similarity."""
+def _share_equal(p: np.ndarray, q: np.ndarray) -> np.ndarray:
+    """Estimated similarity of signatures, row by row (either may be one row)."""
+    either = (p | q) != 0
+    return ((p == q) & either).sum(axis=-1) / np.maximum(either.sum(axis=-1), 1)
 
+
+def _wide():
+    @F.pandas_udf("binary")
+    def wide(sets: pd.Series) -> pd.Series:
+        return pd.Series([_bytes(*minima(np.frombuffer(x, dtype=np.uint64), WIDE)).tobytes() for x in sets], dtype=object)
+
+    return wide
+
+
+def _agreement():
     @F.pandas_udf("double")
     def agreement(a: pd.Series, b: pd.Series) -> pd.Series:
         p = np.frombuffer(b"".join(a), dtype=np.uint8).reshape(len(a), BINS)
         q = np.frombuffer(b"".join(b), dtype=np.uint8).reshape(len(b), BINS)
-        return pd.Series((p == q).mean(axis=1), dtype="float64")
+        return pd.Series(_share_equal(p, q), dtype="float64")
 
     return agreement
 
 
-def _confirmed(edges: DataFrame, reps: DataFrame, min_percent: int) -> DataFrame:
-    """The edges (a, b) whose full sets are similar enough."""
-    light = reps.select("rep", "n_shingles", "sig")
+def _likely(edges: DataFrame, light: DataFrame, min_percent: int) -> DataFrame:
+    """The edges (a, b) whose sizes and signatures allow the similarity."""
     a = light.select(F.col("rep").alias("a"), F.col("n_shingles").alias("na"), F.col("sig").alias("sa"))
     b = light.select(F.col("rep").alias("b"), F.col("n_shingles").alias("nb"), F.col("sig").alias("sb"))
     sized = edges.join(a, "a").join(b, "b").filter(100 * F.least("na", "nb") >= min_percent * F.greatest("na", "nb"))
-    likely = sized.filter(
-        (F.least("na", "nb") < SIGNATURE_FROM) | (_agreement()("sa", "sb") >= SIGNATURE_MIN)
-    ).select("a", "b")
-    likely = materialize(likely)
-    sets = reps.select("rep", "shingles")
-    full = likely.join(sets.select(F.col("rep").alias("a"), F.col("shingles").alias("xa")), "a").join(
+    return sized.filter(_agreement()("sa", "sb") >= SIGNATURE_MIN).select("a", "b")
+
+
+def _confirmed(edges: DataFrame, sets: DataFrame, min_percent: int) -> DataFrame:
+    """The edges (a, b) whose full sets are similar enough."""
+    full = edges.join(sets.select(F.col("rep").alias("a"), F.col("shingles").alias("xa")), "a").join(
         sets.select(F.col("rep").alias("b"), F.col("shingles").alias("xb")), "b"
     )
     return full.filter(_similar(min_percent)("xa", "xb")).select("a", "b")
 
 
-def _between_components(members: DataFrame) -> DataFrame:
+def _between_components(members: DataFrame, min_percent: int) -> DataFrame:
     """Candidate edges between different components inside each bucket.
 
     ``members``: key, rep, comp, n_shingles, sig, size (bucket size).  A bucket
@@ -172,19 +216,18 @@ def _between_components(members: DataFrame) -> DataFrame:
         i, j = int(pdf["lo"].iloc[0]), int(pdf["hi"].iloc[0])
         left = pdf[pdf["blk"] == i]
         right = pdf[pdf["blk"] == j]
-        sl = np.frombuffer(b"".join(left["sig"]), dtype=np.uint8).reshape(len(left), BINS)
-        sr = np.frombuffer(b"".join(right["sig"]), dtype=np.uint8).reshape(len(right), BINS)
+        sl = np.frombuffer(b"".join(left["sig"]), dtype=np.uint8).reshape(len(left), WIDE)
+        sr = np.frombuffer(b"".join(right["sig"]), dtype=np.uint8).reshape(len(right), WIDE)
         rl, rr, cl, cr = (x.to_numpy() for x in (left["rep"], right["rep"], left["comp"], right["comp"]))
         nl, nr = left["n_shingles"].to_numpy(), right["n_shingles"].to_numpy()
         out_a, out_b = [], []
         for k in range(len(left)):
-            ok = cr != cl[k]
+            ok = (cr != cl[k]) & (100 * np.minimum(nr, nl[k]) >= min_percent * np.maximum(nr, nl[k]))
             if i == j:
                 ok &= rr > rl[k]
             at = np.flatnonzero(ok)
             if len(at):
-                like = (sr[at] == sl[k]).mean(axis=1) >= SIGNATURE_MIN
-                at = at[like | (np.minimum(nr[at], nl[k]) < SIGNATURE_FROM)]
+                at = at[_share_equal(sr[at], sl[k]) >= WIDE_MIN]
                 out_a.append(np.full(len(at), rl[k]))
                 out_b.append(rr[at])
         a = np.concatenate(out_a) if out_a else np.zeros(0, dtype=np.int64)
@@ -205,42 +248,46 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     their shingle sets; component_id is the smallest doc_id reachable.
     """
     t = materialize(sketches(docs, id_col, text_col, width))
-    # One class per distinct set; one row per class from here on.
+    # One class per distinct set; one row per class from here on.  Signature and
+    # bands are functions of the set, so any member's will do.
+    keys = ["h1", "h2", "n_shingles"]
+    node = F.xxhash64(*keys)
+    owned = t.filter("n_shingles > 0 and doc_id is not null")
     classes = materialize(
-        t.filter("n_shingles > 0 and doc_id is not null").groupBy("h1", "h2", "n_shingles").agg(F.min("doc_id").alias("rep"))
+        owned.groupBy(*keys).agg(F.min("doc_id").alias("first_doc"), F.first("sig").alias("sig"), F.first("bands").alias("bands")).withColumn("rep", node)
     )
-    owned = t.filter("n_shingles > 0 and doc_id is not null")
-    reps_all = owned.join(classes.withColumnRenamed("rep", "doc_id"), ["h1", "h2", "n_shingles", "doc_id"], "left_semi")
-    # Two texts may share a doc_id: a class is known by its set, and the id of
-    # the node that stands for it must be unique.
-    node = F.xxhash64("h1", "h2", "n_shingles")
-    reps = materialize(reps_all.select(node.alias("rep"), "n_shingles", "sig", "bands", "shingles").dropDuplicates(["rep"]))
-    names = classes.select(node.alias("rep"), F.col("rep").alias("first_doc"), "h1", "h2", "n_shingles")
-
-    rows = reps.select("rep", F.explode("bands").alias("key"))
-    buckets = materialize(rows.groupBy("key").agg(F.min("rep").alias("centre"), F.count(F.lit(1)).alias("size")).filter("size > 1"))
-    stars = rows.join(buckets, "key").filter("rep <> centre").select(F.col("centre").alias("a"), F.col("rep").alias("b")).distinct()
-    links = materialize(_confirmed(stars, reps, min_percent))
+    light = classes.select("rep", "n_shingles", "sig")
+
+    rows = classes.select("rep", F.explode("bands").alias("key"))
+    buckets = rows.groupBy("key").agg(F.min("rep").alias("centre"), F.count(F.lit(1)).alias("size")).filter("size > 1")
+    shared = materialize(rows.join(buckets, "key"))
+    stars = shared.filter("rep <> centre").select(F.col("centre").alias("a"), F.col("rep").alias("b")).distinct()
+    likely = materialize(_likely(stars, light, min_percent))
+    # Full sets of the classes that share any band, read from their texts again.
+    wanted = classes.select("rep", "first_doc").join(shared.select("rep").distinct(), "rep", "left_semi").select(F.col("first_doc").alias("wanted_id")).distinct()
+    again = docs.join(wanted, F.col(id_col).cast("bigint") == F.col("wanted_id"), "left_semi")
+    found = _over_texts(again, id_col, text_col, _set_batch, _SETS, width).select(node.alias("rep"), "shingles")
+    sets = materialize(found.groupBy("rep").agg(F.first("shingles").alias("shingles")))
+    links = materialize(_confirmed(likely, sets, min_percent))
     comps = materialize(connected_components(links))
 
     # Links a star cannot see: both ends unlike the centre, in different components.
-    wide = rows.join(buckets.filter("size > 2"), "key")
     comp = F.coalesce("component", "rep")
-    labelled = wide.join(comps, wide["rep"] == comps["node"], "left").select("key", "rep", "size", comp.alias("comp"))
+    wide = shared.filter("size > 2")
+    labelled = materialize(wide.join(comps, wide["rep"] == comps["node"], "left").select("key", "rep", "size", comp.alias("comp")))
     mixed = labelled.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi").select("key")
-    members = labelled.join(mixed, "key", "left_semi").join(reps.select("rep", "n_shingles", "sig"), "rep")
-    tested = stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    rest = _between_components(members).join(tested, ["a", "b"], "left_anti")
-    more = materialize(_confirmed(rest, reps, min_percent))
-    if more.isEmpty():
-        final = comps
-    else:
-        final = connected_components(links.unionAll(more))
+    among = materialize(labelled.join(mixed, "key", "left_semi"))
+    wider = sets.join(among.select("rep").distinct(), "rep", "left_semi").select("rep", (F.length("shingles") / 8).cast("bigint").alias("n_shingles"), _wide()("shingles").alias("sig"))
+    members = among.join(wider, "rep")
+    tested = likely.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    rest = _between_components(members, min_percent).join(tested, ["a", "b"], "left_anti")
+    more = materialize(_confirmed(rest, sets, min_percent))
+    final = comps if more.isEmpty() else connected_components(links.unionAll(more))
+    names = classes.select("rep", "first_doc", *keys)
     # A component is named by the smallest doc_id of its classes.
     joined = names.join(final, names["rep"] == final["node"], "left").withColumn("group", F.coalesce("component", "rep"))
     smallest = joined.groupBy("group").agg(F.min("first_doc").alias("component_id"))
     per_class = materialize(joined.join(smallest, "group").select("h1", "h2", "n_shingles", "component_id"))
-    keys = ["h1", "h2", "n_shingles"]
     out = t.select("doc_id", *keys).join(per_class.withColumnRenamed("component_id", "found"), keys, "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("found", "doc_id"))
     return out.select(
