@@ -45,7 +45,7 @@ SIGNATURE_MIN = 0.68
 WIDE, WIDE_MIN = 1024, 0.755
 _BLOCK = 512  # members of a bucket that are compared with one another in one task
 
-_SKETCH = "doc_id bigint, n_shingles bigint, h1 bigint, h2 bigint, sig binary, bands array<bigint>"
+_SKETCH = "doc_id string, n_shingles bigint, h1 bigint, h2 bigint, sig binary, bands array<bigint>"
 _SETS = "h1 bigint, h2 bigint, n_shingles bigint, shingles binary"
 
 
@@ -109,7 +109,7 @@ def _sketch_batch(ids: list, texts: list, width: int) -> pd.DataFrame:
         bands = mix((dense.reshape(n, BANDS, ROWS) * _WEIGHTS).sum(axis=2, dtype=np.uint64) + salt).view(np.int64)
     return pd.DataFrame(
         {
-            "doc_id": pd.array(ids, dtype="Int64"),
+            "doc_id": ids,
             "n_shingles": [len(s) for s in sets],
             "h1": [k[0] for k in keys],
             "h2": [k[1] for k in keys],
@@ -130,23 +130,24 @@ def _over_texts(docs: DataFrame, id_col: str, text_col: str, batch, schema: str,
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            ids = [None if pd.isna(i) else int(i) for i in pdf["i"]]
-            texts = [t.encode("utf-8", "surrogatepass") if t else b"" for t in pdf["t"]]
+            ids = pdf["i"].tolist()
+            texts = pdf["t"].tolist()
             at = 0
             while at < len(texts):
-                end, load = at, 0
-                while end < len(texts) and (end == at or load < 8_000_000):
-                    load += len(texts[end])
-                    end += 1
-                yield batch(ids[at:end], texts[at:end], width)
-                at = end
+                part, load = [], 0
+                while at < len(texts) and len(part) < 1000 and (not part or load < 2_000_000):
+                    part.append(texts[at].encode("utf-8", "surrogatepass") if texts[at] else b"")
+                    load += len(part[-1])
+                    at += 1
+                yield batch(ids[at - len(part) : at], part, width)
 
-    return docs.select(F.col(id_col).cast("bigint").alias("i"), F.col(text_col).cast("string").alias("t")).mapInPandas(run, schema)
+    return docs.select(F.col(id_col).cast("string").alias("i"), F.col(text_col).cast("string").alias("t")).mapInPandas(run, schema)
 
 
 def sketches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5) -> DataFrame:
     """Set fingerprint, signature and band hashes of every document."""
-    return _over_texts(docs, id_col, text_col, _sketch_batch, _SKETCH, width)
+    # Ids travel as strings: pandas has no plain nullable long.
+    return _over_texts(docs, id_col, text_col, _sketch_batch, _SKETCH, width).withColumn("doc_id", F.col("doc_id").cast("bigint"))
 
 
 def _similar(min_percent: int):

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import numpy as np
 
-_BUFFER = 1 << 21
+_BUFFER = 1 << 18
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 _LOWER = np.arange(256, dtype=np.uint64)
