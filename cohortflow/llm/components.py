@@ -10,6 +10,7 @@ short; nothing but counters reaches the driver.
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -68,3 +69,21 @@ def connected_components(links: DataFrame, a: str = "a", b: str = "b", max_round
 def _folders(df: DataFrame) -> list[str]:
     """The stage folders a materialised table reads."""
     return sorted({f.rsplit("/", 1)[0] for f in df.inputFiles()})
+
+
+def spanning_stars(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Edges of a spanning forest (stars) of the links a[i] - b[i], inside one task."""
+    nodes, at = np.unique(np.concatenate((a, b)), return_inverse=True)
+    u, v = at[: len(a)], at[len(a) :]
+    label = np.arange(len(nodes))
+    while True:
+        low = np.minimum(label[u], label[v])
+        new = label.copy()
+        np.minimum.at(new, u, low)
+        np.minimum.at(new, v, low)
+        new = new[new]
+        if (new == label).all():
+            break
+        label = new
+    keep = np.flatnonzero(label != np.arange(len(nodes)))
+    return nodes[keep], nodes[label[keep]]

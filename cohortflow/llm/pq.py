@@ -32,14 +32,16 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortflow.llm.components import connected_components
+from cohortflow.llm.components import connected_components, spanning_stars
 from cohortflow.llm.vectors import dimensions, matrix, usable
 from cohortflow.session import materialize
 
-#: Vectors trained on, at most; classes per list aimed at; most lists.
-SAMPLE, LIST_SIZE, MAX_LISTS = 20_000, 48, 2048
+#: Vectors trained on, at most; most lists; lists per square root of the classes.
+#: Vectors without clusters probe most lists, so few large lists move the least.
+SAMPLE, MAX_LISTS, LIST_FACTOR = 20_000, 2048, 0.125
 SUBSPACES, CODES = 8, 64
-BLOCK, PROBE_BLOCK = 256, 1024
+#: Members and probes of one unit of work, and probes looked up at a time.
+BLOCK, PROBE_BLOCK, SLICE = 2048, 4096, 512
 
 
 def _lloyd(x: np.ndarray, k: int, rounds: int, seed: int) -> np.ndarray:
@@ -102,37 +104,19 @@ class Quantiser:
         return codes, np.sqrt(error)
 
     def table_distances(self, y: np.ndarray, one_list: int, codes: np.ndarray) -> np.ndarray:
-        """Distances from each y to each decoded vector of one list, by lookup."""
+        """Squared distances from each y to each decoded vector of one list, by lookup."""
         rest = self._cut(y - self.centroids[one_list])
-        total = np.zeros((len(y), len(codes)))
+        total = np.zeros((len(y), len(codes)), dtype=np.float32)
         for s, book in enumerate(self.books):
             table = (rest[:, s] ** 2).sum(1)[:, None] + (book**2).sum(1)[None, :] - 2.0 * (rest[:, s] @ book.T)
-            total += table[:, codes[:, s]]
-        return np.sqrt(np.maximum(total, 0.0))
+            total += np.take(table.astype(np.float32), codes[:, s], axis=1)
+        return total
 
 
 def _unit(x: np.ndarray) -> np.ndarray:
     return x / np.sqrt((x**2).sum(axis=1))[:, None]
 
 
-def _spanning(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Edges of a spanning forest (stars) of the links a[i] - b[i]."""
-    nodes, at = np.unique(np.concatenate((a, b)), return_inverse=True)
-    u, v = at[: len(a)], at[len(a) :]
-    label = np.arange(len(nodes))
-    while True:
-        low = np.minimum(label[u], label[v])
-        new = label.copy()
-        np.minimum.at(new, u, low)
-        np.minimum.at(new, v, low)
-        new = new[new]
-        if (new == label).all():
-            break
-        label = new
-    keep = np.flatnonzero(label != np.arange(len(nodes)))
-    return nodes[keep], nodes[label[keep]]
-
-
 def _links_of_units(units: DataFrame, quantiser, dims: int, min_cosine: float) -> DataFrame:
     """(a, b, n): link counts (b null) and spanning edges (n null) of every unit.
 
@@ -147,26 +131,34 @@ def _links_of_units(units: DataFrame, quantiser, dims: int, min_cosine: float) -
         if not len(members) or not len(probes):
             return pd.DataFrame({"a": [], "b": [], "n": []})
         x, y = matrix(members["embedding"], dims), matrix(probes["embedding"], dims)
-        ux, uy = _unit(x), _unit(y)
+        uy = _unit(y)
         codes = np.frombuffer(b"".join(members["code"]), dtype=np.uint8).reshape(len(members), -1)
-        bound = radius + members["error"].to_numpy()
-        near = q.table_distances(uy, int(pdf["list"].iloc[0]), codes) <= bound[None, :]
+        # The slack covers the lookups' single precision.
+        bound = ((radius + members["error"].to_numpy() + 1e-3) ** 2).astype(np.float32)
         n_x, n_y = members["node"].to_numpy(), probes["node"].to_numpy()
         inner = probes["inner"].to_numpy().astype(bool)
-        near &= ~inner[:, None] | (n_x[None, :] > n_y[:, None])  # a pair of one list once
-        i, j = np.nonzero(near)
         norm_x, norm_y = np.sqrt((x**2).sum(1)), np.sqrt((y**2).sum(1))
-        hit = np.zeros(len(i), dtype=bool)
-        for at in range(0, len(i), 65_536):
-            s = slice(at, at + 65_536)
-            hit[s] = (y[i[s]] * x[j[s]]).sum(axis=1) / (norm_y[i[s]] * norm_x[j[s]]) >= min_cosine
-        i, j = i[hit], j[hit]
+        one_list = int(pdf["list"].iloc[0])
+        found_i, found_j = [], []
+        for at in range(0, len(y), SLICE):
+            s = slice(at, at + SLICE)
+            near = q.table_distances(uy[s], one_list, codes) <= bound[None, :]
+            near &= ~inner[s][:, None] | (n_x[None, :] > n_y[s][:, None])  # a pair of one list once
+            i, j = np.nonzero(near)
+            i += at
+            for part in range(0, len(i), 65_536):
+                u, v = i[part : part + 65_536], j[part : part + 65_536]
+                hit = (y[u] * x[v]).sum(axis=1) / (norm_y[u] * norm_x[v]) >= min_cosine
+                found_i.append(u[hit])
+                found_j.append(v[hit])
+        i = np.concatenate(found_i) if found_i else np.zeros(0, dtype=np.int64)
+        j = np.concatenate(found_j) if found_j else np.zeros(0, dtype=np.int64)
         if not len(i):
             return pd.DataFrame({"a": [], "b": [], "n": []})
         r_x, r_y = members["rows"].to_numpy(), probes["rows"].to_numpy()
         add_y = np.bincount(i, weights=r_x[j], minlength=len(y)).astype(np.int64)
         add_x = np.bincount(j, weights=r_y[i], minlength=len(x)).astype(np.int64)
-        u, v = _spanning(n_y[i], n_x[j])
+        u, v = spanning_stars(n_y[i], n_x[j])
         counted = np.concatenate((n_y[add_y > 0], n_x[add_x > 0]))
         added = np.concatenate((add_y[add_y > 0], add_x[add_x > 0]))
         return pd.DataFrame(
@@ -192,7 +184,7 @@ def near_duplicates(vectors: DataFrame, min_cosine: float = 0.95, id_col: str =
     if n:
         dims = dimensions(classes)
         sample = classes.orderBy(F.xxhash64(F.lit(9), "node"), "node").limit(SAMPLE).select("embedding").toPandas()
-        lists = max(1, min(MAX_LISTS, n // LIST_SIZE, len(sample) // 4))
+        lists = max(1, min(MAX_LISTS, int(LIST_FACTOR * n**0.5), len(sample) // 4))
         # Bounded: MAX_LISTS centroids and the codebooks.
         quantiser = spark.sparkContext.broadcast(Quantiser(_unit(matrix(sample["embedding"], dims)), lists))
         radius = float(np.sqrt(max(2.0 - 2.0 * min_cosine, 0.0))) + 1e-6

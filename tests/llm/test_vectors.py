@@ -72,6 +72,7 @@ def brute_links(ids, x, cosine):
 def test_links_equal_brute_force(spark, data, monkeypatch):
     monkeypatch.setattr(pq, "BLOCK", 16)
     monkeypatch.setattr(pq, "PROBE_BLOCK", 32)
+    monkeypatch.setattr(pq, "LIST_FACTOR", 0.5)
     v = spark.createDataFrame(rows_of(data) + AWKWARD, SCHEMA).withColumn("node", F.lit("clash"))
     got = {r.vec_id: r for r in pq.near_duplicates(v, 0.95).collect()}
     ids = np.concatenate((np.arange(len(data)), [9006]))
@@ -101,9 +102,9 @@ def test_bounds_hold():
     for one in range(12):
         members = np.flatnonzero(own == one)
         if len(members):
-            table = q.table_distances(x, one, codes[members])
+            table = np.sqrt(np.maximum(q.table_distances(x, one, codes[members]), 0.0))
             true = np.sqrt(((x[:, None, :] - x[members][None]) ** 2).sum(-1))
-            assert (np.abs(table - true) <= error[members][None, :] + 1e-9).all()
+            assert (np.abs(table - true) <= error[members][None, :] + 1e-3).all()
     probes = q.probes(x, 0.8)
     d = np.sqrt(((x[:, None, :] - x[None]) ** 2).sum(-1))
     for i, j in zip(*np.nonzero(d <= 0.8), strict=True):
