@@ -41,35 +41,38 @@ LEVELS = {
     "distinct": (0.1, 0.25, 0.4, 0.6),
     "word_length": (3.0, 4.0, 5.5, 7.0, 10.0),
     "n_words": (1, 5, 20, 60, 200, 1000),
-    "numbers": (0.01, 0.05, 0.2),
+    "digits": (0.02, 0.1, 0.3),
 }
 _ROUND = 6
 
 
-def statistics(text: str):
-    """Text statistics as columns (name, expression)."""
-    t = F.coalesce(F.col(text).cast("string"), F.lit(""))
-    words = F.regexp_count(t, F.lit(r"\S+")).cast("double")
+def with_evidence_features(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """``docs`` with its statistics as ``q_<name>``.
+
+    The words are split once; characters are counted by what is left after
+    removing all others, which scans a text in long runs.
+    """
+    t = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    split = docs.withColumn("q_words", F.filter(F.split(t, r"\s+"), lambda w: w != ""))
+    w = F.col("q_words")
+    words = F.size(w).cast("double")
     n = F.greatest(words, F.lit(1.0))
-    chars = F.greatest(F.length(t), F.lit(1)).cast("double")
-    per_word = lambda p: F.regexp_count(t, F.lit(p)) / n
-    per_char = lambda p: F.regexp_count(t, F.lit(p)) / chars
-    return {
-        "symbols": per_char(r"[#$%&*@^~{}\\<>=+_]"),
-        "capitals": per_char(r"[A-ZÀ-Þ]"),
-        "bars": per_word(r"\|"),
-        "shouts": per_word(r"!!"),
-        "repeats": per_word(r"(?<!\S)(\S+) (?=\1(?!\S))"),
-        "distinct": F.size(F.array_distinct(F.split(F.lower(t), r"\s+"))) / n,
+    length = F.length(t)
+    chars = F.greatest(length, F.lit(1)).cast("double")
+    only = lambda kept: F.length(F.regexp_replace(t, f"[^{kept}]+", "")) / chars
+    times = lambda part: (length - F.length(F.replace(t, F.lit(part), F.lit("")))) / F.lit(len(part)) / n
+    found = {
+        "symbols": only(r"#$%&*@^~{}\\<>=+_"),
+        "capitals": only("A-ZÀ-Þ"),
+        "bars": times("|"),
+        "shouts": times("!!"),
+        "repeats": F.size(F.filter(w, lambda x, i: F.coalesce(x == F.get(w, i - 1), F.lit(False)))) / n,
+        "distinct": F.size(F.array_distinct(w)) / n,
         "word_length": chars / n,
         "n_words": words,
-        "numbers": per_word(r"(?<!\S)[0-9]+(?!\S)"),
+        "digits": only("0-9"),
     }
-
-
-def with_evidence_features(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """``docs`` with its statistics as ``q_<name>``."""
-    return docs.select("*", *[F.round(v, _ROUND).alias(f"q_{k}") for k, v in statistics(text_col).items()])
+    return split.select(*docs.columns, *[F.round(v, _ROUND).alias(f"q_{k}") for k, v in found.items()])
 
 
 def _indicators() -> list:
@@ -101,7 +104,8 @@ def fit_evidence(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
     """Fit on at most ``sample`` labelled documents outside the held-out fold."""
     lab = labels.filter(F.col("quality").isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max("quality").cast("double").alias("label"))
     lab = lab.filter(~held_out("doc_id")).orderBy(F.xxhash64(F.lit(3), "doc_id"), "doc_id").limit(sample)
-    rows = docs.select(F.col(id_col).alias("d"), F.col(text_col).alias("text")).join(lab, F.col("d") == lab["doc_id"]).select("doc_id", "text", "label")
+    # At most ``sample`` narrow rows: a bounded side.
+    rows = docs.select(F.col(id_col).alias("d"), F.col(text_col).alias("text")).join(F.broadcast(lab), F.col("d") == lab["doc_id"]).select("doc_id", "text", "label")
     f = materialize(with_evidence_features(rows).drop("text"))
     counts = {r["label"]: r["n"] for r in f.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
     if len(counts) < 2:
@@ -133,11 +137,8 @@ def site_rates(scored: DataFrame, rate: float) -> DataFrame:
     p = 1 / (1 + F.exp(-(F.col("llr") + F.log(F.lit(rate / (1 - rate))))))
     paths = materialize(scored.groupBy("host", "path").agg(F.sum(F.round(p, _ROUND).cast("decimal(20,6)")).cast("double").alias("good"), F.count(F.lit(1)).cast("double").alias("n")))
     hosts = materialize(paths.groupBy("host").agg(F.sum("good").alias("h_good"), F.sum("n").alias("h_n")))
-    top = hosts.agg((F.sum("h_good") / F.sum("h_n")).alias("mean")).crossJoin(  # two single rows
-        hosts.agg(F.count(F.lit(1)).alias("sites"))
-    )
-    stats = top.first()
-    mean = min(max(float(stats["mean"]), 1e-3), 1 - 1e-3) if stats and stats["mean"] is not None else 0.5
+    average = hosts.agg(F.sum("h_good") / F.sum("h_n")).first()[0]
+    mean = min(max(float(average), 1e-3), 1 - 1e-3) if average is not None else 0.5
     k_host = hosts.agg(_strength(F.col("h_good") / F.col("h_n"), F.col("h_n"), F.lit(mean), F.count(F.lit(1))).alias("k")).first()["k"] or 50.0
     host_rate = (F.col("h_good") + F.lit(k_host * mean)) / (F.col("h_n") + F.lit(k_host))
     h = hosts.select(F.col("host").alias("h"), host_rate.alias("host_rate"))
@@ -150,18 +151,18 @@ def site_rates(scored: DataFrame, rate: float) -> DataFrame:
 def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", path_col: str = "lang", carry: list[str] | None = None) -> DataFrame:
     """Posterior of every row: doc_id, held_out, host_rate, path_rate, llr, score, keep.
 
-    ``carry`` names the columns of ``docs`` to return instead of the id; the
-    filtering pipeline uses it to pass whole rows through without a join.
+    ``carry`` names columns of ``docs`` to return whole, as (row, keep); the filtering
+    pipeline uses it to pass rows through without a join on an id.
     """
     evidence = fit_evidence(docs, labels, id_col, text_col)
     slim = docs.select(F.col(host_col).alias("host"), F.col(path_col).alias("path"), F.col(text_col).alias("text"))
-    scored = evidence.score(with_evidence_features(slim).drop("text"))
     if carry is None:
         narrow = docs.select(F.col(id_col).alias("doc_id"), F.col(host_col).alias("host"), F.col(path_col).alias("path"), F.col(text_col).alias("text"))
         rows = materialize(evidence.score(with_evidence_features(narrow).drop("text")).select("doc_id", "host", "path", "llr"))
         rates = site_rates(rows, evidence.rate)
     else:
-        rates = site_rates(scored.select("host", "path", "llr"), evidence.rate)
+        scored = evidence.score(with_evidence_features(slim).drop("text")).select("host", "path", "llr")
+        rates = site_rates(scored, evidence.rate)
         wrapped = docs.select(F.struct(*[F.col(c) for c in carry]).alias("row"), F.col(host_col).alias("host"), F.col(path_col).alias("path"), F.col(text_col).alias("text"))
         rows = evidence.score(with_evidence_features(wrapped).drop("text")).select("row", "host", "path", "llr")
     r = rates.select(F.col("host").alias("h"), F.col("path").alias("p"), "host_rate", "path_rate")
@@ -170,9 +171,9 @@ def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     out = out.withColumn("score", F.round(1 / (1 + F.exp(-logit)), _ROUND)).withColumn("keep", F.col("score") >= 0.5)
     if carry is None:
         return out.select("doc_id", F.coalesce(held_out("doc_id"), F.lit(False)).alias("held_out"), "host_rate", "path_rate", "llr", "score", "keep")
-    return out.select("row.*", F.col("keep").alias("_keep")) if "_keep" not in carry else out.select("row", "keep")
+    return out.select("row", "keep")
 
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``docs`` that the classifier keeps, same columns."""
-    return classify(docs, labels, carry=docs.columns).filter("_keep").drop("_keep")
+    return classify(docs, labels, carry=docs.columns).filter("keep").select("row.*")
