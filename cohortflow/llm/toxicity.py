@@ -175,7 +175,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
     """(doc_id, text, label) of at most ``sample`` labelled documents, in hash order."""
     lab = labels.filter(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max("toxic").cast("int").alias("label"))
     lab = lab.filter(~held_out("doc_id")).orderBy(F.xxhash64(F.lit(23), "doc_id"), "doc_id").limit(sample)
-    return docs.select(F.col(id_col).alias("d"), F.col(text_col).alias("text")).join(lab, F.col("d") == lab["doc_id"]).select("doc_id", "text", "label")
+    return docs.select(F.col(id_col).alias("d"), F.col(text_col).alias("text")).join(F.broadcast(lab), F.col("d") == lab["doc_id"]).select("doc_id", "text", "label")  # a bounded side
 
 
 def _words(text: str) -> list[str]:
