@@ -9,9 +9,9 @@ banded buckets and star-shaped candidate edges.
 3. A bucket of classes that share a band yields a star: edges to its smallest
    class, never all pairs.  Edges are confirmed on the full sets.
 4. A star can miss a link whose ends are both unlike the centre.  Such a link
-   only matters if its ends lie in different components, so the buckets that
-   still hold several components are searched again between components, in
-   bounded blocks, and these edges are confirmed too.
+   only matters if its ends lie in different components, so the members of
+   buckets that still hold several components are compared again on their full
+   sets, in bounded blocks that yield a spanning forest of their links.
 
 Defined results: null or wordless texts have an empty set and link with
 nothing; documents with null ``doc_id`` take no part (component_id null, kept
@@ -28,7 +28,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortflow.llm.components import connected_components
+from cohortflow.llm.components import connected_components, spanning_stars
 from cohortflow.llm.shingles import mix, shingle_sets
 from cohortflow.session import materialize
 
@@ -40,9 +40,6 @@ BINS = BANDS * ROWS
 #: bins that either fills.  Its standard error is at most 0.026 at any set size (small sets
 #: are nearly whole in it), so a pair at 0.8 falls below this with probability 2e-6.
 SIGNATURE_MIN = 0.68
-#: Bins of the wider signature used between components, and its least value: its
-#: standard error is at most 0.011, so 0.755 is over four errors below 0.8.
-WIDE, WIDE_MIN = 1024, 0.755
 _BLOCK = 512  # members of a bucket that are compared with one another in one task
 
 _SKETCH = "doc_id string, n_shingles bigint, h1 bigint, h2 bigint, sig binary, bands array<bigint>"
@@ -171,14 +168,6 @@ def _share_equal(p: np.ndarray, q: np.ndarray) -> np.ndarray:
     return ((p == q) & either).sum(axis=-1) / np.maximum(either.sum(axis=-1), 1)
 
 
-def _wide():
-    @F.pandas_udf("binary")
-    def wide(sets: pd.Series) -> pd.Series:
-        return pd.Series([_bytes(*minima(np.frombuffer(x, dtype=np.uint64), WIDE)).tobytes() for x in sets], dtype=object)
-
-    return wide
-
-
 def _agreement():
     @F.pandas_udf("double")
     def agreement(a: pd.Series, b: pd.Series) -> pd.Series:
@@ -205,41 +194,60 @@ def _confirmed(edges: DataFrame, sets: DataFrame, min_percent: int) -> DataFrame
     return full.filter(_similar(min_percent)("xa", "xb")).select("a", "b")
 
 
+def _intersections(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """Exact sizes of the intersections of each left set with each right set.
+
+    Only shingles of two or more sets count; their membership matrices are
+    multiplied a few thousand columns at a time.
+    """
+    both = left + right
+    flat = np.concatenate(both)
+    owner = np.repeat(np.arange(len(both)), [len(s) for s in both])
+    values, number = np.unique(flat, return_counts=True)
+    shared = values[number > 1]
+    out = np.zeros((len(left), len(right)), dtype=np.float32)
+    if not len(shared):
+        return out
+    at = np.searchsorted(shared, flat)
+    known = np.flatnonzero(shared[np.minimum(at, len(shared) - 1)] == flat)
+    at, owner = at[known], owner[known]
+    for start in range(0, len(shared), 4096):
+        here = (at >= start) & (at < start + 4096)
+        member = np.zeros((len(both), min(4096, len(shared) - start)), dtype=np.float32)
+        member[owner[here], at[here] - start] = 1.0
+        out += member[: len(left)] @ member[len(left) :].T
+    return out
+
+
 def _between_components(members: DataFrame, min_percent: int) -> DataFrame:
-    """Candidate edges between different components inside each bucket.
+    """Links between different components inside each bucket, confirmed on full sets.
 
-    ``members``: key, rep, comp, n_shingles, sig, size (bucket size).  A bucket
-    is cut into blocks of about _BLOCK members, and each pair of blocks is one
-    unit of work, so no task holds a whole bucket.
+    ``members``: key, rep, comp, shingles, size (bucket size).  A bucket is cut
+    into blocks of about _BLOCK members, and each pair of blocks is one unit of
+    work, so no task holds a whole bucket.  A unit yields a spanning forest of
+    its links, never its pairs.
     """
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         i, j = int(pdf["lo"].iloc[0]), int(pdf["hi"].iloc[0])
-        left = pdf[pdf["blk"] == i]
-        right = pdf[pdf["blk"] == j]
-        sl = np.frombuffer(b"".join(left["sig"]), dtype=np.uint8).reshape(len(left), WIDE)
-        sr = np.frombuffer(b"".join(right["sig"]), dtype=np.uint8).reshape(len(right), WIDE)
-        rl, rr, cl, cr = (x.to_numpy() for x in (left["rep"], right["rep"], left["comp"], right["comp"]))
-        nl, nr = left["n_shingles"].to_numpy(), right["n_shingles"].to_numpy()
-        out_a, out_b = [], []
-        for k in range(len(left)):
-            ok = (cr != cl[k]) & (100 * np.minimum(nr, nl[k]) >= min_percent * np.maximum(nr, nl[k]))
-            if i == j:
-                ok &= rr > rl[k]
-            at = np.flatnonzero(ok)
-            if len(at):
-                at = at[_share_equal(sr[at], sl[k]) >= WIDE_MIN]
-                out_a.append(np.full(len(at), rl[k]))
-                out_b.append(rr[at])
-        a = np.concatenate(out_a) if out_a else np.zeros(0, dtype=np.int64)
-        b = np.concatenate(out_b) if out_b else np.zeros(0, dtype=np.int64)
-        return pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)})
+        left, right = pdf[pdf["blk"] == i], pdf[pdf["blk"] == j]
+        rl, rr = left["rep"].to_numpy(), right["rep"].to_numpy()
+        apart = left["comp"].to_numpy()[:, None] != right["comp"].to_numpy()[None, :]
+        if not apart.any():
+            return pd.DataFrame({"a": [], "b": []})
+        sl, sr = ([np.frombuffer(x, dtype=np.uint64) for x in side["shingles"]] for side in (left, right))
+        nl, nr = (np.array([len(x) for x in side])[:, None] for side in (sl, sr))
+        inter = _intersections(sl, sr).astype(np.int64)
+        linked = apart & (100 * inter >= min_percent * (nl + nr.T - inter))
+        x, y = np.nonzero(linked)
+        a, b = spanning_stars(rl[x], rr[y])
+        return pd.DataFrame({"a": a, "b": b})
 
     blocks = F.ceil(F.col("size") / F.lit(_BLOCK)).cast("int")
     m = members.withColumn("blocks", blocks).withColumn("blk", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
     m = m.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     m = m.withColumn("lo", F.least("blk", "other")).withColumn("hi", F.greatest("blk", "other"))
-    return m.select("key", "lo", "hi", "blk", "rep", "comp", "n_shingles", "sig").groupBy("key", "lo", "hi").applyInPandas(run, "a bigint, b bigint").distinct()
+    return m.select("key", "lo", "hi", "blk", "rep", "comp", "shingles").groupBy("key", "lo", "hi").applyInPandas(run, "a bigint, b bigint").distinct()
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, min_percent: int = 80) -> DataFrame:
@@ -278,11 +286,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     labelled = materialize(wide.join(comps, wide["rep"] == comps["node"], "left").select("key", "rep", "size", comp.alias("comp")))
     mixed = labelled.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi").select("key")
     among = materialize(labelled.join(mixed, "key", "left_semi"))
-    wider = sets.join(among.select("rep").distinct(), "rep", "left_semi").select("rep", (F.length("shingles") / 8).cast("bigint").alias("n_shingles"), _wide()("shingles").alias("sig"))
-    members = among.join(wider, "rep")
-    tested = likely.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    rest = _between_components(members, min_percent).join(tested, ["a", "b"], "left_anti")
-    more = materialize(_confirmed(rest, sets, min_percent))
+    members = among.join(sets, "rep")
+    more = materialize(_between_components(members, min_percent))
     final = comps if more.isEmpty() else connected_components(links.unionAll(more))
     names = classes.select("rep", "first_doc", *keys)
     # A component is named by the smallest doc_id of its classes.
