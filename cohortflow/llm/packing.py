@@ -1,11 +1,10 @@
 """Packing into optimal length buckets and token-budget batches.
 
 1. The global histogram of document lengths (words, or any token count) is one
-   grouped aggregation.  Lengths are counted in steps of ``step`` tokens, the
-   smallest power of two that leaves at most ``MAX_BINS`` steps up to the longest document,
-   so the histogram is bounded whatever the corpus holds.
+   grouped aggregation of the exact lengths, whatever the longest document is.
 2. Dynamic programming over the histogram chooses at most ``n_buckets`` upper
-   bounds that minimise the total padding (ties: the smaller bound first).
+   bounds that minimise the total padding (ties: the smaller bound first), by
+   divide and conquer, so no table of all pairs of lengths is built.
 3. Every document goes to the smallest bound that holds it, padded to that
    bound.  Batches of ``budget // bound`` documents (at least one) form inside
    each bucket, in chunks of about ``CHUNK`` documents, so no window holds a
@@ -25,7 +24,7 @@ from pyspark.sql import functions as F
 from cohortflow.llm.mixing import word_count
 from cohortflow.session import materialize
 
-MAX_BINS = 2048
+MAX_BINS = 2048  # steps of the grid in ``oracle_sql``; the program itself has none
 CHUNK = 65_536
 
 
@@ -41,17 +40,10 @@ def optimal_bounds(lengths: list[int], counts: list[int], n_buckets: int) -> lis
     size = np.array(lengths, dtype=np.int64)
     number = np.concatenate(([0], np.cumsum(np.array(counts, dtype=np.int64))))
     tokens = np.concatenate(([0], np.cumsum(np.array(counts, dtype=np.int64) * size)))
-    # cost[i, j]: padding when lengths i..j share the bound lengths[j].
-    cost = size[None, :] * (number[None, 1:] - number[:-1, None]) - (tokens[None, 1:] - tokens[:-1, None])
-    never = np.int64(1) << np.int64(62)
-    cost = np.where(np.arange(n)[:, None] <= np.arange(n)[None, :], cost, never)
-    best, back = cost[0].copy(), []
+    best, back = _layer(np.zeros(n, dtype=np.int64), size, number, tokens, first_only=True)[0], []
     for _ in range(1, min(n_buckets, n)):
-        through = np.concatenate(([0], best[:-1]))[:, None] + cost  # bucket i..j after the first i lengths
-        through = np.where(cost == never, never, through)
-        start = np.argmin(through, axis=0)
+        best, start = _layer(np.concatenate(([0], best[:-1])), size, number, tokens)
         back.append(start)
-        best = through[start, np.arange(n)]
     bounds, j = [], n - 1
     for start in reversed(back):
         bounds.append(int(size[j]))
@@ -63,12 +55,33 @@ def optimal_bounds(lengths: list[int], counts: list[int], n_buckets: int) -> lis
     return sorted(bounds)
 
 
-def length_step(longest: int) -> int:
-    """Smallest power of two that leaves at most MAX_BINS steps."""
-    step = 1
-    while longest > step * MAX_BINS:
-        step *= 2
-    return step
+def _layer(before: np.ndarray, size: np.ndarray, number: np.ndarray, tokens: np.ndarray, first_only: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """(padding, start) of the best last bucket i..j for every j; the smallest i of equal ones.
+
+    ``before[i]`` is the padding of the first i lengths.  The best i never falls as j
+    grows, so the middle j of a range halves the starts of its two sides: all ranges
+    of one halving are searched together, in about 2 n steps.
+    """
+    n = len(size)
+    best, start = np.zeros(n, dtype=np.int64), np.zeros(n, dtype=np.int64)
+    pad = lambda i, j: before[i] + size[j] * (number[j + 1] - number[i]) - (tokens[j + 1] - tokens[i])
+    if first_only:
+        return pad(start, np.arange(n)), start
+    low, high, least, most = (np.array([x], dtype=np.int64) for x in (0, n - 1, 0, n - 1))
+    while len(low):
+        j = (low + high) // 2
+        width = np.minimum(most, j) - least + 1
+        at = np.concatenate(([0], np.cumsum(width)))[:-1]
+        i = np.arange(width.sum()) - np.repeat(at - least, width)
+        cost = pad(i, np.repeat(j, width))
+        best[j] = np.minimum.reduceat(cost, at)
+        start[j] = np.minimum.reduceat(np.where(cost == np.repeat(best[j], width), i, n), at)
+        low, high, least, most = (
+            np.concatenate(x) for x in ((low, j + 1), (j - 1, high), (least, start[j]), (start[j], most))
+        )
+        some = low <= high
+        low, high, least, most = low[some], high[some], least[some], most[some]
+    return best, start
 
 
 def pack(lengths: DataFrame, n_buckets: int = 16, budget: int = 65_536) -> DataFrame:
@@ -78,17 +91,15 @@ def pack(lengths: DataFrame, n_buckets: int = 16, budget: int = 65_536) -> DataF
     ``slot`` from 0 in each batch.
     """
     spark = lengths.sparkSession
-    longest = lengths.agg(F.max("n_tokens")).first()[0]
-    step = length_step(int(longest or 0))
-    rounded = (F.ceil(F.col("n_tokens") / F.lit(step)) * step).cast("bigint")
-    # At most MAX_BINS + 1 rows.
-    histogram = lengths.groupBy(rounded.alias("len")).agg(F.count(F.lit(1)).alias("n")).orderBy("len").collect()
+    # D distinct lengths need D * (D - 1) / 2 tokens: at most about the square root of twice the corpus's tokens.
+    histogram = lengths.groupBy(F.col("n_tokens").alias("len")).agg(F.count(F.lit(1)).alias("n")).orderBy("len").collect()
     bounds = optimal_bounds([r["len"] for r in histogram], [r["n"] for r in histogram], n_buckets)
-    members = [sum(r["n"] for r in histogram if (bounds[k - 1] if k else -1) < r["len"] <= b) for k, b in enumerate(bounds)]
+    place = np.searchsorted(bounds, [r["len"] for r in histogram])
+    members = np.bincount(place, weights=[r["n"] for r in histogram], minlength=len(bounds)).astype(int).tolist() if bounds else []
     table = [(k, b, max(1, -(-n // CHUNK)), max(1, budget // max(b, 1))) for k, (b, n) in enumerate(zip(bounds, members, strict=True))]
     buckets = spark.createDataFrame(table, "bucket int, padded bigint, chunks bigint, per_batch bigint")
     at = F.array(*[F.lit(b).cast("bigint") for b in bounds]) if bounds else F.array().cast("array<bigint>")
-    bucket = F.size(F.filter(at, lambda b: b < rounded)).cast("int")
+    bucket = F.size(F.filter(at, lambda b: b < F.col("n_tokens"))).cast("int")
     # One row per bucket: a bounded side.
     rows = lengths.withColumn("bucket", bucket).join(F.broadcast(buckets), "bucket")
     rows = rows.withColumn("chunk", F.coalesce(F.pmod("doc_id", "chunks"), F.lit(0)).cast("bigint"))

@@ -1,6 +1,7 @@
 """Packing, mixing, quality and secrets on small tables with awkward rows."""
 
 import itertools
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -39,6 +40,30 @@ def test_bounds_are_optimal():
         assert brute_padding(lengths, got) == best and got[-1] == 20 and len(got) <= k
 
 
+def test_bounds_equal_the_plain_program():
+    rnd = random.Random(6)
+    for n in (1, 2, 7, 60):
+        sizes, counts = sorted(rnd.sample(range(0, 500), n)), [rnd.randint(1, 4) for _ in range(n)]
+        pad = lambda i, j: sum(c * (sizes[j] - x) for x, c in zip(sizes[i : j + 1], counts[i : j + 1], strict=True))  # noqa: E731, B023
+        rows = [[(pad(0, j), 0) for j in range(n)]]
+        for _ in range(1, min(5, n)):
+            rows.append([min(((rows[-1][i - 1][0] if i else 0) + pad(i, j), i) for i in range(j + 1)) for j in range(n)])
+        bounds, j = [], n - 1
+        for row in reversed(rows):
+            bounds, j = [sizes[j], *bounds], row[j][1] - 1
+            if j < 0:
+                break
+        assert packing.optimal_bounds(sizes, counts, 5) == bounds
+
+
+def test_one_long_document_leaves_the_other_bounds(spark):
+    plain = spark.range(3000).select(F.col("id").alias("doc_id"), (F.col("id") % 150).alias("n_tokens"))
+    long = spark.createDataFrame([(9000, 5_000_000)], "doc_id bigint, n_tokens bigint")
+    without = {(r.doc_id, r.padded) for r in packing.pack(plain, n_buckets=15).collect()}
+    both = {(r.doc_id, r.padded) for r in packing.pack(plain.unionByName(long), n_buckets=16).collect()}
+    assert both == without | {(9000, 5_000_000)}
+
+
 def test_packing_awkward_rows(awkward):
     rows = packing.pack_documents(awkward, n_buckets=2, budget=10).collect()
     assert len(rows) == len(AWKWARD)
