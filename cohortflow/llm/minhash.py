@@ -25,7 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortflow.llm.components import connected_components, spanning_stars
@@ -42,7 +42,7 @@ BINS = BANDS * ROWS
 SIGNATURE_MIN = 0.68
 _BLOCK = 512  # members of a bucket that are compared with one another in one task
 
-_SKETCH = "doc_id string, n_shingles bigint, h1 bigint, h2 bigint, sig binary, bands array<bigint>"
+_SKETCH = "doc_id string, text_key bigint, n_shingles bigint, h1 bigint, h2 bigint, sig binary, bands array<bigint>"
 _SETS = "h1 bigint, h2 bigint, n_shingles bigint, shingles binary"
 
 
@@ -89,7 +89,7 @@ def _set_keys(s: np.ndarray) -> tuple[int, int]:
         return int(np.add.reduce(s, dtype=np.uint64).view(np.int64)), int(other.view(np.int64))
 
 
-def _sketch_batch(ids: list, texts: list, width: int) -> pd.DataFrame:
+def _sketch_batch(ids: list, text_keys: list, texts: list, width: int) -> pd.DataFrame:
     sets = shingle_sets(texts, width)
     n = len(sets)
     dense = np.zeros((n, BINS), dtype=np.uint64)
@@ -107,6 +107,7 @@ def _sketch_batch(ids: list, texts: list, width: int) -> pd.DataFrame:
     return pd.DataFrame(
         {
             "doc_id": ids,
+            "text_key": text_keys,
             "n_shingles": [len(s) for s in sets],
             "h1": [k[0] for k in keys],
             "h2": [k[1] for k in keys],
@@ -116,18 +117,23 @@ def _sketch_batch(ids: list, texts: list, width: int) -> pd.DataFrame:
     )
 
 
-def _set_batch(ids: list, texts: list, width: int) -> pd.DataFrame:
+def _set_batch(ids: list, text_keys: list, texts: list, width: int) -> pd.DataFrame:
     sets = [s for s in shingle_sets(texts, width) if len(s)]
     keys = [_set_keys(s) for s in sets]
     return pd.DataFrame({"h1": [k[0] for k in keys], "h2": [k[1] for k in keys], "n_shingles": [len(s) for s in sets], "shingles": [s.tobytes() for s in sets]})
 
 
+def text_key(text_col: str = "text") -> Column:
+    """Hash of a row's text: with the id it tells apart rows that share the id."""
+    return F.xxhash64(F.col(text_col).cast("string"))
+
+
 def _over_texts(docs: DataFrame, id_col: str, text_col: str, batch, schema: str, width: int) -> DataFrame:
     """``batch`` over the rows of ``docs``; a batch of long texts is taken in parts."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            ids = pdf["i"].tolist()
+            ids, text_keys = pdf["i"].tolist(), pdf["k"].tolist()
             texts = pdf["t"].tolist()
             at = 0
             while at < len(texts):
@@ -136,9 +142,10 @@ def _over_texts(docs: DataFrame, id_col: str, text_col: str, batch, schema: str,
                     part.append(texts[at].encode("utf-8", "surrogatepass") if texts[at] else b"")
                     load += len(part[-1])
                     at += 1
-                yield batch(ids[at - len(part) : at], part, width)
+                yield batch(ids[at - len(part) : at], text_keys[at - len(part) : at], part, width)
 
-    return docs.select(F.col(id_col).cast("string").alias("i"), F.col(text_col).cast("string").alias("t")).mapInPandas(run, schema)
+    slim = docs.select(F.col(id_col).cast("string").alias("i"), text_key(text_col).alias("k"), F.col(text_col).cast("string").alias("t"))
+    return slim.mapInPandas(run, schema)
 
 
 def sketches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5) -> DataFrame:
@@ -256,6 +263,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     Documents are linked where 100 * |intersection| >= min_percent * |union| of
     their shingle sets; component_id is the smallest doc_id reachable.
     """
+    return grouped_rows(docs, id_col, text_col, width, min_percent).select("doc_id", "n_shingles", "component_id", "kept")
+
+
+def grouped_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, min_percent: int = 80) -> DataFrame:
+    """``near_duplicates`` with ``text_key`` and ``group``: two components can have the same
+    smallest id where ids repeat, but never the same group (null without an id or words)."""
     t = materialize(sketches(docs, id_col, text_col, width))
     # One class per distinct set; one row per class from here on.  Signature and
     # bands are functions of the set, so any member's will do.
@@ -293,9 +306,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     # A component is named by the smallest doc_id of its classes.
     joined = names.join(final, names["rep"] == final["node"], "left").withColumn("group", F.coalesce("component", "rep"))
     smallest = joined.groupBy("group").agg(F.min("first_doc").alias("component_id"))
-    per_class = materialize(joined.join(smallest, "group").select("h1", "h2", "n_shingles", "component_id"))
-    out = t.select("doc_id", *keys).join(per_class.withColumnRenamed("component_id", "found"), keys, "left")
+    per_class = materialize(joined.join(smallest, "group").select("h1", "h2", "n_shingles", "component_id", "group"))
+    out = t.select("doc_id", "text_key", *keys).join(per_class.withColumnRenamed("component_id", "found"), keys, "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("found", "doc_id"))
+    kept = F.coalesce(F.col("doc_id") == component, F.lit(True))
     return out.select(
-        "doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept")
+        "doc_id", "n_shingles", component.alias("component_id"), kept.alias("kept"), "text_key", F.when(F.col("doc_id").isNotNull(), F.col("group")).alias("group")
     )

@@ -22,14 +22,18 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates (five-word shingles, 0.8).
 
-    Rows without an id stay; of rows that share an id, one stays.
+    It is the row with the smallest id, then the smallest text hash.  Rows without
+    an id stay; of rows without words, one of each id and text stays.
     """
-    found = minhash.near_duplicates(docs, width=5).filter("doc_id is not null")
-    # One row per id: an id stands for its group only where it is the smallest.
-    kept = found.groupBy(F.col("doc_id").alias("_kept_id")).agg(F.count(F.lit(1)).alias("_n"), F.max("kept").alias("_kept")).filter("_kept").drop("_kept")
-    joined = docs.join(kept, docs["doc_id"] == kept["_kept_id"])
+    found = minhash.grouped_rows(docs, width=5).filter("doc_id is not null")
+    # Rows are told apart by id and text: an id alone may stand for several texts.
+    rows = found.groupBy("group", F.col("doc_id").alias("_kept_id"), F.col("text_key").alias("_kept_key")).agg(F.count(F.lit(1)).alias("_n"))
+    first = F.min(F.struct("_kept_id", "_kept_key", "_n")).alias("first")
+    kept = rows.filter("group is not null").groupBy("group").agg(first).select("first.*").unionByName(rows.filter("group is null").drop("group"))
+    joined = docs.join(kept, (docs["doc_id"] == kept["_kept_id"]) & (minhash.text_key() == kept["_kept_key"]))
     once = joined.filter("_n = 1").select(*docs.columns)
-    repeated = joined.filter("_n > 1").select(*docs.columns).dropDuplicates(["doc_id"])
+    row = F.struct(*docs.columns)
+    repeated = joined.filter("_n > 1").groupBy("_kept_id", "_kept_key").agg(F.min_by(row, F.xxhash64(*docs.columns)).alias("row")).select("row.*")
     return once.unionByName(repeated).unionByName(docs.filter("doc_id is null"))
 
 

@@ -60,6 +60,16 @@ def test_stages_one_by_one(spark, folder):
     assert packed.count() == mixed.count() and packed.filter("padded < n_tokens").count() == 0
 
 
+def test_shared_ids_lose_no_group(spark, tmp_path):
+    rnd = random.Random(4)
+    a, b, c, d = (" ".join(rnd.choice(WORDS) + str(rnd.randint(0, 900)) for _ in range(40)) for _ in range(4))
+    rows = [(5, a, "en", "x"), (9, a, "en", "x"), (5, b, "en", "x"), (3, b, "en", "x"), (7, c, "en", "x"), (7, d, "en", "x"), (7, c, "de", "y"), (8, "", "en", "x"), (8, None, "en", "x")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string")
+    runs = [sorted((tuple(r) for r in C.near_duplicate_stage(spark, docs.repartition(n), str(tmp_path)).collect()), key=repr) for n in (1, 5)]
+    assert runs[0] == runs[1]
+    assert sorted((r[0], r[1] or "") for r in runs[0]) == sorted([(5, a), (3, b), (7, c), (7, d), (8, ""), (8, "")])
+
+
 def test_run_and_registration(spark, folder):
     import __spark_entry__ as E
 
