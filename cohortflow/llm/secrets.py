@@ -1,7 +1,8 @@
 """Secret scanning with a random forest that removes false positives.
 
 DataFrame operations and Spark ML only.  A cheap pattern finds candidates (long
-opaque runs of letters, digits and base64 signs); cutting the text at the same
+opaque runs of letters, digits and base64 signs, and any value of 6 or more
+characters that is assigned to a secret's name or stands in user:value@host); cutting the text at the same
 pattern yields each candidate's left and right neighbours.  Features: length,
 character classes, character transitions, coverage by dictionary words, path
 signs and neighbouring words.  A random forest trained on labelled findings
@@ -30,12 +31,24 @@ from cohortflow.session import materialize
 
 #: Documents that findings are labelled from, at most.
 SAMPLE = 4000
-#: Candidates: 16 or more characters with a digit, or 24 or more without.
-CANDIDATE = r"(?<![A-Za-z0-9+/_-])(?:(?=[A-Za-z+/_-]*[0-9])[A-Za-z0-9+/_-]{16,}|[A-Za-z+/_-]{24,})={0,2}"
 # Names of secrets, names of harmless identifiers, frequent words.
 SECRET_NAMES = r"(?i)(token|secret|passw|passphrase|pwd|api[ _-]?key|access[ _-]?key|auth|bearer|credential|private[ _-]?key)"
 HARMLESS_NAMES = r"(?i)(commit|sha[0-9]*|md5|checksum|digest|hash|uuid|guid|etag|revision|build|order|card|phone|serial|isbn|page|anchor)"
-ASSIGNED = SECRET_NAMES + r"""[A-Za-z_ -]{0,12}["']?\s{0,3}(=|:|=>|:=)\s{0,3}["']?$"""
+_ASSIGNMENT = SECRET_NAMES + r"""[A-Za-z_ -]{0,12}["']?\s{0,3}(=|:|=>|:=)\s{0,3}["']?"""
+ASSIGNED = _ASSIGNMENT + "$"
+_USER = r"""(?:^|[\s"'/(<=])[A-Za-z0-9._%+-]{1,40}:"""
+#: Candidates of the first form: 16 or more characters with a digit, or 24 or more without.
+OPAQUE = r"(?<![A-Za-z0-9+/_-])(?:(?=[A-Za-z+/_-]*[0-9])[A-Za-z0-9+/_-]{16,}|[A-Za-z+/_-]{24,})={0,2}"
+#: Of the second form: the value of 6 or more characters after an assignment to a secret's name (up
+#: to the closing quote if quoted, else without closing punctuation), or before the @ of user:value@host.
+#: The short look-behinds only spare the long ones their work.
+VALUE = (
+    r"""(?<=[=:>]\s{0,3}["']?)(?<=(?:""" + _ASSIGNMENT + r"""))(?-i)(?:(?<=")[^\s"]{6,}|(?<=')[^\s']{6,}|(?<!["'])[^\s"'=>:]\S{4,}[^\s"'.,;:!?)\]}>])"""
+    r"|(?<=:)(?<=" + _USER + r")[^\s/]{6,}(?=@[A-Za-z0-9\[])"
+)
+CANDIDATE = f"(?:{VALUE}|{OPAQUE})"
+#: Ordinary words, as they stand after "author:" or "token:" in prose.
+PLAIN_WORD = r"^(?:\p{Lu}?\p{Ll}+|\p{Lu}+)(?:[-'’.,]\p{L}\p{Ll}*)*$"
 DICTIONARY = (
     "the and that with have this from they would there their what about which when make like time just know take into year your good some could them "
     "other than then look only come over think also back after work first well even want because these give most der die und ist nicht ein eine mit "
@@ -45,7 +58,7 @@ DICTIONARY = (
 
 FEATURES = [
     "length", "digits", "upper", "lower", "hex_only", "signs", "class_changes", "vowels", "consonant_runs", "repeats", "alternation",
-    "dictionary", "slashes", "path_left", "url_left", "assigned", "secret_left", "harmless_left", "quoted", "word_left", "digit_only", "prefix_form",
+    "dictionary", "slashes", "path_left", "url_left", "assigned", "secret_left", "harmless_left", "quoted", "word_left", "digit_only", "prefix_form", "userinfo", "mail_left", "plain_word",
 ]
 
 
@@ -105,7 +118,10 @@ def with_features(found: DataFrame) -> DataFrame:
         "quoted": _flag(left.rlike("[\"'`]$") & F.col("right").rlike("^[\"'`]")),
         "word_left": _flag(left.rlike(r"(?<![A-Za-z])[a-z]{2,} $")),
         "digit_only": _flag(c.rlike("^[0-9-]+$")),
-        "prefix_form": _flag(c.rlike("^(AKIA|ASIA|ghp_|gho_|glpat-|xox[abp]-|sk-|sk_live_|rk_live_|eyJ|AIza|npm_|hf_)")),
+        "prefix_form": _flag(c.rlike("^/*(AKIA|ASIA|ghp_|gho_|glpat-|xox[abp]-|sk-|sk_live_|rk_live_|eyJ|AIza|npm_|hf_)")),
+        "userinfo": _flag(left.rlike("://[^\\s/:@]+:$") & F.col("right").rlike("^@")),
+        "mail_left": _flag(left.rlike("(?i)(mailto|mail|contact|from|to|cc):$") & F.col("right").rlike("^@")),
+        "plain_word": _flag(c.rlike(PLAIN_WORD)),
     }
     return found.select("*", *[F.coalesce(v.cast("double"), F.lit(0.0)).alias(f"f_{k}") for k, v in columns.items()])
 
@@ -117,6 +133,7 @@ def _templates(ids: DataFrame) -> DataFrame:
     digits = F.lpad(F.abs(F.xxhash64(F.lit("n"), "doc_id")).cast("string"), 18, "4")
     uuid = F.regexp_replace(F.substring(sha("u"), 1, 32), "^(.{8})(.{4})(.{4})(.{4})(.{12})$", "$1-$2-$3-$4-$5")
     word = lambda k: F.element_at(F.array(*[F.lit(w) for w in DICTIONARY]), (F.pmod(F.xxhash64(F.lit(k), "doc_id"), F.lit(len(DICTIONARY))) + 1).cast("int"))
+    letters = lambda salt, n: F.substring(F.regexp_replace(F.concat(b64(salt), b64(salt + "2")), "[^A-Za-z]", ""), 1, n)
     joined = F.concat(*[word(k) for k in range(6)])
     path = F.concat_ws("/", *[word(k) for k in range(10, 15)])
     forms = [
@@ -127,6 +144,14 @@ def _templates(ids: DataFrame) -> DataFrame:
         ("the ", F.concat(F.lit("AKIA"), F.upper(F.substring(F.regexp_replace(b64("e"), "[+/]", "Q"), 1, 16))), " ", 1),
         ("git clone ", F.concat(F.lit("ghp_"), F.substring(F.regexp_replace(b64("f"), "[+/]", "x"), 1, 36)), "@", 1),
         ("Authorization: Bearer ", F.concat(F.lit("eyJ"), b64("g")), ".", 1),
+        ('password = "', F.concat(word(20), F.substring(sha("l"), 1, 4), word(21)), '"', 1),
+        ("password: ", F.concat(F.initcap(word(22)), F.lit("@"), F.substring(sha("m"), 1, 4), F.lit("!#"), F.substring(b64("o"), 1, 8)), " ", 1),
+        ("api_key=", letters("p", 18), "\n", 1),
+        ("postgres://app:", F.concat(word(23), F.substring(b64("q"), 1, 7)), "@db", 1),
+        ("author: ", F.initcap(F.concat(word(24), word(25))), " ", 0),
+        ("the token: ", F.concat(word(26), word(27), word(28)), " ", 0),
+        ("mailto:", F.concat(word(29), F.lit("."), word(30)), "@", 0),
+        ("http://localhost:", F.concat(F.lit("8080"), word(31)), "@", 0),
         ("commit ", F.substring(sha("h"), 1, 40), "\n", 0),
         ("md5: ", F.substring(sha("i"), 1, 32), " ", 0),
         ("sha256:", sha("j"), " ", 0),
@@ -148,7 +173,9 @@ def labelled_findings(found: DataFrame, docs: DataFrame, id_col: str = "doc_id",
     order = F.xxhash64(F.lit(11), "doc_id")
     ids = docs.select(F.col(id_col).alias("doc_id")).filter("doc_id is not null").orderBy(order, "doc_id").limit(sample // 20)
     real = found.orderBy(F.xxhash64(F.lit(13), "candidate", "left"), "candidate", "left", "right").limit(sample)
-    sure = F.col("left").rlike(ASSIGNED) & F.col("candidate").rlike("[0-9]") & F.col("candidate").rlike("[A-Za-z]")
+    given = F.col("left").rlike(ASSIGNED) | (F.col("left").rlike("://[^\\s/:@]+:$") & F.col("right").rlike("^@"))
+    # Words of prose may follow such a name; digits, other signs or mixed case make a value.
+    sure = given & F.col("candidate").rlike("[A-Za-z]") & ~F.col("candidate").rlike(PLAIN_WORD)
     real = real.select("left", "candidate", "right", sure.cast("double").alias("label"))
     return real.unionByName(_templates(ids))
 

@@ -188,5 +188,22 @@ def test_secret_spans_and_decisions(spark):
     assert clean[6].count("[SECRET]") == 2
 
 
+def test_short_and_odd_secrets_are_found(spark):
+    texts = {
+        1: ('set password = "hunter2secret" here', "hunter2secret"),
+        2: ("password: P@ssw0rd!2024#abcdXYZ99, then", "P@ssw0rd!2024#abcdXYZ99"),
+        3: ("use postgres://app:pa55w0rdXk9@db now", "pa55w0rdXk9"),
+        4: ("api_key=AbCdEfGhIjKlMnOpQr\nend", "AbCdEfGhIjKlMnOpQr"),
+        5: ("git clone https://ghp_a8Kd03mZx7Qw5Lr2Ty9Bv4Nc6Hj1Gf0Ps3Ue@github.com/x", "ghp_a8Kd03mZx7Qw5Lr2Ty9Bv4Nc6Hj1Gf0Ps3Ue"),
+    }
+    plain = {10: "author: Johnson wrote it", 11: "write to mailto:john.smith@example.com soon", 12: "the token: something else", 13: "Passwort: nein, Secret: nothing"}
+    docs = spark.createDataFrame([(i, t) for i, (t, _) in texts.items()] + list(plain.items()), "doc_id bigint, text string")
+    clean = {r.doc_id: r.text for r in secrets.redact(docs).collect()}
+    for i, (text, secret) in texts.items():
+        assert secret not in clean[i] and "[SECRET]" in clean[i], clean[i]
+    assert clean[2] == "password: [SECRET], then" and clean[3] == "use postgres://app:[SECRET]@db now"
+    assert {i: clean[i] for i in plain} == plain
+
+
 def test_secrets_empty_table(spark):
     assert secrets.scan(spark.createDataFrame([], "doc_id bigint, text string")).count() == 0
