@@ -9,10 +9,10 @@ signs and neighbouring words.  A random forest trained on labelled findings
 decides which candidates are secrets.
 
 Labelled findings: pass ``findings`` (left, candidate, right, label).  Without
-one, findings are labelled from a bounded sample of documents (``SAMPLE``): real
-candidates are secrets where an assignment to a secret's name stands right
-before them, and every sampled document also yields findings written from
-templates of known secret and look-alike forms, filled with hashes of its id.
+one, findings are labelled by rule from a bounded sample (``SAMPLE``) of the real
+candidates: values assigned to a secret's name and known forms are secrets, numbers,
+identifiers and joined words are not, and the rest is left out.  As many findings,
+whatever the table, are written from templates of known secret and look-alike forms.
 
 Defined results: null and empty texts have no candidates; repeated rows and
 null ids are scanned like any other row; an empty table gives no findings, and
@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from cohortflow.session import materialize
 
-#: Documents that findings are labelled from, at most.
+#: Real candidates that are labelled, at most, half of them of each label.
 SAMPLE = 4000
 # Names of secrets, names of harmless identifiers, frequent words.
 SECRET_NAMES = r"(?i)(token|secret|passw|passphrase|pwd|api[ _-]?key|access[ _-]?key|auth|bearer|credential|private[ _-]?key)"
@@ -49,6 +49,18 @@ VALUE = (
 CANDIDATE = f"(?:{VALUE}|{OPAQUE})"
 #: Ordinary words, as they stand after "author:" or "token:" in prose.
 PLAIN_WORD = r"^(?:\p{Lu}?\p{Ll}+|\p{Lu}+)(?:[-'’.,]\p{L}\p{Ll}*)*$"
+#: Whole secrets of known form, wherever they stand.
+KNOWN_FORM = (
+    r"^/*(?:(?:AKIA|ASIA)[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{30,}|glpat-[A-Za-z0-9_-]{16,}|xox[abp]-[A-Za-z0-9-]{16,}|[sr]k_live_[A-Za-z0-9]{16,}|"
+    r"sk-(?=\S*[0-9])(?=\S*[A-Z])[A-Za-z0-9_-]{20,}|AIza[A-Za-z0-9_-]{30,}|npm_[A-Za-z0-9]{30,}|hf_[A-Za-z0-9]{30,}|eyJ[A-Za-z0-9_-]{16,})"
+)
+#: Look-alikes by their own form: numbers, lines of signs, UUIDs, words joined by signs.
+LOOK_ALIKE = (
+    r"^(?:[0-9+/_-]+=*|[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}|"
+    r"[/_+-]*(?:[A-Z]?[a-z]{2,}[0-9]{0,4}|[0-9]{1,4})(?:[/_+-]+(?:[A-Z]?[a-z]+[0-9]{0,4}|[0-9]{1,4}))+[/_+-]*)$"
+)
+#: The name of a harmless identifier right before.
+CALLED_HARMLESS = HARMLESS_NAMES + r"""[A-Za-z_ ]{0,8}["']?\s{0,3}[:=#(]?\s{0,3}["']?$"""
 DICTIONARY = (
     "the and that with have this from they would there their what about which when make like time just know take into year your good some could them "
     "other than then look only come over think also back after work first well even want because these give most der die und ist nicht ein eine mit "
@@ -168,32 +180,48 @@ def _templates(ids: DataFrame) -> DataFrame:
     return ids.select(F.inline(rows))
 
 
-def labelled_findings(found: DataFrame, docs: DataFrame, id_col: str = "doc_id", sample: int = SAMPLE) -> DataFrame:
-    """Findings labelled by rule from at most ``sample`` documents each way."""
-    order = F.xxhash64(F.lit(11), "doc_id")
-    ids = docs.select(F.col(id_col).alias("doc_id")).filter("doc_id is not null").orderBy(order, "doc_id").limit(sample // 20)
-    real = found.orderBy(F.xxhash64(F.lit(13), "candidate", "left"), "candidate", "left", "right").limit(sample)
-    given = F.col("left").rlike(ASSIGNED) | (F.col("left").rlike("://[^\\s/:@]+:$") & F.col("right").rlike("^@"))
+def labelled_findings(found: DataFrame, sample: int = SAMPLE) -> DataFrame:
+    """(left, candidate, right, label, weight) labelled by rule, at most ``sample`` real ones.
+
+    Secrets: values assigned to a secret's name, and known forms anywhere.  Not
+    secrets: look-alikes by form or name.  Other candidates teach nothing.  Per label,
+    the real findings together weigh at most as much as the templates, however many.
+    """
+    c, left = F.col("candidate"), F.col("left")
+    given = left.rlike(ASSIGNED) | (left.rlike("://[^\\s/:@]+:$") & F.col("right").rlike("^@"))
     # Words of prose may follow such a name; digits, other signs or mixed case make a value.
-    sure = given & F.col("candidate").rlike("[A-Za-z]") & ~F.col("candidate").rlike(PLAIN_WORD)
-    real = real.select("left", "candidate", "right", sure.cast("double").alias("label"))
-    return real.unionByName(_templates(ids))
+    sure = c.rlike(KNOWN_FORM) | (given & c.rlike("[A-Za-z]") & ~c.rlike(PLAIN_WORD))
+    prose = c.rlike(PLAIN_WORD) & ~left.rlike("[=\"']$|=\\s+$")  # quoted or after "=" it may be a password
+    alike = prose | (~given & (c.rlike(LOOK_ALIKE) | left.rlike(CALLED_HARMLESS)))
+    rows = found.select("left", "candidate", "right", F.when(sure, 1.0).when(alike, 0.0).alias("label"))
+    order = (F.xxhash64(F.lit(13), "candidate", "left"), "candidate", "left", "right")
+    real = materialize(rows.filter("label = 1").orderBy(*order).limit(sample // 2).unionByName(rows.filter("label = 0").orderBy(*order).limit(sample // 2)))
+    ids = sample // 20
+    templates = _templates(found.sparkSession.range(ids).withColumnRenamed("id", "doc_id"))
+    # Two rows at most each: the size of a label's templates and of its real findings.
+    total = {r["label"]: r["n"] for r in templates.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
+    number = {r["label"]: r["n"] for r in real.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
+    each = {y: total[y] / (number.get(y, 0) + ids) for y in (0.0, 1.0)}
+    weight = F.when(F.col("label") == 1, F.lit(each[1.0])).otherwise(F.lit(each[0.0]))
+    return real.withColumn("weight", weight).unionByName(templates.withColumn("weight", F.lit(1.0)))
 
 
 def train(findings: DataFrame, trees: int = 24, depth: int = 8) -> RandomForestClassificationModel | None:
     """Random forest over the findings; None if they hold fewer than two labels."""
+    if "weight" not in findings.columns:
+        findings = findings.withColumn("weight", F.lit(1.0))
     # Written in one fixed order: the bootstrap draws the same rows on every run.
     f = materialize(with_features(findings).coalesce(1).sortWithinPartitions("candidate", "left", "right"))
     if f.select("label").distinct().count() < 2:
         return None
-    data = VectorAssembler(inputCols=[f"f_{k}" for k in FEATURES], outputCol="features").transform(f).select("features", "label")
-    return RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=5, subsamplingRate=1.0).fit(data)
+    data = VectorAssembler(inputCols=[f"f_{k}" for k in FEATURES], outputCol="features").transform(f).select("features", "label", "weight")
+    return RandomForestClassifier(weightCol="weight", numTrees=trees, maxDepth=depth, seed=5, subsamplingRate=1.0).fit(data)
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", findings: DataFrame | None = None, threshold: float = 0.5) -> DataFrame:
     """(doc_id, text_key, n, start, candidate, left, right, score, is_secret) of every candidate."""
     found = materialize(candidates(docs, id_col, text_col))
-    model = train(findings if findings is not None else labelled_findings(found, docs, id_col))
+    model = train(findings if findings is not None else labelled_findings(found))
     if model is None:
         return found.withColumn("score", F.lit(0.0)).withColumn("is_secret", F.lit(False))
     data = VectorAssembler(inputCols=[f"f_{k}" for k in FEATURES], outputCol="features").transform(with_features(found))

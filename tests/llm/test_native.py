@@ -205,5 +205,13 @@ def test_short_and_odd_secrets_are_found(spark):
     assert {i: clean[i] for i in plain} == plain
 
 
+def test_many_bare_tokens_are_not_taught_away(spark):
+    token = F.concat(F.lit("ghp_"), F.substring(F.translate(F.base64(F.unhex(F.sha2(F.col("id").cast("string"), 256))), "+/=", "xyz"), 1, 36))
+    bare = spark.range(1500).select(F.col("id").alias("doc_id"), F.concat(F.lit("row, "), token, F.lit(", next")).alias("text"))
+    commits = spark.range(2000, 2300).select(F.col("id").alias("doc_id"), F.concat(F.lit("commit "), F.sha1(F.col("id").cast("string"))).alias("text"))
+    decided = {(r.doc_id < 2000, r.is_secret) for r in secrets.scan(bare.unionByName(commits)).select("doc_id", "is_secret").distinct().collect()}
+    assert decided == {(True, True), (False, False)}
+
+
 def test_secrets_empty_table(spark):
     assert secrets.scan(spark.createDataFrame([], "doc_id bigint, text string")).count() == 0
