@@ -16,7 +16,7 @@ early, which brings each segment into exactly the state the whole text would be
 in, so many segments advance side by side in numpy.
 
 Training: at most ``SAMPLE_BYTES`` bytes per language of labelled documents
-outside the held-out fold, in hash order.  Texts are folded to lower case first.
+outside the held-out fold, each distinct text once, in hash order; long documents in pieces.  Texts are folded to lower case first.
 
 Defined results: null texts and texts without a letter are ``und`` with score
 0; ties go to the first language in code point order; without training rows
@@ -48,20 +48,24 @@ def held_out(id_col: str):
 def training_sample(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", sample_bytes: int = SAMPLE_BYTES) -> DataFrame:
     """(lang, text) of at most ``sample_bytes`` bytes per language, in hash order.
 
-    Whole documents are taken while their running size stays in the bound.  A
-    row's order key is found in buckets first, so no language is sorted whole.
+    Whole documents are taken while their running size stays in the bound, each
+    distinct text once; a document above a quarter of it is taken in pieces, each a row
+    of its own.  A row's order key is found in buckets first, so no language is sorted whole.
     """
     rows = docs.filter(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull() & F.coalesce(~held_out(id_col), F.lit(True)))
-    size = F.octet_length(text_col).cast("bigint")
-    rows = rows.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), size.alias("size"), F.xxhash64(F.lit(17), text_col).alias("key"))
-    rows = rows.filter((F.col("size") > 0) & (F.col("size") <= sample_bytes // 4))
+    rows = rows.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
+    # A character has at most four bytes, so a piece has at most a quarter of the bound.
+    pieces = F.regexp_extract_all("text", F.lit(f"(?s).{{1,{max(sample_bytes // 16, 1)}}}"), F.lit(0))
+    long = F.octet_length("text") > sample_bytes // 4
+    rows = rows.select("lang", F.explode(F.when(long, pieces).otherwise(F.array("text"))).alias("text"))
+    rows = rows.select("lang", "text", F.octet_length("text").cast("bigint").alias("size"), F.xxhash64(F.lit(17), "text").alias("key")).filter("size > 0")
     # Bucket b holds a 2**-b share of the hashes: buckets from the rarest on, until the bound is met.
     bucket = F.least(F.lit(30), F.length(F.regexp_extract(F.lpad(F.bin(F.shiftrightunsigned("key", 34)), 30, "0"), "^0*", 0)))
     rows = rows.withColumn("bucket", bucket)
-    sizes = rows.groupBy("lang", "bucket").agg(F.sum("size").alias("bytes"))
+    sizes = rows.select("lang", "bucket", "key", "size").distinct().groupBy("lang", "bucket").agg(F.sum("size").alias("bytes"))
     after = Window.partitionBy("lang").orderBy(F.desc("bucket"))
     start = sizes.withColumn("before", F.sum("bytes").over(after) - F.col("bytes")).filter(F.col("before") < sample_bytes).select(F.col("lang").alias("l"), F.col("bucket").alias("b"))
-    near = rows.join(F.broadcast(start), (F.col("lang") == F.col("l")) & (F.col("bucket") == F.col("b"))).drop("l", "b")
+    near = rows.join(F.broadcast(start), (F.col("lang") == F.col("l")) & (F.col("bucket") == F.col("b"))).drop("l", "b").dropDuplicates(["lang", "key"])
     order = Window.partitionBy("lang").orderBy(F.desc("bucket"), "key", "text")
     run = near.select("lang", "text", "size", F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, 0)).alias("run"))
     return run.filter(F.col("run") <= sample_bytes).select("lang", "text")

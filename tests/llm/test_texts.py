@@ -174,6 +174,16 @@ def test_code_lengths_equal_a_plain_model():
     assert got[0] == pytest.approx([plain(x) for x in trees.languages], rel=1e-5) and (got[1] == 0).all()
 
 
+def test_language_sample_counts_copies_once_and_cuts_long_texts(spark):
+    rows = [(None, "the same text again " * 5, "en")] * 500 + [(None, f"text number {i} of many", "en") for i in range(30)]
+    rows += [(None, "ein langer Text \u00fc\u00f1\u4e2d\U0001f600\n" * 200, "de")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    got = [(r.lang, r.text) for r in langid.training_sample(docs, sample_bytes=4000).collect()]
+    assert len(got) == len(set(got)) and sum(g[0] == "en" for g in got) == 31
+    long = [t for k, t in got if k == "de"]
+    assert long and all(t in rows[-1][1] and len(t.encode()) <= 1000 for t in long) and sum(len(t.encode()) for t in long) <= 4000
+
+
 def test_languages_awkward_rows(spark):
     rows = [(i, " ".join(random.Random(i).sample(LANGS[k].split(), 9)), k) for i, k in enumerate(["en", "de", "fr"] * 40)]
     awkward = [(1000, None, "en"), (1001, "", "en"), (1002, "123 !!! 456", "en"), (None, LANGS["de"], None), (1003, LANGS["fr"] * 3000, None)]
