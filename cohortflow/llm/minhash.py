@@ -37,9 +37,11 @@ from cohortflow.session import materialize
 BANDS, ROWS = 48, 5
 BINS = BANDS * ROWS
 #: Candidates are compared by signature before their sets: equal bins among the
-#: bins that either fills.  Its standard error is at most 0.026 at any set size (small sets
-#: are nearly whole in it), so a pair at 0.8 falls below this with probability 2e-6.
+#: bins that either fills.  Its standard error is at most 0.026, so a pair at 0.8 falls below
+#: this with probability 2e-6; where the larger set has fewer than SMALL shingles, in which two
+#: of them in one bin weigh too much, the sets are compared without this test.
 SIGNATURE_MIN = 0.68
+SMALL = 20
 _BLOCK = 512  # members of a bucket that are compared with one another in one task
 
 _SKETCH = "doc_id string, text_key bigint, n_shingles bigint, h1 bigint, h2 bigint, sig binary, bands array<bigint>"
@@ -190,7 +192,9 @@ def _likely(edges: DataFrame, light: DataFrame, min_percent: int) -> DataFrame:
     a = light.select(F.col("rep").alias("a"), F.col("n_shingles").alias("na"), F.col("sig").alias("sa"))
     b = light.select(F.col("rep").alias("b"), F.col("n_shingles").alias("nb"), F.col("sig").alias("sb"))
     sized = edges.join(a, "a").join(b, "b").filter(100 * F.least("na", "nb") >= min_percent * F.greatest("na", "nb"))
-    return sized.filter(_agreement()("sa", "sb") >= SIGNATURE_MIN).select("a", "b")
+    small = sized.filter(F.greatest("na", "nb") < SMALL)
+    large = sized.filter(F.greatest("na", "nb") >= SMALL)
+    return large.filter(_agreement()("sa", "sb") >= SIGNATURE_MIN).select("a", "b").unionByName(small.select("a", "b"))
 
 
 def _confirmed(edges: DataFrame, sets: DataFrame, min_percent: int) -> DataFrame:

@@ -66,6 +66,19 @@ def test_near_duplicates_equal_brute_force(spark, width):
     assert all(r.kept == (r.doc_id == r.component_id) for r in got)
 
 
+def test_tiny_sets_are_compared_exactly(spark):
+    # Pairs of 5 and 4 shingles at 0.8 whose signatures agree in less than SIGNATURE_MIN.
+    rnd, rows = random.Random(12), []
+    while len(rows) < 4:
+        words = [f"w{rnd.randint(0, 10**6)}" for _ in range(6)]
+        pair = [" ".join(words), " ".join(words[:5])]
+        (sa, fa), (sb, fb) = (minhash.minima(s) for s in shingle_sets([t.encode() for t in pair], 2))
+        if minhash._share_equal(minhash._bytes(sa, fa), minhash._bytes(sb, fb)) < minhash.SIGNATURE_MIN:
+            rows += [(len(rows), pair[0]), (len(rows) + 1, pair[1])]
+    got = minhash.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string"), width=2).collect()
+    assert sorted((r.doc_id, r.component_id) for r in got) == [(0, 0), (1, 0), (2, 2), (3, 2)]
+
+
 def test_near_duplicates_awkward_rows(spark):
     got = minhash.near_duplicates(spark.createDataFrame(AWKWARD, "doc_id bigint, text string"), width=2).collect()
     assert len(got) == len(AWKWARD)
