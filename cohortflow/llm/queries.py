@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortflow.llm import forest, langid, minhash, mixing, packing, pq, quality, secrets, tokens, toxicity
+from cohortflow.llm import forest, langid, minhash, mixing, negatives, packing, pq, quality, runs, secrets, sketches, tokens, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -67,6 +67,22 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n", "start", "candidate", "score", "is_secret")
 
 
+def op11_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three hard negatives of every positive of every fiftieth vector."""
+    rows = negatives.usable_rows(negatives.relabelled(_table(spark, sf_dir, "embeddings")))
+    return negatives.mine(rows, F.col("vec_id") % 50 == 0)
+
+
+def op12_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of words of every document."""
+    return runs.run_digests(_table(spark, sf_dir, "documents"))
+
+
+def op13_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document and of its edited text."""
+    return sketches.edited_likeness(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_forest": op1_forest,
     "op2_pq": op2_pq,
@@ -78,8 +94,12 @@ QUERIES = {
     "op8_langid": op8_langid,
     "op9_minhash": op9_minhash,
     "op10_secrets": op10_secrets,
+    "op11_negatives": op11_negatives,
+    "op12_runs": op12_runs,
+    "op13_sketches": op13_sketches,
 }
 
 ORACLE: dict[str, str] = {
     "op3_packing": packing.oracle_sql(),
+    "op11_negatives": negatives.oracle_sql(),
 }
