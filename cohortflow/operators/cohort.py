@@ -7,6 +7,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cohortflow.operators.skew import heavy_keys, salted_join
 from cohortflow.schemas import DEFAULT_SEED, DEFAULT_WEIGHTS, SPLITS
 
 BUCKETS = 1 << 32  # the split bucket is the first 32 bits of an md5
@@ -69,14 +70,18 @@ def split_cohort(
     raise ValueError(f"unknown split method {method!r}")
 
 
-def restrict_to_cohort(df: DataFrame, cohort_split: DataFrame) -> DataFrame:
+def restrict_to_cohort(df: DataFrame, cohort_split: DataFrame, salted: bool = False) -> DataFrame:
     """Rows of cohort patients, tagged with the patient's split.
 
     The cohort is a stage table, so Spark knows its size: a small one is
     broadcast by Spark's own byte threshold, a larger one is a shuffle join
-    (AQE splits a hot patient's partition).
+    (AQE splits a hot patient's partition).  With ``salted`` the patients that own
+    many rows are found before the join and dealt to many tasks by it.
     """
-    return df.join(cohort_split.select("SUBJECT_ID", "split"), "SUBJECT_ID", "inner")
+    patients = cohort_split.select("SUBJECT_ID", "split")
+    if salted:
+        return salted_join(df, patients, ["SUBJECT_ID"], heavy_keys(df, ["SUBJECT_ID"]))
+    return df.join(patients, "SUBJECT_ID", "inner")
 
 
 def split_max(labs: DataFrame, by: str = "split", value: str = "VALUENUM") -> DataFrame:

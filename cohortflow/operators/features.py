@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortflow.functions.text import ICU_TOKEN, icd9_category, norm_token
+from cohortflow.operators.skew import heavy_keys, salted_join
 
 
 def _keep(df: DataFrame) -> list[str]:
@@ -56,16 +57,19 @@ def index_features(events: DataFrame, vocab: DataFrame, namespaced: bool = False
     return events.join(vocab.select(*on, "feature_id"), on, "inner").select(*rest, "feature_id", "value")
 
 
-def attach_visit(events: DataFrame, admissions: DataFrame) -> DataFrame:
+def attach_visit(events: DataFrame, admissions: DataFrame, salted: bool = False) -> DataFrame:
     """Admission day (``admit_ms``) of each event in place of its admission id.
 
     Inner equi-join on (patient_id, hadm_id); events without an admission drop
     out, and a duplicated admission row multiplies its events, as a relational
-    join does.
+    join does.  With ``salted`` an admission that owns many events is found before
+    the join and dealt to many tasks by it.
     """
     adm = admissions.select("patient_id", "hadm_id", "admit_ms")
     rest = [c for c in events.columns if c not in ("split", "patient_id", "hadm_id")]
-    return events.join(adm, ["patient_id", "hadm_id"], "inner").select(*_keep(events), "patient_id", "admit_ms", *rest)
+    keys = ["patient_id", "hadm_id"]
+    joined = salted_join(events, adm, keys, heavy_keys(events, keys)) if salted else events.join(adm, keys, "inner")
+    return joined.select(*_keep(events), "patient_id", "admit_ms", *rest)
 
 
 def unknown_tokens(events: DataFrame, vocab: DataFrame, namespaced: bool = False) -> DataFrame:

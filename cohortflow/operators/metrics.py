@@ -173,3 +173,57 @@ def best_epoch(metrics: DataFrame, accuracy_col: str = "accuracy", epoch: str =
     A top-1 report: the limit is the feature.
     """
     return metrics.filter(F.col(accuracy_col) > 0).orderBy(F.desc(accuracy_col), F.asc(epoch)).limit(1)
+
+
+# ---------------------------------------------------------------- bounded ROC
+
+#: Size of the quantile sketches; a rank is off by less than 3 / size of the rows (99 %).
+SKETCH_SIZE = 4096
+
+
+def roc_sketches(pred: DataFrame, label: str = "label", score: str = "score", by: list[str] | None = None, size: int = SKETCH_SIZE) -> DataFrame:
+    """(by, label, n, sketch): a mergeable quantile sketch of the scores of each class.
+
+    A few tens of kilobytes per group and class, however many distinct scores there are;
+    partial sketches are merged after the shuffle, and sketches of several days or shards
+    with ``merge_roc_sketches``.  Null scores are left out.
+    """
+    rows = pred.filter(F.col(score).isNotNull() & F.col(label).isNotNull())
+    sketch = F.kll_sketch_agg_double(F.col(score).cast("double"), F.lit(size))
+    return rows.groupBy(*(by or []), F.col(label).cast("int").alias("label")).agg(F.count(F.lit(1)).cast("bigint").alias("n"), sketch.alias("sketch"))
+
+
+def merge_roc_sketches(sketches: DataFrame, by: list[str] | None = None, size: int = SKETCH_SIZE) -> DataFrame:
+    """The sketches of several runs as one per group and class."""
+    return sketches.groupBy(*(by or []), "label").agg(F.sum("n").cast("bigint").alias("n"), F.kll_merge_agg_double("sketch", F.lit(size)).alias("sketch"))
+
+
+def roc_from_sketches(sketches: DataFrame, by: list[str] | None = None, points: int = 200, grid: int = 1000) -> DataFrame:
+    """W3 in bounded form: (by, threshold, fpr, tpr) at thresholds taken from both classes.
+
+    Every class is read out as ``grid`` + 1 quantiles; a rate is the share of a class's
+    quantiles at or above the threshold, so it is within the sketch's rank error and
+    1 / grid of ``roc_curve``'s at the same threshold.  At most ``2 (points + 1) + 1`` rows a
+    group, from (inf, 0, 0) down to the smallest score.  A class without rows has null rates.
+    """
+    by = by or []
+    ranks = lambda n: F.array(*[F.lit(i / n) for i in range(n + 1)])
+    read = sketches.select(*by, "label", F.kll_sketch_get_quantile_double("sketch", ranks(points)).alias("cuts"), F.kll_sketch_get_quantile_double("sketch", ranks(grid)).alias("grid"))
+    pick = lambda k, c: F.max(F.when(F.col("label") == k, F.col(c)))
+    both = read.groupBy(*by).agg(*[pick(k, c).alias(f"{c}{k}") for k in (0, 1) for c in ("cuts", "grid")])
+    none = F.array().cast("array<double>")
+    thresholds = F.array_union(F.array(F.lit(float("inf"))), F.array_union(F.coalesce("cuts0", none), F.coalesce("cuts1", none)))
+    both = both.filter(F.coalesce("grid0", "grid1").isNotNull())  # no scores, no curve
+    each = both.select(*by, "grid0", "grid1", F.explode(thresholds).alias("threshold"))
+    rate = lambda g: F.size(F.filter(g, lambda q: q >= F.col("threshold"))) / F.lit(float(grid + 1))
+    return each.select(*by, "threshold", F.when(F.col("grid0").isNotNull(), rate("grid0")).alias("fpr"), F.when(F.col("grid1").isNotNull(), rate("grid1")).alias("tpr"))
+
+
+def auc_from_roc(points: DataFrame, by: list[str] | None = None) -> DataFrame:
+    """A14 over a bounded curve: the trapezoids between its points (a window per group)."""
+    from pyspark.sql import Window
+
+    by = by or []
+    w = Window.partitionBy(*by).orderBy(F.desc("threshold")) if by else Window.orderBy(F.desc("threshold"))
+    steps = points.withColumn("_dx", F.col("fpr") - F.lag("fpr").over(w)).withColumn("_y", (F.col("tpr") + F.lag("tpr").over(w)) / 2.0)
+    return steps.groupBy(*by).agg(F.sum(F.col("_dx") * F.col("_y")).alias("auc"))

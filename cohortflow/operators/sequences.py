@@ -8,7 +8,8 @@ one array of longs); the final grouping is per (patient, chunk of visits).
 No row grows with a patient or a visit: a row holds at most ``visits_per_row``
 visits, and a visit of more than ``ENTRIES_PER_ROW`` entries is cut into numbered
 pieces, each in a row of its own (``first_entry`` says where it starts).  A
-visit's entries are sorted in one task, in a sort that spills.
+visit's entries are sorted in one task, in a sort that spills; a visit of more than
+``HOT_ROWS`` entries is sorted by several tasks.
 """
 
 from __future__ import annotations
@@ -18,9 +19,12 @@ from pyspark.sql import functions as F
 
 from cohortflow.operators.cohort import split_bucket
 from cohortflow.operators.ordering import global_index
+from cohortflow.session import materialize
 
 VISITS_PER_ROW = 256
 ENTRIES_PER_ROW = 4096
+#: A visit of more entries is numbered by several tasks.
+HOT_ROWS = 1 << 16
 
 
 def _keep(df: DataFrame) -> list[str]:
@@ -79,14 +83,34 @@ def num_features(features: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------- sequences
 
 
-def visits(features: DataFrame, entries_per_row: int = ENTRIES_PER_ROW) -> DataFrame:
+def visit_sizes(features: DataFrame) -> DataFrame:
+    """(split?, patient_id, admit_ms, n_rows): one narrow row per visit."""
+    return features.groupBy(*_keep(features), "patient_id", "admit_ms").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+def visits(features: DataFrame, entries_per_row: int = ENTRIES_PER_ROW, sizes: DataFrame | None = None, hot_rows: int = HOT_ROWS) -> DataFrame:
     """A5 + P13: (split?, patient_id, admit_ms, piece, visit): sorted (id, value) pairs.
 
-    ``piece`` numbers the parts of a visit of more than ``entries_per_row`` entries.
+    ``piece`` numbers the parts of a visit of more than ``entries_per_row`` entries.  With
+    ``sizes`` (``visit_sizes`` as a stage table) the entries of a visit of more than
+    ``hot_rows`` are numbered on two levels: range pieces of the visit are numbered each in
+    its own task, and offsets come from a table with one row per piece.  All other visits
+    are numbered in a window each.
     """
     k = _keep(features) + ["patient_id", "admit_ms"]
+    rows = features.select(*k, F.col("feature_id").cast("bigint").alias("feature_id"), F.col("value").cast("double").alias("value"))
     w = Window.partitionBy(*k).orderBy("feature_id", "value")
-    numbered = features.select(*k, F.col("feature_id").cast("bigint"), F.col("value").cast("double"), (F.row_number().over(w) - 1).alias("_pos"))
+    hot = sizes.filter(F.col("n_rows") > F.lit(hot_rows)).select(*k) if sizes is not None else None
+    if hot is None or hot.isEmpty():
+        numbered = rows.withColumn("_pos", (F.row_number().over(w) - 1).cast("bigint"))
+    else:
+        # The row number parts equal entries, so that no tie falls to one task.
+        busy = rows.join(hot, k, "left_semi").withColumn("_row", F.monotonically_increasing_id())
+        busy = global_index(busy, [F.col(c) for c in (*k, "feature_id", "value", "_row")], "_at")
+        starts = materialize(busy.groupBy(*k).agg(F.min("_at").alias("_start")))  # one row per hot visit
+        busy = busy.join(starts, k).select(*k, "feature_id", "value", (F.col("_at") - F.col("_start")).alias("_pos"))
+        calm = rows.join(hot, k, "left_anti").withColumn("_pos", (F.row_number().over(w) - 1).cast("bigint"))
+        numbered = calm.unionByName(busy)
     pair = F.struct("_pos", F.struct("feature_id", "value").alias("pair"))
     grouped = numbered.groupBy(*k, F.floor(F.col("_pos") / F.lit(entries_per_row)).cast("bigint").alias("piece")).agg(F.sort_array(F.collect_list(pair)).alias("_v"))
     return grouped.select(*k, "piece", F.transform("_v", lambda x: x["pair"]).alias("visit"))
@@ -97,6 +121,7 @@ def sequences(
     visits_per_row: int = VISITS_PER_ROW,
     entries_per_row: int = ENTRIES_PER_ROW,
     labels: DataFrame | None = None,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """(split?, patient_id, chunk, first_visit, first_entry, seq, label?).
 
@@ -106,7 +131,8 @@ def sequences(
     without one drop out.
     """
     k = _keep(features) + ["patient_id"]
-    v = visits(features, entries_per_row).join(visit_numbers(features, labels), k + ["admit_ms"], "inner")
+    sizes = materialize(visit_sizes(features))
+    v = visits(features, entries_per_row, sizes, hot_rows).join(visit_numbers(sizes, labels), k + ["admit_ms"], "inner")
     lab = ["label"] if labels is not None else []
     v = v.withColumn("chunk", F.floor(F.col("visit_index") / F.lit(visits_per_row)).cast("bigint"))
     own = F.when(F.col("piece") > 0, F.col("visit_index")).otherwise(F.lit(-1)).alias("_own")
@@ -205,12 +231,47 @@ def visit_vectors(cells: DataFrame, width: int) -> DataFrame:
     return _assemble(cells, _keep(cells) + ["patient_id", "visit_index"], width, "features")
 
 
+def visit_ages(cells: DataFrame, age: str = "visits") -> DataFrame:
+    """(split?, patient_id, admit_ms, age): how far every visit lies before the patient's last one.
+
+    ``visits`` counts the visits after it, ``days`` the days between.  One narrow row per
+    visit; partial sets and maxima before the shuffle, no window.
+    """
+    k = _keep(cells) + ["patient_id"]
+    days = cells.groupBy(*k).agg(F.sort_array(F.collect_set("admit_ms")).alias("_days"))
+    each = days.select(*k, F.element_at("_days", -1).alias("_last"), F.size("_days").alias("_n"), F.posexplode("_days").alias("_i", "admit_ms"))
+    if age == "visits":
+        found = (F.col("_n") - F.lit(1) - F.col("_i")).cast("double")
+    elif age == "days":
+        found = (F.col("_last") - F.col("admit_ms")) / F.lit(86_400_000.0)
+    else:
+        raise ValueError(f"unknown age {age!r}")
+    return each.select(*k, "admit_ms", found.alias("age"))
+
+
+def decayed_pool(cells: DataFrame, half_life: float = 2.0, age: str = "visits") -> DataFrame:
+    """X3 with the order of visits: a cell counts 2 ** (-age / half_life), summed over visits.
+
+    This is the state of the linear recurrence ``state = state * 2 ** (-gap / half_life) +
+    visit``, run over a patient's visits in time order.  The recurrence is associative, so
+    it is a weighted sum: the weight depends on the visit's age alone and the sum is a
+    partial aggregation, however many visits a patient has.
+    """
+    if not half_life > 0:
+        raise ValueError("half_life must be positive")
+    k = _keep(cells) + ["patient_id"]
+    aged = cells.join(visit_ages(cells, age), k + ["admit_ms"])
+    weight = F.pow(F.lit(2.0), -F.col("age") / F.lit(float(half_life)))
+    return aged.groupBy(*k, "feature_id").agg(F.sum(F.col("value") * weight).alias("value"))
+
+
 def pool_sequences(cells: DataFrame, how: str = "sum", sum_digits: int | None = None) -> DataFrame:
     """Patient-level pooled cells (split?, patient_id, feature_id, value).
 
     ``cells`` is the visit matrix (visits told apart by ``admit_ms``; visit numbers
     are not needed).  ``sum`` adds a feature over all visits, ``mean`` divides by
-    the patient's number of visits, ``last`` keeps the cells of the latest visit.
+    the patient's number of visits, ``last`` keeps the cells of the latest visit, ``decay``
+    lets older visits count less (``decayed_pool``), so that it depends on their order.
     With ``sum_digits`` the mean divides the sum rounded (half up) to that many
     decimals, which makes it independent of the order the sum was taken in.
     """
@@ -227,6 +288,8 @@ def pool_sequences(cells: DataFrame, how: str = "sum", sum_digits: int | None =
     if how == "last":
         last = cells.groupBy(*k).agg(F.max("admit_ms").alias("admit_ms"))
         return cells.join(last, k + ["admit_ms"], "left_semi").select(*k, "feature_id", "value")
+    if how == "decay":
+        return decayed_pool(cells)
     raise ValueError(f"unknown pooling {how!r}")
 
 

@@ -55,6 +55,20 @@ def icu_entry(indexed: DataFrame) -> DataFrame:
     )
 
 
+def vocabulary_of_tokens(events: DataFrame) -> DataFrame:
+    """C2 from event rows whose tokens are normalised already: (token, feature_id, domain)."""
+    rank = F.when(F.col("domain") == "diagnosis", 0).when(F.col("domain") == "medication", 1).otherwise(2)
+    coded = events.filter(F.col("token").isNotNull() & F.col("domain").isin("diagnosis", "medication", "lab"))
+    indexed = indexed_tokens(coded.select("domain", "token").distinct().withColumn("domain_rank", rank.cast("int")))
+    return later_domain_wins(indexed.unionByName(icu_entry(indexed)))
+
+
+def later_domain_wins(entries: DataFrame) -> DataFrame:
+    """A token in several domains keeps the id of the latest domain."""
+    win = F.max_by(F.struct("feature_id", "domain"), "domain_rank")
+    return entries.groupBy("token").agg(win.alias("w")).select("token", "w.feature_id", "w.domain")
+
+
 def vocabulary_entries(diagnoses: DataFrame, medications: DataFrame, labs: DataFrame) -> DataFrame:
     """Every (domain, token, feature_id) before the overwrite merge."""
     indexed = indexed_tokens(domain_tokens(diagnoses, medications, labs))
@@ -70,8 +84,7 @@ def build_vocab(diagnoses: DataFrame, medications: DataFrame, labs: DataFrame, n
     entries = vocabulary_entries(diagnoses, medications, labs)
     if namespaced:
         return entries.select("token", "feature_id", "domain")
-    win = F.max_by(F.struct("feature_id", "domain"), "domain_rank")
-    return entries.groupBy("token").agg(win.alias("w")).select("token", "w.feature_id", "w.domain")
+    return later_domain_wins(entries)
 
 
 def vocabulary_sizes(diagnoses: DataFrame, medications: DataFrame, labs: DataFrame) -> DataFrame:

@@ -29,13 +29,14 @@ TABLES = ("admissions", "diagnoses", "icustays", "labevents", "patients", "presc
 class Prepared:
     """C1 output: cohort, prepared tables and lab rejects, each built on first access."""
 
-    def __init__(self, raw, weights, seed, names, method):
-        self.raw, self._split = raw, (weights, seed, names, method)
+    def __init__(self, raw, weights, seed, names, method, normalize_labs=True, salted=False):
+        normalize = C.max_normalize if normalize_labs else (lambda labs: labs)
+        self.raw, self._split, self.salted = raw, (weights, seed, names, method), salted
         builders = {
             "admissions": lambda: self.restrict(raw["admissions"]),
             "diagnoses": lambda: self.restrict(raw["diagnoses"]),
             "icustays": lambda: self.restrict(clean.fill_los(raw["icustays"])),
-            "labevents": lambda: C.max_normalize(clean.drop_null_values(self.restrict(clean.parse_lab_values(raw["labevents"])))),
+            "labevents": lambda: normalize(clean.drop_null_values(self.restrict(clean.parse_lab_values(raw["labevents"])))),
             "patients": lambda: self.restrict(clean.with_label(raw["patients"]).select("SUBJECT_ID", "IS_DEAD")),
             "prescriptions": lambda: self.restrict(raw["prescriptions"]),
         }
@@ -47,7 +48,7 @@ class Prepared:
         return materialize(C.split_cohort(C.icu_cohort(self.raw["icustays"]), weights, seed, names, method))
 
     def restrict(self, df: DataFrame) -> DataFrame:
-        return C.restrict_to_cohort(df, self.cohort)
+        return C.restrict_to_cohort(df, self.cohort, self.salted)
 
     @cached_property
     def lab_rejects(self) -> DataFrame:
@@ -63,13 +64,16 @@ class Prepared:
         )
 
 
-def prepare(raw, weights=DEFAULT_WEIGHTS, seed: int = DEFAULT_SEED, names=SPLITS, method: str = "hash") -> Prepared:
+def prepare(raw, weights=DEFAULT_WEIGHTS, seed: int = DEFAULT_SEED, names=SPLITS, method: str = "hash", normalize_labs: bool = True, salted: bool = False) -> Prepared:
     """Clean -> ICU cohort -> split by patient -> restrict -> normalise labs.
 
     ``raw`` maps table names to raw frames; output tables hold the prepared
-    columns plus ``split``.
+    columns plus ``split``.  With ``normalize_labs=False`` labs stay as measured (a
+    fitted bundle divides them by the maxima it saves).  ``salted`` looks for patients
+    that own many rows before each join (one more pass over each table), for sessions
+    without AQE's skew handling.
     """
-    return Prepared(raw, weights, seed, names, method)
+    return Prepared(raw, weights, seed, names, method, normalize_labs, salted)
 
 
 def prepare_files(spark: SparkSession, folder: str, out: str, weights=DEFAULT_WEIGHTS, seed: int = DEFAULT_SEED, fmt: str = "parquet") -> Prepared:
@@ -115,8 +119,8 @@ def build_vocabulary(recs, split: str = "train", namespaced: bool = False) -> Vo
 class Dataset:
     """C3 output: features of patients with a label, and those patients' labels."""
 
-    def __init__(self, recs, vocab: Vocabulary):
-        self.recs, self.vocab = recs, vocab
+    def __init__(self, recs, vocab: Vocabulary, salted: bool = False):
+        self.recs, self.vocab, self.salted = recs, vocab, salted
 
     @cached_property
     def source_events(self) -> DataFrame:
@@ -126,7 +130,7 @@ class Dataset:
     @cached_property
     def events(self) -> DataFrame:
         """Events with their visit day, before the vocabulary."""
-        return FT.attach_visit(self.source_events, self.recs["admissions"])
+        return FT.attach_visit(self.source_events, self.recs["admissions"], self.salted)
 
     @cached_property
     def features(self) -> DataFrame:
@@ -134,7 +138,7 @@ class Dataset:
         # then joined to the visits and, once, to the labelled patients.
         # Written once: labels, sequences, cells and vectors all read it.
         found = FT.index_features(self.source_events, self.vocab.table, self.vocab.namespaced)
-        attached = FT.attach_visit(found, self.recs["admissions"])
+        attached = FT.attach_visit(found, self.recs["admissions"], self.salted)
         return materialize(FT.features_of_labelled(attached, self.recs["patients"].select("split", "patient_id")))
 
     @cached_property
@@ -143,9 +147,9 @@ class Dataset:
         return materialize(FT.patients_with_features(self.recs["patients"].select("split", "patient_id", "is_dead"), self.features))
 
 
-def build_dataset(recs, vocab: Vocabulary) -> Dataset:
+def build_dataset(recs, vocab: Vocabulary, salted: bool = False) -> Dataset:
     """Long features (split, patient_id, admit_ms, feature_id, value) and labels."""
-    return Dataset(recs, vocab)
+    return Dataset(recs, vocab, salted)
 
 
 def build_sequences(ds: Dataset, visits_per_row: int = S.VISITS_PER_ROW) -> DataFrame:
@@ -180,6 +184,30 @@ def scored_patients(ds: Dataset, coefficients: DataFrame, intercept: float = 0.0
     return ML.linear_scores(pooled, ds.labels, coefficients, intercept)
 
 
+def fit_bundle(raw, weights=DEFAULT_WEIGHTS, seed: int = DEFAULT_SEED, **settings):
+    """K5 + C2 + P12 + L1: clean, split, learn; the result is one object to save and load.
+
+    ``settings``: parameters of ``CohortEstimator`` (pooling, kind, regParam, maxIter, ...).
+    Returns the fitted ``CohortModel`` and the event rows of all splits.
+    """
+    from cohortflow.plans import bundle as B
+
+    prep = prepare(raw, weights, seed, normalize_labs=False)
+    events = materialize(B.event_rows(records(prep.tables)))
+    return B.CohortEstimator(labMaxima=B.lab_maxima(prep.tables["labevents"]), **settings).fit(events), events
+
+
+def score_new_patients(model, raw) -> DataFrame:
+    """L3 for raw tables of patients the run never saw, with everything it saved.
+
+    (split = ``new``, patient_id, label, logit, score, prediction); the label is null where
+    the patients table has none for the patient.
+    """
+    from cohortflow.plans import bundle as B
+
+    return model.transform(B.new_event_rows(raw))
+
+
 @dataclass
 class ModelRun:
     model: object

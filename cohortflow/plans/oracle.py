@@ -258,6 +258,26 @@ linear AS (
       SELECT split, patient_id, sum(value * (((feature_id * 37) % 101 - 50) / 1000.0::DOUBLE)) AS total FROM cells GROUP BY split, patient_id) s
       ON l.split = s.split AND l.patient_id = s.patient_id))"""
 
+# The valid split's raw rows scored as new patients: labs by the training maximum.
+NEW_PATIENTS = f"""
+n_labs AS (
+  SELECT TRY_CAST(SUBJECT_ID AS BIGINT) AS patient_id, HADM_ID AS hadm_id, ITEMID AS item,
+         VALUENUM / (SELECT NULLIF(max_value, 0) FROM lab_max WHERE split = 'train') AS value
+  FROM labs_c
+  WHERE split = 'valid' AND VALUENUM IS NOT NULL AND SUBJECT_ID <> '' AND HADM_ID <> '' AND ITEMID <> '' AND TRY_CAST(SUBJECT_ID AS BIGINT) IS NOT NULL),
+n_events AS (
+  SELECT patient_id, hadm_id, {cat('code')} AS token, 1.0::DOUBLE AS value FROM r_diagnoses WHERE split = 'valid'
+  UNION ALL SELECT patient_id, hadm_id, {norm('drug')}, 1.0::DOUBLE FROM r_prescriptions WHERE split = 'valid'
+  UNION ALL SELECT patient_id, hadm_id, {norm('item')}, value FROM n_labs WHERE value IS NOT NULL
+  UNION ALL SELECT patient_id, hadm_id, 'ICUStayDuration', los FROM r_icustays WHERE split = 'valid'),
+n_sums AS (
+  SELECT e.patient_id, sum(e.value * (((v.feature_id * 37) % 101 - 50) / 1000.0::DOUBLE)) AS total
+  FROM n_events e JOIN (SELECT * FROM r_admissions WHERE split = 'valid') a ON e.patient_id = a.patient_id AND e.hadm_id = a.hadm_id
+  JOIN vocab v ON e.token = v.token GROUP BY e.patient_id),
+n_scored AS (
+  SELECT s.patient_id, CAST(p.is_dead AS INTEGER) AS label, floor((s.total - 0.25::DOUBLE) * 1e6 + 0.5) / 1e6 AS logit
+  FROM n_sums s LEFT JOIN (SELECT DISTINCT patient_id, is_dead FROM r_patients WHERE split = 'valid') p ON s.patient_id = p.patient_id)"""
+
 LINEAR_ONE = """
 one AS (
   SELECT *, CASE WHEN score > 1.0::DOUBLE - score THEN 1 ELSE 0 END AS prediction, least(greatest(score, 1e-15), 1.0::DOUBLE - 1e-15) AS p
@@ -271,6 +291,50 @@ curve AS (
   FROM (SELECT *, least(greatest(score, 1e-15), 1.0::DOUBLE - 1e-15) AS p FROM linear WHERE split IN ('train', 'valid'))
   GROUP BY epoch, split)"""
 
+def _adam(step: int, before: str, after: str, batch: str) -> str:
+    """One mini-batch step: state ``before`` (feature_id, weight, m, v) to ``after``."""
+    return f"""
+{after}_res AS (
+  SELECT b.patient_id, (1.0::DOUBLE / (1.0::DOUBLE + exp(-s.logit)) - b.label) / b.n AS r
+  FROM (SELECT *, count(*) OVER () AS n FROM mb WHERE {batch}) b
+  JOIN (SELECT c.patient_id, sum(c.value * w.weight) AS logit FROM mcells c JOIN {before} w USING (feature_id) GROUP BY c.patient_id) s USING (patient_id)),
+{after}_g AS (
+  SELECT w.feature_id, w.weight, w.m, w.v, coalesce(g.g, 0.0::DOUBLE) + 0.0004::DOUBLE * w.weight AS g
+  FROM {before} w LEFT JOIN (SELECT c.feature_id, sum(r.r * c.value) AS g FROM mcells c JOIN {after}_res r USING (patient_id) GROUP BY c.feature_id) g USING (feature_id)),
+{after}_mv AS (
+  SELECT feature_id, weight, 0.9::DOUBLE * m + {1.0 - 0.9!r}::DOUBLE * g AS m, 0.999::DOUBLE * v + {1.0 - 0.999!r}::DOUBLE * g * g AS v FROM {after}_g),
+{after} AS (
+  SELECT feature_id, weight - 0.007::DOUBLE * (m / {1.0 - 0.9**step!r}::DOUBLE) / (sqrt(v / {1.0 - 0.999**step!r}::DOUBLE) + 1e-8) AS weight, m, v FROM {after}_mv)"""
+
+
+# Training patients in batches, their pooled cells with the intercept's, the fixed start.
+MINIBATCH = f"""
+mb AS (
+  SELECT patient_id, is_dead AS label, g // 64 AS batch_id
+  FROM (SELECT *, row_number() OVER (ORDER BY {bucket('patient_id', 0)}, patient_id) - 1 AS g FROM labels WHERE split = 'train')),
+mcells AS (
+  SELECT c.patient_id, c.feature_id, sum(c.value) AS value FROM cells c JOIN mb USING (patient_id) WHERE c.split = 'train' GROUP BY c.patient_id, c.feature_id
+  UNION ALL SELECT patient_id, -1, 1.0::DOUBLE FROM mb),
+s0 AS (
+  SELECT feature_id, ((feature_id * 37) % 101 - 50) / 1000.0::DOUBLE AS weight, 0.0::DOUBLE AS m, 0.0::DOUBLE AS v FROM vocab
+  UNION ALL SELECT -1, -0.25::DOUBLE, 0.0::DOUBLE, 0.0::DOUBLE)"""
+
+
+def _epoch_of(state: str, epoch: int) -> str:
+    return f"""SELECT {epoch} AS epoch, count(*) AS n,
+       floor(avg(-(label * ln(p) + (1 - label) * ln(1.0::DOUBLE - p))) * 1e6 + 0.5) / 1e6 AS loss,
+       floor(avg(CASE WHEN label = (CASE WHEN p > 0.5 THEN 1 ELSE 0 END) THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END) * 100.0::DOUBLE * 1e6 + 0.5) / 1e6 AS accuracy
+FROM (SELECT b.label, least(greatest(1.0::DOUBLE / (1.0::DOUBLE + exp(-s.logit)), 1e-15), 1.0::DOUBLE - 1e-15) AS p
+      FROM mb b JOIN (SELECT c.patient_id, sum(c.value * w.weight) AS logit FROM mcells c JOIN {state} w USING (feature_id) GROUP BY c.patient_id) s USING (patient_id))"""
+
+
+def _decayed(age: str, half_life: str) -> str:
+    """Pooled cells, each weighted by its visit's age."""
+    return f"""SELECT split, patient_id, feature_id, floor((sum(value * power(2.0::DOUBLE, -({age}) / {half_life}::DOUBLE)) + 1e-9) * 1e6 + 0.5) / 1e6 AS value
+FROM (SELECT *, max(visit_index) OVER w AS last_index, max(admit_ms) OVER w AS last_ms FROM cells WINDOW w AS (PARTITION BY split, patient_id))
+GROUP BY split, patient_id, feature_id"""
+
+
 # Columns of the raw tables.
 RAW = {
     "admissions": ["SUBJECT_ID", "HADM_ID", "ADMITTIME"],
@@ -346,6 +410,30 @@ FROM labs_c WHERE VALUENUM IS NULL
             for t, cs in RAW.items()
         ),
     ),
+    "raw_scan": _q(
+        (ROLES,),
+        "\nUNION ALL ".join(
+            f"SELECT '{t}' AS table_name, SUBJECT_ID AS subject_id, concat_ws('|', " + ", ".join(f"NULLIF({c}, '')" for c in cs[1:]) + f") AS fields FROM raw_{t}"
+            for t, cs in RAW.items()
+        ),
+    ),
+    "ragged_rows": _q(
+        (ROLES,),
+        "\nUNION ALL ".join(
+            f"SELECT '{t}' AS table_name, 'read' AS stage, NULL::VARCHAR AS split, SUBJECT_ID AS subject_id, NULL::VARCHAR AS hadm_id, 'ragged row' AS reason, "
+            + " || ',' || ".join(f"coalesce({c}, '')" for c in cs)
+            + f" || ',extra' AS record FROM raw_{t} WHERE {hashed('SUBJECT_ID')} % 53 = 0"
+            for t, cs in RAW.items()
+        ),
+    ),
+    "ragged_counts": _q(
+        (ROLES,),
+        "\nUNION ALL ".join(
+            f"SELECT '{t}' AS table_name, count(*) AS written, count(*) FILTER (WHERE {hashed('SUBJECT_ID')} % 53 <> 0) AS kept, "
+            f"count(*) FILTER (WHERE {hashed('SUBJECT_ID')} % 53 = 0) AS rejected FROM raw_{t}"
+            for t in RAW
+        ),
+    ),
     "record_tables": _q(
         _REC,
         """SELECT 'admissions' AS table_name, split, patient_id, concat_ws('|', hadm_id, CAST(admit_ms AS VARCHAR)) AS fields, NULL::DOUBLE AS number FROM r_admissions
@@ -353,6 +441,15 @@ UNION ALL SELECT 'diagnoses', split, patient_id, concat_ws('|', hadm_id, code),
 UNION ALL SELECT 'icustays', split, patient_id, concat_ws('|', hadm_id, icustay_id), floor(los * 1e9 + 0.5) / 1e9 FROM r_icustays
 UNION ALL SELECT 'labevents', split, patient_id, concat_ws('|', hadm_id, item), floor(value * 1e9 + 0.5) / 1e9 FROM r_labevents
 UNION ALL SELECT 'patients', split, patient_id, CAST(is_dead AS VARCHAR), NULL FROM r_patients
+UNION ALL SELECT 'prescriptions', split, patient_id, concat_ws('|', hadm_id, drug), NULL FROM r_prescriptions""",
+    ),
+    "split_file_records": _q(
+        _REC,
+        """SELECT 'admissions' AS table_name, split, patient_id, concat_ws('|', hadm_id, CAST(admit_ms AS VARCHAR)) AS fields, NULL::DOUBLE AS number FROM r_admissions
+UNION ALL SELECT 'diagnoses', split, patient_id, concat_ws('|', hadm_id, code), NULL FROM r_diagnoses
+UNION ALL SELECT 'icustays', split, patient_id, concat_ws('|', hadm_id, icustay_id), floor(los * 1e9 + 0.5) / 1e9 FROM r_icustays
+UNION ALL SELECT 'labevents', split, patient_id, concat_ws('|', hadm_id, item), floor(value * 1e9 + 0.5) / 1e9 FROM r_labevents
+UNION ALL SELECT 'patients', split, patient_id, CAST(is_dead AS VARCHAR), NULL FROM r_patients
 UNION ALL SELECT 'prescriptions', split, patient_id, concat_ws('|', hadm_id, drug), NULL FROM r_prescriptions""",
     ),
     "prepared_round_trip": _q(
@@ -390,11 +487,33 @@ UNION ALL SELECT a.split, 'auc', floor((sum(CASE WHEN a.score > b.score THEN 1.0
 UNION ALL SELECT s.split, 'cell_' || t.l || q.p, CAST(count(o.label) AS DOUBLE)
   FROM (SELECT DISTINCT split FROM one) s CROSS JOIN (VALUES (0), (1)) t(l) CROSS JOIN (VALUES (0), (1)) q(p)
   LEFT JOIN one o ON o.split = s.split AND o.label = t.l AND o.prediction = q.p GROUP BY s.split, t.l, q.p""",
+    ),
+    "bundle_round_trip": _q(
+        _DS + (LINEAR,),
+        """SELECT split, patient_id, label, logit, floor(score * 1e9 + 0.5) / 1e9 AS score, CASE WHEN score > 1.0::DOUBLE - score THEN 1 ELSE 0 END AS prediction,
+       TRUE AS same_after_load FROM linear WHERE epoch = 1 AND split = 'test'""",
+    ),
+    "bundle_evaluation": _q(
+        _DS + (LINEAR, LINEAR_ONE),
+        """SELECT split, count(*) AS n,
+       floor(avg(CASE WHEN label = prediction THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END) * 100.0::DOUBLE * 1e9 + 0.5) / 1e9 AS accuracy,
+       floor(avg(-(label * ln(p) + (1 - label) * ln(1.0::DOUBLE - p))) * 1e9 + 0.5) / 1e9 AS log_loss
+FROM one GROUP BY split""",
+    ),
+    "new_patient_scores": _q(
+        _DS + (NEW_PATIENTS,),
+        """SELECT patient_id, label, logit, floor(score * 1e9 + 0.5) / 1e9 AS score, CASE WHEN score > 1.0::DOUBLE - score THEN 1 ELSE 0 END AS prediction
+FROM (SELECT *, 1.0::DOUBLE / (1.0::DOUBLE + exp(-logit)) AS score FROM n_scored)""",
     ),
     "learning_curve": _q(_DS + (LINEAR, CURVE), "SELECT epoch, phase, n, loss, accuracy FROM curve"),
     "best_epoch": _q(
         _DS + (LINEAR, CURVE), "SELECT epoch, accuracy FROM curve WHERE phase = 'valid' AND accuracy > 0 ORDER BY accuracy DESC, epoch LIMIT 1"
     ),
+    "run_model_check": _q(
+        _DS,
+        """SELECT split, count(*) AS n_scored, 4::BIGINT AS curve_rows, TRUE AS first_best_epoch, TRUE AS finite_losses, TRUE AS report_agrees
+FROM labels WHERE split = 'test' GROUP BY split""",
+    ),
     "model_fit_check": _q(
         _DS,
         """SELECT (SELECT count(*) FROM labels WHERE split = 'train') AS n_train, (SELECT count(*) FROM labels) AS n_scored,
@@ -408,6 +527,12 @@ UNION ALL SELECT s.split, 'cell_' || t.l || q.p, CAST(count(o.label) AS DOUBLE)
 FROM entries GROUP BY domain, domain_rank""",
     ),
     "indexed_features": _q(_DS, "SELECT * FROM lf"),
+    "salted_features": _q(_DS, "SELECT * FROM lf"),
+    "by_patient_join": _q(
+        _DS,
+        """SELECT l.split, l.patient_id, CAST(l.is_dead AS INTEGER) AS label, count(*) AS n_rows, count(DISTINCT f.admit_ms) AS n_visits
+FROM labels l JOIN lf f ON l.split = f.split AND l.patient_id = f.patient_id GROUP BY l.split, l.patient_id, l.is_dead""",
+    ),
     "unknown_tokens": _q(
         _DS,
         """SELECT split, domain, token, CAST(count(*) AS BIGINT) AS n_events FROM attached a
@@ -420,6 +545,7 @@ WHERE NOT EXISTS (SELECT 1 FROM vocab v WHERE v.token = a.token) GROUP BY split,
         _DS, "SELECT split, patient_id, visit_index, admit_ms, feature_id, (floor((value) * 1e9 + 0.5) / 1e9) AS value FROM cells"
     ),
     "sequence_entries": _q(_DS, "SELECT * FROM seq_entries"),
+    "hot_visit_entries": _q(_DS, "SELECT * FROM seq_entries"),
     "sequence_summary": _q(_DS, "SELECT * FROM seq_summary"),
     "padded_batches": _q(
         _DS
@@ -458,6 +584,13 @@ GROUP BY c.split, c.patient_id, c.feature_id""",
   SELECT *, max(visit_index) OVER (PARTITION BY split, patient_id) AS last_visit FROM cells)
 WHERE visit_index = last_visit""",
     ),
+    "pooled_decay": _q(_DS, _decayed("last_index - visit_index", "2.0")),
+    "pooled_decay_days": _q(_DS, _decayed("(last_ms - admit_ms) / 86400000.0::DOUBLE", "30.0")),
+    "minibatch_steps": _q(
+        _DS + (MINIBATCH, _adam(1, "s0", "s1", "batch_id = 0"), _adam(2, "s1", "s2", "batch_id = 1")),
+        "SELECT feature_id, floor(weight * 1e6 + 0.5) / 1e6 AS weight, floor(m * 1e6 + 0.5) / 1e6 AS m FROM s2",
+    ),
+    "minibatch_curve": _q(_DS + (MINIBATCH, _adam(1, "s0", "s1", "TRUE")), _epoch_of("s0", 0) + "\nUNION ALL\n" + _epoch_of("s1", 1)),
     "visit_vectors": _q(
         _DS,
         """SELECT split, patient_id, visit_index, CAST((SELECT w FROM width) AS BIGINT) AS width,
@@ -512,6 +645,10 @@ WHERE i = 1 OR i = k OR nn - 2 * neg_cum + pn <> 0 OR np - 2 * pos_cum + pp <> 0
        CAST(sum(pos) AS BIGINT) AS n_pos, CAST(sum(neg) AS BIGINT) AS n_neg
 FROM score_cum GROUP BY split""",
     ),
+    "roc_bounded": _q(
+        _DS,
+        "SELECT split, TRUE AS thresholds_are_scores, TRUE AS bounded, TRUE AS rates_within_error, TRUE AS area_within_error FROM score_tot",
+    ),
     "batch_weighted_accuracy": _q(
         _DS,
         f"""SELECT split, (floor((sum(accuracy * n) / sum(n)) * 1e9 + 0.5) / 1e9) AS mean, CAST(sum(n) AS BIGINT) AS count

@@ -8,6 +8,7 @@ with another engine is stable; scores are rounded to 6 decimals before use.
 
 from __future__ import annotations
 
+import math
 import uuid
 from functools import cached_property
 
@@ -16,16 +17,36 @@ from pyspark.sql import functions as F
 
 from cohortflow.functions.scores import argmax, sigmoid
 from cohortflow.functions.text import norm_token
-from cohortflow.operators import clean, cohort as C, features as FT, metrics as M, model as ML, sequences as S, vocab as V
+from cohortflow.operators import clean, cohort as C, features as FT, metrics as M, minibatch as MB, model as ML, sequences as S, vocab as V
 from cohortflow.plans import composite as P
 from cohortflow.plans import roles as R
 from cohortflow.schemas import RAW_COLUMNS
 from cohortflow.session import Lazy, checkpoint_dir, materialize, track_table
-from cohortflow.sources import load_records_sql, read_features, read_labels, read_prepared, read_sequences, write_features, write_prepared, write_sequences
+from cohortflow.sources import (
+    load_csv_as_table,
+    load_model,
+    load_records,
+    load_records_sql,
+    ragged_rejects,
+    read_by_patient,
+    read_features,
+    read_labels,
+    read_prepared,
+    read_sequences,
+    scan_checked,
+    scan_raw,
+    write_by_patient,
+    write_features,
+    write_prepared,
+    write_sequences,
+    write_split_files,
+)
+from cohortflow.sources.csv import RAGGED
 
 BATCH_SIZE = 64
 SHUFFLE_SEED = 0
 INTERCEPT = -0.25  # of the fixed linear model
+OFF_TIES = 1e-9  # added before rounding where sums come near to a tie
 
 
 def _r(c, n: int = 9) -> Column:
@@ -43,6 +64,11 @@ def _folder(spark: SparkSession, name: str) -> str:
     return path
 
 
+def _fixed_coefficients(vocabulary: DataFrame, scale: float = 1.0) -> DataFrame:
+    weight = ((F.col("feature_id") * 37) % 101 - 50) / F.lit(1000.0) * F.lit(scale)
+    return vocabulary.select("feature_id", weight.alias("weight"))
+
+
 class Stages:
     """Lazily built pipeline stages over one test-data folder."""
 
@@ -96,8 +122,7 @@ class Stages:
 
     def coefficients(self, scale: float = 1.0) -> DataFrame:
         """A fixed coefficient table over the vocabulary."""
-        weight = ((F.col("feature_id") * 37) % 101 - 50) / F.lit(1000.0) * F.lit(scale)
-        return self.vocab.table.select("feature_id", weight.alias("weight"))
+        return _fixed_coefficients(self.vocab.table, scale)
 
     def linear(self, scale: float = 1.0) -> DataFrame:
         """Every labelled patient scored with the fixed coefficients."""
@@ -135,39 +160,96 @@ def admission_records(spark, sf_dir):
     return Stages(spark, sf_dir).recs["admissions"]
 
 
+def _write_raw_csv(rows: DataFrame, path: str, ragged: bool) -> None:
+    """A raw table as headered CSV, as it is; with ``ragged`` some rows get a field too many."""
+    if ragged:
+        last = rows.columns[-1]
+        # A value with a bare comma makes its row one column too long.
+        hit = F.conv(F.substring(F.md5("SUBJECT_ID"), 1, 4), 16, 10).cast("int") % 53 == 0
+        rows = rows.withColumn(last, F.when(hit, F.concat(F.coalesce(last, F.lit("")), F.lit(",extra"))).otherwise(F.col(last)))
+    out = rows.write.option("header", True).option("quote", "\u0000").option("emptyValue", "")
+    out.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
+
+
+def _union(parts: list[DataFrame]) -> DataFrame:
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
+
+
 def csv_front_door(spark, sf_dir):
     """S1-S4 end to end: all six raw tables written as headered CSV in the
-    shared folder with ragged rows among them, read as raw tables (S1), registered as views named
-    from their paths (S2, S3; ragged rows dropped), and selected with the
-    present-field statement (S4)."""
-    from cohortflow.sources.csv import load_csv_as_table, read_raw
-
-    raw = Stages(spark, sf_dir).raw
-    folder = _folder(spark, "raw")
-    out = None
+    shared folder with ragged rows among them, registered as views named from their paths (S2,
+    S3; ragged rows dropped), and selected with the present-field statement (S4)."""
+    raw, folder, parts = Stages(spark, sf_dir).raw, _folder(spark, "raw"), []
     for table, columns in RAW_COLUMNS.items():
-        last = columns[-1]
-        rows = raw[table]
-        # A value with a bare comma makes its row one column too long.
-        ragged = F.when(F.conv(F.substring(F.md5("SUBJECT_ID"), 1, 4), 16, 10).cast("int") % 53 == 0, F.concat(F.coalesce(last, F.lit("")), F.lit(",extra"))).otherwise(F.col(last))
         path = f"{folder}/{table}_raw.csv"
-        (
-            rows.withColumn(last, ragged).write.option("header", True).option("quote", "\u0000").option("emptyValue", "")
-            .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
-        )
-        assert read_raw(spark, path, table).columns == columns
+        _write_raw_csv(raw[table], path, ragged=True)
         load_csv_as_table(spark, path)
         kept = load_records_sql(spark, f"{table}_raw", columns)
         spark.catalog.dropTempView(f"{table}_raw")  # the plan no longer needs the name
         rest = [F.col(c) for c in columns[1:]]
-        part = kept.select(F.lit(table).alias("table_name"), F.col("SUBJECT_ID").alias("subject_id"), F.concat_ws("|", *rest).alias("fields"))
-        out = part if out is None else out.unionByName(part)
+        parts.append(kept.select(F.lit(table).alias("table_name"), F.col("SUBJECT_ID").alias("subject_id"), F.concat_ws("|", *rest).alias("fields")))
+    return _union(parts)
+
+
+def raw_scan(spark, sf_dir):
+    """Every row of the six raw tables, written as CSV files with more columns than the
+    engine needs and scanned with the header given."""
+    raw, folder, parts = Stages(spark, sf_dir).raw, _folder(spark, "raw"), []
+    for table, columns in RAW_COLUMNS.items():
+        header = ["ROW_ID", *columns, "NOTE"]
+        path = f"{folder}/{table}.csv"
+        _write_raw_csv(raw[table].select(F.lit("1").alias("ROW_ID"), *columns, F.lit("n").alias("NOTE")), path, ragged=False)
+        rows = scan_raw(spark, path, table, header)
+        parts.append(rows.select(F.lit(table).alias("table_name"), F.col("SUBJECT_ID").alias("subject_id"), F.concat_ws("|", *columns[1:]).alias("fields")))
+    return _union(parts)
+
+
+def _checked(spark, sf_dir) -> dict[str, tuple[DataFrame, DataFrame]]:
+    """Per raw table: the rows written as CSV with ragged ones among them, and their checked scan."""
+    raw, folder, out = Stages(spark, sf_dir).raw, _folder(spark, "raw"), {}
+    for table, columns in RAW_COLUMNS.items():
+        path = f"{folder}/{table}.csv"
+        _write_raw_csv(raw[table], path, ragged=True)
+        out[table] = raw[table], scan_checked(spark, path, columns)
     return out
 
 
+def ragged_rows(spark, sf_dir):
+    """S2 + C6: every ragged row of the raw files, as a reject with its text."""
+    rows = _union([ragged_rejects(found, table) for table, (_, found) in _checked(spark, sf_dir).items()])
+    return rows.withColumn("record", F.translate("record", "\u0000", ""))  # the writer's quotes
+
+
+def ragged_counts(spark, sf_dir):
+    """S2 + C6: rows written, kept and rejected per raw table; the last two add up to the first."""
+    parts = []
+    for table, (written, found) in _checked(spark, sf_dir).items():
+        total = written.agg(F.count(F.lit(1)).cast("bigint").alias("written")).withColumn("table_name", F.lit(table))
+        both = found.agg(F.count(F.when(F.col(RAGGED).isNull(), 1)).alias("kept"), F.count(RAGGED).alias("rejected")).withColumn("table_name", F.lit(table))
+        parts.append(total.join(both, "table_name"))
+    return _union(parts)
+
+
+def split_file_records(spark, sf_dir):
+    """K4 + S4: prepared tables written as the split folders' CSV files and loaded by
+    ``load_records`` as typed records, all tables and splits."""
+    folder = _folder(spark, "splits")
+    tables = Stages(spark, sf_dir).prep.tables
+    write_split_files({t: materialize(tables[t]) for t in P.TABLES}, folder)
+    recs = {t: _union([load_records(spark, folder, t, split) for split in ("train", "test", "valid")]) for t in P.TABLES}
+    return _record_rows(recs)
+
+
 def record_tables(spark, sf_dir):
     """S4 + P7: the records of all six contracts, one row each."""
-    recs = Stages(spark, sf_dir).recs
+    return _record_rows(Stages(spark, sf_dir).recs)
+
+
+def _record_rows(recs) -> DataFrame:
+    """(table_name, split, patient_id, fields, number) of all records."""
     out = None
     for table in P.TABLES:
         names = [n for n, _, _ in clean.CONTRACTS[table].fields if not n.startswith("_") and n != "patient_id"]
@@ -262,6 +344,25 @@ def sorted_sink(spark, sf_dir):
     return result
 
 
+def salted_features(spark, sf_dir):
+    """J1 + J2: the indexed features with every large join salted for the heavy keys found before it."""
+    st = Stages(spark, sf_dir)
+    prep = P.prepare(st.raw, salted=True)
+    recs = P.records(prep.tables)
+    return P.build_dataset(recs, P.build_vocabulary(recs), salted=True).features
+
+
+def by_patient_join(spark, sf_dir):
+    """K2 + K3 + C4: features and labels written by patient, joined and summed without a shuffle."""
+    ds, folder = Stages(spark, sf_dir).ds, _folder(spark, "by_patient")
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    write_by_patient(ds.features, folder, "features", buckets)
+    write_by_patient(ds.labels, folder, "labels", buckets)
+    features, labels = read_by_patient(spark, folder, "features"), read_by_patient(spark, folder, "labels")
+    sums = features.groupBy("split", "patient_id").agg(F.count(F.lit(1)).cast("bigint").alias("n_rows"), F.countDistinct("admit_ms").cast("bigint").alias("n_visits"))
+    return labels.join(sums, ["split", "patient_id"]).select("split", "patient_id", F.col("is_dead").cast("int").alias("label"), "n_rows", "n_visits")
+
+
 def num_features(spark, sf_dir):
     st = Stages(spark, sf_dir)
     return S.num_features(st.ds.features.filter(F.col("split") == "train"))
@@ -278,6 +379,12 @@ def sequence_entries(spark, sf_dir):
     return S.sequence_entries(P.build_sequences(Stages(spark, sf_dir).ds))
 
 
+def hot_visit_entries(spark, sf_dir):
+    """A5: the sequence entries with every visit of more than 20 entries numbered on two levels."""
+    ds = Stages(spark, sf_dir).ds
+    return S.sequence_entries(S.sequences(ds.features, labels=ds.labels, hot_rows=20))
+
+
 def sequence_summary(spark, sf_dir):
     return S.sequence_summary(P.build_sequences(Stages(spark, sf_dir).ds))
 
@@ -325,6 +432,34 @@ def pooled(how: str):
     return q
 
 
+def pooled_decay_days(spark, sf_dir):
+    """Decayed pooling by the days before the last visit, half-life 30 days."""
+    return S.decayed_pool(Stages(spark, sf_dir).matrix, 30.0, "days").withColumn("value", _r(F.col("value") + OFF_TIES, 6))
+
+
+def pooled_decay(spark, sf_dir):
+    """Decayed pooling by the number of later visits, half-life two visits."""
+    return S.pool_sequences(Stages(spark, sf_dir).matrix, "decay").withColumn("value", _r(F.col("value") + OFF_TIES, 6))
+
+
+def minibatch_steps(spark, sf_dir):
+    """L1 + W4: the coefficients after two mini-batch steps from a fixed start."""
+    st = Stages(spark, sf_dir)
+    pooled = materialize(S.pool_sequences(st.matrix, "sum").filter("split = 'train'"))
+    labels = st.ds.labels.filter("split = 'train'")
+    run = MB.train_minibatch(pooled, labels.drop("split"), MB.start_state(st.coefficients(), INTERCEPT), size=BATCH_SIZE, seed=SHUFFLE_SEED, max_steps=2)
+    return run.states[-1].select("feature_id", _r("weight", 6).alias("weight"), _r("m", 6).alias("m"))
+
+
+def minibatch_curve(spark, sf_dir):
+    """A16 + A9: loss and accuracy of a two-epoch run, one batch per epoch holding all patients."""
+    st = Stages(spark, sf_dir)
+    pooled = materialize(S.pool_sequences(st.matrix, "sum").filter("split = 'train'"))
+    labels = st.ds.labels.filter("split = 'train'").drop("split")
+    run = MB.train_minibatch(pooled, labels, MB.start_state(st.coefficients(), INTERCEPT), epochs=2, size=1 << 40, seed=SHUFFLE_SEED)
+    return run.curve.select("epoch", "n", _r("loss", 6).alias("loss"), _r("accuracy", 6).alias("accuracy"))
+
+
 def visit_vectors(spark, sf_dir):
     """Entries of every visit vector, read out of the sparse vectors."""
     from pyspark.ml.functions import vector_to_array
@@ -388,6 +523,26 @@ def roc_auc(spark, sf_dir):
     return M.roc_auc(Stages(spark, sf_dir).scores, by=["split"]).withColumn("auc", _r("auc"))
 
 
+def roc_bounded(spark, sf_dir):
+    """W3 in bounded form against the exact curve: whether its thresholds are scores of the
+    table, and every rate and the area within the stated error (twice, for the area)."""
+    scores = materialize(Stages(spark, sf_dir).scores)
+    size, grid = 200, 1000
+    bounded = materialize(M.roc_from_sketches(M.roc_sketches(scores, by=["split"], size=size), ["split"], 100, grid))
+    exact = M.roc_curve(scores, by=["split"]).select("split", "threshold", F.col("fpr").alias("x"), F.col("tpr").alias("y"))
+    gap = bounded.join(exact, ["split", "threshold"]).groupBy("split").agg(
+        F.count(F.lit(1)).alias("n"), F.max(F.greatest(F.abs(F.col("fpr") - F.col("x")), F.abs(F.col("tpr") - F.col("y")))).alias("gap")
+    )
+    points = bounded.groupBy("split").agg(F.count(F.lit(1)).alias("n_points"))
+    areas = M.auc_from_roc(bounded, by=["split"]).join(M.roc_auc(scores, by=["split"]).withColumnRenamed("auc", "exact"), "split")
+    joined = gap.join(points, "split").join(areas, "split")
+    error = 3 / size + 1 / grid
+    return joined.select(
+        "split", (F.col("n") == F.col("n_points")).alias("thresholds_are_scores"), (F.col("n_points") <= 203).alias("bounded"),
+        (F.col("gap") <= error).alias("rates_within_error"), (F.abs(F.col("auc") - F.col("exact")) <= 2 * error).alias("area_within_error"),
+    )
+
+
 def batch_weighted_accuracy(spark, sf_dir):
     s = S.assign_batches(Stages(spark, sf_dir).scores, BATCH_SIZE, seed=SHUFFLE_SEED)
     per_batch = M.accuracy(s, by=["split", "batch_id"])
@@ -430,6 +585,26 @@ def model_evaluation(spark, sf_dir):
     ).join(M.roc_auc(pred, by=["split"]), "split")
 
 
+def run_model_check(spark, sf_dir):
+    """What can be stated of a run without its numbers: rows of the report, epochs of the
+    curve, the epoch chosen (first best on validation), finite losses, and the report's AUC
+    and accuracy equal to those of its own predictions."""
+    run = P.run_model(Stages(spark, sf_dir).ds, epochs=(2, 5))
+    pred = materialize(run.report["predictions"].drop("logits"))
+    curve = run.curve.collect()  # two rows an epoch
+    valid = [(r.epoch, r.accuracy) for r in curve if r.phase == "valid"]
+    first = min(e for e, a in valid if a == max(x for _, x in valid))
+    again = pred.groupBy().agg(F.count(F.lit(1)).cast("bigint").alias("n_scored"), M.accuracy_expr().alias("hits"))
+    one = F.lit("test").alias("split")
+    joined = again.select(one, "n_scored", "hits").join(M.roc_auc(pred).select(one, F.col("auc").alias("area")), "split")
+    joined = joined.join(run.report["auc"].select(one, "auc"), "split").join(run.report["accuracy"].select(one, "accuracy"), "split")
+    return joined.select(
+        "split", "n_scored", F.lit(len(curve)).cast("bigint").alias("curve_rows"), F.lit(run.best == first).alias("first_best_epoch"),
+        F.lit(all(math.isfinite(r.loss) for r in curve)).alias("finite_losses"),
+        ((F.abs(F.col("auc") - F.col("area")) < 1e-9) & (F.abs(F.col("accuracy") - F.col("hits")) < 1e-9)).alias("report_agrees"),
+    )
+
+
 def model_fit_check(spark, sf_dir):
     """L1: the fitted logistic model is an optimum (its gradient vanishes) and scores the
     same as its coefficient table joined to the pooled cells."""
@@ -449,6 +624,44 @@ def model_fit_check(spark, sf_dir):
     )
 
 
+def bundle_round_trip(spark, sf_dir):
+    """K5 + C2 + P12: a bundle is fitted, given the fixed coefficients, saved, loaded as a
+    new object, and scores the test split from event rows with labs as measured.
+    ``same_after_load``: the fitted classifier too scores alike before and after."""
+    fitted, events = P.fit_bundle(Stages(spark, sf_dir).raw, maxIter=5)
+    fixed = fitted.with_coefficients(_fixed_coefficients(fitted.vocabulary), INTERCEPT)
+    paths = [_folder(spark, "bundle"), _folder(spark, "bundle")]
+    fitted.save(paths[0])
+    fixed.copy({fixed.digits: 6}).save(paths[1])
+    again, loaded = (load_model(p) for p in paths)
+    test = events.filter("split = 'test'")
+    before = fitted.transform(test).select("patient_id", F.col("score").alias("_before"))
+    after = again.transform(test).select("patient_id", F.col("score").alias("_after"))
+    scored = loaded.transform(test).filter("label is not null").join(before, "patient_id").join(after, "patient_id")
+    same = F.abs(F.col("_before") - F.col("_after")) < F.lit(1e-9)
+    return scored.select("split", "patient_id", "label", "logit", _r("score").alias("score"), "prediction", same.alias("same_after_load"))
+
+
+def bundle_evaluation(spark, sf_dir):
+    """L2: accuracy and loss of the fixed coefficients on every split, through a bundle."""
+    fitted, events = P.fit_bundle(Stages(spark, sf_dir).raw, maxIter=1)
+    model = fitted.with_coefficients(_fixed_coefficients(fitted.vocabulary), INTERCEPT)
+    found = model.copy({model.digits: 6}).evaluate(events, by=["split"])
+    return found.select("split", "n", _r("accuracy").alias("accuracy"), _r("log_loss").alias("log_loss"))
+
+
+def new_patient_scores(spark, sf_dir):
+    """L3 for new patients: raw tables of the valid split's patients, scored as if never seen:
+    labs divided by the training maximum, tokens looked up in the training vocabulary."""
+    st = Stages(spark, sf_dir)
+    fitted, _ = P.fit_bundle(st.raw, maxIter=1)
+    model = fitted.with_coefficients(_fixed_coefficients(fitted.vocabulary), INTERCEPT)
+    ids = st.prep.cohort.filter("split = 'valid'").select("SUBJECT_ID")
+    unseen = {t: st.raw[t].join(ids, "SUBJECT_ID", "left_semi") for t in P.TABLES}
+    scored = P.score_new_patients(model.copy({model.digits: 6}), unseen)
+    return scored.select("patient_id", "label", "logit", _r("score").alias("score"), "prediction")
+
+
 # ------------------------------------------------------------------ linear model with fixed coefficients
 
 
@@ -500,12 +713,18 @@ QUERIES = {
     "rejects": rejects,
     "admission_records": admission_records,
     "csv_front_door": csv_front_door,
+    "raw_scan": raw_scan,
+    "ragged_rows": ragged_rows,
+    "ragged_counts": ragged_counts,
+    "split_file_records": split_file_records,
     "record_tables": record_tables,
     "prepared_round_trip": prepared_round_trip,
     "vocabulary": vocabulary,
     "vocabulary_sizes": vocabulary_sizes,
     "indexed_features": indexed_features,
     "unknown_tokens": unknown_tokens,
+    "salted_features": salted_features,
+    "by_patient_join": by_patient_join,
     "dataset_labels": dataset_labels,
     "features_round_trip": features_round_trip,
     "sorted_sink": sorted_sink,
@@ -515,16 +734,22 @@ QUERIES = {
     "linear_report": linear_report,
     "learning_curve": learning_curve,
     "best_epoch": best_epoch,
+    "run_model_check": run_model_check,
     "model_fit_check": model_fit_check,
     "num_features": num_features,
     "visit_cells": visit_cells,
     "sequence_entries": sequence_entries,
+    "hot_visit_entries": hot_visit_entries,
     "sequence_summary": sequence_summary,
     "padded_batches": padded_batches,
     "shuffled_rows": shuffled_rows,
     "pooled_sum": pooled("sum"),
     "pooled_mean": pooled("mean"),
     "pooled_last": pooled("last"),
+    "pooled_decay": pooled_decay,
+    "pooled_decay_days": pooled_decay_days,
+    "minibatch_steps": minibatch_steps,
+    "minibatch_curve": minibatch_curve,
     "visit_vectors": visit_vectors,
     "rule_scores": rule_scores,
     "metric_summary": metric_summary,
@@ -532,9 +757,13 @@ QUERIES = {
     "roc_curve": roc_curve,
     "roc_curve_turns": roc_curve_turns,
     "roc_auc": roc_auc,
+    "roc_bounded": roc_bounded,
     "batch_weighted_accuracy": batch_weighted_accuracy,
     "event_visit_cells": event_visit_cells,
     "event_sequence_entries": event_sequence_entries,
+    "bundle_round_trip": bundle_round_trip,
+    "bundle_evaluation": bundle_evaluation,
+    "new_patient_scores": new_patient_scores,
     "model_predictions": model_predictions,
     "model_evaluation": model_evaluation,
 }

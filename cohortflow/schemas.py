@@ -39,6 +39,16 @@ PREPARED_COLUMNS: dict[str, list[str]] = {
     "prescriptions": ["SUBJECT_ID", "HADM_ID", "DRUG"],
 }
 
+# File stem of each prepared table in the split folders.
+SPLIT_FILES: dict[str, str] = {
+    "admissions": "admissions",
+    "diagnoses": "diagnoses",
+    "icustays": "icustays",
+    "labevents": "labevents",
+    "patients": "patients",
+    "prescriptions": "prescripts",
+}
+
 SPLITS = ("train", "test", "valid")
 DEFAULT_WEIGHTS = (65.0, 20.0, 15.0)
 DEFAULT_SEED = 1

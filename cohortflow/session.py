@@ -87,11 +87,16 @@ def materialize(df: DataFrame) -> DataFrame:
     normal parquet scan with column pruning and filter pushdown (an RDD
     checkpoint would serialise rows and hide them from the optimiser).
     """
+    return materialize_at(df)[0]
+
+
+def materialize_at(df: DataFrame, *partition_by: str) -> tuple[DataFrame, str]:
+    """``materialize`` with the table's folder, for ``release_tables`` as soon as it is not read any more."""
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/cohortflow-tables/{uuid.uuid4().hex}"
     track_table(spark, path)
-    df.write.mode("error").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    df.write.mode("error").partitionBy(*partition_by).parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
 
 
 # (path, Hadoop path, its file system): the Java objects outlive the session.

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -68,3 +70,23 @@ def read_prepared(spark: SparkSession, folder: str, fmt: str = "parquet") -> dic
         kinds = {"LOS": "double", "VALUENUM": "double", "IS_DEAD": "int"}
         out[table] = df.select(*[F.col(c).cast(kinds.get(c, "string")).alias(c) for c in columns], F.col("split").cast("string").alias("split"))
     return out
+
+
+def read_by_patient(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """A table of ``write_by_patient``, with its buckets known to the planner.
+
+    The number of buckets is in the folder's name, the columns in the files; the table
+    stays in the session's catalog under a name of its own.
+    """
+    found = [n for n in _names(spark, folder) if n.startswith(f"{name}.b")]
+    if len(found) != 1:
+        raise FileNotFoundError(f"{len(found)} layouts of {name} in {folder}")
+    path = f"{folder.rstrip('/')}/{found[0]}"
+    buckets = int(found[0].rsplit(".b", 1)[1])
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in spark.read.parquet(path).schema.fields)
+    table = f"by_patient_{uuid.uuid4().hex}"
+    spark.sql(
+        f"CREATE TABLE {table} ({columns}) USING parquet CLUSTERED BY (split, patient_id) SORTED BY (split, patient_id) "
+        f"INTO {buckets} BUCKETS LOCATION '{path}'"
+    )
+    return spark.table(table)

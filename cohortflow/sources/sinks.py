@@ -7,9 +7,14 @@ every row through one task and is not offered.)
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import uuid
+
+from pyspark.ml.util import DefaultParamsReader
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cohortflow.schemas import SPLIT_FILES
+
 SPLIT_DIRS = {"train": "train", "valid": "valid", "validation": "valid", "test": "test"}
 
 
@@ -19,6 +24,19 @@ def write_prepared(tables: dict[str, DataFrame], out: str, fmt: str = "parquet",
         df.write.mode(mode).partitionBy("split").format(fmt).option("header", True).save(f"{out}/{name}")
 
 
+def write_split_files(tables: dict[str, DataFrame], out: str, splits=("train", "test", "valid")) -> None:
+    """K4 in the layout of the split folders: ``out/<split>/<file>_<split>.csv``, headered.
+
+    Each is a folder of part files (readers take it like a file).  Spaces around values
+    are kept.
+    """
+    for name, df in tables.items():
+        for split in splits:
+            rows = df.filter(F.col("split") == split).drop("split")
+            csv = rows.write.mode("overwrite").option("header", True).option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+            csv.csv(f"{out}/{split}/{SPLIT_FILES[name]}_{split}.csv")
+
+
 def _split_dir(split: str) -> str:
     if split not in SPLIT_DIRS:
         raise ValueError(f"unknown split {split!r}; expected one of {sorted(SPLIT_DIRS)}")
@@ -68,18 +86,27 @@ def write_sequences(seqs: DataFrame, out: str, split: str | None = None) -> None
         _of_split(seqs, split).write.mode("overwrite").parquet(f"{out}/sequences/split={_split_dir(split)}")
 
 
+def write_by_patient(df: DataFrame, out: str, name: str, buckets: int) -> None:
+    """K2/K3 in a layout that keeps the patient key: ``out/<name>.b<buckets>``, bucketed and
+    sorted by (split, patient_id).
+
+    Tables written with the same number of buckets are joined and grouped by patient
+    without a shuffle (``read_by_patient``).  The rows are dealt to the buckets first, so
+    a bucket is one file; take buckets of a few hundred MB.
+    """
+    keys = ["split", "patient_id"]
+    temp = f"by_patient_{uuid.uuid4().hex}"
+    spark = df.sparkSession
+    dealt = df.repartition(buckets, *keys)
+    dealt.write.mode("overwrite").bucketBy(buckets, *keys).sortBy(*keys).option("path", f"{out.rstrip('/')}/{name}.b{buckets}").format("parquet").saveAsTable(temp)
+    spark.sql(f"DROP TABLE {temp}")  # an external table: its files stay
+
+
 def save_model(model, path: str) -> None:
     """K5."""
     model.write().overwrite().save(path)
 
 
 def load_model(path: str):
-    from pyspark.ml import PipelineModel
-    from pyspark.ml.classification import LogisticRegressionModel, MultilayerPerceptronClassificationModel
-
-    for cls in (PipelineModel, LogisticRegressionModel, MultilayerPerceptronClassificationModel):
-        try:
-            return cls.load(path)
-        except Exception:  # noqa: BLE001 - try the next persisted model type
-            continue
-    raise ValueError(f"no loadable model at {path}")
+    """K5: whatever model, pipeline or bundle was saved at ``path``; its class is in the metadata."""
+    return DefaultParamsReader.loadParamsInstance(path, SparkSession.active())
