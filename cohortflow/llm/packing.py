@@ -24,7 +24,6 @@ from pyspark.sql import functions as F
 from cohortflow.llm.mixing import word_count
 from cohortflow.session import materialize
 
-MAX_BINS = 2048  # steps of the grid in ``oracle_sql``; the program itself has none
 CHUNK = 65_536
 
 
@@ -118,16 +117,12 @@ def pack_documents(docs: DataFrame, n_buckets: int = 16, budget: int = 65_536) -
 
 
 def oracle_sql(n_buckets: int = 16, budget: int = 65_536) -> str:
-    """The same packing in DuckDB SQL: the dynamic program as a recursive query."""
+    """The same packing in DuckDB SQL: the dynamic program over all lengths as a recursive query."""
     return f"""
 WITH RECURSIVE lens AS (
   SELECT doc_id, CAST(coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0) AS BIGINT) AS n_tokens FROM documents
-), step AS (
-  SELECT CAST(pow(2, greatest(0, ceil(log2(greatest(max(n_tokens), 1) / {MAX_BINS}.0)))) AS BIGINT) AS st FROM lens
-), rounded AS (
-  SELECT doc_id, n_tokens, CAST(ceil(n_tokens / CAST(st AS DOUBLE)) AS BIGINT) * st AS rl FROM lens, step
 ), hist AS (
-  SELECT rl, count(*) AS n, row_number() OVER (ORDER BY rl) AS j FROM rounded GROUP BY rl
+  SELECT n_tokens AS rl, count(*) AS n, row_number() OVER (ORDER BY n_tokens) AS j FROM lens GROUP BY n_tokens
 ), cum AS (
   SELECT j, rl, sum(n) OVER (ORDER BY j) AS cn, sum(n * rl) OVER (ORDER BY j) AS ct FROM hist
 ), cost AS (
@@ -153,7 +148,7 @@ WITH RECURSIVE lens AS (
 ), placed AS (
   SELECT r.doc_id, r.n_tokens, b.bucket, b.padded, greatest(1, {budget} // greatest(b.padded, 1)) AS per_batch,
          count(*) OVER (PARTITION BY b.bucket) AS members
-  FROM rounded r JOIN bounds b ON r.rl > b.below AND r.rl <= b.padded
+  FROM lens r JOIN bounds b ON r.n_tokens > b.below AND r.n_tokens <= b.padded
 ), chunked AS (
   SELECT *, CASE WHEN doc_id IS NULL THEN 0 ELSE doc_id % CAST(ceil(members / {CHUNK}.0) AS BIGINT) END AS chunk FROM placed
 ), numbered AS (
