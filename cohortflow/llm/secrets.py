@@ -24,13 +24,15 @@ from __future__ import annotations
 from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortflow.session import materialize
 
 #: Real candidates that are labelled, at most, half of them of each label.
 SAMPLE = 4000
+#: Tasks that share the rows of one text when it is redacted.
+SALTS = 8
 # Names of secrets, names of harmless identifiers, frequent words.
 SECRET_NAMES = r"(?i)(token|secret|passw|passphrase|pwd|api[ _-]?key|access[ _-]?key|auth|bearer|credential|private[ _-]?key)"
 HARMLESS_NAMES = r"(?i)(commit|sha[0-9]*|md5|checksum|digest|hash|uuid|guid|etag|revision|build|order|card|phone|serial|isbn|page|anchor)"
@@ -77,25 +79,27 @@ FEATURES = [
 def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, text_key, n, start, candidate, left, right) of every candidate.
 
-    ``start`` is the 0-based offset of the candidate, ``n`` its number in the text.
+    ``start`` is the 0-based offset of the candidate, ``n`` its number in the text.  Each
+    candidate leaves its document with its neighbours and the length of the gap before it;
+    the offsets are running sums over a document's candidates, so the work is in
+    proportion to the text, however many candidates it has.
     """
     text = F.col(text_col)
     found = F.regexp_extract_all(text, F.lit(CANDIDATE), F.lit(0))
-    d = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("text_key"), text.alias("t"), found.alias("found"))
+    d = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("text_key"), F.monotonically_increasing_id().alias("row"), text.alias("t"), found.alias("found"))
     d = d.filter(F.size("found") > 0).withColumn("parts", F.split("t", CANDIDATE, -1)).drop("t")
-    # Only the neighbourhood of each cut is kept, with the length of each part.
-    d = d.select(
-        "doc_id", "text_key", "found",
-        F.transform("parts", lambda p: F.struct(F.length(p).alias("len"), F.right(p, F.lit(40)).alias("tail"), F.substring(p, 1, 16).alias("head"))).alias("parts"),
-    )
-    e = d.select("doc_id", "text_key", "found", "parts", F.posexplode("found").alias("n", "candidate"))
-    add = lambda a, x: a + x
-    gaps = F.aggregate(F.transform(F.slice("parts", F.lit(1), F.col("n") + 1), lambda p: p["len"]), F.lit(0), add)
-    earlier = F.aggregate(F.transform(F.slice("found", F.lit(1), F.col("n")), lambda c: F.length(c)), F.lit(0), add)
-    return e.select(
-        "doc_id", "text_key", "n", (gaps + earlier).alias("start"), "candidate",
-        F.element_at("parts", F.col("n") + 1)["tail"].alias("left"), F.element_at("parts", F.col("n") + 2)["head"].alias("right"),
+    zipped = F.arrays_zip("found", F.slice("parts", F.lit(1), F.size("found")).alias("before"), F.slice("parts", F.lit(2), F.size("found")).alias("after"))
+    one = F.transform(
+        zipped,
+        lambda z, i: F.struct(
+            i.alias("n"), z["found"].alias("candidate"), F.length(z["before"]).cast("bigint").alias("gap"),
+            F.right(z["before"], F.lit(40)).alias("left"), F.substring(z["after"], 1, 16).alias("right"),
+        ),
     )
+    e = d.select("doc_id", "text_key", "row", F.inline(one))
+    so_far = Window.partitionBy("row").orderBy("n").rowsBetween(Window.unboundedPreceding, 0)
+    e = e.withColumn("start", (F.sum(F.col("gap") + F.length("candidate")).over(so_far) - F.length("candidate")).cast("int"))
+    return e.select("doc_id", "text_key", "n", "start", "candidate", "left", "right")
 
 
 def _flag(c: Column) -> Column:
@@ -230,10 +234,22 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", findin
 
 
 def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mark: str = "[SECRET]") -> DataFrame:
-    """``docs`` with every found secret replaced by ``mark``; same rows and columns."""
-    hits = scan(docs, id_col, text_col).filter("is_secret").groupBy(F.col("text_key").alias("_text_key")).agg(F.collect_set("candidate").alias("_secrets"))
-    keyed = docs.withColumn("_key", F.xxhash64(text_col))
-    joined = keyed.join(hits, keyed["_key"] == hits["_text_key"], "left")
-    longest_first = F.array_sort(F.coalesce("_secrets", F.array().cast("array<string>")), lambda a, b: F.length(b) - F.length(a))
-    clean = F.aggregate(longest_first, F.col(text_col), lambda t, s: F.replace(t, s, F.lit(mark)))
-    return joined.withColumn(text_col, clean).select(*docs.columns)
+    """``docs`` with every found secret replaced by ``mark`` where it stands; same rows and columns.
+
+    The decision belongs to the place: the same characters elsewhere in the text stay.
+    Decisions are joined by a hash of the text; copies of one text are dealt to ``SALTS``
+    tasks by it.
+    """
+    every = scan(docs, id_col, text_col).groupBy("text_key", "n").agg(F.max("is_secret").alias("hit"))
+    hits = every.groupBy("text_key").agg(F.sort_array(F.collect_list(F.struct("n", "hit"))).alias("flags"), F.max("hit").alias("any")).filter("any")
+    hits = hits.select("text_key", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"), F.transform("flags", lambda x: x["hit"]).alias("flags"))
+    # The row travels as one struct, so that no name of it can clash.
+    text = F.col(f"row.`{text_col}`")
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    rows = rows.select("row", F.xxhash64(text).alias("text_key"), (F.monotonically_increasing_id() % F.lit(SALTS)).cast("int").alias("salt"))
+    joined = rows.join(hits, ["text_key", "salt"], "left")
+    found, parts = F.regexp_extract_all(text, F.lit(CANDIDATE), F.lit(0)), F.split(text, CANDIDATE, -1)
+    pieces = F.arrays_zip(found.alias("c"), F.col("flags").alias("hit"), F.slice(parts, F.lit(2), F.size("flags")).alias("after"))
+    rest = F.transform(pieces, lambda z: F.concat(F.when(z["hit"], F.lit(mark)).otherwise(z["c"]), z["after"]))
+    clean = F.when(F.col("flags").isNull(), text).otherwise(F.concat(F.element_at(parts, 1), F.array_join(rest, "")))
+    return joined.select(*[clean.alias(c) if c == text_col else F.col(f"row.`{c}`").alias(c) for c in docs.columns])
