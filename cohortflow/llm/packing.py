@@ -83,12 +83,8 @@ def _layer(before: np.ndarray, size: np.ndarray, number: np.ndarray, tokens: np.
     return best, start
 
 
-def pack(lengths: DataFrame, n_buckets: int = 16, budget: int = 65_536) -> DataFrame:
-    """(doc_id, n_tokens, bucket, padded, chunk, batch, slot) for (doc_id, n_tokens).
-
-    ``bucket`` counts from 0 by length, ``batch`` from 0 in each (bucket, chunk), and
-    ``slot`` from 0 in each batch.
-    """
+def _in_buckets(lengths: DataFrame, n_buckets: int, budget: int) -> DataFrame:
+    """``lengths`` with bucket, padded, chunks and per_batch of every row's length."""
     spark = lengths.sparkSession
     # D distinct lengths need D * (D - 1) / 2 tokens: at most about the square root of twice the corpus's tokens.
     histogram = lengths.groupBy(F.col("n_tokens").alias("len")).agg(F.count(F.lit(1)).alias("n")).orderBy("len").collect()
@@ -100,8 +96,17 @@ def pack(lengths: DataFrame, n_buckets: int = 16, budget: int = 65_536) -> DataF
     at = F.array(*[F.lit(b).cast("bigint") for b in bounds]) if bounds else F.array().cast("array<bigint>")
     bucket = F.size(F.filter(at, lambda b: b < F.col("n_tokens"))).cast("int")
     # One row per bucket: a bounded side.
-    rows = lengths.withColumn("bucket", bucket).join(F.broadcast(buckets), "bucket")
-    rows = rows.withColumn("chunk", F.coalesce(F.pmod("doc_id", "chunks"), F.lit(0)).cast("bigint"))
+    return lengths.withColumn("bucket", bucket).join(F.broadcast(buckets), "bucket")
+
+
+def pack(lengths: DataFrame, n_buckets: int = 16, budget: int = 65_536) -> DataFrame:
+    """(doc_id, n_tokens, bucket, padded, chunk, batch, slot) for (doc_id, n_tokens).
+
+    ``bucket`` counts from 0 by length, ``batch`` from 0 in each (bucket, chunk), and
+    ``slot`` from 0 in each batch.  Rows without an id are dealt to the chunks one by one.
+    """
+    rows = _in_buckets(lengths, n_buckets, budget)
+    rows = rows.withColumn("chunk", F.pmod(F.coalesce("doc_id", F.monotonically_increasing_id()), "chunks").cast("bigint"))
     place = F.row_number().over(Window.partitionBy("bucket", "chunk").orderBy(F.col("doc_id").asc_nulls_last(), "n_tokens")) - 1
     rows = rows.withColumn("place", place.cast("bigint"))
     return rows.select(
@@ -116,6 +121,29 @@ def pack_documents(docs: DataFrame, n_buckets: int = 16, budget: int = 65_536) -
     return pack(materialize(docs.select("doc_id", word_count("text").alias("n_tokens"))), n_buckets, budget)
 
 
+def pack_mixed(docs: DataFrame, n_buckets: int = 16, budget: int = 65_536) -> DataFrame:
+    """Batches of a mix, in the order in which it lies: (doc_id, text_key, copy, n_tokens,
+    bucket, padded, chunk, batch, slot).
+
+    A chunk is one partition of the scan, so batches are formed of rows that the mix put
+    next to each other, in its order.  A document that the mix takes several times has a
+    row per ``copy`` (from 1); a batch holds rows of one copy number only, so never two
+    copies of a document.  (doc_id, text_key, copy) tells every row apart, rows that share
+    an id or lack one included; ``text_key`` is the hash of the text (``xxhash64``).
+    """
+    narrow = docs.select("doc_id", F.xxhash64("text").alias("text_key"), word_count("text").alias("n_tokens"))
+    # Written once: the order is that of one scan.
+    narrow = materialize(narrow.withColumns({"chunk": F.spark_partition_id().cast("bigint"), "place": F.monotonically_increasing_id()}))
+    same = Window.partitionBy("doc_id", "text_key", "n_tokens").orderBy("place")
+    rows = _in_buckets(narrow.withColumn("copy", F.row_number().over(same)), n_buckets, budget)
+    order = Window.partitionBy("bucket", "chunk", "copy").orderBy("place")
+    rows = rows.withColumn("at", (F.row_number().over(order) - 1).cast("bigint"))
+    return rows.select(
+        "doc_id", "text_key", "copy", "n_tokens", "bucket", "padded", "chunk",
+        F.floor(F.col("at") / F.col("per_batch")).cast("bigint").alias("batch"), (F.col("at") % F.col("per_batch")).cast("bigint").alias("slot"),
+    )
+
+
 def oracle_sql(n_buckets: int = 16, budget: int = 65_536) -> str:
     """The same packing in DuckDB SQL: the dynamic program over all lengths as a recursive query."""
     return f"""
@@ -150,7 +178,7 @@ WITH RECURSIVE lens AS (
          count(*) OVER (PARTITION BY b.bucket) AS members
   FROM lens r JOIN bounds b ON r.n_tokens > b.below AND r.n_tokens <= b.padded
 ), chunked AS (
-  SELECT *, CASE WHEN doc_id IS NULL THEN 0 ELSE doc_id % CAST(ceil(members / {CHUNK}.0) AS BIGINT) END AS chunk FROM placed
+  SELECT *, coalesce(doc_id, row_number() OVER ()) % CAST(ceil(members / {CHUNK}.0) AS BIGINT) AS chunk FROM placed
 ), numbered AS (
   SELECT *, row_number() OVER (PARTITION BY bucket, chunk ORDER BY doc_id NULLS LAST, n_tokens) - 1 AS place FROM chunked
 )

@@ -215,3 +215,64 @@ def test_many_bare_tokens_are_not_taught_away(spark):
 
 def test_secrets_empty_table(spark):
     assert secrets.scan(spark.createDataFrame([], "doc_id bigint, text string")).count() == 0
+
+
+def test_redaction_hits_the_place_not_the_word(spark):
+    text = 'password = "hunter2secret"; hunter2secret is a nickname, hunter2secrets too'
+    rows = [(1, text), (2, "hunter2secret is a nickname"), (3, text), (None, text), (4, None), (5, "")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    for c in ("_key", "_secrets", "_text_key", "row", "flags", "salt", "text_key", "n"):
+        docs = docs.withColumn(c, F.lit(f"own {c}"))
+    got = sorted((tuple(r) for r in secrets.redact(docs).collect()), key=repr)
+    cut = text.replace('"hunter2secret"', '"[SECRET]"')
+    texts = {1: cut, 2: rows[1][1], 3: cut, None: cut, 4: None, 5: ""}
+    assert got == sorted(((i, texts[i], *[f"own {c}" for c in docs.columns[2:]]) for i, _ in rows), key=repr)
+
+
+def test_many_candidates_in_one_text(spark):
+    """Work in proportion to the text: 100,000 candidates of one document, each at its offset."""
+    rnd = random.Random(3)
+    token = lambda: "".join(rnd.choice("0123456789abcdef") for _ in range(24))
+    text = "é " + " ".join(token() for _ in range(100_000)) + f' api_key = "{token()}AbZ" end'
+    docs = spark.createDataFrame([(1, text), (2, "plain words only")], "doc_id bigint, text string")
+    found = secrets.candidates(docs).collect()
+    assert sorted(r.n for r in found) == list(range(100_001))
+    assert all(text[r.start : r.start + len(r.candidate)] == r.candidate for r in found)
+    clean = {r.doc_id: r.text for r in secrets.redact(docs).collect()}
+    assert clean[2] == "plain words only" and clean[1].endswith('api_key = "[SECRET]" end')
+
+
+def test_repeated_rows_are_scanned_one_by_one(spark):
+    docs = spark.createDataFrame([(1, 'token = "0a1b2c3d4e5f6a7b8c9d0e1f"')] * 3, "doc_id bigint, text string")
+    assert [r.start for r in secrets.scan(docs).collect()] == [9, 9, 9]
+    assert {r.text for r in secrets.redact(docs).collect()} == {'token = "[SECRET]"'} and secrets.redact(docs).count() == 3
+
+
+def test_packing_the_mix_keeps_copies_apart(spark):
+    rnd = random.Random(6)
+    rows = [(i, "w " * rnd.randint(1, 40) + str(i)) for i in range(120)]
+    rows = rows + rows[:100] + rows[:30] + [(None, "no id"), (None, "no id"), (7, "another text of id 7"), (500, None), (500, "")]
+    rnd.shuffle(rows)
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    for c in ("copy", "chunk", "place", "bucket", "n_tokens", "text_key"):
+        docs = docs.withColumn(c, F.lit("clash"))
+    got = packing.pack_mixed(docs, n_buckets=4, budget=400).collect()
+    assert len(got) == len(rows)
+    batches = {}
+    for r in got:
+        batches.setdefault((r.bucket, r.chunk, r.copy, r.batch), []).append(r)
+    for members in batches.values():
+        assert len({(r.doc_id, r.text_key) for r in members}) == len(members)  # never two copies
+        assert sorted(r.slot for r in members) == list(range(len(members)))
+        assert len(members) * members[0].padded <= 400 or len(members) == 1
+        assert all(r.n_tokens <= r.padded for r in members)
+    keys = [(r.doc_id, r.text_key, r.copy) for r in got]
+    assert len(set(keys)) == len(keys)
+    assert packing.pack_mixed(docs.limit(0)).count() == 0
+
+
+def test_packing_spreads_rows_without_an_id(spark, monkeypatch):
+    monkeypatch.setattr(packing, "CHUNK", 50)
+    lengths = spark.range(400).select(F.lit(None).cast("bigint").alias("doc_id"), F.lit(3).cast("bigint").alias("n_tokens"))
+    found = packing.pack(lengths, 2, 30).groupBy("chunk").count().collect()
+    assert len(found) == 8 and max(r["count"] for r in found) <= 60

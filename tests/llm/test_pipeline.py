@@ -70,12 +70,35 @@ def test_shared_ids_lose_no_group(spark, tmp_path):
     assert sorted((r[0], r[1] or "") for r in runs[0]) == sorted([(5, a), (3, b), (7, c), (7, d), (8, ""), (8, "")])
 
 
+def test_stages_with_clashing_columns_long_texts_and_empty_tables(spark, folder):
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    names = ("_kept_id", "_kept_key", "_n", "_secrets", "_key", "_text_key", "row", "own_id", "own_key", "group", "text_key", "copy", "place", "size", "block")
+    long = " ".join(f"longword{i}" for i in range(60_000))
+    wide = docs.filter("doc_id < 40").unionByName(docs.limit(1).withColumn("text", F.lit(long)).withColumn("doc_id", F.lit(9000).cast("bigint")))
+    for c in names:
+        wide = wide.withColumn(c, F.lit(f"own {c}"))
+    for k, (_, stage) in enumerate(C.STAGES):
+        assert stage(spark, wide.limit(0), folder).count() == 0
+        out = stage(spark, wide, folder)
+        if k < 4:
+            assert out.columns == wide.columns
+            rows = out.collect()
+            assert rows and all(r[c] == f"own {c}" for r in rows for c in names)
+            assert {r.text for r in rows if r.doc_id == 9000} == {long}
+        else:
+            assert out.count() == wide.count() and out.filter("n_tokens = 60000").count() == 1
+
+
 def test_run_and_registration(spark, folder):
     import __spark_entry__ as E
 
     assert E.queries()["pipeline"] is C.run and len(C.STAGES) == 5
     out = C.run(spark, folder)
     assert out.count() > 150 and "batch" in out.columns
+    key = ["doc_id", "text_key", "copy"]
+    assert out.select(*key).distinct().count() == out.count()
+    assert out.groupBy("bucket", "chunk", "copy", "batch", "doc_id", "text_key").count().filter("count > 1").count() == 0
+    assert out.filter("copy > 1").count() > 0
 
 
 def test_rest_imports_without_the_subpackage(tmp_path):
