@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortflow.llm import minhash, mixing, packing, quality, secrets
-from cohortflow.session import materialize
+from cohortflow.session import materialize_at, release_tables
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -30,10 +30,13 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     rows = found.groupBy("group", F.col("doc_id").alias("_kept_id"), F.col("text_key").alias("_kept_key")).agg(F.count(F.lit(1)).alias("_n"))
     first = F.min(F.struct("_kept_id", "_kept_key", "_n")).alias("first")
     kept = rows.filter("group is not null").groupBy("group").agg(first).select("first.*").unionByName(rows.filter("group is null").drop("group"))
-    joined = docs.join(kept, (docs["doc_id"] == kept["_kept_id"]) & (minhash.text_key() == kept["_kept_key"]))
-    once = joined.filter("_n = 1").select(*docs.columns)
-    row = F.struct(*docs.columns)
-    repeated = joined.filter("_n > 1").groupBy("_kept_id", "_kept_key").agg(F.min_by(row, F.xxhash64(*docs.columns)).alias("row")).select("row.*")
+    # Each row travels as one struct, so that no column of it can clash.
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    own = docs.select(row, F.col("doc_id").alias("own_id"), minhash.text_key().alias("own_key"))
+    joined = own.join(kept, (F.col("own_id") == F.col("_kept_id")) & (F.col("own_key") == F.col("_kept_key")))
+    columns = [F.col(f"row.`{c}`").alias(c) for c in docs.columns]
+    once = joined.filter("_n = 1").select(*columns)
+    repeated = joined.filter("_n > 1").groupBy("_kept_id", "_kept_key").agg(F.min_by("row", F.xxhash64("row")).alias("row")).select(*columns)
     return once.unionByName(repeated).unionByName(docs.filter("doc_id is null"))
 
 
@@ -48,8 +51,9 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Length bucket, batch and slot of every row of the mix."""
-    return packing.pack_documents(docs)
+    """Length bucket, batch and slot of every row of the mix, in the mix's order; no batch
+    holds two copies of a document.  (doc_id, text_key, copy) tells the rows apart."""
+    return packing.pack_mixed(docs)
 
 
 STAGES = [
@@ -65,8 +69,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``, each result written in the shared folder."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES[:-1]:
-        docs = materialize(stage(spark, docs, sf_dir))
-    return STAGES[-1][1](spark, docs, sf_dir)
+    """All stages over ``documents``, each result written in the shared folder and freed
+    once the next one is written.  The last result reads no stage table."""
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
+    for _, stage in STAGES:
+        docs, path = materialize_at(stage(spark, docs, sf_dir))
+        if before is not None:
+            release_tables([before])
+        before = path
+    return docs
