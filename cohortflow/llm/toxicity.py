@@ -24,8 +24,11 @@ from __future__ import annotations
 
 import math
 import unicodedata
+from bisect import bisect_right
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import accumulate
 
 import ahocorasick
 import numpy as np
@@ -130,9 +133,12 @@ def matches(automaton, text: str) -> list[tuple[int, int, str, float]]:
     found = _find(automaton, light, light, ("word", "stem"))
     deep, masked = unmask(text)
     if masked != light:
-        known = {m[2] for m in found}
-        # A run of digits and signs alone is a number, not a disguise.
-        found += [m for m in _find(automaton, masked, deep, ("plain",)) if m[2] not in known and any(c.isalpha() for c in deep[m[0] : m[1]])]
+        plain = Counter(m[2] for m in found)
+        for m in _find(automaton, masked, deep, ("plain",)):
+            if deep[m[0] : m[1]] == masked[m[0] : m[1]] and plain[m[2]]:
+                plain[m[2]] -= 1  # found as it stands already; disguised repeats count
+            elif any(c.isalpha() for c in deep[m[0] : m[1]]):  # digits and signs alone are a number
+                found.append(m)
     return found
 
 
@@ -151,8 +157,11 @@ def _find(automaton, text: str, original: str, kinds: tuple) -> list[tuple[int,
                     shielded.append((start, end + 1))
             elif kind in kinds and (whole or kind == "stem"):
                 hits.append((start, end + 1, term, weight))
-    if shielded:
-        hits = [h for h in hits if not any(s <= h[0] and h[1] <= e for s, e in shielded)]
+    if shielded and hits:
+        shielded.sort()
+        starts, reach = [s for s, _ in shielded], list(accumulate((e for _, e in shielded), max))
+        # A hit is shielded if a phrase that starts at or before it reaches its end.
+        hits = [h for h in hits if not (k := bisect_right(starts, h[0])) or reach[k - 1] < h[1]]
     return hits
 
 

@@ -142,6 +142,32 @@ def test_toxicity_learns_words_and_stems(spark):
     assert not found[1002].predicted and not found[1002].terms and not found[1004].predicted
 
 
+def test_disguised_repeats_count():
+    a = toxicity.Lexicon({"idiot": 1.0, "moron": 1.0}).automaton()
+    terms = lambda t: sorted(m[2] for m in toxicity.matches(a, t))
+    assert terms("idiot 1d10t 1d1ot m0r0n") == ["idiot"] * 3 + ["moron"]
+    assert terms("idiot IDIOT ídiot 1d10t") == ["idiot"] * 4
+    assert terms("idiot and 10 idiot") == ["idiot"] * 2 and terms("1d10t") == ["idiot"]
+
+
+def test_shields_equal_the_plain_rule_and_stay_linear():
+    import time
+
+    a = toxicity.Lexicon({"idiot": 1.0, "stupid": 1.0, "simple stupid idiot": 2.0}, exceptions=("idiot proof", "stupid simple", "not stupid", "simple stupid")).automaton()
+    rnd = random.Random(4)
+    for _ in range(300):
+        text = " ".join(rnd.choice(["idiot", "proof", "stupid", "simple", "not", "a"]) for _ in range(rnd.randint(0, 30)))
+        hits, shields = [], []
+        for phrase, kind in (("idiot", 0), ("stupid", 0), ("simple stupid idiot", 0), ("idiot proof", 1), ("stupid simple", 1), ("not stupid", 1), ("simple stupid", 1)):
+            for m in re.finditer(rf"(?=\b{phrase}\b)", text):
+                (shields if kind else hits).append((m.start(), m.start() + len(phrase)))
+        want = sorted(h for h in hits if not any(s <= h[0] and h[1] <= e for s, e in shields))
+        assert sorted((m[0], m[1]) for m in toxicity.matches(a, text)) == want
+    began = time.process_time()
+    assert toxicity.matches(a, "idiot proof " * 100_000) == []
+    assert time.process_time() - began < 10
+
+
 def test_toxicity_awkward_rows(spark):
     docs = spark.createDataFrame([r for r in AWKWARD], "doc_id bigint, text string")
     none = spark.createDataFrame([], "doc_id bigint, quality int, toxic int")
