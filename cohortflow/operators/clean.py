@@ -97,7 +97,7 @@ def require(df: DataFrame, *cols: str) -> DataFrame:
     return df.filter(reduce(lambda a, b: a & b, [present(df, c) for c in cols]))
 
 
-def validate(df: DataFrame, table: str) -> DataFrame:
+def validate(df: DataFrame, table: str, keep_columns: tuple[str, ...] = ()) -> DataFrame:
     """Typed fields plus ``reject_reason`` (first failing check, NULL if none)."""
     contract = CONTRACTS[table]
     checks = [F.when(~present(df, c), F.lit(f"missing {c}")) for c in contract.required]
@@ -110,7 +110,7 @@ def validate(df: DataFrame, table: str) -> DataFrame:
     # Raw keys kept for the reject report (names differ from the typed ones:
     # Spark resolves column names case-insensitively).
     raw = [F.col(c).cast("string").alias(f"raw_{c.lower()}") for c in ("SUBJECT_ID", "HADM_ID") if c in df.columns]
-    return df.select(*keep, *raw, *typed, F.coalesce(*checks).alias("reject_reason"))
+    return df.select(*keep, *keep_columns, *raw, *typed, F.coalesce(*checks).alias("reject_reason"))
 
 
 def to_records(df: DataFrame, table: str) -> DataFrame:
@@ -121,12 +121,19 @@ def to_records(df: DataFrame, table: str) -> DataFrame:
     return validate(df, table).filter(F.col("reject_reason").isNull()).select(*keep, *names)
 
 
-def rejects(df: DataFrame, table: str, stage: str = "records") -> DataFrame:
-    """Rows that fail the contract, with the reason."""
-    v = validate(df, table).filter(F.col("reject_reason").isNotNull())
+def rejects(df: DataFrame, table: str, stage: str = "records", earlier: str | None = None) -> DataFrame:
+    """Rows that fail the contract, with the reason.
+
+    ``earlier``: a column with the reason for which the prepare stage rejected a row
+    already, null where it did not; it comes first.
+    """
+    v = validate(df, table, (earlier,) if earlier else ())
+    early = F.col(earlier) if earlier else F.lit(None).cast("string")
+    v = v.withColumn("reject_stage", F.when(early.isNotNull(), F.lit("prepare")).otherwise(F.lit(stage)))
+    v = v.withColumn("reject_reason", F.coalesce(early, "reject_reason")).filter(F.col("reject_reason").isNotNull())
     return v.select(
         F.lit(table).alias("table_name"),
-        F.lit(stage).alias("stage"),
+        F.col("reject_stage").alias("stage"),
         (F.col("split") if "split" in df.columns else F.lit(None).cast("string")).alias("split"),
         F.col("raw_subject_id").alias("subject_id"),
         (F.col("raw_hadm_id") if "HADM_ID" in df.columns else F.lit(None).cast("string")).alias("hadm_id"),

@@ -74,12 +74,18 @@ def attach_visit(events: DataFrame, admissions: DataFrame, salted: bool = False)
 
 def unknown_tokens(events: DataFrame, vocab: DataFrame, namespaced: bool = False) -> DataFrame:
     """J4 report: (split?, domain, token, n_events) of tokens not in the vocabulary."""
+    return count_tokens(unknown_events(events, vocab, namespaced))
+
+
+def unknown_events(events: DataFrame, vocab: DataFrame, namespaced: bool = False) -> DataFrame:
+    """The events whose token is not in the vocabulary: as a rule a small part of all."""
     on = ["domain", "token"] if namespaced else ["token"]
-    return (
-        events.join(vocab.select(*on), on, "left_anti")
-        .groupBy(*_keep(events), "domain", "token")
-        .agg(F.count(F.lit(1)).cast("bigint").alias("n_events"))
-    )
+    return events.join(vocab.select(*on), on, "left_anti").select(*events.columns)
+
+
+def count_tokens(events: DataFrame) -> DataFrame:
+    """(split?, domain, token, n_events)."""
+    return events.groupBy(*_keep(events), "domain", "token").agg(F.count(F.lit(1)).cast("bigint").alias("n_events"))
 
 
 def patients_with_features(labels: DataFrame, features: DataFrame) -> DataFrame:

@@ -36,8 +36,12 @@ def train_classifier(
     seed: int = SEED,
     label: str = "label",
     features: str = "features",
+    start=None,
 ):
-    """L1: fit a binary classifier; ``kind`` is ``logistic`` or ``mlp``."""
+    """L1: fit a binary classifier; ``kind`` is ``logistic`` or ``mlp``.
+
+    ``start``: weights of a fitted perceptron to go on from, instead of the seeded ones.
+    """
     data = vectors.select(F.col(label).cast("double").alias("label"), F.col(features).alias("features"))
     if kind == "logistic":
         from pyspark.ml.classification import LogisticRegression
@@ -48,7 +52,7 @@ def train_classifier(
 
         if width is None:
             raise ValueError("the mlp needs the input width")
-        est = MultilayerPerceptronClassifier(layers=[width, 64, 16, 2], maxIter=max_iter, seed=seed)
+        est = MultilayerPerceptronClassifier(layers=[width, 64, 16, 2], maxIter=max_iter, seed=seed, initialWeights=start)
     else:
         raise ValueError(f"unknown model kind {kind!r}")
     return est.fit(data)
@@ -65,6 +69,10 @@ class Epochs:
 def train_epochs(vectors: DataFrame, width: int, kind: str = "logistic", epochs=(5, 10, 20, 50), folder: str | None = None) -> Epochs:
     """L1 + A16: one fit per iteration budget on the training split, each saved.
 
+    The perceptron goes on from the epoch before: its budgets are the iterations up to
+    each epoch, and an epoch runs what its budget adds.  The logistic fit has no such start;
+    each budget starts anew (``minibatch.train_minibatch`` has true epochs for it).
+
     The curve is (epoch, phase, n, loss, accuracy) for training and validation; a
     loss that is not finite fails the job.  The driver loop is over the given
     epochs; models and curve rows are as many.
@@ -76,9 +84,11 @@ def train_epochs(vectors: DataFrame, width: int, kind: str = "logistic", epochs=
     if folder is None:
         track_table(spark, base)
     phases = vectors.filter(F.col("split").isin("train", "valid"))
-    paths, curve = [], None
+    paths, curve, start, done = [], None, None, 0
     for epoch, budget in enumerate(epochs):
-        model = train_classifier(vectors.filter(F.col("split") == "train"), width, kind, max_iter=budget)
+        model = train_classifier(vectors.filter(F.col("split") == "train"), width, kind, max_iter=max(1, budget - done), start=start)
+        if kind == "mlp":
+            start, done = model.weights, budget
         paths.append(f"{base}/epoch_{epoch}")
         save_model(model, paths[-1])
         rows = phase_metrics(predict(model, phases).withColumnRenamed("split", "phase"), epoch)

@@ -375,3 +375,34 @@ def pad_batches(entries: DataFrame, slots: DataFrame) -> DataFrame:
         *lead, "step", F.lit(0).cast("bigint").alias("entry_index"), F.lit(None).cast("bigint").alias("feature_id"), F.lit(0.0).alias("value")
     )
     return real.unionByName(pad)
+
+
+def padded_arrays(padded: DataFrame, steps_per_row: int = VISITS_PER_ROW, entries_per_row: int = ENTRIES_PER_ROW) -> DataFrame:
+    """X2 in array form: (split?, batch_id, ..., padded_length, first_step, first_entry, steps).
+
+    ``padded``: the long form of ``pad_batches``.  ``steps`` is ``array<array<struct<feature_id,
+    value>>>``, the consecutive steps from ``first_step`` on; a slot's rows together have
+    ``padded_length`` steps, an added step being one entry of null and 0.  A row holds at most
+    ``steps_per_row`` steps of at most ``entries_per_row`` entries; the rest of a longer step
+    stands in rows of its own (``first_entry`` > 0), so no row grows with a patient.
+    """
+    lead = [c for c in padded.columns if c not in ("step", "entry_index", "feature_id", "value")]
+    piece = F.floor(F.col("entry_index") / F.lit(entries_per_row)).cast("bigint")
+    entry = F.struct("entry_index", F.struct("feature_id", "value").alias("pair"))
+    steps = padded.groupBy(*lead, "step", piece.alias("_piece")).agg(F.sort_array(F.collect_list(entry)).alias("_e"))
+    steps = steps.select(*lead, "step", "_piece", F.transform("_e", lambda x: x["pair"]).alias("_entries"))
+    own = F.when(F.col("_piece") > 0, F.col("step")).otherwise(F.lit(-1)).alias("_own")
+    group = F.floor(F.col("step") / F.lit(steps_per_row)).cast("bigint").alias("_group")
+    rows = steps.groupBy(*lead, group, "_piece", own).agg(F.sort_array(F.collect_list(F.struct("step", "_entries"))).alias("_s"))
+    return rows.select(
+        *lead, F.col("_s")[0]["step"].alias("first_step"), (F.col("_piece") * F.lit(entries_per_row)).cast("bigint").alias("first_entry"),
+        F.transform("_s", lambda x: x["_entries"]).alias("steps"),
+    )
+
+
+def flat_arrays(arrays: DataFrame) -> DataFrame:
+    """The long form of ``padded_arrays``."""
+    lead = [c for c in arrays.columns if c not in ("first_step", "first_entry", "steps")]
+    s = arrays.select(*lead, "first_step", "first_entry", F.posexplode("steps").alias("_i", "_step"))
+    e = s.select(*lead, (F.col("first_step") + F.col("_i")).cast("bigint").alias("step"), "first_entry", F.posexplode("_step").alias("_j", "_pair"))
+    return e.select(*lead, "step", (F.col("first_entry") + F.col("_j")).cast("bigint").alias("entry_index"), "_pair.feature_id", "_pair.value")

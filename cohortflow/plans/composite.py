@@ -27,7 +27,7 @@ TABLES = ("admissions", "diagnoses", "icustays", "labevents", "patients", "presc
 
 
 class Prepared:
-    """C1 output: cohort, prepared tables and lab rejects, each built on first access."""
+    """C1 output: cohort, prepared tables and tagged labs, each built on first access."""
 
     def __init__(self, raw, weights, seed, names, method, normalize_labs=True, salted=False):
         normalize = C.max_normalize if normalize_labs else (lambda labs: labs)
@@ -51,17 +51,14 @@ class Prepared:
         return C.restrict_to_cohort(df, self.cohort, self.salted)
 
     @cached_property
-    def lab_rejects(self) -> DataFrame:
-        value = F.col("VALUENUM")
-        bad = self.restrict(self.raw["labevents"]).filter(value.isNull() | value.try_cast("double").isNull())
-        return bad.select(
-            F.lit("labevents").alias("table_name"),
-            F.lit("prepare").alias("stage"),
-            "split",
-            F.col("SUBJECT_ID").alias("subject_id"),
-            F.col("HADM_ID").alias("hadm_id"),
-            F.when(value.isNull(), F.lit("missing VALUENUM")).otherwise(F.lit("bad VALUENUM")).alias("reason"),
-        )
+    def tagged_labs(self) -> DataFrame:
+        """Every lab of the cohort, normalised, with the reason ``_early`` that ``prepare`` drops it for."""
+        raw, number = F.col("VALUENUM"), F.col("VALUENUM").try_cast("double")
+        early = F.when(raw.isNull(), F.lit("missing VALUENUM")).when(number.isNull(), F.lit("bad VALUENUM"))
+        labs = self.restrict(self.raw["labevents"]).withColumn("_early", early).withColumn("VALUENUM", number)
+        # One row per split: a split without any number has none.
+        maxima = F.broadcast(C.split_max(clean.drop_null_values(labs)))
+        return labs.join(maxima, "split", "left").withColumn("VALUENUM", F.try_divide("VALUENUM", "max_value")).drop("max_value")
 
 
 def prepare(raw, weights=DEFAULT_WEIGHTS, seed: int = DEFAULT_SEED, names=SPLITS, method: str = "hash", normalize_labs: bool = True, salted: bool = False) -> Prepared:
@@ -89,10 +86,15 @@ def records(prepared) -> Lazy:
 
 
 def rejects_report(prep: Prepared) -> DataFrame:
-    """Every row the pipeline rejects, with table, stage, split and reason."""
-    out = prep.lab_rejects
+    """Every row the pipeline rejects, with table, stage, split and reason.
+
+    Each table is scanned once; labs that ``prepare`` drops and labs that fail their
+    contract come out of the same scan.
+    """
+    out = clean.rejects(prep.tagged_labs, "labevents", earlier="_early")
     for t in prep.tables:
-        out = out.unionByName(clean.rejects(prep.tables[t], t))
+        if t != "labevents":
+            out = out.unionByName(clean.rejects(prep.tables[t], t))
     return out
 
 
@@ -132,6 +134,12 @@ class Dataset:
         """Events with their visit day, before the vocabulary."""
         return FT.attach_visit(self.source_events, self.recs["admissions"], self.salted)
 
+    @cached_property
+    def unknown_tokens(self) -> DataFrame:
+        """J4 report of events with a visit; known events leave before the visit join."""
+        unknown = FT.unknown_events(self.source_events, self.vocab.table, self.vocab.namespaced)
+        return FT.count_tokens(FT.attach_visit(unknown, self.recs["admissions"], self.salted))
+
     @cached_property
     def features(self) -> DataFrame:
         # Looked up first (unknown tokens and token strings are never shuffled),

@@ -463,6 +463,14 @@ UNION ALL SELECT 'prescriptions', split, patient_id, concat_ws('|', hadm_id, dru
         """SELECT 'featureDF_train' AS data_set, count(*) AS n_rows, 0::BIGINT AS rows_out_of_order, 0::BIGINT AS parts_out_of_order FROM lf WHERE split = 'train'
 UNION ALL SELECT 'patientIDLabels_train', count(*), 0, 0 FROM labels WHERE split = 'train'""",
     ),
+    "sorted_sinks": _q(
+        _DS,
+        "\nUNION ALL ".join(
+            f"""SELECT 'featureDF_{x}' AS data_set, count(*) AS n_rows, 0::BIGINT AS rows_out_of_order, 0::BIGINT AS parts_out_of_order FROM lf WHERE split = '{x}'
+UNION ALL SELECT 'patientIDLabels_{x}', count(*), 0, 0 FROM labels WHERE split = '{x}'"""
+            for x in ("test", "valid")
+        ),
+    ),
     "sequences_round_trip": _q(
         _DS,
         """SELECT 'all' AS written, split, patient_id, label, n_visits, n_entries FROM seq_summary
@@ -671,3 +679,6 @@ JOIN e_visit v ON c.patient_id = v.patient_id AND c.admit_ms = v.admit_ms""",
 FROM ef f JOIN e_visit v ON f.patient_id = v.patient_id AND f.admit_ms = v.admit_ms""",
     ),
 }
+
+#: The array form holds the same entries.
+ORACLE["padded_arrays"] = ORACLE["padded_batches"]

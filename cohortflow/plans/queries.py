@@ -297,8 +297,7 @@ def indexed_features(spark, sf_dir):
 
 
 def unknown_tokens(spark, sf_dir):
-    st = Stages(spark, sf_dir)
-    return FT.unknown_tokens(st.ds.events, st.vocab.table)
+    return Stages(spark, sf_dir).ds.unknown_tokens
 
 
 def dataset_labels(spark, sf_dir):
@@ -322,13 +321,24 @@ def features_round_trip(spark, sf_dir):
 def sorted_sink(spark, sf_dir):
     """O1 + O2: order of the written features and labels: rows out of order inside
     a part file, and part files whose range overlaps the one before."""
+    return _sorted_sink(spark, sf_dir, ("train",))
+
+
+def sorted_sinks(spark, sf_dir):
+    """O1 + O2 for the other splits' files."""
+    return _sorted_sink(spark, sf_dir, ("test", "valid"))
+
+
+def _sorted_sink(spark, sf_dir, splits) -> DataFrame:
     from pyspark.sql import Window
 
     ds = Stages(spark, sf_dir).ds
     out = _folder(spark, "sorted")
-    write_features(ds.features, ds.labels, out, "train")
-    result = None
-    for name, key in (("featureDF_train", F.struct("patientID", "admitTime")), ("patientIDLabels_train", F.struct("patientID"))):
+    result, found = None, []
+    for split in splits:
+        write_features(ds.features, ds.labels, out, split)
+        found += [(f"featureDF_{split}", F.struct("patientID", "admitTime")), (f"patientIDLabels_{split}", F.struct("patientID"))]
+    for name, key in found:
         rows = spark.read.parquet(f"{out}/{name}").select(key.alias("k"), F.col("_metadata.file_name").alias("part"), F.col("_metadata.row_index").alias("i"))
         inside = rows.withColumn("before", F.lag("k").over(Window.partitionBy("part").orderBy("i")))
         parts = inside.groupBy("part").agg(
@@ -408,6 +418,16 @@ def sequences_round_trip(spark, sf_dir):
 
 
 def padded_batches(spark, sf_dir):
+    """O3 + X2: every slot, step and entry of the padded batches."""
+    return _padded(spark, sf_dir)
+
+
+def padded_arrays(spark, sf_dir):
+    """X2 in array form: the padded batches as arrays of at most 4 steps and 8 entries a step, flattened again."""
+    return S.flat_arrays(S.padded_arrays(_padded(spark, sf_dir), steps_per_row=4, entries_per_row=8))
+
+
+def _padded(spark, sf_dir) -> DataFrame:
     ds = Stages(spark, sf_dir).ds
     seqs = materialize(P.build_sequences(ds))
     lengths = S.sequence_summary(seqs).select("split", "patient_id", "label", F.col("n_visits").alias("length"))
@@ -461,31 +481,27 @@ def minibatch_curve(spark, sf_dir):
 
 
 def visit_vectors(spark, sf_dir):
-    """Entries of every visit vector, read out of the sparse vectors."""
-    from pyspark.ml.functions import vector_to_array
-
+    """Width, stored entries and total of every visit vector, read from its sparse form."""
     st = Stages(spark, sf_dir)
     vecs = S.visit_vectors(S.visit_cells(st.ds.features), st.vocab.width)
-    arr = vector_to_array("features")
-    return vecs.select(
+    stored = vecs.select("split", "patient_id", "visit_index", F.unwrap_udt("features").alias("f"))
+    return stored.select(
         "split", "patient_id", "visit_index",
-        F.size(arr).cast("bigint").alias("width"),
-        F.size(F.filter(arr, lambda x: x != 0)).cast("bigint").alias("nnz"),
-        _r(F.aggregate(arr, F.lit(0.0), lambda a, x: a + x)).alias("total"),
+        F.col("f.size").cast("bigint").alias("width"),
+        F.size(F.filter("f.values", lambda x: x != 0)).cast("bigint").alias("nnz"),
+        _r(F.aggregate("f.values", F.lit(0.0), lambda a, x: a + x)).alias("total"),
     )
 
 
 def patient_vector_cells(spark, sf_dir):
     """X3 + J5: the non-zero entries of every labelled patient's vector (one null entry
-    for an empty one)."""
-    from pyspark.ml.functions import vector_to_array
-
+    for an empty one), read from its sparse form."""
     st = Stages(spark, sf_dir)
     vecs = P.patient_vector_table(st.ds, st.vocab.width)
-    cells = F.transform(vector_to_array("features"), lambda x, i: F.struct(i.cast("bigint").alias("feature_id"), x.alias("value")))
-    full = vecs.select("split", "patient_id", "label", F.filter(cells, lambda c: c["value"] != 0).alias("cells"))
-    e = full.select("split", "patient_id", "label", F.explode_outer("cells").alias("c"))
-    return e.select("split", "patient_id", "label", F.col("c.feature_id").alias("feature_id"), _r("c.value").alias("value"))
+    stored = vecs.select("split", "patient_id", "label", F.unwrap_udt("features").alias("f"))
+    cells = F.filter(F.arrays_zip(F.col("f.indices").alias("i"), F.col("f.values").alias("x")), lambda c: c["x"] != 0)
+    e = stored.select("split", "patient_id", "label", F.explode_outer(cells).alias("c"))
+    return e.select("split", "patient_id", "label", F.col("c.i").cast("bigint").alias("feature_id"), _r("c.x").alias("value"))
 
 
 # ------------------------------------------------------------------ metrics
@@ -728,6 +744,7 @@ QUERIES = {
     "dataset_labels": dataset_labels,
     "features_round_trip": features_round_trip,
     "sorted_sink": sorted_sink,
+    "sorted_sinks": sorted_sinks,
     "sequences_round_trip": sequences_round_trip,
     "patient_vector_cells": patient_vector_cells,
     "linear_predictions": linear_predictions,
@@ -742,6 +759,7 @@ QUERIES = {
     "hot_visit_entries": hot_visit_entries,
     "sequence_summary": sequence_summary,
     "padded_batches": padded_batches,
+    "padded_arrays": padded_arrays,
     "shuffled_rows": shuffled_rows,
     "pooled_sum": pooled("sum"),
     "pooled_mean": pooled("mean"),

@@ -318,3 +318,42 @@ def test_bounded_roc_is_within_its_error(spark):
     only = M.roc_from_sketches(M.roc_sketches(pred.filter("label = 1"), size=size), points=5).collect()
     assert all(p.fpr is None for p in only) and len(only) <= 7
     assert M.roc_from_sketches(M.roc_sketches(pred.limit(0), size=size)).count() == 0
+
+
+# --- warm epochs, array form -----------------------------------------------
+
+
+def test_perceptron_epochs_go_on_from_each_other(spark):
+    from pyspark.ml.linalg import Vectors
+
+    from cohortflow.operators import model as ML
+
+    rng = np.random.default_rng(2)
+    x = rng.standard_normal((120, 5))
+    y = (x[:, 0] * x[:, 1] + 0.3 * rng.standard_normal(120) > 0).astype(int)
+    rows = [(s, i, int(y[i]), Vectors.dense(x[i].tolist())) for i in range(120) for s in (("train",) if i < 90 else ("valid",))]
+    vectors = spark.createDataFrame(rows, ["split", "patient_id", "label", "features"])
+    fitted = ML.train_epochs(vectors, 5, "mlp", epochs=(3, 6, 40))
+    loss = {r.epoch: r.loss for r in fitted.curve.filter("phase = 'train'").collect()}
+    assert loss[0] > loss[1] > loss[2]
+    # A further epoch of one iteration starts where the last one ended: it cannot be far from it.
+    last = ML.load_epoch(fitted, 2)
+    again = ML.train_classifier(vectors.filter("split = 'train'"), 5, "mlp", max_iter=1, start=last.weights)
+    near = ML.evaluate(again, vectors.filter("split = 'train'")).first().log_loss
+    cold = ML.evaluate(ML.train_classifier(vectors.filter("split = 'train'"), 5, "mlp", max_iter=1), vectors.filter("split = 'train'")).first().log_loss
+    assert near <= loss[2] + 1e-6 < cold
+
+
+def test_padded_arrays_hold_the_long_form(spark):
+    entries = [(1, s, e, 10 * s + e, float(e)) for s in range(5) for e in range(7)] + [(2, 0, 0, 3, 1.0)]
+    frame = spark.createDataFrame(entries, "patient_id bigint, visit_index bigint, entry_index bigint, feature_id bigint, value double")
+    lengths = spark.createDataFrame([(1, 5, 0, 0), (2, 1, 0, 1)], "patient_id bigint, length bigint, batch_id bigint, position bigint")
+    padded = S.pad_batches(frame, S.batch_slots(lengths))
+    arrays = S.padded_arrays(padded, steps_per_row=2, entries_per_row=3)
+    rows = arrays.collect()
+    assert all(len(r.steps) <= 2 and all(1 <= len(s) <= 3 for s in r.steps) for r in rows)
+    for p in (1, 2):
+        assert sum(len(r.steps) for r in rows if r.patient_id == p and r.first_entry == 0) == 5
+    key = lambda df: sorted((tuple(r) for r in df.select(*padded.columns).collect()), key=repr)
+    assert key(S.flat_arrays(arrays)) == key(padded)
+    assert S.padded_arrays(padded.limit(0)).count() == 0
