@@ -52,7 +52,9 @@ def train_classifier(
 
         if width is None:
             raise ValueError("the mlp needs the input width")
-        est = MultilayerPerceptronClassifier(layers=[width, 64, 16, 2], maxIter=max_iter, seed=seed, initialWeights=start)
+        est = MultilayerPerceptronClassifier(layers=[width, 64, 16, 2], maxIter=max_iter, seed=seed)
+        if start is not None:
+            est = est.setInitialWeights(start)
     else:
         raise ValueError(f"unknown model kind {kind!r}")
     return est.fit(data)
