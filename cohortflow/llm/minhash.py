@@ -10,8 +10,9 @@ banded buckets and star-shaped candidate edges.
    class, never all pairs.  Edges are confirmed on the full sets.
 4. A star can miss a link whose ends are both unlike the centre.  Such a link
    only matters if its ends lie in different components, so the members of
-   buckets that still hold several components are compared again on their full
-   sets, in bounded blocks that yield a spanning forest of their links.
+   buckets that still hold several components are looked at again: small buckets
+   by themselves on the full sets, members of large ones through the rarest
+   shingles of each set, which leave out no similar pair.
 
 Defined results: null or wordless texts have an empty set and link with
 nothing; documents with null ``doc_id`` take no part (component_id null, kept
@@ -25,6 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -42,7 +44,8 @@ BINS = BANDS * ROWS
 #: of them in one bin weigh too much, the sets are compared without this test.
 SIGNATURE_MIN = 0.68
 SMALL = 20
-_BLOCK = 512  # members of a bucket that are compared with one another in one task
+_NEAR = 64  # members of a bucket that are compared with one another on their full sets
+_BLOCK = 512  # sets under one shingle that are held against one another in one unit of work
 
 _SKETCH = "doc_id string, text_key bigint, n_shingles bigint, h1 bigint, h2 bigint, sig binary, bands array<bigint>"
 _SETS = "h1 bigint, h2 bigint, n_shingles bigint, shingles binary"
@@ -230,35 +233,84 @@ def _intersections(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarra
     return out
 
 
-def _between_components(members: DataFrame, min_percent: int) -> DataFrame:
-    """Links between different components inside each bucket, confirmed on full sets.
+def _within_buckets(members: DataFrame, min_percent: int) -> DataFrame:
+    """Links between different components inside each small bucket, confirmed on full sets.
 
-    ``members``: key, rep, comp, shingles, size (bucket size).  A bucket is cut
-    into blocks of about _BLOCK members, and each pair of blocks is one unit of
-    work, so no task holds a whole bucket.  A unit yields a spanning forest of
-    its links, never its pairs.
+    ``members``: key, rep, comp, shingles; at most _NEAR rows a key.  A bucket yields a
+    spanning forest of its links, never its pairs.
     """
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        i, j = int(pdf["lo"].iloc[0]), int(pdf["hi"].iloc[0])
-        left, right = pdf[pdf["blk"] == i], pdf[pdf["blk"] == j]
-        rl, rr = left["rep"].to_numpy(), right["rep"].to_numpy()
-        apart = left["comp"].to_numpy()[:, None] != right["comp"].to_numpy()[None, :]
-        if not apart.any():
-            return pd.DataFrame({"a": [], "b": []})
-        sl, sr = ([np.frombuffer(x, dtype=np.uint64) for x in side["shingles"]] for side in (left, right))
-        nl, nr = (np.array([len(x) for x in side])[:, None] for side in (sl, sr))
-        inter = _intersections(sl, sr).astype(np.int64)
-        linked = apart & (100 * inter >= min_percent * (nl + nr.T - inter))
-        x, y = np.nonzero(linked)
-        a, b = spanning_stars(rl[x], rr[y])
+        rep, comp = pdf["rep"].to_numpy(), pdf["comp"].to_numpy()
+        sets = [np.frombuffer(x, dtype=np.uint64) for x in pdf["shingles"]]
+        n = np.array([len(x) for x in sets])
+        inter = _intersections(sets, sets).astype(np.int64)
+        linked = (comp[:, None] != comp[None, :]) & (100 * inter >= min_percent * (n[:, None] + n[None, :] - inter))
+        x, y = np.nonzero(np.triu(linked))
+        a, b = spanning_stars(rep[x], rep[y])
         return pd.DataFrame({"a": a, "b": b})
 
-    blocks = F.ceil(F.col("size") / F.lit(_BLOCK)).cast("int")
-    m = members.withColumn("blocks", blocks).withColumn("blk", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
-    m = m.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    m = m.withColumn("lo", F.least("blk", "other")).withColumn("hi", F.greatest("blk", "other"))
-    return m.select("key", "lo", "hi", "blk", "rep", "comp", "shingles").groupBy("key", "lo", "hi").applyInPandas(run, "a bigint, b bigint").distinct()
+    return members.select("key", "rep", "comp", "shingles").groupBy("key").applyInPandas(run, "a bigint, b bigint").distinct()
+
+
+def _shared_shingles(reps: DataFrame, sets: DataFrame) -> DataFrame:
+    """(rep, shingle, df) of the shingles that two or more of ``reps`` have; df counts them."""
+
+    def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for rep, raw in zip(batch.column("rep").to_pylist(), batch.column("shingles"), strict=True):
+                values = np.frombuffer(raw.as_buffer(), dtype=np.int64)
+                for at in range(0, len(values), 1 << 18):
+                    part = values[at : at + (1 << 18)]
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(part), rep)), pa.array(part)], names=["rep", "shingle"])
+
+    rows = reps.select("rep").join(sets.select("rep", "shingles"), "rep").mapInArrow(explode, "rep bigint, shingle bigint")
+    counts = rows.groupBy("shingle").agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
+    return rows.join(counts, "shingle").select("rep", "shingle", "df")
+
+
+def _prefix_candidates(reps: DataFrame, sets: DataFrame, min_percent: int) -> DataFrame:
+    """Pairs (a, b) of ``reps`` (rep, n_shingles, comp) in different components that may be similar.
+
+    No similar pair is missing.  With the shingles of every set in one order, rarest first,
+    two similar sets share one among the first few of each: the larger set needs
+    n - ceil(t n) + 1 of them, the smaller one n - ceil(2 t / (1 + t) n) + 1.  What
+    thousands of documents have in common comes last, so documents that share a template
+    but not enough of it have no such shingle in common: the work does not grow with the
+    square of their number.  A shingle's list of sets is cut into blocks, and each pair of
+    blocks is one unit of work.
+    """
+    p = min_percent
+    n = F.col("n_shingles")
+    shared = _shared_shingles(reps, sets).groupBy("rep").agg(F.sort_array(F.collect_list(F.struct("df", "shingle"))).alias("shared"))
+    # Shingles of one set only come first in the order: they take places but match nothing.
+    alone = (n - F.size("shared")).cast("int")
+    longer = (n - F.ceil(n * p / 100) + 1).cast("int")
+    shorter = (n - F.ceil(n * (2 * p) / (100 + p)) + 1).cast("int")
+    ranked = shared.join(reps, "rep").withColumn("alone", alone).withColumn("front", F.slice("shared", 1, F.greatest(F.lit(0), longer - alone)))
+    listed = ranked.select("rep", "comp", "n_shingles", "alone", shorter.alias("shorter"), F.posexplode("front").alias("k", "x"))
+    listed = materialize(listed.select(F.col("x.shingle").alias("key"), "rep", "comp", "n_shingles", "shorter", (F.col("alone") + F.col("k")).alias("place")))
+    several = listed.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi").select("key", "size")
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        i, j = int(pdf["lo"].iloc[0]), int(pdf["hi"].iloc[0])
+        left, right = pdf[pdf["blk"] == i], pdf[pdf["blk"] == j]
+        (ra, ca, na, fa, pa_), (rb, cb, nb, fb, pb) = ([side[c].to_numpy() for c in ("rep", "comp", "n_shingles", "shorter", "place")] for side in (left, right))
+        na, ra, ca, fa, pa_ = (v[:, None] for v in (na, ra, ca, fa, pa_))
+        near = (ca != cb) & (100 * np.minimum(na, nb) >= p * np.maximum(na, nb))
+        near &= np.where(na <= nb, pa_ < fa, pb < fb)
+        # Counted from here, so many shingles at most can be common to both.
+        near &= (100 + p) * np.minimum(na - pa_, nb - pb) >= p * (na + nb)
+        if i == j:
+            near &= ra < rb
+        x, y = np.nonzero(near)
+        a, b = ra[x, 0], rb[y]
+        return pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)})
+
+    m = listed.join(several, "key").withColumn("blocks", F.ceil(F.col("size") / F.lit(_BLOCK)).cast("int"))
+    m = m.withColumn("blk", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    m = m.withColumn("lo", F.least("blk", "other")).withColumn("hi", F.greatest("blk", "other")).drop("other", "blocks", "size")
+    return m.groupBy("key", "lo", "hi").applyInPandas(run, "a bigint, b bigint").distinct()
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, min_percent: int = 80) -> DataFrame:
@@ -303,8 +355,15 @@ def grouped_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     labelled = materialize(wide.join(comps, wide["rep"] == comps["node"], "left").select("key", "rep", "size", comp.alias("comp")))
     mixed = labelled.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi").select("key")
     among = materialize(labelled.join(mixed, "key", "left_semi"))
-    members = among.join(sets, "rep")
-    more = materialize(_between_components(members, min_percent))
+    # Classes of large buckets are compared by their rarest shingles, all of them at once;
+    # a small bucket is compared by itself unless all its classes are among those.
+    crowd = among.filter(F.col("size") > _NEAR).select("rep", "comp").distinct()
+    crowd = materialize(crowd.join(light.select("rep", "n_shingles"), "rep"))
+    few = among.filter(F.col("size") <= _NEAR)
+    open_keys = few.join(crowd.select("rep"), "rep", "left_anti").select("key").distinct()
+    by_bucket = _within_buckets(few.join(open_keys, "key", "left_semi").join(sets, "rep"), min_percent)
+    by_prefix = _confirmed(_prefix_candidates(crowd, sets, min_percent), sets, min_percent)
+    more = materialize(by_bucket.unionAll(by_prefix))
     final = comps if more.isEmpty() else connected_components(links.unionAll(more))
     names = classes.select("rep", "first_doc", *keys)
     # A component is named by the smallest doc_id of its classes.

@@ -66,6 +66,45 @@ def test_near_duplicates_equal_brute_force(spark, width):
     assert all(r.kept == (r.doc_id == r.component_id) for r in got)
 
 
+@pytest.mark.parametrize("block", [3, 512])
+def test_rare_shingles_find_every_link(spark, monkeypatch, block):
+    # No bucket is small: every comparison between components goes by rare shingles.
+    monkeypatch.setattr(minhash, "_NEAR", 0)
+    monkeypatch.setattr(minhash, "_BLOCK", block)
+    rows = near_copies()
+    got = minhash.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string"), width=2).collect()
+    assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in got) == plain_components(rows, 2, 80)
+
+
+def test_rare_shingles_leave_out_no_pair(spark):
+    rnd, sets = random.Random(8), {}
+    for g in range(25):
+        base = rnd.sample(range(300), rnd.choice([1, 2, 5, 9, 30, 90]))
+        for _ in range(6):
+            some = set(base) - set(rnd.sample(base, rnd.randint(0, len(base) // 4))) | {rnd.randint(0, 10**6) for _ in range(rnd.randint(0, len(base) // 5))}
+            sets[len(sets)] = sorted(some)
+    rows = [(k, np.array(v, dtype=np.uint64).tobytes()) for k, v in sets.items()]
+    full = spark.createDataFrame([(k, bytearray(b)) for k, b in rows], "rep bigint, shingles binary")
+    reps = spark.createDataFrame([(k, len(v), k) for k, v in sets.items()], "rep bigint, n_shingles bigint, comp bigint")
+    found = {(r.a, r.b) for r in minhash._prefix_candidates(reps, full, 80).collect()}
+    for a in sets:
+        for b in range(a + 1, len(sets)):
+            x, y = set(sets[a]), set(sets[b])
+            assert (a, b) in found or 100 * len(x & y) < 80 * len(x | y)
+
+
+def test_documents_of_one_template_are_not_paired(spark):
+    # 82 % of every set is the template: similarity 0.7, no link, and no candidate either.
+    def candidates(n):
+        rnd = np.random.default_rng(n)
+        shared = np.arange(1, 165, dtype=np.uint64)
+        full = [(k, bytearray(np.concatenate((shared, rnd.integers(1000, 2**62, 36).astype(np.uint64))).tobytes())) for k in range(n)]
+        reps = spark.createDataFrame([(k, 200, k) for k in range(n)], "rep bigint, n_shingles bigint, comp bigint")
+        return minhash._prefix_candidates(reps, spark.createDataFrame(full, "rep bigint, shingles binary"), 80).count()
+
+    assert candidates(300) == candidates(900) == 0
+
+
 def test_tiny_sets_are_compared_exactly(spark):
     # Pairs of 5 and 4 shingles at 0.8 whose signatures agree in less than SIGNATURE_MIN.
     rnd, rows = random.Random(12), []
