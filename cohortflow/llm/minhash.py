@@ -310,7 +310,9 @@ def _prefix_candidates(reps: DataFrame, sets: DataFrame, min_percent: int) -> Da
     m = listed.join(several, "key").withColumn("blocks", F.ceil(F.col("size") / F.lit(_BLOCK)).cast("int"))
     m = m.withColumn("blk", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     m = m.withColumn("lo", F.least("blk", "other")).withColumn("hi", F.greatest("blk", "other")).drop("other", "blocks", "size")
-    return m.groupBy("key", "lo", "hi").applyInPandas(run, "a bigint, b bigint").distinct()
+    # The units are many and small in bytes: a fixed number of partitions, so that they are not merged into one task.
+    parts = int(m.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return m.repartition(parts, "key", "lo", "hi").groupBy("key", "lo", "hi").applyInPandas(run, "a bigint, b bigint").distinct()
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, min_percent: int = 80) -> DataFrame:
