@@ -1,8 +1,8 @@
 """Mixing sources to target weights with a hypergeometric splitting tree.
 
 All DataFrame operations.  Only one pass reads the texts (to size them); the
-mix itself is planned on a table of blocks whose row count is bounded by
-``MAX_BLOCKS`` plus the number of sources, however large the corpus is:
+mix itself is planned on a narrow table of blocks: ``MIN_BLOCKS`` of them, or one
+per ``BLOCK_WORDS`` words where that is more, plus the number of sources:
 
 1. Sources get weights 5, 2, 1, repeating, in code point order (null last) and
    share ``share`` of all words; a target stops at ``limit`` times its source's
@@ -31,7 +31,9 @@ from cohortflow.session import materialize
 
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (5, 2, 1)
-MAX_BLOCKS = 4096
+MIN_BLOCKS = 4096
+#: Blocks do not grow with the corpus: the one block that a target cuts is ordered in one task.
+BLOCK_WORDS = 1 << 24
 
 
 def word_count(text: str | Column) -> Column:
@@ -90,7 +92,8 @@ def plan(sized: DataFrame, levels: int = 4, share: float = 1.5, limit: float = 2
     # Zero-size sources have target 0; 1e-9 absorbs the rounding of the level.
     passes = F.when(size > 0, F.least(F.lit(int(limit)), F.floor(F.col("target") / size + F.lit(1e-9)))).otherwise(F.lit(0)).cast("int")
     grand = F.sum("source_size").over(Window.partitionBy())
-    blocks = F.greatest(F.lit(1), F.ceil(size * F.lit(MAX_BLOCKS) / F.greatest(grand, F.lit(1)))).cast("int")
+    number = F.greatest(F.lit(MIN_BLOCKS), F.ceil(grand / F.lit(BLOCK_WORDS)))
+    blocks = F.greatest(F.lit(1), F.ceil(size.cast("double") * number / F.greatest(grand, F.lit(1)))).cast("int")
     sources = targets.select("source", "source_size", "target", passes.alias("passes"), blocks.alias("n_blocks"))
     sources = materialize(sources.withColumn("rest", F.greatest(F.lit(0), F.round(F.col("target") - F.col("passes") * size)).cast("bigint")))
 
@@ -180,7 +183,12 @@ def shuffled_shards(mixed: DataFrame, seed: int = 7) -> DataFrame:
 
 
 def mix_table(docs: DataFrame, levels: int = 4, share: float = 1.5, limit: float = 2.0) -> DataFrame:
-    """(doc_id, size, source_size, target, taken) of every document."""
+    """(doc_id, size, source_size, target, taken, shards) of every document.
+
+    ``shards`` lists what the splitting tree did with it: copy:shard:words of every
+    draw, in order of the copies, joined by commas (empty: not drawn).
+    """
     m = mixture(size_documents(docs), levels, share, limit)
     taken = F.aggregate("draws", F.lit(0).cast("bigint"), lambda a, x: a + x["words"])
-    return m.select("doc_id", "size", "source_size", "target", taken.alias("taken"))
+    shards = F.array_join(F.transform("draws", lambda x: F.concat_ws(":", x["copy"], x["shard"], x["words"])), ",")
+    return m.select("doc_id", "size", "source_size", "target", taken.alias("taken"), shards.alias("shards"))

@@ -125,6 +125,34 @@ def test_splitting_tree_keeps_quotas(spark):
     assert shards.agg(F.sum("words")).first()[0] == pytest.approx(9000, abs=4)
 
 
+def test_shards_follow_the_hypergeometric_law(spark):
+    # 4096 draws, 1024 of them from one source, split into 64 shards of 64.
+    draws = spark.range(4096).select(F.when(F.col("id") < 1024, "a").otherwise("b").alias("source"), F.col("id").cast("int").alias("block"), F.lit(1).alias("copy"))
+    got = mixing.split_quotas(draws, 6).groupBy("shard").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("source") == "a").alias("a")).collect()
+    assert len(got) == 64 and {r.n for r in got} == {64} and sum(r.a for r in got) == 1024
+    variance = 64 * 0.25 * 0.75 * (4096 - 64) / 4095
+    # Chi-square with 63 degrees of freedom, bounds at about 0.001 on either side.
+    assert 33 < sum((r.a - 16) ** 2 for r in got) / variance < 104
+
+
+def test_mix_query_returns_the_shards(spark, monkeypatch):
+    docs = spark.range(600).select(F.col("id").alias("doc_id"), F.repeat(F.lit("w "), (F.col("id") % 9).cast("int")).alias("text"), F.substring("id", 1, 1).alias("source"))
+    few = mixing.mix_table(docs, levels=3).collect()
+    monkeypatch.setattr(mixing, "BLOCK_WORDS", 1)
+    monkeypatch.setattr(mixing, "MIN_BLOCKS", 5)
+    sized = mixing.size_documents(docs)
+    sources, _ = mixing.plan(sized, levels=3)
+    total = sum(r.source_size for r in sources.collect())
+    assert total <= sum(r.n_blocks for r in sources.collect()) <= total + 10
+    for rows in (few, mixing.mix_table(docs, levels=3).collect()):
+        shards = set()
+        for r in rows:
+            drawn = [tuple(map(int, x.split(":"))) for x in r.shards.split(",") if x]
+            assert sum(w for _, _, w in drawn) == r.taken and [c for c, _, _ in drawn] == sorted({c for c, _, _ in drawn})
+            shards |= {s for _, s, _ in drawn}
+        assert shards == set(range(8))
+
+
 def test_mixing_awkward_rows(awkward):
     rows = mixing.mix_table(awkward).collect()
     assert len(rows) == len(AWKWARD) and sum(r.size for r in rows) == 5013
