@@ -46,6 +46,8 @@ SIGNATURE_MIN = 0.68
 SMALL = 20
 _NEAR = 64  # members of a bucket that are compared with one another on their full sets
 _BLOCK = 512  # sets under one shingle that are held against one another in one unit of work
+_BITS = 2048  # parity bits of a set; beyond _BITS_UP_TO shingles they rule out nothing at the default threshold
+_BITS_UP_TO = 4608
 
 _SKETCH = "doc_id string, text_key bigint, n_shingles bigint, h1 bigint, h2 bigint, sig binary, bands array<bigint>"
 _SETS = "h1 bigint, h2 bigint, n_shingles bigint, shingles binary"
@@ -269,6 +271,36 @@ def _shared_shingles(reps: DataFrame, sets: DataFrame) -> DataFrame:
     return rows.join(counts, "shingle").select("rep", "shingle", "df")
 
 
+def parity_bits(values: np.ndarray) -> np.ndarray:
+    """For each of _BITS bins, whether an odd number of the set's hashes falls into it, as words.
+
+    Two sets differ in at least as many shingles as their bits differ.
+    """
+    odd = np.bincount((values >> np.uint64(53)).astype(np.int64) % _BITS, minlength=_BITS) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.uint64)
+
+
+def _bits():
+    @F.pandas_udf("binary")
+    def bits(shingles: pd.Series) -> pd.Series:
+        sets = (np.frombuffer(x, dtype=np.uint64) for x in shingles)
+        return pd.Series([parity_bits(s).tobytes() if len(s) <= _BITS_UP_TO else b"" for s in sets])
+
+    return bits
+
+
+def _at_least_apart(left: list, right: list, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """A lower bound of the number of shingles in which left[x[i]] and right[y[i]] differ (0 where a set has no bits)."""
+    nothing = bytes(_BITS // 8)
+    a, b = (np.frombuffer(b"".join(v or nothing for v in side), dtype=np.uint64).reshape(len(side), _BITS // 64) for side in (left, right))
+    known = np.array([bool(v) for v in left])[x] & np.array([bool(v) for v in right])[y]
+    out = np.zeros(len(x), dtype=np.int64)
+    for at in range(0, len(x), 1 << 15):
+        part = slice(at, at + (1 << 15))
+        out[part] = np.bitwise_count(a[x[part]] ^ b[y[part]]).sum(axis=1, dtype=np.int64)
+    return np.where(known, out, 0)
+
+
 def _prefix_candidates(reps: DataFrame, sets: DataFrame, min_percent: int) -> DataFrame:
     """Pairs (a, b) of ``reps`` (rep, n_shingles, comp) in different components that may be similar.
 
@@ -278,7 +310,8 @@ def _prefix_candidates(reps: DataFrame, sets: DataFrame, min_percent: int) -> Da
     thousands of documents have in common comes last, so documents that share a template
     but not enough of it have no such shingle in common: the work does not grow with the
     square of their number.  A shingle's list of sets is cut into blocks, and each pair of
-    blocks is one unit of work.
+    blocks is one unit of work, which rules out by their parity bits the pairs that differ
+    in too many shingles: members of a crowd just below the threshold never become rows.
     """
     p = min_percent
     n = F.col("n_shingles")
@@ -287,9 +320,10 @@ def _prefix_candidates(reps: DataFrame, sets: DataFrame, min_percent: int) -> Da
     alone = (n - F.size("shared")).cast("int")
     longer = (n - F.ceil(n * p / 100) + 1).cast("int")
     shorter = (n - F.ceil(n * (2 * p) / (100 + p)) + 1).cast("int")
-    ranked = shared.join(reps, "rep").withColumn("alone", alone).withColumn("front", F.slice("shared", 1, F.greatest(F.lit(0), longer - alone)))
-    listed = ranked.select("rep", "comp", "n_shingles", "alone", shorter.alias("shorter"), F.posexplode("front").alias("k", "x"))
-    listed = materialize(listed.select(F.col("x.shingle").alias("key"), "rep", "comp", "n_shingles", "shorter", (F.col("alone") + F.col("k")).alias("place")))
+    crowd_bits = sets.join(reps.select("rep"), "rep", "left_semi").select("rep", _bits()("shingles").alias("bits"))
+    ranked = shared.join(reps, "rep").join(crowd_bits, "rep").withColumn("alone", alone).withColumn("front", F.slice("shared", 1, F.greatest(F.lit(0), longer - alone)))
+    listed = ranked.select("rep", "comp", "n_shingles", "bits", "alone", shorter.alias("shorter"), F.posexplode("front").alias("k", "x"))
+    listed = materialize(listed.select(F.col("x.shingle").alias("key"), "rep", "comp", "n_shingles", "bits", "shorter", (F.col("alone") + F.col("k")).alias("place")))
     several = listed.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi").select("key", "size")
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -304,7 +338,10 @@ def _prefix_candidates(reps: DataFrame, sets: DataFrame, min_percent: int) -> Da
         if i == j:
             near &= ra < rb
         x, y = np.nonzero(near)
-        a, b = ra[x, 0], rb[y]
+        both = na[x, 0] + nb[y]
+        apart = _at_least_apart(left["bits"].tolist(), right["bits"].tolist(), x, y)
+        close = (100 + p) * (both - apart) >= 2 * p * both
+        a, b = ra[x[close], 0], rb[y[close]]
         return pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)})
 
     m = listed.join(several, "key").withColumn("blocks", F.ceil(F.col("size") / F.lit(_BLOCK)).cast("int"))

@@ -307,3 +307,28 @@ def test_token_counts_with_the_public_file(spark):
     got = tokens.count_tokens(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
     assert sorted((r.doc_id or -1, r.n_tokens) for r in got) == sorted((i or -1, reference(t)) for i, t in rows)
     assert tokens.count_tokens(spark.createDataFrame([], "doc_id bigint, text string")).count() == 0
+
+
+def test_parity_bits_never_rule_out_too_much():
+    rnd = np.random.default_rng(5)
+    for n in (1, 30, 400, 4000):
+        base = rnd.integers(0, 2**63, n).astype(np.uint64)
+        sets = [np.unique(np.concatenate((base[rnd.random(n) < keep], rnd.integers(0, 2**63, n // 5).astype(np.uint64)))) for keep in (1.0, 0.9, 0.5)]
+        bits = [minhash.parity_bits(x).tobytes() for x in sets]
+        x, y = np.nonzero(np.ones((3, 3), dtype=bool))
+        apart = minhash._at_least_apart(bits, bits, x, y)
+        assert all(d <= len(np.setxor1d(sets[i], sets[j])) for d, i, j in zip(apart, x, y, strict=True))
+    assert list(minhash._at_least_apart([b""], bits, np.array([0]), np.array([1]))) == [0]
+
+
+def test_crowd_below_the_threshold_makes_no_rows(spark):
+    # Each set lacks its own 15 of 100 shared shingles: similarities around 0.74, and every pair has rare shingles in common.
+    rnd = np.random.default_rng(3)
+    shared = rnd.integers(0, 2**63, 100).astype(np.uint64)
+    sets = [np.sort(rnd.permutation(shared)[:85]) for _ in range(300)]
+    full = spark.createDataFrame([(k, bytearray(v.tobytes())) for k, v in enumerate(sets)], "rep bigint, shingles binary")
+    reps = spark.createDataFrame([(k, 85, k) for k in range(300)], "rep bigint, n_shingles bigint, comp bigint")
+    found = {(r.a, r.b) for r in minhash._prefix_candidates(reps, full, 80).collect()}
+    both = {(a, b): len(np.intersect1d(sets[a], sets[b])) for a in range(300) for b in range(a + 1, 300)}
+    links = {pair for pair, n in both.items() if 100 * n >= 80 * (170 - n)}
+    assert links <= found and len(found) <= 1.2 * len(links) + 100
