@@ -8,8 +8,9 @@ one array of longs); the final grouping is per (patient, chunk of visits).
 No row grows with a patient or a visit: a row holds at most ``visits_per_row``
 visits, and a visit of more than ``ENTRIES_PER_ROW`` entries is cut into numbered
 pieces, each in a row of its own (``first_entry`` says where it starts).  A
-visit's entries are sorted in one task, in a sort that spills; a visit of more than
-``HOT_ROWS`` entries is sorted by several tasks.
+visit of one piece is sorted as an array; the entries of a longer one are sorted in one
+task, in a sort that spills; a visit of more than ``HOT_ROWS`` entries is sorted by
+several tasks.
 """
 
 from __future__ import annotations
@@ -31,6 +32,11 @@ def _keep(df: DataFrame) -> list[str]:
     return ["split"] if "split" in df.columns else []
 
 
+def _visit_keys(df: DataFrame) -> list[str]:
+    """Keys of a visit for joins and sorts; the split comes last, since a sort by it tells few rows apart."""
+    return ["admit_ms", "patient_id", *_keep(df)]
+
+
 # ---------------------------------------------------------------- matrices
 
 
@@ -71,7 +77,7 @@ def visit_index(df: DataFrame) -> DataFrame:
 
 def visit_cells(features: DataFrame) -> DataFrame:
     """A8 + W2: (split?, patient_id, visit_index, admit_ms, feature_id, value)."""
-    cells = visit_matrix(features).join(visit_numbers(features), _keep(features) + ["patient_id", "admit_ms"], "inner")
+    cells = visit_matrix(features).join(visit_numbers(features), _visit_keys(features), "inner")
     return cells.select(*_keep(features), "patient_id", "visit_index", "admit_ms", "feature_id", "value")
 
 
@@ -94,23 +100,37 @@ def visits(features: DataFrame, entries_per_row: int = ENTRIES_PER_ROW, sizes: D
     ``piece`` numbers the parts of a visit of more than ``entries_per_row`` entries.  With
     ``sizes`` (``visit_sizes`` as a stage table) the entries of a visit of more than
     ``hot_rows`` are numbered on two levels: range pieces of the visit are numbered each in
-    its own task, and offsets come from a table with one row per piece.  All other visits
-    are numbered in a window each.
+    its own task, and offsets come from a table with one row per piece.  Visits of one
+    piece need no numbers; all others are numbered in a window each.
     """
-    k = _keep(features) + ["patient_id", "admit_ms"]
+    k = _visit_keys(features)
     rows = features.select(*k, F.col("feature_id").cast("bigint").alias("feature_id"), F.col("value").cast("double").alias("value"))
     w = Window.partitionBy(*k).orderBy("feature_id", "value")
-    hot = sizes.filter(F.col("n_rows") > F.lit(hot_rows)).select(*k) if sizes is not None else None
-    if hot is None or hot.isEmpty():
-        numbered = rows.withColumn("_pos", (F.row_number().over(w) - 1).cast("bigint"))
-    else:
+    if sizes is None:
+        return _pieces(rows.withColumn("_pos", (F.row_number().over(w) - 1).cast("bigint")), k, entries_per_row)
+    out = None
+    large = sizes.filter(F.col("n_rows") > F.lit(min(hot_rows, entries_per_row)))
+    is_hot = F.col("n_rows") > F.lit(hot_rows)
+    hot, longer = large.filter(is_hot).select(*k), large.filter(~is_hot).select(*k)
+    if not hot.isEmpty():
         # The row number parts equal entries, so that no tie falls to one task.
         busy = rows.join(hot, k, "left_semi").withColumn("_row", F.monotonically_increasing_id())
         busy = global_index(busy, [F.col(c) for c in (*k, "feature_id", "value", "_row")], "_at")
         starts = materialize(busy.groupBy(*k).agg(F.min("_at").alias("_start")))  # one row per hot visit
         busy = busy.join(starts, k).select(*k, "feature_id", "value", (F.col("_at") - F.col("_start")).alias("_pos"))
-        calm = rows.join(hot, k, "left_anti").withColumn("_pos", (F.row_number().over(w) - 1).cast("bigint"))
-        numbered = calm.unionByName(busy)
+        out = _pieces(busy, k, entries_per_row)
+    if not longer.isEmpty():
+        part = _pieces(rows.join(longer, k, "left_semi").withColumn("_pos", (F.row_number().over(w) - 1).cast("bigint")), k, entries_per_row)
+        out = part if out is None else out.unionByName(part)
+    calm = rows if out is None else rows.join(large.select(*k), k, "left_anti")
+    # Dealt by visit first: collecting before the shuffle would merge next to nothing.
+    whole = calm.repartition(*k).groupBy(*k).agg(F.sort_array(F.collect_list(F.struct("feature_id", "value"))).alias("visit"))
+    whole = whole.select(*k, F.lit(0).cast("bigint").alias("piece"), "visit")
+    return whole if out is None else whole.unionByName(out)
+
+
+def _pieces(numbered: DataFrame, k: list[str], entries_per_row: int) -> DataFrame:
+    """Visits of numbered entries (``_pos``), cut into pieces of ``entries_per_row``."""
     pair = F.struct("_pos", F.struct("feature_id", "value").alias("pair"))
     grouped = numbered.groupBy(*k, F.floor(F.col("_pos") / F.lit(entries_per_row)).cast("bigint").alias("piece")).agg(F.sort_array(F.collect_list(pair)).alias("_v"))
     return grouped.select(*k, "piece", F.transform("_v", lambda x: x["pair"]).alias("visit"))
@@ -132,12 +152,12 @@ def sequences(
     """
     k = _keep(features) + ["patient_id"]
     sizes = materialize(visit_sizes(features))
-    v = visits(features, entries_per_row, sizes, hot_rows).join(visit_numbers(sizes, labels), k + ["admit_ms"], "inner")
+    v = visits(features, entries_per_row, sizes, hot_rows).join(visit_numbers(sizes, labels), _visit_keys(features), "inner")
     lab = ["label"] if labels is not None else []
     v = v.withColumn("chunk", F.floor(F.col("visit_index") / F.lit(visits_per_row)).cast("bigint"))
     own = F.when(F.col("piece") > 0, F.col("visit_index")).otherwise(F.lit(-1)).alias("_own")
     ordered = F.sort_array(F.collect_list(F.struct("visit_index", "visit")))
-    return v.groupBy(*k, *lab, "chunk", "piece", own).agg(ordered.alias("_v")).select(
+    return v.groupBy("patient_id", "chunk", "piece", own, *_keep(features), *lab).agg(ordered.alias("_v")).select(
         *k,
         "chunk",
         F.col("_v")[0]["visit_index"].alias("first_visit"),
@@ -217,7 +237,8 @@ def in_width(width: int) -> Column:
 
 def _assemble(cells: DataFrame, keys: list[str], width: int, name: str) -> DataFrame:
     pairs = F.sort_array(F.collect_list(F.struct(in_width(width).alias("feature_id"), "value")))
-    grouped = cells.groupBy(*keys).agg(pairs.alias("_p"))
+    # The split last, as in ``_visit_keys``.
+    grouped = cells.groupBy(*sorted(keys, key=lambda c: c == "split")).agg(pairs.alias("_p"))
     return grouped.select(*keys, _sparse_udf(width)(F.col("_p.feature_id"), F.col("_p.value")).alias(name))
 
 
@@ -260,7 +281,7 @@ def decayed_pool(cells: DataFrame, half_life: float = 2.0, age: str = "visits")
     if not half_life > 0:
         raise ValueError("half_life must be positive")
     k = _keep(cells) + ["patient_id"]
-    aged = cells.join(visit_ages(cells, age), k + ["admit_ms"])
+    aged = cells.join(visit_ages(cells, age), _visit_keys(cells))
     weight = F.pow(F.lit(2.0), -F.col("age") / F.lit(float(half_life)))
     return aged.groupBy(*k, "feature_id").agg(F.sum(F.col("value") * weight).alias("value"))
 
