@@ -89,13 +89,21 @@ def split_max(labs: DataFrame, by: str = "split", value: str = "VALUENUM") -> Da
     return labs.groupBy(by).agg(F.max(value).alias("max_value"))
 
 
-def max_normalize(labs: DataFrame, by: str = "split", value: str = "VALUENUM") -> DataFrame:
+def cohort_max(labs: DataFrame, cohort_split: DataFrame, by: str = "split", value: str = "VALUENUM") -> DataFrame:
+    """A2 of a cohort's labs from the labs of all patients: the largest value per patient comes
+    first, so that one row per patient is joined to the cohort and not one per lab."""
+    each = labs.filter(F.col(value).isNotNull()).groupBy("SUBJECT_ID").agg(F.max(value).alias(value))
+    return split_max(restrict_to_cohort(each, cohort_split), by, value)
+
+
+def max_normalize(labs: DataFrame, by: str = "split", value: str = "VALUENUM", maxima: DataFrame | None = None) -> DataFrame:
     """Value / max(value) of its split; an empty split or max 0 -> NULL.
 
     The maxima table has one row per split, a proven bound, so it is
-    broadcast back; no driver round trip.
+    broadcast back; no driver round trip.  ``maxima``: the ``split_max`` of ``labs`` where
+    the caller has a cheaper way to it.
     """
-    maxima = split_max(labs, by, value)
+    maxima = split_max(labs, by, value) if maxima is None else maxima
     return (
         labs.join(F.broadcast(maxima), by, "inner")
         .withColumn(value, F.try_divide(F.col(value), F.col("max_value")))

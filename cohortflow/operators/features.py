@@ -72,6 +72,22 @@ def attach_visit(events: DataFrame, admissions: DataFrame, salted: bool = False)
     return joined.select(*_keep(events), "patient_id", "admit_ms", *rest)
 
 
+def attach_labelled_visit(events: DataFrame, admissions: DataFrame, patients: DataFrame, salted: bool = False) -> DataFrame:
+    """J2 + J6: ``attach_visit`` for the events of patients with a row in ``patients`` (split?, patient_id).
+
+    The admissions are limited to those patients, per split, so the events are shuffled once
+    and not a second time for the semi-join.
+    """
+    k = _keep(events)
+    who = patients.select(*k, "patient_id").distinct()
+    adm = admissions.select("patient_id", "hadm_id", "admit_ms").join(who, "patient_id")
+    rest = [c for c in events.columns if c not in ("split", "patient_id", "hadm_id")]
+    # One narrow row per admission: hashed after the shuffle, so that the events need no sort.
+    keys = ["hadm_id", "patient_id", *k]
+    joined = salted_join(events, adm, keys, heavy_keys(events, keys)) if salted else events.join(adm.hint("shuffle_hash"), keys, "inner")
+    return joined.select(*k, "patient_id", "admit_ms", *rest)
+
+
 def unknown_tokens(events: DataFrame, vocab: DataFrame, namespaced: bool = False) -> DataFrame:
     """J4 report: (split?, domain, token, n_events) of tokens not in the vocabulary."""
     return count_tokens(unknown_events(events, vocab, namespaced))

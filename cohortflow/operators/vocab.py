@@ -55,12 +55,13 @@ def icu_entry(indexed: DataFrame) -> DataFrame:
     )
 
 
-def vocabulary_of_tokens(events: DataFrame) -> DataFrame:
+def vocabulary_of_tokens(events: DataFrame, namespaced: bool = False) -> DataFrame:
     """C2 from event rows whose tokens are normalised already: (token, feature_id, domain)."""
     rank = F.when(F.col("domain") == "diagnosis", 0).when(F.col("domain") == "medication", 1).otherwise(2)
     coded = events.filter(F.col("token").isNotNull() & F.col("domain").isin("diagnosis", "medication", "lab"))
     indexed = indexed_tokens(coded.select("domain", "token").distinct().withColumn("domain_rank", rank.cast("int")))
-    return later_domain_wins(indexed.unionByName(icu_entry(indexed)))
+    entries = indexed.unionByName(icu_entry(indexed))
+    return entries.select("token", "feature_id", "domain") if namespaced else later_domain_wins(entries)
 
 
 def later_domain_wins(entries: DataFrame) -> DataFrame:

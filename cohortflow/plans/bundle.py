@@ -56,8 +56,9 @@ def new_event_rows(raw, split: str = "new") -> DataFrame:
 
 
 def lab_maxima(labs: DataFrame) -> dict[str, float]:
-    """The largest value of every split (one entry per split) of prepared labs."""
-    return {r["split"]: float(r["max_value"]) for r in C.split_max(labs).collect() if r["max_value"] is not None}
+    """The largest value of every split (one entry per split) of prepared labs, or of their maxima (``cohort_max``)."""
+    maxima = labs if "max_value" in labs.columns else C.split_max(labs)
+    return {r["split"]: float(r["max_value"]) for r in maxima.collect() if r["max_value"] is not None}
 
 
 # ---------------------------------------------------------------- parameters
@@ -70,11 +71,12 @@ class _BundleParams(Params):
     labMaxima = Param(Params._dummy(), "labMaxima", "largest lab value per split")
     regParam = Param(Params._dummy(), "regParam", "L2 penalty", TypeConverters.toFloat)
     maxIter = Param(Params._dummy(), "maxIter", "iterations of the fit", TypeConverters.toInt)
+    held = Param(Params._dummy(), "held", "whether the rows to learn from are a stored table, which fit reads as it is", TypeConverters.toBoolean)
     digits = Param(Params._dummy(), "digits", "decimals the logit is rounded to, -1 for none", TypeConverters.toInt)
 
     def __init__(self, *args):
         super().__init__(*args)
-        self._setDefault(pooling="sum", kind="logistic", trainSplit="train", regParam=ML.L2_DECAY, maxIter=100, digits=-1)
+        self._setDefault(pooling="sum", kind="logistic", trainSplit="train", regParam=ML.L2_DECAY, maxIter=100, digits=-1, held=False)
 
     def _maxima(self) -> dict[str, float]:
         return dict(self.getOrDefault(self.labMaxima)) if self.isDefined(self.labMaxima) else {}
@@ -99,12 +101,14 @@ class CohortEstimator(Estimator, _BundleParams, DefaultParamsReadable, DefaultPa
     """Learns maxima (unless given), vocabulary and classifier from event rows."""
 
     @keyword_only
-    def __init__(self, *, pooling=None, kind=None, trainSplit=None, labMaxima=None, regParam=None, maxIter=None, digits=None):
+    def __init__(self, *, pooling=None, kind=None, trainSplit=None, labMaxima=None, regParam=None, maxIter=None, digits=None, held=None):
         super().__init__()
         self._set(**{k: v for k, v in self._input_kwargs.items() if v is not None})
 
     def _fit(self, dataset: DataFrame) -> CohortModel:
-        events = materialize(dataset.select(*COLUMNS))
+        events = dataset.select(*COLUMNS)
+        if not self.getOrDefault(self.held):
+            events = materialize(events)
         train = self.getOrDefault(self.trainSplit)
         maxima = self._maxima()
         if not maxima:

@@ -30,13 +30,12 @@ class Prepared:
     """C1 output: cohort, prepared tables and tagged labs, each built on first access."""
 
     def __init__(self, raw, weights, seed, names, method, normalize_labs=True, salted=False):
-        normalize = C.max_normalize if normalize_labs else (lambda labs: labs)
         self.raw, self._split, self.salted = raw, (weights, seed, names, method), salted
         builders = {
             "admissions": lambda: self.restrict(raw["admissions"]),
             "diagnoses": lambda: self.restrict(raw["diagnoses"]),
             "icustays": lambda: self.restrict(clean.fill_los(raw["icustays"])),
-            "labevents": lambda: normalize(clean.drop_null_values(self.restrict(clean.parse_lab_values(raw["labevents"])))),
+            "labevents": lambda: self.labs(normalize_labs),
             "patients": lambda: self.restrict(clean.with_label(raw["patients"]).select("SUBJECT_ID", "IS_DEAD")),
             "prescriptions": lambda: self.restrict(raw["prescriptions"]),
         }
@@ -50,6 +49,12 @@ class Prepared:
     def restrict(self, df: DataFrame) -> DataFrame:
         return C.restrict_to_cohort(df, self.cohort, self.salted)
 
+    def labs(self, normalize: bool) -> DataFrame:
+        """Labs of the cohort that have a number, divided by their split's largest one."""
+        parsed = clean.parse_lab_values(self.raw["labevents"])
+        labs = clean.drop_null_values(self.restrict(parsed))
+        return C.max_normalize(labs, maxima=C.cohort_max(parsed, self.cohort)) if normalize else labs
+
     @cached_property
     def tagged_labs(self) -> DataFrame:
         """Every lab of the cohort, normalised, with the reason ``_early`` that ``prepare`` drops it for."""
@@ -80,9 +85,19 @@ def prepare_files(spark: SparkSession, folder: str, out: str, weights=DEFAULT_WE
     return prep
 
 
-def records(prepared) -> Lazy:
+class Records(Lazy):
+    """Typed records by table, and the event rows of all of them."""
+
+    @cached_property
+    def events(self) -> DataFrame:
+        # Written once: the vocabulary and the features read the same cleaned tokens,
+        # so every raw table is joined to the cohort and checked one time.
+        return materialize(FT.all_events(self["diagnoses"], self["prescriptions"], self["labevents"], self["icustays"]))
+
+
+def records(prepared) -> Records:
     """P5 + P7 for every prepared table: typed records, rejects left out."""
-    return Lazy({t: (lambda t=t: clean.to_records(prepared[t], t)) for t in prepared})
+    return Records({t: (lambda t=t: clean.to_records(prepared[t], t)) for t in prepared})
 
 
 def rejects_report(prep: Prepared) -> DataFrame:
@@ -110,7 +125,13 @@ class Vocabulary:
 
 
 def build_vocabulary(recs, split: str = "train", namespaced: bool = False) -> Vocabulary:
-    """Vocabulary from one split's records (the training split)."""
+    """Vocabulary from one split's records (the training split).
+
+    Records that hold their event rows (``Records.events``) lend them, so that a data set built on
+    them reads the same table; for the vocabulary alone pass the tables as a plain mapping.
+    """
+    if isinstance(recs, Records):
+        return Vocabulary(materialize(V.vocabulary_of_tokens(recs.events.filter(F.col("split") == split), namespaced)), namespaced)
 
     def one(t: str) -> DataFrame:
         return recs[t].filter(F.col("split") == split)
@@ -127,6 +148,8 @@ class Dataset:
     @cached_property
     def source_events(self) -> DataFrame:
         r = self.recs
+        if isinstance(r, Records):
+            return r.events
         return FT.all_events(r["diagnoses"], r["prescriptions"], r["labevents"], r["icustays"])
 
     @cached_property
@@ -143,11 +166,10 @@ class Dataset:
     @cached_property
     def features(self) -> DataFrame:
         # Looked up first (unknown tokens and token strings are never shuffled),
-        # then joined to the visits and, once, to the labelled patients.
+        # then joined, once, to the visits of the labelled patients.
         # Written once: labels, sequences, cells and vectors all read it.
         found = FT.index_features(self.source_events, self.vocab.table, self.vocab.namespaced)
-        attached = FT.attach_visit(found, self.recs["admissions"], self.salted)
-        return materialize(FT.features_of_labelled(attached, self.recs["patients"].select("split", "patient_id")))
+        return materialize(FT.attach_labelled_visit(found, self.recs["admissions"], self.recs["patients"], self.salted))
 
     @cached_property
     def labels(self) -> DataFrame:
@@ -202,7 +224,9 @@ def fit_bundle(raw, weights=DEFAULT_WEIGHTS, seed: int = DEFAULT_SEED, **setting
 
     prep = prepare(raw, weights, seed, normalize_labs=False)
     events = materialize(B.event_rows(records(prep.tables)))
-    return B.CohortEstimator(labMaxima=B.lab_maxima(prep.tables["labevents"]), **settings).fit(events), events
+    maxima = B.lab_maxima(C.cohort_max(clean.parse_lab_values(raw["labevents"]), prep.cohort))
+    # The event rows are a table already: the estimator need not write them again.
+    return B.CohortEstimator(labMaxima=maxima, held=True, **settings).fit(events), events
 
 
 def score_new_patients(model, raw) -> DataFrame:

@@ -38,6 +38,10 @@ def subject(key: str):
     return F.when(c % 41 == 7, F.concat(F.lit("P"), c.cast("string"))).when(c % 20 == 1, F.lit("1")).otherwise(c.cast("string"))
 
 
+def plain_code(pk):
+    return _lpad_num(pk % 10000, 5, "0")
+
+
 def role_tables(spark: SparkSession, sf_dir: str, hold=None) -> Lazy:
     """The six raw tables (all columns string) derived from ``sf_dir``.
 
@@ -86,8 +90,8 @@ def role_tables(spark: SparkSession, sf_dir: str, hold=None) -> Lazy:
         part = _read(spark, sf_dir, "part", ["p_partkey", "p_name", "p_brand"])
         li = lineitem.join(orders().select("o_orderkey", "o_custkey"), F.col("l_orderkey") == F.col("o_orderkey"))
         lip = li.join(part, F.col("l_partkey") == F.col("p_partkey"), "left")
-        pk, ok, sk = F.col("l_partkey"), F.col("l_orderkey"), F.col("l_suppkey")
-        plain = _lpad_num(pk % 10000, 5, "0")
+        pk = F.col("l_partkey")
+        plain = plain_code(pk)
         code = (
             F.when(pk % 61 == 0, null)
             .when(pk % 53 == 0, F.lit("   "))
@@ -95,6 +99,14 @@ def role_tables(spark: SparkSession, sf_dir: str, hold=None) -> Lazy:
             .when(pk % 10 == 0, F.concat(F.lit("E"), _lpad_num(pk % 1000, 4, "8")))
             .otherwise(plain)
         )
+        # Held as it is joined: numbers are written and read faster than the texts made of
+        # them.  The code, which every check of a record looks at, is made once.
+        narrow = lip.select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "o_custkey", "p_name", "p_brand", F.col("p_partkey").isNotNull().alias("HAS_PART"), code.alias("ICD9_CODE"))
+        return with_texts(hold(narrow) if hold is not None else narrow)
+
+    def with_texts(lip: DataFrame) -> DataFrame:
+        pk, ok, sk = F.col("l_partkey"), F.col("l_orderkey"), F.col("l_suppkey")
+        plain = plain_code(pk)
         # A drug of one patient only (unknown outside its split), a drug named
         # like a diagnosis category, and an empty name.
         drug = (
@@ -105,17 +117,16 @@ def role_tables(spark: SparkSession, sf_dir: str, hold=None) -> Lazy:
             .otherwise(F.col("p_name"))
         )
         value = F.when(sk % 13 == 0, F.lit("n/a")).when(sk % 17 == 0, F.lit("")).otherwise(_s("l_quantity"))
-        out = lip.select(
+        return lip.select(
             subject("o_custkey").alias("SUBJECT_ID"),
             _s("l_orderkey").alias("HADM_ID"),
-            code.alias("ICD9_CODE"),
-            F.col("p_partkey").isNotNull().alias("HAS_PART"),
+            "ICD9_CODE",
+            "HAS_PART",
             drug.alias("DRUG"),
             F.when(sk % 19 == 0, null).otherwise(_s("l_orderkey")).alias("LAB_HADM_ID"),
             F.when(pk % 43 == 0, null).otherwise(F.col("p_brand")).alias("ITEMID"),
             value.alias("VALUENUM"),
         )
-        return hold(out) if hold is not None else out
 
     shared = Lazy({"wide": wide})
 

@@ -7,6 +7,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from cohortflow.operators import cohort as C
+from cohortflow.operators import features as FT
 from cohortflow.operators import metrics as M
 from cohortflow.operators import minibatch as MB
 from cohortflow.operators import sequences as S
@@ -357,3 +359,48 @@ def test_padded_arrays_hold_the_long_form(spark):
     key = lambda df: sorted((tuple(r) for r in df.select(*padded.columns).collect()), key=repr)
     assert key(S.flat_arrays(arrays)) == key(padded)
     assert S.padded_arrays(padded.limit(0)).count() == 0
+
+
+# --- event rows written once -------------------------------------------------
+
+
+def test_vocabulary_and_features_read_the_same_event_rows(golden):
+    recs = golden["recs"]
+    assert golden["ds"].source_events is recs.events
+    for namespaced in (False, True):
+        held, plain = (P.build_vocabulary(r, namespaced=namespaced).table for r in (recs, dict(recs)))
+        assert held.columns == plain.columns and sorted(map(tuple, held.collect())) == sorted(map(tuple, plain.collect()))
+
+
+@pytest.mark.parametrize("salted", [False, True])
+def test_visits_of_labelled_patients_in_one_join(spark, salted):
+    rnd = random.Random(4)
+    split = lambda: rnd.choice(["train", "test"])
+    some = lambda n: rnd.choice([None, *range(n)])
+    events = spark.createDataFrame([(split(), some(4), rnd.choice([None, "a", "b"]), i % 5, float(i)) for i in range(200)], "split string, patient_id bigint, hadm_id string, feature_id bigint, value double")
+    adm = spark.createDataFrame([(split(), some(4), rnd.choice([None, "a", "b"]), i) for i in range(12)], "split string, patient_id bigint, hadm_id string, admit_ms bigint")
+    # Two label rows for some, none for others, and a patient in both splits.
+    who = spark.createDataFrame([("train", 0), ("train", 0), ("test", 0), ("train", 1), ("test", None)], "split string, patient_id bigint")
+    two = FT.features_of_labelled(FT.attach_visit(events, adm), who)
+    one = FT.attach_labelled_visit(events, adm, who, salted)
+    assert one.columns == two.columns and two.count() > 0
+    assert sorted(map(tuple, one.collect()), key=str) == sorted(map(tuple, two.collect()), key=str)
+
+
+def test_largest_lab_of_a_cohort_from_one_row_a_patient(spark):
+    labs = spark.createDataFrame([("1", 2.0), ("1", None), ("2", 5.0), ("2", -1.0), ("3", 9.0), (None, 99.0), ("4", None)], "SUBJECT_ID string, VALUENUM double")
+    cohort = spark.createDataFrame([("1", "train"), ("2", "train"), ("4", "test")], "SUBJECT_ID string, split string")
+    assert [tuple(r) for r in C.cohort_max(labs, cohort).filter("max_value is not null").collect()] == [("train", 5.0)]
+    got = C.max_normalize(C.restrict_to_cohort(labs, cohort).filter("VALUENUM is not null"), maxima=C.cohort_max(labs, cohort))
+    assert sorted(r.VALUENUM for r in got.collect()) == [-0.2, 0.4, 1.0]
+
+
+def test_short_visits_need_no_numbers(spark):
+    rows = [("train", p, d, f, v) for p in (1, 2) for d in (0, 5) for f, v in ((3, 1.0), (1, 2.0), (1, None), (1, -2.0), (3, 1.0))] + [("train", 1, 9, f, 0.5) for f in range(7)]
+    feats = spark.createDataFrame(rows, "split string, patient_id bigint, admit_ms bigint, feature_id bigint, value double")
+    entries = lambda **cut: sorted(map(tuple, S.sequence_entries(S.sequences(feats, **cut)).collect()), key=str)
+    plain = entries()
+    for cut in ({"entries_per_row": 2}, {"entries_per_row": 5}, {"hot_rows": 5}, {"hot_rows": 1}, {"hot_rows": 6, "entries_per_row": 3}):
+        assert entries(**cut) == plain
+    sizes = S.visit_sizes(feats)
+    assert "Window" not in S.visits(feats, sizes=sizes)._jdf.queryExecution().executedPlan().toString()
