@@ -291,6 +291,8 @@ def _bits():
 
 def _at_least_apart(left: list, right: list, x: np.ndarray, y: np.ndarray) -> np.ndarray:
     """A lower bound of the number of shingles in which left[x[i]] and right[y[i]] differ (0 where a set has no bits)."""
+    if not len(x):
+        return np.zeros(0, dtype=np.int64)
     nothing = bytes(_BITS // 8)
     a, b = (np.frombuffer(b"".join(v or nothing for v in side), dtype=np.uint64).reshape(len(side), _BITS // 64) for side in (left, right))
     known = np.array([bool(v) for v in left])[x] & np.array([bool(v) for v in right])[y]
