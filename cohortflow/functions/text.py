@@ -41,11 +41,9 @@ def icd9_category(c) -> Column:
     record contract reports as a reject instead of failing the job.
     """
     t = jvm_trim(c)
-    return (
-        F.when(F.length(t) == 0, F.lit(None).cast("string"))
-        .when(t.startswith("E"), F.substring(t, 1, 4))
-        .otherwise(F.substring(t, 1, 3))
-    )
+    # Both mentions of the trimmed code are always evaluated, so Spark trims it once.
+    cut = F.substr(t, F.lit(1), F.when(t.startswith("E"), F.lit(4)).otherwise(F.lit(3)))
+    return F.nullif(cut, F.lit(""))
 
 
 def infer_table_name(path: str) -> str:

@@ -92,7 +92,7 @@ def split_max(labs: DataFrame, by: str = "split", value: str = "VALUENUM") -> Da
 def cohort_max(labs: DataFrame, cohort_split: DataFrame, by: str = "split", value: str = "VALUENUM") -> DataFrame:
     """A2 of a cohort's labs from the labs of all patients: the largest value per patient comes
     first, so that one row per patient is joined to the cohort and not one per lab."""
-    each = labs.filter(F.col(value).isNotNull()).groupBy("SUBJECT_ID").agg(F.max(value).alias(value))
+    each = labs.groupBy("SUBJECT_ID").agg(F.max(value).alias(value)).filter(F.col(value).isNotNull())
     return split_max(restrict_to_cohort(each, cohort_split), by, value)
 
 

@@ -88,7 +88,9 @@ def role_tables(spark: SparkSession, sf_dir: str, hold=None) -> Lazy:
         # a part still is a diagnosis row; medication and lab rows need the part).
         lineitem = _read(spark, sf_dir, "lineitem", ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity"])
         part = _read(spark, sf_dir, "part", ["p_partkey", "p_name", "p_brand"])
-        li = lineitem.join(orders().select("o_orderkey", "o_custkey"), F.col("l_orderkey") == F.col("o_orderkey"))
+        # Two numbers per order: hashed after the shuffle, so that the line items need no sort.
+        of = orders().select("o_orderkey", "o_custkey").hint("shuffle_hash")
+        li = lineitem.join(of, F.col("l_orderkey") == F.col("o_orderkey"))
         lip = li.join(part, F.col("l_partkey") == F.col("p_partkey"), "left")
         pk = F.col("l_partkey")
         plain = plain_code(pk)
