@@ -36,9 +36,11 @@ def event_rows(recs) -> DataFrame:
     nothing else.  A patient without a label row has a null label; two label rows fail.
     """
     events = FT.all_events(recs["diagnoses"], recs["prescriptions"], recs["labevents"], recs["icustays"])
-    admissions = recs["admissions"].select("patient_id", "hadm_id", "admit_ms")
-    labels = S.unique_labels(recs["patients"].select("split", "patient_id", "is_dead"))
-    joined = events.join(admissions, ["patient_id", "hadm_id"], "left").join(labels, ["split", "patient_id"], "left")
+    # One narrow row per admission: hashed after the shuffle, so that the events need no sort.
+    admissions = recs["admissions"].select("patient_id", "hadm_id", "admit_ms").hint("shuffle_hash")
+    # A stage table, so Spark knows its size: where it is small the events are not shuffled again for it.
+    labels = materialize(S.unique_labels(recs["patients"].select("split", "patient_id", "is_dead")))
+    joined = events.join(admissions, ["hadm_id", "patient_id"], "left").join(labels, ["patient_id", "split"], "left")
     return joined.select(*COLUMNS)
 
 
