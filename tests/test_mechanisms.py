@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from cohortflow.operators import cohort as C
+from cohortflow.operators import clean, cohort as C
 from cohortflow.operators import features as FT
 from cohortflow.operators import metrics as M
 from cohortflow.operators import minibatch as MB
@@ -15,6 +15,8 @@ from cohortflow.operators import sequences as S
 from cohortflow.operators.skew import heavy_keys, salted_join
 from cohortflow.plans import bundle as B
 from cohortflow.plans import composite as P
+from cohortflow.plans import queries as Q
+from cohortflow.plans import roles as R
 from cohortflow.sources import (
     load_model,
     load_records,
@@ -404,3 +406,54 @@ def test_short_visits_need_no_numbers(spark):
         assert entries(**cut) == plain
     sizes = S.visit_sizes(feats)
     assert "Window" not in S.visits(feats, sizes=sizes)._jdf.queryExecution().executedPlan().toString()
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_records_convert_every_source_once(spark):
+    texts = [None, "", " ", "\t", "1", " 7 ", "x", "P9", "E8880", "\tE12 ", "40", "1.5", "NaN", "2101-10-20 08:00:00", "2101", "2101-13-45"]
+    for table, contract in clean.CONTRACTS.items():
+        rows = [tuple(a if i == j else b for j in range(len(contract.required))) for i in range(len(contract.required)) for a in texts for b in ("1", "2101-01-02", "E1")]
+        df = spark.createDataFrame(rows, ", ".join(f"{c} string" for c in contract.required))
+        got, checked = clean.to_records(df, table), clean.validate(df, table).filter("reject_reason is null")
+        assert sorted(map(str, got.collect())) == sorted(map(str, checked.select(*got.columns).collect()))
+    # A filter that moves below a projection holds the whole expression at every mention.
+    diagnoses = spark.range(9).select(F.lit("1").alias("HADM_ID"), F.concat(F.lit("E"), "id").alias("SUBJECT_ID"), F.col("id").cast("string").alias("ICD9_CODE"))
+    filters = [line for line in clean.to_records(diagnoses, "diagnoses")._jdf.queryExecution().optimizedPlan().toString().split("+- ") if line.startswith("Filter")]
+    assert filters and all(f.count("trim(") <= 1 and f.count("concat(") <= 1 for f in filters)
+
+
+def test_counts_of_a_patient_do_not_double_the_rows(spark):
+    rows = [("train", 1, 0, 3), ("train", 1, 0, 3), ("train", 1, 5, 3), ("train", 1, 5, 4), ("test", 1, 0, 3), ("test", 2, 1, 1), ("test", 2, 2, 1)]
+    feats = spark.createDataFrame(rows, "split string, patient_id bigint, admit_ms bigint, feature_id bigint")
+    got = Q._patient_counts(feats)
+    assert sorted(map(tuple, got.collect())) == [("test", 1, 1, 1), ("test", 2, 2, 1), ("train", 1, 2, 2)]
+    assert "Expand" not in plan_of(got)
+
+
+def test_event_rows_are_not_sorted_for_their_visits(spark, golden):
+    recs = golden["recs"]
+    events = FT.all_events(recs["diagnoses"], recs["prescriptions"], recs["labevents"], recs["icustays"])
+    labels = S.unique_labels(recs["patients"].select("split", "patient_id", "is_dead"))
+    plain = events.join(recs["admissions"].select("patient_id", "hadm_id", "admit_ms"), ["patient_id", "hadm_id"], "left").join(labels, ["split", "patient_id"], "left")
+    got = B.event_rows(recs)
+    assert sorted(map(str, got.collect())) == sorted(map(str, plain.select(*B.COLUMNS).collect()))
+    assert "ShuffledHashJoin" in plan_of(got) and "SortMergeJoin" not in plan_of(got)
+
+
+def test_line_items_are_not_sorted_for_their_orders(spark, tmp_path):
+    tables = {
+        "orders": ("o_orderkey bigint, o_custkey bigint", [(i, i % 3) for i in range(1, 9)]),
+        "lineitem": ("l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double", [(i % 10, i, i, 1, 2.0) for i in range(1, 31)]),
+        "part": ("p_partkey bigint, p_name string, p_brand string", [(i, f"p{i}", "b") for i in range(1, 21)]),
+    }
+    for name, (schema, rows) in tables.items():
+        df = spark.createDataFrame(rows, schema)
+        if name == "orders":
+            df = df.select("*", F.lit("F").alias("o_orderstatus"), F.lit(1.0).alias("o_totalprice"), F.lit("2000-01-01").cast("date").alias("o_orderdate"))
+        df.write.parquet(f"{tmp_path}/{name}.parquet")
+    raw = R.role_tables(spark, str(tmp_path))
+    assert raw["diagnoses"].count() == 24 and raw["prescriptions"].count() == 16
+    assert "ShuffledHashJoin" in plan_of(raw["diagnoses"])
