@@ -19,6 +19,10 @@ from cohortflow.functions.cast import admit_day_millis, derive_label, to_double,
 from cohortflow.functions.text import icd9_category, jvm_trim
 
 
+#: Of raw rows not yet joined to the cohort, see ``with_odd_id``.
+ODD_ID = "odd_id"
+
+
 @dataclass(frozen=True)
 class Contract:
     required: list[str]
@@ -136,10 +140,22 @@ def _has_category(c: str) -> Column:
 
 
 def to_records(df: DataFrame, table: str) -> DataFrame:
-    """Good rows only, typed fields only."""
-    keep = [c for c in ("split",) if c in df.columns]
+    """Good rows only, typed fields only (and the split or ``odd_id`` where there is one)."""
+    keep = [c for c in ("split", ODD_ID) if c in df.columns]
     typed = [conv(src).alias(n) for n, src, conv in CONTRACTS[table].fields if not n.startswith("_")]
-    return df.filter(reduce(lambda a, b: a & b, accepts(df, table))).select(*keep, *typed)
+    return df.filter(accepted(df, table)).select(*keep, *typed)
+
+
+def accepted(df: DataFrame, table: str) -> Column:
+    """Whether a row meets its table's contract (never null)."""
+    return reduce(lambda a, b: a & b, accepts(df, table))
+
+
+def with_odd_id(df: DataFrame) -> DataFrame:
+    """``odd_id``: the patient id as written where it is not the plain text of its number (`` 7``,
+    ``07``), null for all others, whose text the number gives back."""
+    written = F.col("SUBJECT_ID").cast("string")
+    return df.withColumn(ODD_ID, F.when(written != to_long("SUBJECT_ID").cast("string"), written))
 
 
 def rejects(df: DataFrame, table: str, stage: str = "records", earlier: str | None = None) -> DataFrame:

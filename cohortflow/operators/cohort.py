@@ -109,3 +109,13 @@ def max_normalize(labs: DataFrame, by: str = "split", value: str = "VALUENUM", m
         .withColumn(value, F.try_divide(F.col(value), F.col("max_value")))
         .drop("max_value")
     )
+
+
+def normalized_events(events: DataFrame, maxima: DataFrame) -> DataFrame:
+    """P12 on event rows: lab values divided by their split's maximum (``split_max``); a lab without
+    a usable quotient drops out, other domains stay as they are."""
+    lab = F.col("domain") == "lab"
+    columns = events.columns
+    joined = events.join(F.broadcast(maxima), "split", "left")
+    value = F.when(lab, F.try_divide("value", "max_value")).otherwise(F.col("value"))
+    return joined.withColumn("value", value).filter(~lab | F.col("value").isNotNull()).select(*columns)

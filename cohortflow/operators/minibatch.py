@@ -6,8 +6,9 @@ gradient per feature; the coefficient table with its two Adam moments is the sta
 step writes the new state in the shared folder and frees the one before, so lineage stays
 one step long and a lost executor re-reads a table.
 
-Batches are a column of the cells' stage table, which is partitioned by it: a step reads
-its own batch only.  The state has one row per vocabulary entry, so Spark picks its joins
+The cells' stage table lies in a bounded number of folders, each of consecutive batches and
+sorted by batch: a step opens its batch's folder and, by the files' statistics, reads the
+pages of its batch only.  The state has one row per vocabulary entry, so Spark picks its joins
 by size.  The number of steps is patients / batch size per epoch: take batches that fill
 the cluster (millions of patients), not 64, where there are many patients.
 """
@@ -33,6 +34,9 @@ EPSILON = 1e-8
 BATCH_SIZE = 64
 # ---------------------------------------------------------------------------
 
+#: Most folders of a table dealt by batch, and the least number of parts of each.
+FOLDERS = 64
+PARTS = 8
 #: The intercept is the weight of a feature that every patient has with value 1.
 INTERCEPT_ID = -1
 
@@ -71,17 +75,28 @@ def batch_cells(pooled: DataFrame, labels: DataFrame, size: int = BATCH_SIZE, se
     batched = materialize(S.assign_batches(one, size, seed).drop("position"))
     sizes = batched.groupBy("batch_id").agg(F.count(F.lit(1)).cast("bigint").alias("n"))
     patients = batched.join(sizes, "batch_id").select("patient_id", "label", "batch_id", "n")
-    cells = pooled.select("patient_id", F.col("feature_id").cast("bigint").alias("feature_id"), "value").join(batched.select("patient_id", "batch_id"), "patient_id")
+    cells = pooled.select("patient_id", F.col("feature_id").cast("bigint").alias("feature_id"), "value")
+    # One narrow row per patient: hashed after the shuffle, so that the cells need no sort.
+    cells = cells.join(batched.select("patient_id", "batch_id").hint("shuffle_hash"), "patient_id")
     own = batched.select("patient_id", F.lit(INTERCEPT_ID).cast("bigint").alias("feature_id"), F.lit(1.0).alias("value"), "batch_id")
     return patients, cells.unionByName(own)
 
 
-def _by_batch(df: DataFrame) -> tuple[DataFrame, str]:
-    """``df`` written by batch: a filter on the batch reads that batch's folder.
+def _by_batch(df: DataFrame, per: int) -> tuple[DataFrame, str]:
+    """``df`` written by batch, ``per`` consecutive batches to a folder (``batch_group``), sorted by batch.
 
-    A batch's rows are spread over several files, so no task holds a whole batch.
+    The number of files does not grow with the number of batches.  A folder's rows are
+    spread over several files, so no task holds a whole batch, however large.
     """
-    return materialize_at(df.repartition("batch_id", F.pmod(F.xxhash64("patient_id"), F.lit(8))), "batch_id")
+    spread = max(PARTS, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) // FOLDERS)
+    grouped = df.withColumn("batch_group", F.floor(F.col("batch_id") / F.lit(per)).cast("bigint"))
+    dealt = grouped.repartition("batch_group", F.pmod(F.xxhash64("patient_id"), F.lit(spread)))
+    return materialize_at(dealt.sortWithinPartitions("batch_group", "batch_id"), "batch_group")
+
+
+def _of_batch(df: DataFrame, batch: int, per: int) -> DataFrame:
+    """The rows of one batch of a table of ``_by_batch``."""
+    return df.filter((F.col("batch_group") == batch // per) & (F.col("batch_id") == batch)).drop("batch_group", "batch_id")
 
 
 def score_batch(state: DataFrame, patients: DataFrame, cells: DataFrame) -> DataFrame:
@@ -136,15 +151,18 @@ def train_minibatch(
     out = Trained()
     state, state_path = materialize_at(start)
     for epoch in range(epochs):
-        (patients, p_path), (cells, c_path) = (_by_batch(t) for t in batch_cells(pooled, labels, size, seed + epoch))
+        dealt = batch_cells(pooled, labels, size, seed + epoch)
+        last = dealt[0].agg(F.max("batch_id")).first()[0]
+        per = 1 if last is None else -(-(last + 1) // FOLDERS)
+        (patients, p_path), (cells, c_path) = (_by_batch(t, per) for t in dealt)
         batches = [r[0] for r in patients.select("batch_id").distinct().orderBy("batch_id").collect()]
         seen, seen_paths, epoch_start = [], [], state_path
         for batch in batches:
             if max_steps is not None and out.steps >= max_steps:
                 break
             out.steps += 1
-            mine = cells.filter(F.col("batch_id") == batch).drop("batch_id")
-            scored, path = materialize_at(score_batch(state, patients.filter(F.col("batch_id") == batch), mine))
+            mine = _of_batch(cells, batch, per)
+            scored, path = materialize_at(score_batch(state, _of_batch(patients, batch, per), mine))
             seen.append(scored)
             seen_paths.append(path)
             before = state_path

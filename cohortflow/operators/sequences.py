@@ -41,9 +41,13 @@ def _visit_keys(df: DataFrame) -> list[str]:
 
 
 def visit_matrix(features: DataFrame) -> DataFrame:
-    """Duplicate (visit, feature) cells summed (partial aggregation first)."""
+    """Duplicate (visit, feature) cells summed.
+
+    Dealt by patient and feature, which spreads a busy patient; a sum over a patient's visits
+    then finds the cells of each feature together and shuffles nothing again.
+    """
     k = _keep(features)
-    return features.groupBy(*k, "patient_id", "admit_ms", "feature_id").agg(F.sum("value").alias("value"))
+    return features.repartition("patient_id", "feature_id").groupBy(*k, "patient_id", "admit_ms", "feature_id").agg(F.sum("value").alias("value"))
 
 
 def visit_numbers(df: DataFrame, labels: DataFrame | None = None) -> DataFrame:
@@ -237,8 +241,9 @@ def in_width(width: int) -> Column:
 
 def _assemble(cells: DataFrame, keys: list[str], width: int, name: str) -> DataFrame:
     pairs = F.sort_array(F.collect_list(F.struct(in_width(width).alias("feature_id"), "value")))
-    # The split last, as in ``_visit_keys``.
-    grouped = cells.groupBy(*sorted(keys, key=lambda c: c == "split")).agg(pairs.alias("_p"))
+    # The split last, as in ``_visit_keys``; dealt first, since collecting before the shuffle would merge next to nothing.
+    ordered = sorted(keys, key=lambda c: c == "split")
+    grouped = cells.repartition(*ordered).groupBy(*ordered).agg(pairs.alias("_p"))
     return grouped.select(*keys, _sparse_udf(width)(F.col("_p.feature_id"), F.col("_p.value")).alias(name))
 
 

@@ -34,7 +34,13 @@ def event_rows(recs) -> DataFrame:
 
     An event without an admission keeps a null day: it counts for the vocabulary and
     nothing else.  A patient without a label row has a null label; two label rows fail.
+    Records that hold what they were prepared from give a stage table, which the events
+    reach in one shuffle.
     """
+    prep = getattr(recs, "prep", None)
+    if prep is not None and not prep.normalized and not prep.salted:
+        marks = S.unique_labels(recs["patients"].select("split", "patient_id", "is_dead")).withColumnRenamed("label", "mark")
+        return prep.visit_events(marks).withColumnRenamed("mark", "label").select(*COLUMNS)
     events = FT.all_events(recs["diagnoses"], recs["prescriptions"], recs["labevents"], recs["icustays"])
     # One narrow row per admission: hashed after the shuffle, so that the events need no sort.
     admissions = recs["admissions"].select("patient_id", "hadm_id", "admit_ms").hint("shuffle_hash")

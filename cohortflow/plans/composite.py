@@ -19,18 +19,26 @@ from cohortflow.operators import clean, cohort as C, features as FT, sequences a
 from cohortflow.operators import metrics as M
 from cohortflow.operators import model as ML
 from cohortflow.schemas import DEFAULT_SEED, DEFAULT_WEIGHTS, PREPARED_COLUMNS, SPLITS
-from cohortflow.session import Lazy, materialize
+from cohortflow.session import Lazy, materialize, materialize_at, release_tables
 from cohortflow.sources.csv import read_raw_tables
 from cohortflow.sources.sinks import write_prepared
 
 TABLES = ("admissions", "diagnoses", "icustays", "labevents", "patients", "prescriptions")
 
 
+class PreparedTables(Lazy):
+    """The prepared tables, and what they were prepared from."""
+
+    def __init__(self, builders, prep: Prepared):
+        super().__init__(builders)
+        self.prep = prep
+
+
 class Prepared:
     """C1 output: cohort, prepared tables and tagged labs, each built on first access."""
 
     def __init__(self, raw, weights, seed, names, method, normalize_labs=True, salted=False):
-        self.raw, self._split, self.salted = raw, (weights, seed, names, method), salted
+        self.raw, self._split, self.salted, self.normalized = raw, (weights, seed, names, method), salted, normalize_labs
         builders = {
             "admissions": lambda: self.restrict(raw["admissions"]),
             "diagnoses": lambda: self.restrict(raw["diagnoses"]),
@@ -39,7 +47,7 @@ class Prepared:
             "patients": lambda: self.restrict(clean.with_label(raw["patients"]).select("SUBJECT_ID", "IS_DEAD")),
             "prescriptions": lambda: self.restrict(raw["prescriptions"]),
         }
-        self.tables = Lazy({t: (lambda t=t: builders[t]().select(*PREPARED_COLUMNS[t], "split")) for t in TABLES})
+        self.tables = PreparedTables({t: (lambda t=t: builders[t]().select(*PREPARED_COLUMNS[t], "split")) for t in TABLES}, self)
 
     @cached_property
     def cohort(self) -> DataFrame:
@@ -55,6 +63,35 @@ class Prepared:
         labs = clean.drop_null_values(self.restrict(parsed))
         return C.max_normalize(labs, maxima=C.cohort_max(parsed, self.cohort)) if normalize else labs
 
+    def visit_events(self, marks: DataFrame) -> DataFrame:
+        """U1 + J1 + J2: (split, patient_id, admit_ms, domain, token, value, mark), the event rows of the
+        cohort with their visit day, labs as measured.
+
+        The rows of ``all_events`` over the records of the prepared tables, left-joined to the
+        admission records and to ``marks`` ((split, patient_id, mark), one row each), but
+        shuffled once and not once per join (``features.placed_events``).
+        """
+        raw = self.raw
+        ids = materialize(FT.marked_cohort(self.cohort, marks))
+        stays, path = materialize_at(FT.stays(raw["admissions"], ids))
+        sources = {
+            "diagnoses": raw["diagnoses"], "prescriptions": raw["prescriptions"],
+            "labevents": clean.parse_lab_values(raw["labevents"]), "icustays": clean.fill_los(raw["icustays"]),
+        }
+        recs = {t: clean.to_records(clean.with_odd_id(df), t) for t, df in sources.items()}
+        events = FT.all_events(recs["diagnoses"], recs["prescriptions"], recs["labevents"], recs["icustays"])
+        placed = materialize(FT.placed_events(events, stays))
+        release_tables([path])
+        return FT.settled_events(placed, ids)
+
+    def lab_maxima(self, events: DataFrame) -> DataFrame:
+        """A2 from ``visit_events``: their largest lab per split, or that of the cohort's labs with a
+        number that are no records (without an admission id, say), whichever is larger."""
+        labs = clean.parse_lab_values(self.raw["labevents"])
+        rest = C.cohort_max(labs.filter(F.col("VALUENUM").isNotNull() & ~clean.accepted(labs, "labevents")), self.cohort)
+        own = C.split_max(events.filter("domain = 'lab'"), value="value")
+        return C.split_max(own.unionByName(rest), value="max_value")
+
     @cached_property
     def tagged_labs(self) -> DataFrame:
         """Every lab of the cohort, normalised, with the reason ``_early`` that ``prepare`` drops it for."""
@@ -86,7 +123,14 @@ def prepare_files(spark: SparkSession, folder: str, out: str, weights=DEFAULT_WE
 
 
 class Records(Lazy):
-    """Typed records by table, and the event rows of all of them."""
+    """Typed records by table, and the event rows of all of them.
+
+    ``prep``: what the records were prepared from, where that is at hand.
+    """
+
+    def __init__(self, builders, prep: Prepared | None = None):
+        super().__init__(builders)
+        self.prep = prep
 
     @cached_property
     def events(self) -> DataFrame:
@@ -95,9 +139,22 @@ class Records(Lazy):
         return materialize(FT.all_events(self["diagnoses"], self["prescriptions"], self["labevents"], self["icustays"]))
 
 
+    @cached_property
+    def visit_events(self) -> DataFrame | None:
+        """(split, patient_id, admit_ms, domain, token, value, mark): ``events`` with their visit day, the
+        mark null where the patient has no label row in the split; None if the records do not
+        come from ``prepare`` (with labs normalised), or with salted joins."""
+        prep = self.prep
+        if prep is None or prep.salted or not prep.normalized:
+            return None
+        labelled = self["patients"].select("split", "patient_id").distinct().withColumn("mark", F.lit(1))
+        measured = prep.visit_events(labelled)
+        return C.normalized_events(measured, materialize(prep.lab_maxima(measured)))
+
+
 def records(prepared) -> Records:
     """P5 + P7 for every prepared table: typed records, rejects left out."""
-    return Records({t: (lambda t=t: clean.to_records(prepared[t], t)) for t in prepared})
+    return Records({t: (lambda t=t: clean.to_records(prepared[t], t)) for t in prepared}, getattr(prepared, "prep", None))
 
 
 def rejects_report(prep: Prepared) -> DataFrame:
@@ -131,7 +188,8 @@ def build_vocabulary(recs, split: str = "train", namespaced: bool = False) -> Vo
     them reads the same table; for the vocabulary alone pass the tables as a plain mapping.
     """
     if isinstance(recs, Records):
-        return Vocabulary(materialize(V.vocabulary_of_tokens(recs.events.filter(F.col("split") == split), namespaced)), namespaced)
+        events = recs.events if recs.visit_events is None else recs.visit_events
+        return Vocabulary(materialize(V.vocabulary_of_tokens(events.filter(F.col("split") == split), namespaced)), namespaced)
 
     def one(t: str) -> DataFrame:
         return recs[t].filter(F.col("split") == split)
@@ -157,9 +215,17 @@ class Dataset:
         """Events with their visit day, before the vocabulary."""
         return FT.attach_visit(self.source_events, self.recs["admissions"], self.salted)
 
+    @cached_property
+    def visit_events(self) -> DataFrame | None:
+        """Event rows that have their visit day already (``Records.visit_events``)."""
+        found = self.recs.visit_events if isinstance(self.recs, Records) and not self.salted else None
+        return None if found is None else found.filter(F.col("admit_ms").isNotNull())
+
     @cached_property
     def unknown_tokens(self) -> DataFrame:
         """J4 report of events with a visit; known events leave before the visit join."""
+        if self.visit_events is not None:
+            return FT.count_tokens(FT.unknown_events(self.visit_events, self.vocab.table, self.vocab.namespaced))
         unknown = FT.unknown_events(self.source_events, self.vocab.table, self.vocab.namespaced)
         return FT.count_tokens(FT.attach_visit(unknown, self.recs["admissions"], self.salted))
 
@@ -168,6 +234,9 @@ class Dataset:
         # Looked up first (unknown tokens and token strings are never shuffled),
         # then joined, once, to the visits of the labelled patients.
         # Written once: labels, sequences, cells and vectors all read it.
+        if self.visit_events is not None:
+            known = FT.index_features(self.visit_events.filter(F.col("mark").isNotNull()).drop("mark"), self.vocab.table, self.vocab.namespaced)
+            return materialize(known)
         found = FT.index_features(self.source_events, self.vocab.table, self.vocab.namespaced)
         return materialize(FT.attach_labelled_visit(found, self.recs["admissions"], self.recs["patients"], self.salted))
 
@@ -190,14 +259,16 @@ def build_sequences(ds: Dataset, visits_per_row: int = S.VISITS_PER_ROW) -> Data
     return S.sequences(ds.features, visits_per_row, labels=ds.labels)
 
 
-def patient_vector_table(ds: Dataset, width: int, how: str = "sum") -> DataFrame:
+def patient_vector_table(ds: Dataset, width: int, how: str = "sum", pooled: DataFrame | None = None) -> DataFrame:
     """X3 vectors joined with labels: (split, patient_id, label, features).
 
-    Every labelled patient has a row; one without cells has an empty vector.
+    Every labelled patient has a row; one without cells has an empty vector.  ``pooled``: the
+    pooled cells, where the caller has them written.
     """
     from pyspark.ml.linalg import SparseVector, VectorUDT
 
-    pooled = S.pool_sequences(S.visit_matrix(ds.features), how)
+    if pooled is None:
+        pooled = S.pool_sequences(S.visit_matrix(ds.features), how)
     labels = ds.labels.select("split", "patient_id", F.col("is_dead").cast("int").alias("label"))
     joined = labels.join(S.patient_vectors(pooled, width), ["split", "patient_id"], "left")
     nothing = F.udf(lambda: SparseVector(width, [], []), VectorUDT())()
@@ -223,8 +294,8 @@ def fit_bundle(raw, weights=DEFAULT_WEIGHTS, seed: int = DEFAULT_SEED, **setting
     from cohortflow.plans import bundle as B
 
     prep = prepare(raw, weights, seed, normalize_labs=False)
-    events = materialize(B.event_rows(records(prep.tables)))
-    maxima = B.lab_maxima(C.cohort_max(clean.parse_lab_values(raw["labevents"]), prep.cohort))
+    events = B.event_rows(records(prep.tables))
+    maxima = B.lab_maxima(prep.lab_maxima(events))
     # The event rows are a table already: the estimator need not write them again.
     return B.CohortEstimator(labMaxima=maxima, held=True, **settings).fit(events), events
 

@@ -88,9 +88,18 @@ def role_tables(spark: SparkSession, sf_dir: str, hold=None) -> Lazy:
         # a part still is a diagnosis row; medication and lab rows need the part).
         lineitem = _read(spark, sf_dir, "lineitem", ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity"])
         part = _read(spark, sf_dir, "part", ["p_partkey", "p_name", "p_brand"])
-        li = lineitem.join(orders().select("o_orderkey", "o_custkey"), F.col("l_orderkey") == F.col("o_orderkey"))
-        lip = li.join(part, F.col("l_partkey") == F.col("p_partkey"), "left")
-        pk = F.col("l_partkey")
+        # Parts are hashed after the shuffle, so that only the orders sort the line items: an
+        # order's rows stay side by side, which packs their ids well here and in later shuffles.
+        lip = lineitem.join(part.hint("shuffle_hash"), F.col("l_partkey") == F.col("p_partkey"), "left")
+        lip = lip.join(orders().select("o_orderkey", "o_custkey"), F.col("l_orderkey") == F.col("o_orderkey"))
+        # Held as texts: a filter that moves down to a read would make each of them again
+        # at every mention.
+        texts = with_texts(lip)
+        texts = hold(texts) if hold is not None else texts
+        return texts.withColumn("LAB_HADM_ID", F.when(F.col("HAS_LAB_HADM"), F.col("HADM_ID")))
+
+    def with_texts(lip: DataFrame) -> DataFrame:
+        pk, ok, sk = F.col("l_partkey"), F.col("l_orderkey"), F.col("l_suppkey")
         plain = plain_code(pk)
         code = (
             F.when(pk % 61 == 0, null)
@@ -99,14 +108,6 @@ def role_tables(spark: SparkSession, sf_dir: str, hold=None) -> Lazy:
             .when(pk % 10 == 0, F.concat(F.lit("E"), _lpad_num(pk % 1000, 4, "8")))
             .otherwise(plain)
         )
-        # Held as it is joined: numbers are written and read faster than the texts made of
-        # them.  The code, which every check of a record looks at, is made once.
-        narrow = lip.select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "o_custkey", "p_name", "p_brand", F.col("p_partkey").isNotNull().alias("HAS_PART"), code.alias("ICD9_CODE"))
-        return with_texts(hold(narrow) if hold is not None else narrow)
-
-    def with_texts(lip: DataFrame) -> DataFrame:
-        pk, ok, sk = F.col("l_partkey"), F.col("l_orderkey"), F.col("l_suppkey")
-        plain = plain_code(pk)
         # A drug of one patient only (unknown outside its split), a drug named
         # like a diagnosis category, and an empty name.
         drug = (
@@ -120,10 +121,10 @@ def role_tables(spark: SparkSession, sf_dir: str, hold=None) -> Lazy:
         return lip.select(
             subject("o_custkey").alias("SUBJECT_ID"),
             _s("l_orderkey").alias("HADM_ID"),
-            "ICD9_CODE",
-            "HAS_PART",
+            code.alias("ICD9_CODE"),
+            F.col("p_partkey").isNotNull().alias("HAS_PART"),
             drug.alias("DRUG"),
-            F.when(sk % 19 == 0, null).otherwise(_s("l_orderkey")).alias("LAB_HADM_ID"),
+            F.coalesce(sk % 19 != 0, F.lit(True)).alias("HAS_LAB_HADM"),
             F.when(pk % 43 == 0, null).otherwise(F.col("p_brand")).alias("ITEMID"),
             value.alias("VALUENUM"),
         )
