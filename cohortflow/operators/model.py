@@ -164,7 +164,7 @@ def gradient_norm(pooled: DataFrame, scored: DataFrame, coefficients: DataFrame,
     plus the penalty's part.  ``pooled`` and ``scored`` hold the training split.
     """
     n = scored.count()
-    r = scored.select("split", "patient_id", (F.col("score") - F.col("label")).alias("r"))
+    r = scored.select("split", "patient_id", (F.col("score") - F.col("label")).alias("r")).hint("shuffle_hash")
     sums = pooled.join(r, ["split", "patient_id"]).groupBy("feature_id").agg((F.sum(F.col("r") * F.col("value")) / n).alias("g"))
     part = F.coalesce("g", F.lit(0.0)) + F.lit(reg) * F.coalesce("weight", F.lit(0.0))
     g = sums.join(coefficients, "feature_id", "full").select(part.alias("g"))

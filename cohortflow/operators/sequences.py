@@ -221,15 +221,20 @@ def sequence_summary(seqs: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------- vectors
 
 
-def _sparse_udf(width: int):
-    from pyspark.ml.linalg import SparseVector, VectorUDT
+def sparse_parts(width: int, ids, values) -> Column:
+    """The fields of a sparse vector of ``width``; ids are sorted and unique (summed cells), as it needs."""
+    return F.struct(F.lit(0).cast("tinyint").alias("type"), F.lit(width).alias("size"), ids.cast("array<int>").alias("indices"), values.cast("array<double>").alias("values"))
 
-    @F.udf(returnType=VectorUDT(), useArrow=True)
-    def to_sparse(ids, vals):
-        # ids are sorted and unique (summed cells), as SparseVector needs.
-        return SparseVector(width, [int(i) for i in ids or []], [float(v) for v in vals or []])
 
-    return to_sparse
+def as_vectors(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a stage table whose column ``name`` (``sparse_parts``) is read back as vectors.
+
+    Spark stores a vector as these fields, so no row passes through Python.
+    """
+    from pyspark.ml.linalg import VectorUDT
+    from pyspark.sql.types import StructField, StructType
+
+    return materialize(df, StructType([StructField(f.name, VectorUDT()) if f.name == name else f for f in df.schema.fields]))
 
 
 def in_width(width: int) -> Column:
@@ -239,22 +244,22 @@ def in_width(width: int) -> Column:
     return F.when(inside, F.col("feature_id")).otherwise(F.raise_error(message).cast("bigint"))
 
 
-def _assemble(cells: DataFrame, keys: list[str], width: int, name: str) -> DataFrame:
+def assembled(cells: DataFrame, keys: list[str], width: int, name: str) -> DataFrame:
+    """(keys, name): the cells of each key as the fields of a sparse vector."""
     pairs = F.sort_array(F.collect_list(F.struct(in_width(width).alias("feature_id"), "value")))
-    # The split last, as in ``_visit_keys``; dealt first, since collecting before the shuffle would merge next to nothing.
-    ordered = sorted(keys, key=lambda c: c == "split")
-    grouped = cells.repartition(*ordered).groupBy(*ordered).agg(pairs.alias("_p"))
-    return grouped.select(*keys, _sparse_udf(width)(F.col("_p.feature_id"), F.col("_p.value")).alias(name))
+    # The split last, as in ``_visit_keys``.
+    grouped = cells.groupBy(*sorted(keys, key=lambda c: c == "split")).agg(pairs.alias("_p"))
+    return grouped.select(*keys, sparse_parts(width, F.col("_p.feature_id"), F.col("_p.value")).alias(name))
 
 
 def visit_vectors(cells: DataFrame, width: int) -> DataFrame:
     """One sparse vector of ``width`` per visit (never densified).
 
     A visit's cells are bounded by the vocabulary width, so the per-visit
-    collect is bounded; the Arrow UDF only packs ids and values.  ``width`` is
-    the vocabulary's; an id outside it is an error, never a silent drop.
+    collect is bounded.  ``width`` is the vocabulary's; an id outside it is an
+    error, never a silent drop.
     """
-    return _assemble(cells, _keep(cells) + ["patient_id", "visit_index"], width, "features")
+    return as_vectors(assembled(cells, _keep(cells) + ["patient_id", "visit_index"], width, "features"), "features")
 
 
 def visit_ages(cells: DataFrame, age: str = "visits") -> DataFrame:
@@ -321,7 +326,7 @@ def pool_sequences(cells: DataFrame, how: str = "sum", sum_digits: int | None =
 
 def patient_vectors(pooled: DataFrame, width: int, name: str = "features") -> DataFrame:
     """Sparse vector per patient from pooled cells (bounded by the width)."""
-    return _assemble(pooled, _keep(pooled) + ["patient_id"], width, name)
+    return as_vectors(assembled(pooled, _keep(pooled) + ["patient_id"], width, name), name)
 
 
 # ---------------------------------------------------------------- batches

@@ -132,7 +132,8 @@ class CohortEstimator(Estimator, _BundleParams, DefaultParamsReadable, DefaultPa
         own = ready.filter((F.col("split") == train) & F.col("label").isNotNull())
         pooled = self._pooled(model.features(own, normalised=True))
         labels = S.unique_labels(own.select("split", "patient_id", F.col("label").alias("is_dead")).distinct())
-        vectors = materialize(labels.join(S.patient_vectors(pooled, width), ["split", "patient_id"]))
+        parts = labels.join(S.assembled(pooled, ["split", "patient_id"], width, "features"), ["split", "patient_id"])
+        vectors = S.as_vectors(parts, "features")
         fitted = ML.train_classifier(vectors, width, self.getOrDefault(self.kind), self.getOrDefault(self.regParam), self.getOrDefault(self.maxIter))
         if self.getOrDefault(self.kind) == "logistic":
             return model.with_coefficients(*ML.coefficient_table(fitted, dataset.sparkSession))

@@ -262,17 +262,15 @@ def build_sequences(ds: Dataset, visits_per_row: int = S.VISITS_PER_ROW) -> Data
 def patient_vector_table(ds: Dataset, width: int, how: str = "sum", pooled: DataFrame | None = None) -> DataFrame:
     """X3 vectors joined with labels: (split, patient_id, label, features).
 
-    Every labelled patient has a row; one without cells has an empty vector.  ``pooled``: the
-    pooled cells, where the caller has them written.
+    A stage table: every labelled patient has a row; one without cells has an empty vector.
+    ``pooled``: the pooled cells, where the caller has them written.
     """
-    from pyspark.ml.linalg import SparseVector, VectorUDT
-
     if pooled is None:
         pooled = S.pool_sequences(S.visit_matrix(ds.features), how)
     labels = ds.labels.select("split", "patient_id", F.col("is_dead").cast("int").alias("label"))
-    joined = labels.join(S.patient_vectors(pooled, width), ["split", "patient_id"], "left")
-    nothing = F.udf(lambda: SparseVector(width, [], []), VectorUDT())()
-    return joined.select("split", "patient_id", "label", F.coalesce("features", nothing).alias("features"))
+    joined = labels.join(S.assembled(pooled, ["split", "patient_id"], width, "features"), ["split", "patient_id"], "left")
+    nothing = S.sparse_parts(width, F.array(), F.array())
+    return S.as_vectors(joined.select("split", "patient_id", "label", F.coalesce("features", nothing).alias("features")), "features")
 
 
 def scored_patients(ds: Dataset, coefficients: DataFrame, intercept: float = 0.0, how: str = "sum") -> DataFrame:
@@ -331,8 +329,8 @@ def run_model(ds: Dataset, kind: str = "logistic", how: str = "sum", epochs=(5,
     back for the report.
     """
     width = ds.vocab.width
-    # Read by every fit, scoring and report table.
-    vectors = materialize(patient_vector_table(ds, width, how))
+    # Written once, read by every fit, scoring and report table.
+    vectors = patient_vector_table(ds, width, how)
     fitted = ML.train_epochs(vectors, width, kind, epochs, folder)
     curve = fitted.curve
     chosen = M.best_epoch(curve.filter(F.col("phase") == "valid")).first()

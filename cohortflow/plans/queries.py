@@ -633,11 +633,14 @@ def model_fit_check(spark, sf_dir):
     """L1: the fitted logistic model is an optimum (its gradient vanishes) and scores the
     same as its coefficient table joined to the pooled cells."""
     st = Stages(spark, sf_dir)
-    vectors = materialize(P.patient_vector_table(st.ds, st.vocab.width))
+    # Written once, by patient: the vectors, scores and gradient of a patient need no shuffle of the cells.
+    folder = _folder(spark, "pooled")
+    write_by_patient(S.pool_sequences(st.matrix, "sum"), folder, "cells", int(spark.conf.get("spark.sql.shuffle.partitions")))
+    pooled = read_by_patient(spark, folder, "cells")
+    vectors = P.patient_vector_table(st.ds, st.vocab.width, pooled=pooled)
     train = vectors.filter("split = 'train'")
     model = ML.train_classifier(train, max_iter=300)
     table, intercept = ML.coefficient_table(model, spark)
-    pooled = materialize(S.pool_sequences(st.matrix, "sum"))
     scored = materialize(ML.linear_scores(pooled, st.ds.labels, table, intercept))
     norm = ML.gradient_norm(pooled.filter("split = 'train'"), scored.filter("split = 'train'"), table)
     other = ML.predict(model, vectors).select("split", "patient_id", F.col("score").alias("fitted"))

@@ -16,6 +16,7 @@ from contextlib import contextmanager
 
 from py4j.protocol import Py4JError
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 # Confs the engine is written for (all are public Spark settings).
 RECOMMENDED_CONF = {
@@ -77,7 +78,7 @@ class Lazy(Mapping):
         return len(self._builders)
 
 
-def materialize(df: DataFrame) -> DataFrame:
+def materialize(df: DataFrame, schema: StructType | None = None) -> DataFrame:
     """Cut lineage by writing ``df`` as a parquet table in the shared
     checkpoint folder and scanning it back.
 
@@ -85,18 +86,42 @@ def materialize(df: DataFrame) -> DataFrame:
     cohort, vocabulary, indexed features): a lost executor then re-reads the
     table instead of recomputing it from the raw scans, and the re-read is a
     normal parquet scan with column pruning and filter pushdown (an RDD
-    checkpoint would serialise rows and hide them from the optimiser).
+    checkpoint would serialise rows and hide them from the optimiser).  ``schema``: what to read
+    the table as, where that is not as it was written.
     """
-    return materialize_at(df)[0]
+    return materialize_at(df, schema=schema)[0]
 
 
-def materialize_at(df: DataFrame, *partition_by: str) -> tuple[DataFrame, str]:
+def materialize_at(df: DataFrame, *partition_by: str, schema: StructType | None = None) -> tuple[DataFrame, str]:
     """``materialize`` with the table's folder, for ``release_tables`` as soon as it is not read any more."""
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/cohortflow-tables/{uuid.uuid4().hex}"
     track_table(spark, path)
-    df.write.mode("error").partitionBy(*partition_by).parquet(path)
-    return spark.read.schema(df.schema).parquet(path), path
+    with _own_shuffles_freed(spark):
+        df.write.mode("error").partitionBy(*partition_by).parquet(path)
+    return spark.read.schema(schema or df.schema).parquet(path), path
+
+
+#: Spark's own setting: shuffle files go when the statement that wrote them ends.
+_FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def _own_shuffles_freed(spark: SparkSession) -> Iterator[None]:
+    """Free the shuffle files of the writes inside the block as each one ends.
+
+    A stage table cuts the lineage, so nothing reads its shuffles again; otherwise they
+    stay on the executors' disks until the driver happens to collect its garbage.
+    """
+    before = spark.conf.get(_FREE_SHUFFLES, None)
+    spark.conf.set(_FREE_SHUFFLES, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(_FREE_SHUFFLES)
+        else:
+            spark.conf.set(_FREE_SHUFFLES, before)
 
 
 # (path, Hadoop path, its file system): the Java objects outlive the session.

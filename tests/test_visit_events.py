@@ -5,6 +5,7 @@ import os
 import random
 
 import pytest
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from cohortflow.operators import features as FT, minibatch as MB, sequences as S
@@ -114,3 +115,23 @@ def test_cells_of_a_patient_are_shuffled_once_for_pooling(spark):
     pooled = S.pool_sequences(S.visit_matrix(feats), "sum")
     assert pooled._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
     assert sorted(map(tuple, pooled.collect())) == [("test", 1, 1, 2.0), ("train", 1, 1, 3.0), ("train", 1, 2, 3.0)]
+
+
+def test_vectors_are_built_without_python(spark):
+    cells = spark.createDataFrame([("train", 1, 4, 2.0), ("train", 1, 0, 1.0), ("test", 2, 3, -1.0)], "split string, patient_id bigint, feature_id bigint, value double")
+    parts = S.assembled(cells, ["split", "patient_id"], 5, "features")
+    assert "Python" not in parts._jdf.queryExecution().executedPlan().toString()
+    vectors = {r.patient_id: r.features for r in S.patient_vectors(cells, 5).collect()}
+    assert vectors == {1: Vectors.sparse(5, [0, 4], [1.0, 2.0]), 2: Vectors.sparse(5, [3], [-1.0])}
+
+
+def test_model_check_pools_once_and_by_patient(spark):
+    import __spark_entry__ as E
+
+    pooled, plain = [], S.pool_sequences
+    S.pool_sequences = lambda *a, **b: pooled.append(plain(*a, **b)) or pooled[-1]
+    try:
+        row = E.queries()["model_fit_check"](spark, E.SMOKE_DIR).first()
+    finally:
+        S.pool_sequences = plain
+    assert len(pooled) == 1 and row.at_optimum and row.same_scores and row.n_scored >= row.n_train > 0
